@@ -9,6 +9,8 @@ from __future__ import annotations
 from dimsmith.catalog.registry import ORACLE, QUERIES  # noqa: F401
 from dimsmith.catalog import (  # noqa: F401  (import for registration)
     cdc_queries,
+    dim_queries,
+    report_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]
