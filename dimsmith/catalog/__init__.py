@@ -11,6 +11,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     cdc_queries,
     dim_queries,
     report_queries,
+    inventory_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]
