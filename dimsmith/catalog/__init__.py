@@ -12,6 +12,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     dim_queries,
     report_queries,
     inventory_queries,
+    quality_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]
