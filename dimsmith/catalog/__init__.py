@@ -13,6 +13,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     report_queries,
     inventory_queries,
     quality_queries,
+    generate_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]

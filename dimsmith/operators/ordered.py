@@ -95,7 +95,12 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ensure_checkpoint_dir(spark)
 
-    groups = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+    if method == "row_number":
+        # Total order: every row is its own group; carry the rows through
+        # the checkpoint and skip the join back.
+        groups = df.withColumn("_n", F.lit(1).cast("bigint"))
+    else:
+        groups = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
     ranged = (groups.repartitionByRange(n, *sort)
               .withColumn("_b", F.spark_partition_id())
               .checkpoint(eager=True))
@@ -117,6 +122,8 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
         value = F.col("_grp_off") + F.col("_gi")
     else:
         value = F.col("_row_off") + F.col("_before") + F.lit(1)
+    if method == "row_number":
+        return numbered.select(*df.columns, value.cast("bigint").alias(out))
     numbering = numbered.select(*order, value.cast("bigint").alias(out))
     if not attach:
         return numbering
