@@ -14,6 +14,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     inventory_queries,
     quality_queries,
     generate_queries,
+    stream_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -89,7 +89,11 @@ def _dedupe(df: DataFrame, spec: ChangeSpec, carry: list[str]) -> DataFrame:
             .select(*group, *[F.col(f"_b.{c}").alias(c) for c in rest]))
 
 
-def apply_changes(source: DataFrame, spec: ChangeSpec) -> DataFrame:
+def prepare_changes(source: DataFrame, spec: ChangeSpec) -> tuple[DataFrame, list[str], bool]:
+    """Filter, truncate, flag deletes, project and dedupe a change feed.
+
+    Returns (keys + sequence + attributes [+ _is_delete], attributes, has_delete).
+    """
     df = source
     where = _cond(spec.where)
     if where is not None:
@@ -102,13 +106,18 @@ def apply_changes(source: DataFrame, spec: ChangeSpec) -> DataFrame:
         df = df.withColumn("_is_delete", F.coalesce(delete, F.lit(False)))
         carry = carry + ["_is_delete"]
     df = df.select(*spec.keys, spec.sequence_by, *[c for c in carry if c not in spec.keys])
-    df = _dedupe(df, spec, carry)
+    return _dedupe(df, spec, carry), attrs, delete is not None
+
+
+def apply_changes(source: DataFrame, spec: ChangeSpec) -> DataFrame:
+    df, attrs, has_delete = prepare_changes(source, spec)
     if spec.stored_as_scd_type == 1:
-        return _scd1(df, spec, attrs, delete is not None)
-    return _scd2(df, spec, attrs, delete is not None)
+        return _scd1(df, spec, attrs, has_delete)
+    return _scd2(df, spec, attrs, has_delete)
 
 
-def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool) -> DataFrame:
+def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
+          keep_tombstones: bool = False) -> DataFrame:
     keys, seq = spec.keys, spec.sequence_by
     order = [seq] + [c for c in spec.tiebreak if c != seq]
     if has_delete and spec.ignore_null_updates:
@@ -118,7 +127,8 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool) -
         df = (df.join(last_del, keys, "left")
                 .where(F.col("_last_del").isNull() | (F.col(seq) >= F.col("_last_del")))
                 .drop("_last_del"))
-    latest = F.max(F.struct(*[F.col(c) for c in order + attrs + (["_is_delete"] if has_delete else [])]))
+    fields = order + [a for a in attrs if a not in order] + (["_is_delete"] if has_delete else [])
+    latest = F.max(F.struct(*[F.col(c) for c in fields]))
     aggs = [latest.alias("_l")]
     if spec.ignore_null_updates:
         # Per column: the value of the latest change where it is not NULL.
@@ -126,19 +136,26 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool) -
             pos = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
             aggs.append(F.max(F.struct(pos.alias("p"), F.col(c).alias("v"))).alias(f"_nn_{c}"))
     out = df.groupBy(*keys).agg(*aggs)
-    if has_delete:
-        out = out.where(~F.col("_l._is_delete"))
     values = [(F.col(f"_nn_{c}.v") if spec.ignore_null_updates else F.col(f"_l.{c}")).alias(c)
               for c in attrs]
+    if keep_tombstones:
+        flag = F.col("_l._is_delete") if has_delete else F.lit(False)
+        return out.select(*keys, F.col(f"_l.{seq}").alias(seq), *values, flag.alias("_is_delete"))
+    if has_delete:
+        out = out.where(~F.col("_l._is_delete"))
     return out.select(*keys, F.col(f"_l.{seq}").alias(seq), *values)
 
 
-def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool) -> DataFrame:
+def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
+          keep_tombstones: bool = False) -> DataFrame:
     if spec.ignore_null_updates:
         raise NotImplementedError("ignore_null_updates is supported for SCD type 1")
     keys, seq = spec.keys, spec.sequence_by
     chained = next_within_key(df, keys, [seq], prefix="_next_", bucket_unit=spec.bucket_unit)
+    out = [*keys, *attrs, F.col(seq).alias(START_AT), F.col(f"_next_{seq}").alias(END_AT)]
+    if keep_tombstones:
+        flag = F.col("_is_delete") if has_delete else F.lit(False)
+        return chained.select(*out, flag.alias("_is_delete"))
     if has_delete:
         chained = chained.where(~F.col("_is_delete"))
-    return chained.select(*keys, *attrs, F.col(seq).alias(START_AT),
-                          F.col(f"_next_{seq}").alias(END_AT))
+    return chained.select(*out)

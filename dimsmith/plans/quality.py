@@ -82,13 +82,14 @@ def apply_expectations(df: DataFrame, rules: Iterable[Expectation], dataset: str
     return out, obs
 
 
-def metrics_of(obs: Observation | None, rules: Iterable[Expectation], dataset: str,
+def metrics_of(values: Mapping[str, int] | None, rules: Iterable[Expectation], dataset: str,
                output_rows: int | None = None) -> dict:
-    """Observation values -> the event-log ``flow_progress`` shape."""
+    """Observed metric values (``Observation.get`` or summed stream batches)
+    -> the event-log ``flow_progress`` shape."""
     rules = list(rules)
-    if obs is None:
+    if not values:
         return {"metrics": {"num_output_rows": output_rows}} if output_rows is not None else {}
-    m = obs.get
+    m = values
     exp = [{"name": r.name, "dataset": dataset, "passed_records": int(m[f"passed_{i}"]),
             "failed_records": int(m[f"failed_{i}"])} for i, r in enumerate(rules)]
     rows = int(m["input_rows"]) - int(m["dropped_records"])
