@@ -15,6 +15,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     quality_queries,
     generate_queries,
     stream_queries,
+    io_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]
