@@ -68,10 +68,10 @@ def read_with_drift(spark: SparkSession, drops: Sequence[str],
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    try:
-        return "\n".join(r.value for r in spark.read.text(path).collect())
-    except Exception:  # noqa: BLE001 - missing file
+    from dimsmith.sinks.files import exists
+    if not exists(spark, path):
         return None
+    return "\n".join(r.value for r in spark.read.text(path).collect())
 
 
 def stream_schema(spark: SparkSession, source: str, fmt: str, options: Mapping[str, object],
