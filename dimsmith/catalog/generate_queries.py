@@ -71,33 +71,36 @@ def lateral_days(spark, sf_dir):
         "customer_id", "product_id", *SEED_KEYS, "calendar_date")
 
 
-def _draw_sql(salt: str) -> str:
-    return ("CAST('0x' || substr(md5(concat_ws('|', CAST(seed_order AS VARCHAR), "
-            "CAST(seed_line AS VARCHAR), CAST(seed_supp AS VARCHAR), "
-            f"CAST(calendar_date AS VARCHAR), '{salt}')), 1, 8) AS BIGINT)")
+def _draw_sql(i: int) -> str:
+    g, j, half = i // 4, (i % 4) // 2, i % 2
+    v = ("CAST('0x' || substr(md5(concat_ws('|', CAST(seed_order AS VARCHAR), "
+         "CAST(seed_line AS VARCHAR), CAST(seed_supp AS VARCHAR), "
+         f"CAST(calendar_date AS VARCHAR), 'g{g}')), {1 + 15 * j}, 15) AS BIGINT)")
+    return f"({v} >> 30)" if half == 0 else f"({v} & 1073741823)"
 
 
+_QTY, _DISC, _INCL, _ADJ, _SHIP, _LINE_DRAW = range(6)
 _GROUP = "PARTITION BY calendar_date, customer_id"
-_LINE = "ORDER BY line_draw, product_id, seed_order, seed_line, seed_supp"
+_LINE_ORDER = "ORDER BY line_draw, product_id, seed_order, seed_line, seed_supp"
 
 SQL_GENERATED = star.with_ctes(star.SQL_CALENDAR, SQL_SEEDS, f"""
 drawn AS (
   SELECT customer_id, product_id, calendar_date, seed_order, seed_line, seed_supp,
-         CAST(qty_min + {_draw_sql('qty')} % (qty_max - qty_min + 1) AS INTEGER) AS quantity,
-         CASE WHEN {_draw_sql('disc')} % 189 + 28 <= 64 THEN 20
-              WHEN {_draw_sql('disc')} % 189 + 28 <= 125 THEN 10 ELSE 0 END AS discount,
-         {_draw_sql('incl')} % 100 > excl_pct AS include,
-         CAST({_draw_sql('adj')} % 6 AS INTEGER) AS date_adj,
-         CASE WHEN {_draw_sql('ship')} % 189 + 28 <= 64 THEN 2
-              WHEN {_draw_sql('ship')} % 189 + 28 <= 125 THEN 1 ELSE 0 END AS ship_adj,
-         {_draw_sql('line')} AS line_draw
+         CAST(qty_min + {_draw_sql(_QTY)} % (qty_max - qty_min + 1) AS INTEGER) AS quantity,
+         CASE WHEN {_draw_sql(_DISC)} % 189 + 28 <= 64 THEN 20
+              WHEN {_draw_sql(_DISC)} % 189 + 28 <= 125 THEN 10 ELSE 0 END AS discount,
+         {_draw_sql(_INCL)} % 100 > excl_pct AS include,
+         CAST({_draw_sql(_ADJ)} % 6 AS INTEGER) AS date_adj,
+         CASE WHEN {_draw_sql(_SHIP)} % 189 + 28 <= 64 THEN 2
+              WHEN {_draw_sql(_SHIP)} % 189 + 28 <= 125 THEN 1 ELSE 0 END AS ship_adj,
+         {_draw_sql(_LINE_DRAW)} AS line_draw
   FROM days),
 norm AS (
   SELECT customer_id, product_id, calendar_date, quantity,
          min(discount) OVER ({_GROUP}) AS discount,
          CAST(rank() OVER (ORDER BY calendar_date, customer_id) AS BIGINT) AS order_id,
-         CAST(row_number() OVER ({_GROUP} {_LINE}) AS INTEGER) AS order_line_id,
-         first_value(date_adj) OVER ({_GROUP} {_LINE}) AS date_adj,
+         CAST(row_number() OVER ({_GROUP} {_LINE_ORDER}) AS INTEGER) AS order_line_id,
+         first_value(date_adj) OVER ({_GROUP} {_LINE_ORDER}) AS date_adj,
          min(ship_adj) OVER ({_GROUP}) AS ship_adj
   FROM drawn WHERE include AND quantity > 0)""") + """
 SELECT order_id, order_line_id, customer_id, product_id, quantity, discount,

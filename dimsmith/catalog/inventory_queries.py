@@ -15,8 +15,7 @@ from dimsmith.functions.scalars import (date_key, day_in_week, md5_draw, money,
                                         null_safe_changed, register_sql_functions)
 from dimsmith.operators.joins import broadcast_if_bounded, part_totals, set_parts
 from dimsmith.operators.latest import latest_by
-from dimsmith.operators.ordered import (first_value_within, global_rank, min_within,
-                                        row_number_within)
+from dimsmith.operators.ordered import global_rank
 from dimsmith.operators.scd import backfill_from
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -293,9 +292,16 @@ def group_normalise(spark, sf_dir):
     li = li.withColumn("d", md5_draw("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                      salt="line"))
     order = [c.strip() for c in _LINE_ORDER.split(",")]
-    li = min_within(li, ["l_orderkey"], "l_discount", "min_discount")
-    li = row_number_within(li, ["l_orderkey"], order, out="line_no")
-    li = first_value_within(li, ["l_orderkey"], order, "l_shipdate", "first_ship")
+    # One global row number over (order, seeded line order); the order's first
+    # number, its minimum discount and its first ship date come from a single
+    # partial aggregate joined back once — no per-order window task.
+    li = global_rank(li, ["l_orderkey", *order], out="_g", method="row_number")
+    per_order = li.groupBy("l_orderkey").agg(
+        F.min("_g").alias("_g0"), F.min("l_discount").alias("min_discount"),
+        F.min(F.struct(*[F.col(c) for c in order], F.col("l_shipdate").alias("_s")))._s
+        .alias("first_ship"))
+    li = li.join(per_order, "l_orderkey").withColumn(
+        "line_no", (F.col("_g") - F.col("_g0") + 1).cast("int"))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "min_discount", "line_no",
                      "first_ship")
 

@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 
 from dimsmith.catalog.registry import table
 from dimsmith.functions.scalars import OPEN_END, date_key, money
-from dimsmith.operators.keys import assign_durable_keys, assign_surrogate_keys
 from dimsmith.operators.latest import latest_by
-from dimsmith.operators.ordered import next_within_key
+from dimsmith.operators.ordered import next_within_key, version_numbers
 from dimsmith.operators.scd import DimSpec
 from dimsmith.operators.temporal import temporal_join
 from dimsmith.sources.calendar import calendar_between
@@ -74,8 +73,9 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_keys(versions: DataFrame, spec: DimSpec) -> DataFrame:
-    keyed = assign_surrogate_keys(versions, spec.business_keys + [spec.valid_from], out=spec.sk)
-    keyed = assign_durable_keys(keyed, spec.business_keys, out=spec.dk)
+    """Surrogate key in load order (key, valid_from), durable key per business key."""
+    keyed = version_numbers(versions, spec.business_keys, [spec.valid_from],
+                            row_out=spec.sk, dense_out=spec.dk)
     return keyed.select(*spec.columns())
 
 
@@ -107,8 +107,12 @@ def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
                     F.col("valid_from").alias("c_from"), F.col("valid_to").alias("c_to"))
     p = prod.select("product_id", "product_sk", "product_dk", "price",
                     F.col("valid_from").alias("p_from"), F.col("valid_to").alias("p_to"))
-    j = temporal_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to")
-    j = temporal_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to")
+    # Latest possible fact date, from one column of orders (not from the join).
+    horizon = orders.agg(F.max(F.to_date("o_orderdate")).alias("h")).scalar()
+    j = temporal_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to",
+                      horizon=horizon)
+    j = temporal_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
+                      horizon=horizon)
     discount = F.round(F.col("l_discount") * 100).cast("int")
     paid = F.round(F.col("price") * (F.lit(100) - discount) * F.lit(Decimal("0.01")), 2)
     return j.select(

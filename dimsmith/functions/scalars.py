@@ -51,6 +51,27 @@ def md5_draw(*parts: Column | str, salt: str = "") -> Column:
     return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
 
 
+DRAW_BITS = 30
+
+
+def md5_draws(*parts: Column | str, n: int, salt: str = "g") -> list[Column]:
+    """``n`` reproducible non-negative 30-bit draws from the given columns.
+
+    Each md5(parts ‖ salt‖k) gives two 15-hex-digit integers (one base
+    conversion each), each split into two 30-bit draws — four draws per md5.
+    DuckDB: v = ('0x' || substr(md5(x), 1 + 15*j, 15))::BIGINT; v >> 30, v & (2^30-1).
+    """
+    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+    out: list[Column] = []
+    for i in range(n):
+        g, j, half = i // 4, (i % 4) // 2, i % 2
+        text = F.concat_ws("|", *[c.cast("string") for c in cols], F.lit(f"{salt}{g}"))
+        v = F.conv(F.substr(F.md5(text), F.lit(1 + 15 * j), F.lit(15)), 16, 10).cast("bigint")
+        out.append(F.shiftright(v, DRAW_BITS) if half == 0
+                   else v.bitwiseAND(F.lit((1 << DRAW_BITS) - 1)))
+    return out
+
+
 def discount_bucket(draw: Column) -> Column:
     """Discount percent from a draw in 0..188, skewed toward small discounts.
 

@@ -7,7 +7,7 @@ excl_pct`` plus ``seed_keys`` that make each seed unique (they feed the draws).
   of ``freq_days`` (``DayInYear % freq = 0``). Instead of a theta join of
   seeds and calendar we list each seed's multiples (≤ 366 values) and
   equi-join on ``day_in_year``; a frequency above 366 yields no day.
-* Draws: ``md5_draw(seed keys, date, salt)`` — reproducible, engine-neutral.
+* Draws: ``md5_draws(seed keys, date)`` — reproducible, engine-neutral.
   quantity = qty_min + draw % (qty_max - qty_min + 1); discount from a
   cube-root-skewed draw (0/10/20 %); a line is kept when draw % 100 >
   excl_pct; the order date moves 0-5 days; shipping takes 0-2 more days.
@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimsmith.functions.scalars import discount_bucket, md5_draw
+from dimsmith.functions.scalars import discount_bucket, md5_draws
 from dimsmith.operators.ordered import global_rank
 
 MAX_DAY_IN_YEAR = 366
@@ -46,20 +46,21 @@ def generate_orders(seeds: DataFrame, calendar: DataFrame, start, end,
     keys = list(seed_keys)
     days = seed_days(seeds, calendar, start, end)
 
-    def draw(salt):
-        return md5_draw(*keys, "calendar_date", salt=salt)
-
-    ship_v = draw("ship") % 189 + F.lit(28)
+    qty, disc, incl, adj, ship, line = md5_draws(*keys, "calendar_date", n=6)
+    ship_v = ship % 189 + F.lit(28)
     lines = days.select(
         "customer_id", "product_id", "calendar_date", *keys,
-        (F.col("qty_min") + draw("qty") % (F.col("qty_max") - F.col("qty_min") + 1))
+        (F.col("qty_min") + qty % (F.col("qty_max") - F.col("qty_min") + 1))
         .cast("int").alias("quantity"),
-        discount_bucket(draw("disc") % 189).alias("discount"),
-        (draw("incl") % 100 > F.col("excl_pct")).alias("include"),
-        (draw("adj") % 6).cast("int").alias("date_adj"),
+        discount_bucket(disc % 189).alias("discount"),
+        (incl % 100 > F.col("excl_pct")).alias("include"),
+        (adj % 6).cast("int").alias("date_adj"),
         F.when(ship_v <= 64, 2).when(ship_v <= 125, 1).otherwise(0).alias("ship_adj"),
-        draw("line").alias("line_draw"))
+        line.alias("line_draw"))
     lines = lines.where(F.col("include") & (F.col("quantity") > 0)).drop("include")
+    # Materialise the drawn lines once: the range numbering below samples its
+    # input and then reads it again, and the hashing is the expensive part.
+    lines = lines.checkpoint(eager=True)
 
     order = ["calendar_date", "customer_id"]
     line_order = ["line_draw", "product_id", *keys]

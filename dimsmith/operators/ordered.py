@@ -130,6 +130,49 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
     return df.join(numbering, on=order, how="inner")
 
 
+def version_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    row_out: str, dense_out: str, num_partitions: int | None = None
+                    ) -> DataFrame:
+    """One pass for both numberings of a versioned table:
+    ``row_out``  = row_number() over (order by keys, order)   (surrogate key)
+    ``dense_out``= dense_rank() over (order by keys)          (durable key)
+
+    Rows are range-partitioned on (keys, order) and checkpointed; a key may
+    straddle a partition boundary, so each partition reports its first and
+    last key and a partition starting with the previous partition's last key
+    does not count that key again. ``keys + order`` must be unique.
+    """
+    keys, order = list(keys), list(order)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+              .withColumn("_b", F.spark_partition_id())
+              .checkpoint(eager=True))
+    key = F.struct(*[F.col(c) for c in keys])
+    local = Window.partitionBy("_b").orderBy(*keys, *order)
+    parts = (ranged.groupBy("_b")
+             .agg(F.count(F.lit(1)).alias("_rows"), F.count_distinct(key).alias("_keys"),
+                  F.min(key).alias("_first"), F.max(key).alias("_last")))
+    prev = Window.orderBy("_b")
+    before = prev.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn(
+        "_cont", F.coalesce(F.col("_first") == F.lag("_last").over(prev), F.lit(False)))
+    parts = parts.select(
+        "_b", "_cont",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
+        F.coalesce(F.sum(F.col("_keys") - F.col("_cont").cast("int")).over(before),
+                   F.lit(0)).alias("_key_off"))
+    numbered = (ranged.withColumn("_rn", F.row_number().over(local))
+                .withColumn("_dr", F.dense_rank().over(Window.partitionBy("_b").orderBy(*keys)))
+                .join(F.broadcast(parts), "_b"))
+    return numbered.select(
+        *df.columns,
+        (F.col("_row_off") + F.col("_rn")).cast("bigint").alias(row_out),
+        (F.col("_key_off") + F.col("_dr") - F.col("_cont").cast("int")).cast("bigint")
+        .alias(dense_out))
+
+
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       out: str = "row_no") -> DataFrame:
     """``row_number() over (partition by keys order by order)`` without a

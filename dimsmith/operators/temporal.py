@@ -32,11 +32,13 @@ def _bucket(c: Column, unit: str) -> Column:
 
 def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str],
                   at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  how: str = "inner", bucket: str | None = "year") -> DataFrame:
+                  how: str = "inner", bucket: str | None = "year",
+                  horizon: Column | dt.date | None = None) -> DataFrame:
     """Join ``facts`` to the ``dim`` version valid at ``facts[at]``.
 
     ``on``: fact/dim key pairs (or shared names). Dim columns other than the
-    keys keep their names; rename beforehand to avoid clashes.
+    keys keep their names; rename beforehand to avoid clashes. ``horizon``:
+    the latest possible fact date (default: a scalar subquery over ``facts``).
     """
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     at_col = F.col(at).cast("date")
@@ -45,7 +47,10 @@ def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]
         cond.append(at_col.between(dim[valid_from], dim[valid_to]))
         return facts.join(dim, on=cond, how=how)
 
-    horizon = facts.agg(F.max(at_col).alias("h")).scalar()
+    if horizon is None:
+        horizon = facts.agg(F.max(at_col).alias("h")).scalar()
+    elif not isinstance(horizon, Column):
+        horizon = F.lit(horizon)
     vf, vt = F.col(valid_from), F.least(F.col(valid_to), horizon)
     spread = (dim.where(F.col(valid_from) <= horizon)
               .withColumn("_tb", F.explode(F.sequence(_bucket(vf, bucket), _bucket(vt, bucket)))))

@@ -164,3 +164,15 @@ def test_rollup_labels_totals_without_relabelling_nulls(spark):
     got = [(r.k1, r.k2, r.s) for r in out]
     assert ("Total", "Total", 6) == got[-1]
     assert ("a", None, 2) in got and ("a", "Total", 3) in got
+
+
+def test_version_numbers_key_straddles_partitions(spark):
+    from dimsmith.operators.ordered import version_numbers
+    # key 0 holds most rows, so range partitions split it
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 17 + 1).alias("k"), F.col("id"))
+    got = version_numbers(df, ["k"], ["id"], row_out="sk", dense_out="dk", num_partitions=9)
+    want = df.select("k", "id", F.row_number().over(Window.orderBy("k", "id")).alias("sk"),
+                     F.dense_rank().over(Window.orderBy("k")).alias("dk"))
+    assert sorted(tuple(r) for r in got.select("k", "id", "sk", "dk").collect()) == \
+        sorted(tuple(r) for r in want.collect())
