@@ -18,6 +18,7 @@ from dimsmith.operators.latest import latest_by
 from dimsmith.operators.ordered import global_rank
 from dimsmith.operators.scd import backfill_from
 
+CUTOFF_COMPACT = "19970531"
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
@@ -93,14 +94,15 @@ SELECT l_partkey AS part_num, l_suppkey AS color_id, SUM(l_quantity) AS quantity
 FROM lineitem GROUP BY l_partkey, l_suppkey
 """)
 def sql_function_spare_qty(spark, sf_dir):
-    """The spare-quantity rule as a SQL function (inlined, not a UDF)."""
+    """The spare-quantity rule as a SQL function (inlined, not a UDF),
+    over a parquet path named directly in SQL."""
     register_sql_functions(spark)
-    table(spark, sf_dir, "lineitem").createOrReplaceTempView("dimsmith_lineitem")
-    return spark.sql("""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    return spark.sql(f"""
         SELECT l_partkey AS part_num, l_suppkey AS color_id, SUM(l_quantity) AS quantity,
                SUM(spare_quantity(CASE WHEN l_returnflag = 'R' THEN 't' ELSE 'f' END,
                                   l_quantity)) AS spare_quantity
-        FROM dimsmith_lineitem GROUP BY l_partkey, l_suppkey""")
+        FROM parquet.`{path}` GROUP BY l_partkey, l_suppkey""")
 
 
 @query("broadcast_join", """
@@ -220,18 +222,22 @@ SELECT o_orderkey,
        CAST(day(o_orderdate) AS INTEGER) AS day_in_month,
        CAST(isodow(o_orderdate) AS INTEGER) AS day_in_week,
        dayname(o_orderdate) AS day_name,
-       CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS due_date
+       CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS due_date,
+       CAST(o_orderdate AS DATE) <= strptime('19970531', '%Y%m%d')::DATE AS before_cutoff
 FROM orders
 """)
 def date_scalars(spark, sf_dir):
-    """Date key, year/month, day parts (Monday = 1), day name, DATEADD."""
+    """Date key, year/month, day parts (Monday = 1), day name, DATEADD,
+    compact yyyyMMdd literal."""
     d = F.to_date("o_orderdate")
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", date_key(d).alias("order_date_sk"),
         F.year(d).alias("order_year"), F.month(d).alias("order_month"),
         F.dayofyear(d).alias("day_in_year"), F.dayofmonth(d).alias("day_in_month"),
         day_in_week(d).alias("day_in_week"), F.date_format(d, "EEEE").alias("day_name"),
-        F.date_add(d, 30).alias("due_date"))
+        F.date_add(d, 30).alias("due_date"),
+        # compact literal: always parsed with an explicit format
+        (d <= F.to_date(F.lit(CUTOFF_COMPACT), "yyyyMMdd")).alias("before_cutoff"))
 
 
 @query("numeric_scalars", """

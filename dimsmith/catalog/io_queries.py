@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from dimsmith.catalog.inventory_queries import SQL_SET_PARTS, _set_parts
 from dimsmith.catalog.registry import query, table
+from dimsmith.operators.joins import build_inventory
 from dimsmith.catalog.stream_queries import land
 from dimsmith.session import work_dir
 from dimsmith.sinks.files import (append, latest_snapshot, write_partitioned_csv,
@@ -114,3 +116,21 @@ def sink_snapshot(spark, sf_dir):
     write_snapshot(loaded.where(F.col("c_nationkey") < 0), f"{wd}/snap")  # v=0: empty
     write_snapshot(loaded, f"{wd}/snap")                                   # v=1: full
     return latest_snapshot(spark, f"{wd}/snap")
+
+
+@query("inventory_sinks", """
+WITH sp AS (""" + SQL_SET_PARTS + """)
+SELECT part_num, color_id, SUM(quantity) AS quantity,
+       SUM(CASE WHEN is_spare = 't' THEN quantity ELSE 0 END) AS spare_quantity
+FROM sp GROUP BY part_num, color_id
+""")
+def inventory_sinks(spark, sf_dir):
+    """One persisted set-parts result feeds a text table and
+    colour-partitioned part totals; the totals are read back."""
+    wd = work_dir(spark, "inventory")
+    _, totals_path = build_inventory(_set_parts(spark, sf_dir), wd, "part_num", "color_id",
+                                     "quantity", "is_spare")
+    # the partition column comes back from the folder names
+    back = spark.read.options(header="true").schema(
+        "part_num bigint, quantity double, spare_quantity double, color_id bigint").csv(totals_path)
+    return back.select("part_num", "color_id", "quantity", "spare_quantity")

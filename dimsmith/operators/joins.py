@@ -47,3 +47,23 @@ def part_totals(set_parts_df: DataFrame, part: str, color: str, quantity: str,
     return (set_parts_df.groupBy(part, color)
             .agg(F.sum(q).alias("quantity"),
                  F.sum(spare_quantity(is_spare, q)).alias("spare_quantity")))
+
+
+def build_inventory(set_parts_df: DataFrame, out_dir: str, part: str, color: str,
+                    quantity: str, is_spare: str) -> tuple[str, str]:
+    """The inventory flow with two sinks sharing one result: the set parts are
+    persisted once, written as a plain delimited text table and aggregated
+    into part totals written as CSV partitioned by colour; then released.
+    Returns (set_parts_path, part_totals_path)."""
+    from pyspark import StorageLevel
+
+    from dimsmith.sinks.files import write_partitioned_csv, write_text_table
+
+    shared = set_parts_df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_text_table(shared, f"{out_dir}/set_parts")
+        totals = part_totals(shared, part, color, quantity, is_spare)
+        write_partitioned_csv(totals, f"{out_dir}/part_totals", color)
+    finally:
+        shared.unpersist()
+    return f"{out_dir}/set_parts", f"{out_dir}/part_totals"

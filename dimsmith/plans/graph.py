@@ -29,6 +29,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
@@ -205,6 +206,8 @@ class TableGraph:
                     out = self._run_batch(ds, df)
         finally:
             self._resolving.discard(name)
+        if ds.kind != "view":
+            self._write_metadata(ds)
         self._done[name] = out
         return out
 
@@ -276,6 +279,28 @@ class TableGraph:
         self._metrics[ds.name] = {"metrics": {"num_output_rows": rows}}
         return None
 
+    def _write_metadata(self, ds: Dataset) -> None:
+        """Table metadata (comment, properties such as the layer, kind, path)
+        as ``_table.json`` beside the data; readers skip '_' files."""
+        meta = {"name": ds.name, "kind": ds.kind, "streaming": bool(ds.streaming),
+                "comment": ds.comment, "properties": ds.properties,
+                "path": self.table_path(ds.name),
+                "expectations": [r.__dict__ for r in ds.rules]}
+        fs, p, _ = _fs(self.spark, f"{self.table_path(ds.name)}/_table.json")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps(meta, default=str).encode("utf-8")))
+        finally:
+            out.close()
+
+    def table_metadata(self, name: str) -> dict:
+        fs, p, jvm = _fs(self.spark, f"{self.table_path(name)}/_table.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def _bump_generation(self, name: str) -> None:
         gen = self._generation(name)
         fs, _, jvm = _fs(self.spark, self.root)
