@@ -35,6 +35,7 @@ SELECT user_id, ts, event_id, event_type, value FROM (
 WHERE rn = 1
 """)
 def scd1_events(spark, sf_dir):
+    """SCD 1 — latest change per key by sequence; late older rows ignored."""
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=1,
                       except_columns=EVENT_EXCEPT)
     return apply_changes(_events(spark, sf_dir), spec)
@@ -46,6 +47,7 @@ SELECT user_id, event_id, event_type, value, ts AS start_at,
 FROM events
 """)
 def scd2_events(spark, sf_dir):
+    """S3: SCD 2 — every change a version, end = next change, NULL = current."""
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
                       except_columns=EVENT_EXCEPT)
     return apply_changes(_events(spark, sf_dir), spec)
@@ -58,6 +60,7 @@ SELECT user_id, event_id, event_type, value, start_at, end_at FROM (
 WHERE NOT (event_type = 'error')
 """)
 def scd2_events_deletes(spark, sf_dir):
+    """APPLY AS DELETE — a delete closes the version before it."""
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
                       except_columns=EVENT_EXCEPT, apply_as_deletes=DELETE_WHEN)
     return apply_changes(_events(spark, sf_dir), spec)
@@ -69,6 +72,7 @@ SELECT user_id, ts, event_id, event_type, value FROM (
 WHERE rn = 1 AND NOT (event_type = 'error')
 """)
 def scd1_deletes(spark, sf_dir):
+    """APPLY AS DELETE on SCD 1 — a key whose latest change is a delete is gone."""
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=1,
                       except_columns=EVENT_EXCEPT, apply_as_deletes=DELETE_WHEN)
     return apply_changes(_events(spark, sf_dir), spec)
@@ -93,6 +97,7 @@ SELECT l.user_id, l.ts, l.event_id, l.event_type, nn.value
 FROM latest l LEFT JOIN nn ON nn.user_id = l.user_id
 """)
 def scd1_ignore_nulls(spark, sf_dir):
+    """IGNORE NULL UPDATES — a NULL keeps the previous value (per column)."""
     src = _events(spark, sf_dir).withColumn(
         "value", F.when(F.expr(NULL_WHEN), F.lit(None).cast("double")).otherwise(F.col("value")))
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=1,
@@ -108,6 +113,7 @@ SELECT user_id, event_id, event_type, value, ts AS start_at,
 FROM src
 """)
 def scd2_truncate(spark, sf_dir):
+    """APPLY AS TRUNCATE — only changes after the latest truncate survive."""
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
                       except_columns=EVENT_EXCEPT, apply_as_truncates=TRUNCATE_WHEN_SPARK)
     return apply_changes(_events(spark, sf_dir), spec)

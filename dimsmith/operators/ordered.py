@@ -67,8 +67,11 @@ def next_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.withColumn("_nx", F.lead(row).over(in_bucket))
 
     # First row of every (key, bucket); the next bucket's head closes the tail.
+    # A single carried column aggregates as a primitive (hash aggregate);
+    # several need a struct (sort-based aggregate).
+    head = (F.struct(F.min(fields[0]).alias(fields[0])) if len(fields) == 1 else F.min(row))
     heads = (df.withColumn("_bk", bucket).groupBy(*keys, "_bk")
-             .agg(F.min(row).alias("_head")))
+             .agg(head.alias("_head")))
     by_bucket = Window.partitionBy(*keys).orderBy("_bk")
     heads = heads.select(*keys, "_bk", F.lead("_head").over(by_bucket).alias("_carry"))
 
