@@ -246,8 +246,8 @@ SELECT l_orderkey, l_linenumber,
        l_orderkey % 7 AS key_mod,
        l_extendedprice / l_quantity AS unit_price,
        CAST(trunc(cbrt(l_quantity)) AS INTEGER) AS qty_cube_root,
-       ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
-         AS discount_amount,
+       CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
+            AS DECIMAL(18,2)) AS discount_amount,
        TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS line_as_int,
        TRY_CAST(l_returnflag AS INTEGER) AS flag_as_int
 FROM lineitem
@@ -260,7 +260,7 @@ def numeric_scalars(spark, sf_dir):
         (F.col("l_orderkey") % 7).alias("key_mod"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         F.cbrt("l_quantity").cast("int").alias("qty_cube_root"),
-        F.round(money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)"), 2)
+        money(F.round(money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)"), 2))
         .alias("discount_amount"),
         F.expr("try_cast(cast(l_linenumber AS STRING) AS INT)").alias("line_as_int"),
         F.expr("try_cast(l_returnflag AS INT)").alias("flag_as_int"))

@@ -64,16 +64,16 @@ def expect_drop(spark, sf_dir):
 WITH j AS (SELECT l.*, o.o_orderkey, o.o_orderdate
            FROM lineitem l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey)
 SELECT 'lines' AS dataset, 'ships_after_order' AS expectation,
-       count_if(COALESCE(l_shipdate >= o_orderdate, false)) AS passed_records,
-       count_if(NOT COALESCE(l_shipdate >= o_orderdate, false)) AS failed_records FROM j
+       CAST(count_if(COALESCE(l_shipdate >= o_orderdate, false)) AS BIGINT) AS passed_records,
+       CAST(count_if(NOT COALESCE(l_shipdate >= o_orderdate, false)) AS BIGINT) AS failed_records FROM j
 UNION ALL
-SELECT 'lines', 'discount_at_most_8pct', count_if(COALESCE(l_discount <= 0.08, false)),
-       count_if(NOT COALESCE(l_discount <= 0.08, false)) FROM j
+SELECT 'lines', 'discount_at_most_8pct', CAST(count_if(COALESCE(l_discount <= 0.08, false)) AS BIGINT),
+       CAST(count_if(NOT COALESCE(l_discount <= 0.08, false)) AS BIGINT) FROM j
 UNION ALL
-SELECT 'lines', 'tax_recorded', count_if(COALESCE(l_tax > 0, false)),
-       count_if(NOT COALESCE(l_tax > 0, false)) FROM j
+SELECT 'lines', 'tax_recorded', CAST(count_if(COALESCE(l_tax > 0, false)) AS BIGINT),
+       CAST(count_if(NOT COALESCE(l_tax > 0, false)) AS BIGINT) FROM j
 UNION ALL
-SELECT 'lines', 'order_known', count_if(o_orderkey IS NOT NULL), count_if(o_orderkey IS NULL) FROM j
+SELECT 'lines', 'order_known', CAST(count_if(o_orderkey IS NOT NULL) AS BIGINT), CAST(count_if(o_orderkey IS NULL) AS BIGINT) FROM j
 """)
 def expect_report(spark, sf_dir):
     """Passed / failed records per rule (one aggregate pass, passed+failed = rows)."""
@@ -123,10 +123,10 @@ ev AS (SELECT * FROM events WHERE CAST(ts AS DATE) = (SELECT d FROM d))"""
 
 @query("event_log_quality", _LAST_DAY + """
 SELECT 'silver_' || event_type AS dataset, 'value_below_400' AS expectation,
-       count_if(value < 400) AS passing_records, count_if(NOT (value < 400)) AS failing_records
+       CAST(count_if(value < 400) AS BIGINT) AS passing_records, CAST(count_if(NOT (value < 400)) AS BIGINT) AS failing_records
 FROM ev WHERE event_type NOT IN ('signup', 'error') GROUP BY event_type
 UNION ALL
-SELECT 'silver_' || event_type, 'value_at_least_1', count_if(value >= 1), count_if(NOT (value >= 1))
+SELECT 'silver_' || event_type, 'value_at_least_1', CAST(count_if(value >= 1) AS BIGINT), CAST(count_if(NOT (value >= 1)) AS BIGINT)
 FROM ev WHERE event_type NOT IN ('signup', 'error') GROUP BY event_type
 """)
 def event_log_quality(spark, sf_dir):
@@ -136,8 +136,8 @@ def event_log_quality(spark, sf_dir):
 
 @query("event_log_rows", _LAST_DAY + """
 SELECT 'silver_' || event_type AS table_name,
-       CASE WHEN event_type = 'error' THEN count(*) ELSE count_if(value >= 1) END AS num_output_rows,
-       CASE WHEN event_type = 'error' THEN NULL ELSE count_if(NOT (value >= 1)) END AS dropped_records
+       CASE WHEN event_type = 'error' THEN count(*) ELSE CAST(count_if(value >= 1) AS BIGINT) END AS num_output_rows,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(count_if(NOT (value >= 1)) AS BIGINT) END AS dropped_records
 FROM ev WHERE event_type <> 'signup' GROUP BY event_type ORDER BY table_name
 """)
 def event_log_rows(spark, sf_dir):

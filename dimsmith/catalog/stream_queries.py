@@ -190,11 +190,11 @@ def _orders_graph(spark, sf_dir, wd):
 
 @query("stream_expect_counts", """
 SELECT 'silver_orders' AS dataset, 'price_positive' AS expectation,
-       count_if(o_totalprice > 0) AS passing_records,
-       count_if(NOT COALESCE(o_totalprice > 0, false)) AS failing_records FROM orders
+       CAST(count_if(o_totalprice > 0) AS BIGINT) AS passing_records,
+       CAST(count_if(NOT COALESCE(o_totalprice > 0, false)) AS BIGINT) AS failing_records FROM orders
 UNION ALL
-SELECT 'silver_orders', 'status_known', count_if(o_orderstatus IN ('F', 'O')),
-       count_if(NOT COALESCE(o_orderstatus IN ('F', 'O'), false)) FROM orders
+SELECT 'silver_orders', 'status_known', CAST(count_if(o_orderstatus IN ('F', 'O')) AS BIGINT),
+       CAST(count_if(NOT COALESCE(o_orderstatus IN ('F', 'O'), false)) AS BIGINT) FROM orders
 """)
 def stream_expect_counts(spark, sf_dir):
     """Expectation counts observed on micro-batches, summed per run
