@@ -131,3 +131,23 @@ def scd1_where_columns(spark, sf_dir):
                       columns=["user_id", "ts", "event_type", "value"],
                       where="event_type <> 'signup'")
     return apply_changes(_events(spark, sf_dir), spec)
+
+
+@query("scd2_ignore_nulls", """
+WITH src AS (
+  SELECT user_id, ts, event_id, event_type,
+         CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value
+  FROM events)
+SELECT user_id, event_id, event_type,
+       last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value,
+       ts AS start_at, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
+FROM src
+""")
+def scd2_ignore_nulls(spark, sf_dir):
+    """IGNORE NULL UPDATES on SCD 2 — a NULL carries the previous version's value."""
+    src = _events(spark, sf_dir).withColumn(
+        "value", F.when(F.expr(NULL_WHEN), F.lit(None).cast("double")).otherwise(F.col("value")))
+    spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
+                      except_columns=EVENT_EXCEPT, ignore_null_updates=True)
+    return apply_changes(src, spec)

@@ -73,7 +73,11 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_keys(versions: DataFrame, spec: DimSpec) -> DataFrame:
-    """Surrogate key in load order (key, valid_from), durable key per business key."""
+    """Surrogate key in load order (key, valid_from), durable key per business key.
+
+    The versions are materialised first: range numbering samples its input
+    and then reads it again, and the versions are two shuffles deep."""
+    versions = versions.checkpoint(eager=True)
     keyed = version_numbers(versions, spec.business_keys, [spec.valid_from],
                             row_out=spec.sk, dense_out=spec.dk)
     return keyed.select(*spec.columns())

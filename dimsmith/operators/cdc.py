@@ -10,7 +10,7 @@ Semantics (per KEYS, ordered by SEQUENCE BY):
     event disappears (the truncate rows themselves are never data).
   * ``apply_as_deletes`` SCD 1: a key whose latest change is a delete is gone;
     SCD 2: the delete closes the open version and is not a version itself.
-  * ``ignore_null_updates`` (SCD 1) a NULL in a change keeps the previous value.
+  * ``ignore_null_updates`` a NULL in a change keeps the previous value.
   * ``columns`` / ``except_columns`` choose the stored attribute columns.
   * ``tiebreak`` orders changes with an equal sequence (greatest wins); without
     it (keys, sequence) must be unique.
@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimsmith.operators.ordered import next_within_key
+from dimsmith.operators.ordered import fill_within_key, next_within_key
 
 START_AT = "start_at"
 END_AT = "end_at"
@@ -148,9 +148,12 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
 
 def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
           keep_tombstones: bool = False) -> DataFrame:
-    if spec.ignore_null_updates:
-        raise NotImplementedError("ignore_null_updates is supported for SCD type 1")
     keys, seq = spec.keys, spec.sequence_by
+    if spec.ignore_null_updates:
+        if has_delete:
+            raise NotImplementedError("ignore_null_updates with deletes is SCD type 1 only")
+        # A NULL in a change keeps the previous version's value.
+        df = fill_within_key(df, keys, [seq], attrs, bucket_unit=spec.bucket_unit)
     chained = next_within_key(df, keys, [seq], prefix="_next_", bucket_unit=spec.bucket_unit)
     out = [*keys, *attrs, F.col(seq).alias(START_AT), F.col(f"_next_{seq}").alias(END_AT)]
     if keep_tombstones:

@@ -80,6 +80,38 @@ def next_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.select(*df.columns, *[F.col(f"_nx.{c}").alias(prefix + c) for c in fields])
 
 
+def fill_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    columns: Sequence[str], bucket_unit: str | float | None = "day") -> DataFrame:
+    """Replace NULLs with the key's latest earlier non-NULL value
+    (``last_value(c IGNORE NULLS) over (partition by keys order by order)``).
+
+    Same shape as ``next_within_key``: a running ``last`` inside each
+    (key, time bucket), then a carry-in from the key's earlier buckets —
+    a per-(key, bucket) summary, running over buckets per key, joined on the
+    window's own partitioning.
+    """
+    keys, order, columns = list(keys), list(order), list(columns)
+    bucket = bucket_of(df, order[0], bucket_unit)
+    d = df.withColumn("_bk", bucket)
+    run = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    for c in columns:
+        d = d.withColumn(f"_f_{c}", F.last(c, ignorenulls=True).over(run))
+
+    def latest(c):
+        pos = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
+        return F.max(F.struct(pos.alias("p"), F.col(c).alias("v")))
+
+    summary = (df.withColumn("_bk", bucket).groupBy(*keys, "_bk")
+               .agg(*[latest(c).alias(f"_l_{c}") for c in columns]))
+    earlier = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*keys, "_bk",
+                           *[F.max(f"_l_{c}").over(earlier).alias(f"_c_{c}") for c in columns])
+    out = d.join(carry, on=keys + ["_bk"], how="left")
+    filled = {c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}.v")).alias(c) for c in columns}
+    return out.select(*[filled.get(c, F.col(c)) for c in df.columns])
+
+
 def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
                 method: str = "rank", ascending: Sequence[bool] | None = None,
                 num_partitions: int | None = None, attach: bool = True) -> DataFrame:

@@ -142,3 +142,15 @@ def test_next_within_key_hot_key_matches_window(spark):
     want = df.select("id", "seq", F.lead("seq").over(w).alias("nx_seq"),
                      F.lead("name").over(w).alias("nx_name"))
     assert rows(got, "id", "seq", "nx_seq", "nx_name") == rows(want, "id", "seq", "nx_seq", "nx_name")
+
+
+def test_fill_within_key_hot_key_matches_window(spark):
+    from dimsmith.operators.ordered import fill_within_key
+    base = dt.datetime(2024, 1, 1)
+    data = [(0 if i % 5 else i % 3, base + dt.timedelta(minutes=53 * i),
+             None if (i % 7) else f"n{i}", "u") for i in range(3000)]
+    df = feed(spark, data)
+    got = fill_within_key(df, ["id"], ["seq"], ["name"], bucket_unit="day")
+    w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("name", F.last("name", ignorenulls=True).over(w))
+    assert rows(got, "id", "seq", "name") == rows(want, "id", "seq", "name")
