@@ -2,10 +2,10 @@
 
 ``scd2_merge`` takes a dimension snapshot and an attribute snapshot of the
 source and returns the next dimension snapshot (parquet has no MERGE, so the
-result is written as a new snapshot by the caller). It is a single full outer
-join on the business key; each joined row expands to at most two output rows
-(untouched / closed + new version / new member). New rows are numbered after
-the current maximum surrogate and durable keys.
+result is written as a new snapshot by the caller). Current rows and updates
+meet in one full outer join on the business key; each joined row expands to
+at most two output rows (untouched / closed + new version / new member).
+New rows are numbered after the current maximum surrogate and durable keys.
 """
 
 from __future__ import annotations
@@ -54,35 +54,31 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
         on run_date itself it is replaced in place (``same_day='replace'``);
     (c) unchanged -> nothing;  (d) key absent from ``updates`` -> nothing.
     A key whose rows are all closed is left alone unless ``reopen``.
+
+    Only current rows (at most one per key) meet the updates (one per key) in
+    the full outer join, so no join side can be skewed; closed versions pass
+    straight through, and "never seen" is a left-anti test against the
+    distinct keys of the dimension (a partial aggregate).
     """
     keys, attrs = spec.business_keys, spec.attributes
     run = _date(run_date)
-    d = dim.select(*spec.columns(), F.lit(True).alias("_in_dim"))
+    cols = spec.columns()
+    current = dim.where(F.col(spec.is_current)).select(*cols, F.lit(True).alias("_in_dim"))
+    closed = dim.where(~F.col(spec.is_current)).select(*cols)
     u = updates.select(*keys, *[F.col(a).alias(f"_u_{a}") for a in attrs],
                        F.lit(True).alias("_in_upd"))
-    j = d.join(u, on=keys, how="full_outer")
+    known = dim.groupBy(*keys).agg(F.max(spec.dk).alias("_known_dk"))
+    j = current.join(u, on=keys, how="full_outer").join(known, on=keys, how="left")
 
     in_dim = F.coalesce(F.col("_in_dim"), F.lit(False))
-    in_upd = F.coalesce(F.col("_in_upd"), F.lit(False))
     changed = F.lit(False)
     for a in attrs:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_u_{a}"))
-    current = F.coalesce(F.col(spec.is_current), F.lit(False))
-    hit = in_dim & in_upd & current & changed
-    same = F.col(spec.valid_from) == run
-    replace = hit & same if same_day == "replace" else F.lit(False)
+    hit = in_dim & F.col("_in_upd").isNotNull() & changed
+    replace = (hit & (F.col(spec.valid_from) == run)) if same_day == "replace" else F.lit(False)
     close = hit & ~replace
-
-    if reopen:
-        # A key with no current row gets a new version on its last row.
-        state = dim.groupBy(*keys).agg(
-            F.max(F.col(spec.is_current).cast("int")).alias("_open"),
-            F.max(spec.valid_to).alias("_last_to"))
-        j = j.join(state, on=keys, how="left")
-        reopen_row = (in_dim & in_upd & (F.col("_open") == 0)
-                      & (F.col(spec.valid_to) == F.col("_last_to")) & changed)
-    else:
-        reopen_row = F.lit(False)
+    unseen = ~in_dim & F.col("_known_dk").isNull()
+    reopened = ~in_dim & F.col("_known_dk").isNotNull() & F.lit(bool(reopen))
 
     def row(sk, dk, attr_src, vf, vt, cur, kind):
         return F.struct(sk.cast("bigint").alias(spec.sk), dk.cast("bigint").alias(spec.dk),
@@ -96,21 +92,21 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
                F.col(spec.valid_to), F.col(spec.is_current), "kept")
     replaced = row(F.col(spec.sk), F.col(spec.dk), "_u_", F.col(spec.valid_from),
                    F.col(spec.valid_to), F.lit(True), "kept")
-    closed = row(F.col(spec.sk), F.col(spec.dk), "", F.col(spec.valid_from),
-                 F.date_sub(run, 1), F.lit(False), "kept")
+    closing = row(F.col(spec.sk), F.col(spec.dk), "", F.col(spec.valid_from),
+                  F.date_sub(run, 1), F.lit(False), "kept")
     version = row(null_id, F.col(spec.dk), "_u_", run, F.lit(OPEN_END), F.lit(True), "version")
+    again = row(null_id, F.col("_known_dk"), "_u_", run, F.lit(OPEN_END), F.lit(True), "version")
     member = row(null_id, null_id, "_u_", run, F.lit(OPEN_END), F.lit(True), "member")
 
-    out_rows = (F.when(~in_dim, F.array(member))
-                .when(replace, F.array(replaced))
-                .when(close, F.array(closed, version))
-                .when(reopen_row, F.array(kept, version))
-                .when(in_dim, F.array(kept)))
-    exploded = j.select(F.explode(out_rows).alias("r")).select("r.*")
-    exploded = exploded.checkpoint(eager=True)
+    out_rows = (F.when(replace, F.array(replaced))
+                .when(close, F.array(closing, version))
+                .when(in_dim, F.array(kept))
+                .when(unseen, F.array(member))
+                .when(reopened, F.array(again)))  # otherwise NULL: explode emits nothing
+    touched = j.select(F.explode(out_rows).alias("r")).select("r.*").checkpoint(eager=True)
 
-    old = exploded.where(F.col("_kind") == "kept").drop("_kind")
-    new = exploded.where(F.col("_kind") != "kept")
+    old = touched.where(F.col("_kind") == "kept").drop("_kind")
+    new = touched.where(F.col("_kind") != "kept")
     max_sk = dim.agg(F.coalesce(F.max(spec.sk), F.lit(0)).alias("m")).scalar()
     max_dk = dim.agg(F.coalesce(F.max(spec.dk), F.lit(0)).alias("m")).scalar()
 
@@ -119,7 +115,8 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
     versions = new.where(F.col("_kind") == "version")
     fresh = versions.unionByName(members).drop(spec.sk, "_kind")
     fresh = assign_surrogate_keys(fresh, keys, out=spec.sk, start=max_sk)
-    return old.select(*spec.columns()).unionByName(fresh.select(*spec.columns()))
+    return (closed.unionByName(old.select(*cols))
+            .unionByName(fresh.select(*cols)))
 
 
 def current_view(dim: DataFrame, spec: DimSpec, prefix: str = "current_") -> DataFrame:
