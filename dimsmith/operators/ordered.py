@@ -27,6 +27,9 @@ from pyspark.sql import types as T
 
 from dimsmith.session import ensure_checkpoint_dir
 
+# Width of a sequence bucket when the sequence is numeric and a time unit was
+# given (e.g. the default 'day'): 2^20 sequence values per bucket.
+DEFAULT_NUMERIC_BUCKET = float(1 << 20)
 _TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _NUM_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
               T.FloatType, T.DoubleType, T.DecimalType)
@@ -35,7 +38,8 @@ _NUM_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
 def bucket_of(df: DataFrame, seq: str, unit: str | float | None) -> Column:
     """Coarse, order-preserving bucket of a sequence column.
 
-    Time columns: ``date_trunc(unit, seq)``; numeric columns: ``floor(seq / unit)``.
+    Time columns: ``date_trunc(unit, seq)``; numeric columns: ``floor(seq / unit)``
+    (a time unit on a numeric column means ``DEFAULT_NUMERIC_BUCKET``).
     ``None`` puts every row of a key in one bucket (plain window).
     """
     if unit is None:
@@ -44,7 +48,8 @@ def bucket_of(df: DataFrame, seq: str, unit: str | float | None) -> Column:
     if isinstance(dtype, _TIME_TYPES):
         return F.date_trunc(str(unit), F.col(seq))
     if isinstance(dtype, _NUM_TYPES):
-        return F.floor(F.col(seq) / F.lit(float(unit)))
+        width = DEFAULT_NUMERIC_BUCKET if isinstance(unit, str) else float(unit)
+        return F.floor(F.col(seq) / F.lit(width))
     raise TypeError(f"cannot bucket sequence column {seq} of type {dtype}")
 
 

@@ -154,3 +154,11 @@ def test_fill_within_key_hot_key_matches_window(spark):
     w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("name", F.last("name", ignorenulls=True).over(w))
     assert rows(got, "id", "seq", "name") == rows(want, "id", "seq", "name")
+
+
+def test_numeric_sequence_with_default_bucket(spark):
+    data = [(1, 10 * i, f"v{i}") for i in range(50)] + [(2, 3_000_000 + i, "w") for i in range(3)]
+    df = spark.createDataFrame(data, "id int, n bigint, name string")
+    out = apply_changes(df, ChangeSpec(["id"], "n", 2))
+    got = rows(out.where("id = 2"), "start_at", "end_at")
+    assert got == [(3_000_000, 3_000_001), (3_000_001, 3_000_002), (3_000_002, None)]
