@@ -64,9 +64,9 @@ def sales_report(spark, sf_dir, mode: str):
     """mode: as_posted | as_is_bk | as_is_dk | as_of_bk | as_of_dk."""
     cust = star.customer_dim(spark, sf_dir).checkpoint(eager=True)
     prod = star.product_dim(spark, sf_dir).checkpoint(eager=True)
-    fact = star.sales_fact(spark, sf_dir, cust, prod)
     # One report year of the calendar: at most 366 rows, safe to broadcast.
     year = star.calendar(spark, sf_dir).where(F.col("calendar_year") == REPORT_YEAR)
+    fact = star.sales_fact(spark, sf_dir, cust, prod, order_days=year)
     s = fact.join(F.broadcast(year.select("calendar_sk")),
                   fact.order_date_sk == year.calendar_sk).drop("calendar_sk")
     ph = prod.select("product_sk", "product_id", F.col("price").alias("ph_price"),

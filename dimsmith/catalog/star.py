@@ -98,13 +98,21 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
-               prod: DataFrame | None = None) -> DataFrame:
-    """Temporal fact load: SK and DK of every dimension as of the order date."""
+               prod: DataFrame | None = None, order_days: DataFrame | None = None) -> DataFrame:
+    """Temporal fact load: SK and DK of every dimension as of the order date.
+
+    ``order_days`` (a small set of ``calendar_date`` rows, e.g. one report
+    year) restricts the orders before any join — a broadcast semi-join, the
+    reduction dynamic partition pruning would apply to a date-partitioned fact.
+    """
     cust = cust if cust is not None else customer_dim(spark, sf_dir)
     prod = prod if prod is not None else product_dim(spark, sf_dir)
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if order_days is not None:
+        days = F.broadcast(order_days.select(F.col("calendar_date").alias("_day")))
+        orders = orders.join(days, F.to_date("o_orderdate") == F.col("_day"), "left_semi")
     lines = li.join(orders, li.l_orderkey == orders.o_orderkey).withColumn(
         "order_date", F.to_date("o_orderdate"))
     c = cust.select("customer_id", "customer_sk", "customer_dk",
