@@ -57,6 +57,7 @@ class Dataset:
     source: str | None = None
     spec: ChangeSpec | None = None
     streaming: bool | None = None
+    schema: object | None = None
 
 
 class GraphError(ValueError):
@@ -103,6 +104,8 @@ class TableGraph:
         self._resolving: set[str] = set()
         self._metrics: dict[str, dict] = {}
         self._full_refresh: set[str] = set()
+        self._continuous: str | None = None
+        self._running: dict = {}
 
     # ------------------------------------------------------------ declare
     def _register(self, ds: Dataset) -> None:
@@ -175,7 +178,8 @@ class TableGraph:
                 raise GraphError(
                     f"{reader} streams from full-refresh table {name}; a stream needs an "
                     "append-only source (declare the source as a streaming table)")
-            return self.spark.readStream.schema(self._schema(name)).parquet(self.table_path(name))
+            schema = ds.schema if ds.schema is not None else self._schema(name)
+            return self.spark.readStream.schema(schema).parquet(self.table_path(name))
         if ds.streaming:
             return self.spark.read.parquet(self.table_path(name))
         path = latest_snapshot_path(self.spark, self.table_path(name))
@@ -231,10 +235,14 @@ class TableGraph:
                     out = out.where(r.passes)
         else:
             out = df
-        q = (out.writeStream.format("parquet").outputMode("append")
-             .option("path", self.table_path(ds.name))
-             .option("checkpointLocation", self._checkpoint(ds.name))
-             .trigger(availableNow=True).start())
+        ds.schema = out.schema
+        writer = (out.writeStream.format("parquet").outputMode("append")
+                  .option("path", self.table_path(ds.name))
+                  .option("checkpointLocation", self._checkpoint(ds.name)))
+        if self._continuous:
+            self._running[ds.name] = writer.trigger(processingTime=self._continuous).start()
+            return None
+        q = writer.trigger(availableNow=True).start()
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
@@ -271,7 +279,12 @@ class TableGraph:
         if ds.name in self._full_refresh:
             self._bump_generation(ds.name)
         src = self._read(ds.source, stream=True, reader=ds.name)
-        q = apply_changes_stream(src, ds.spec, self.table_path(ds.name), self._checkpoint(ds.name))
+        q = apply_changes_stream(src, ds.spec, self.table_path(ds.name), self._checkpoint(ds.name),
+                                 available_now=not self._continuous,
+                                 processing_time=self._continuous or None)
+        if self._continuous:
+            self._running[ds.name] = q
+            return None
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
@@ -316,8 +329,29 @@ class TableGraph:
             if ds.kind == "changes" and ds.source not in self._datasets:
                 raise GraphError(f"{ds.name} applies changes from unknown {ds.source}")
 
+    def start(self, processing_time: str = "1 minute") -> dict:
+        """Continuous mode: start every streaming table / change flow with a
+        processing-time trigger (full-refresh tables are built once first);
+        returns {name: StreamingQuery}. Stop them with ``stop()``."""
+        self.validate()
+        self._done.clear()
+        self._running = {}
+        self._continuous = processing_time
+        try:
+            for name in self._datasets:
+                self._materialise(name)
+        finally:
+            self._continuous = None
+        return dict(self._running)
+
+    def stop(self) -> None:
+        for q in self._running.values():
+            q.stop()
+        self._running = {}
+
     def run(self, full_refresh: Iterable[str] = ()) -> str:
-        """Materialise every dataset once (dependencies first); returns the run id."""
+        """Triggered mode: materialise every dataset once (dependencies first),
+        each stream processes what has landed and stops; returns the run id."""
         self.validate()
         self._done.clear()
         self._metrics.clear()

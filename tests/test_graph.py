@@ -188,3 +188,56 @@ def test_apply_changes_replay_after_crash_is_exactly_once(spark):
     run()                                          # the last batch is replayed
     after = sorted(tuple(r) for r in read_target(spark, f"{wd}/target", spec).collect())
     assert after == before and len(after) == 60
+
+
+def test_continuous_mode_keeps_streaming(spark):
+    root, landed = fresh("cont"), fresh("contland")
+    schema = "id int, v string"
+    spark.createDataFrame([(1, "a")], schema).write.mode("append").parquet(landed)
+    g = TableGraph(spark, root)
+
+    @g.table()
+    def raw(ctx):
+        return ctx.spark.readStream.schema(schema).parquet(landed)
+
+    @g.table(expect_or_drop={"has_v": "v IS NOT NULL"})
+    def clean(ctx):
+        return ctx.read_stream("raw")
+
+    running = g.start(processing_time="1 second")
+    try:
+        assert set(running) == {"raw", "clean"}
+        spark.createDataFrame([(2, "b"), (3, None)], schema).write.mode("append").parquet(landed)
+        for _ in range(2):
+            running["raw"].processAllAvailable()
+            running["clean"].processAllAvailable()
+    finally:
+        g.stop()
+    assert sorted(r.id for r in spark.read.parquet(g.table_path("clean")).collect()) == [1, 2]
+
+
+def test_stream_fail_rule_aborts_without_commit(spark):
+    root, landed = fresh("sfail"), fresh("sfailland")
+    spark.createDataFrame([(1, 5.0), (2, -1.0)], "id int, price double") \
+        .write.mode("append").parquet(landed)
+    g = TableGraph(spark, root)
+
+    @g.table(expect_or_fail={"positive": "price > 0"})
+    def strict(ctx):
+        return ctx.spark.readStream.schema("id int, price double").parquet(landed)
+
+    with pytest.raises(Exception, match="positive"):
+        g.run()
+    out = g.table_path("strict")
+    assert not os.path.exists(f"{out}/_spark_metadata/0")
+
+
+def test_left_stream_join_needs_watermark(spark):
+    from dimsmith.streaming.ingest import stream_join
+    wd = fresh("sleftjoin")
+    spark.createDataFrame([(1,)], "k int").write.parquet(f"{wd}/a")
+    a = spark.readStream.schema("k int").parquet(f"{wd}/a")
+    b = spark.readStream.schema("k int").parquet(f"{wd}/a")
+    with pytest.raises(Exception, match="(?i)watermark"):
+        j = stream_join(a, b.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), how="left")
+        j.writeStream.format("noop").option("checkpointLocation", f"{wd}/cp").start()
