@@ -176,3 +176,21 @@ def test_version_numbers_key_straddles_partitions(spark):
                      F.dense_rank().over(Window.orderBy("k")).alias("dk"))
     assert sorted(tuple(r) for r in got.select("k", "id", "sk", "dk").collect()) == \
         sorted(tuple(r) for r in want.collect())
+
+
+def test_temporal_join_hot_key_bucketed_equals_plain(spark):
+    start = D(1995, 1, 1)
+    # key 0: a version every 10 days for 8 years; keys 1..9: one version each
+    versions = [(0, i, start + dt.timedelta(days=10 * i), start + dt.timedelta(days=10 * i + 9))
+                for i in range(292)]
+    versions[-1] = (0, 291, versions[-1][2], OPEN)
+    versions += [(k, 1000 + k, start, OPEN) for k in range(1, 10)]
+    dim = spark.createDataFrame(versions, "key int, sk int, valid_from date, valid_to date")
+    facts = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 10).cast("int").alias("fk"),
+        F.date_add(F.lit(start), (F.col("id") % 3000).cast("int")).alias("d"), "id")
+    plain = temporal_join(facts, dim, [("fk", "key")], "d", bucket=None)
+    for unit in ("year", "month"):
+        bucketed = temporal_join(facts, dim, [("fk", "key")], "d", bucket=unit)
+        assert sorted((r.id, r.sk) for r in bucketed.collect()) == \
+            sorted((r.id, r.sk) for r in plain.collect())
