@@ -225,22 +225,3 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return (numbered.join(first, on=keys)
             .withColumn(out, (F.col("_g") - F.col("_g0") + F.lit(1)).cast("int"))
             .drop("_g", "_g0"))
-
-
-def first_value_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                       value: str, out: str) -> DataFrame:
-    """``first_value(value) over (partition by keys order by order)`` as a
-    partial aggregate (min of (order…, value)) joined back on the keys."""
-    keys, order = list(keys), list(order)
-    first = (df.groupBy(*keys)
-             .agg(F.min(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v")))
-                  .alias("_f"))
-             .select(*keys, F.col("_f._v").alias(out)))
-    return df.join(first, on=keys)
-
-
-def min_within(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """``min(value) over (partition by keys)`` as a partial aggregate + join."""
-    keys = list(keys)
-    m = df.groupBy(*keys).agg(F.min(value).alias(out))
-    return df.join(m, on=keys)
