@@ -128,7 +128,9 @@ def scd2_merge_q(spark, sf_dir):
                               F.col("o_orderpriority").alias("category")),
                   ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey"),
         "customer_id")
-    dim0 = star.with_keys(versions, CUSTOMER)
+    # The dimension before the merge is an existing table: materialise it once
+    # (the merge reads current rows, closed rows, distinct keys and key maxima).
+    dim0 = star.with_keys(versions, CUSTOMER).checkpoint(eager=True)
     updates = latest_by(snap.select(F.col("o_custkey").alias("customer_id"), "o_orderdate",
                                     "o_orderkey", F.col("o_orderpriority").alias("category")),
                         ["customer_id"], ["o_orderdate", "o_orderkey"]).select(
