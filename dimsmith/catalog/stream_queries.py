@@ -142,6 +142,10 @@ def stream_static_left(spark, sf_dir):
     return spark.read.parquet(f"{wd}/out")
 
 
+# Event-time slices (years, half-open) landed as consecutive micro-batches.
+SLICES = ((0, 1997), (1997, 1999), (1999, 10000))
+
+
 @query("stream_join_left_watermark", None)
 def stream_join_left_watermark(spark, sf_dir):
     """Left outer stream–stream join with watermarks and a time range;
@@ -151,8 +155,12 @@ def stream_join_left_watermark(spark, sf_dir):
         "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_time"))
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("l_time"))
-    land(orders.orderBy("o_time"), f"{wd}/orders", by=["o_orderkey"])
-    land(lines, f"{wd}/lines", by=["l_orderkey"])
+    # Deterministic micro-batches: one file per time slice, written in time
+    # order (the file source takes the oldest file first), one file per batch.
+    for lo, hi in SLICES:
+        for df, col, path in ((orders, "o_time", "orders"), (lines, "l_time", "lines")):
+            part = df.where((F.year(col) >= lo) & (F.year(col) < hi))
+            part.repartition(1).write.mode("append").parquet(f"{wd}/{path}")
     o = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{wd}/orders")
     li = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{wd}/lines")
     o = o.withWatermark("o_time", "30 days")
