@@ -230,28 +230,28 @@ SPEC_YAML = """
 tables:
   Customer:
     bronze:
-      dlt_type: view
+      kind: view
       format: csv
       options:
         delimiter: '|'
         header: true
         inferSchema: true
     silver:
-      dlt_type: table
+      kind: table
       expect:
         segment_known: 'c_mktsegment IS NOT NULL'
       expect_or_drop:
         balance_recorded: 'c_acctbal IS NOT NULL'
   Orders:
     bronze:
-      dlt_type: table
+      kind: table
       format: csv
       options:
         delimiter: '|'
         header: true
         inferSchema: true
     silver:
-      dlt_type: table
+      kind: table
       cdc:
         scd_type: 1
         keys: [o_custkey]

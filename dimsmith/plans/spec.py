@@ -2,9 +2,9 @@
 
     tables:
       <Entity>:
-        bronze: {dlt_type: table|view, format: csv, options: {...}}
+        bronze: {kind: table|view, format: csv, options: {...}}
         silver:
-          dlt_type: table|view
+          kind: table|view
           expect: {name: predicate}          # warn
           expect_or_drop: {name: predicate}
           expect_or_fail: {name: predicate}
@@ -29,8 +29,8 @@ from dimsmith.operators.cdc import ChangeSpec
 from dimsmith.plans.graph import TableGraph
 
 _ENTITY = {"bronze", "silver"}
-_BRONZE = {"dlt_type", "format", "options"}
-_SILVER = {"dlt_type", "expect", "expect_or_drop", "expect_or_fail", "cdc"}
+_BRONZE = {"kind", "format", "options"}
+_SILVER = {"kind", "expect", "expect_or_drop", "expect_or_fail", "cdc"}
 _CDC = {"scd_type", "keys", "sequence_by", "column_list", "except_column_list", "where",
         "ignore_null_updates", "apply_as_deletes", "apply_as_truncates"}
 _TYPES = {"table", "view"}
@@ -58,14 +58,14 @@ def load_spec(text: str) -> dict:
             raise SpecError(f"tables.{entity}: a silver block needs a bronze block")
         b = blocks["bronze"]
         _check(b, _BRONZE, f"tables.{entity}.bronze")
-        if b.get("dlt_type", "table") not in _TYPES or "format" not in b:
-            raise SpecError(f"tables.{entity}.bronze needs dlt_type table|view and format")
+        if b.get("kind", "table") not in _TYPES or "format" not in b:
+            raise SpecError(f"tables.{entity}.bronze needs kind table|view and format")
         s = blocks.get("silver")
         if s is not None:
             _check(s or {}, _SILVER, f"tables.{entity}.silver")
-            kind = (s or {}).get("dlt_type", "table")
+            kind = (s or {}).get("kind", "table")
             if kind not in _TYPES:
-                raise SpecError(f"tables.{entity}.silver.dlt_type must be table or view")
+                raise SpecError(f"tables.{entity}.silver.kind must be table or view")
             cdc = (s or {}).get("cdc")
             if cdc is not None:
                 _check(cdc, _CDC, f"tables.{entity}.silver.cdc")
@@ -100,7 +100,7 @@ def build_graph(spark: SparkSession, doc: Mapping, landed_root: str, lake_root:
             return ctx.read_files(landed, fmt, opts)
 
         props = {"layer": "bronze"}
-        if b.get("dlt_type", "table") == "view":
+        if b.get("kind", "table") == "view":
             g.view(name=bronze)(read_landed)
         else:
             g.table(name=bronze, path=f"{lake_root}/bronze/{entity}", properties=props)(read_landed)
@@ -120,7 +120,7 @@ def build_graph(spark: SparkSession, doc: Mapping, landed_root: str, lake_root:
 
         rules = dict(expect=s.get("expect"), expect_or_drop=s.get("expect_or_drop"),
                      expect_or_fail=s.get("expect_or_fail"))
-        if s.get("dlt_type", "table") == "view":
+        if s.get("kind", "table") == "view":
             g.view(name=silver, **rules)(read_bronze)
         else:
             g.table(name=silver, path=f"{lake_root}/silver/{entity}",

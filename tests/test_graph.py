@@ -76,11 +76,11 @@ def test_cycle_is_rejected(spark):
 
 def test_unknown_yaml_key_rejected():
     with pytest.raises(SpecError, match="unknown keys"):
-        load_spec("tables:\n  X:\n    bronze: {dlt_type: table, format: csv}\n"
-                  "    silver: {dlt_type: table, cdc_config: {}}\n")
+        load_spec("tables:\n  X:\n    bronze: {kind: table, format: csv}\n"
+                  "    silver: {kind: table, cdc_config: {}}\n")
     with pytest.raises(SpecError, match="change-data silver must be a table"):
-        load_spec("tables:\n  X:\n    bronze: {dlt_type: table, format: csv}\n"
-                  "    silver: {dlt_type: view, cdc: {scd_type: 1, keys: [a], sequence_by: b}}\n")
+        load_spec("tables:\n  X:\n    bronze: {kind: table, format: csv}\n"
+                  "    silver: {kind: view, cdc: {scd_type: 1, keys: [a], sequence_by: b}}\n")
 
 
 def test_graph_run_writes_event_log_and_streams_incrementally(spark):
@@ -127,7 +127,7 @@ def test_yaml_bronze_only_and_provenance(spark):
     landed, lake = fresh("ylanded"), fresh("ylake")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     df.write.option("header", "true").option("sep", "|").csv(f"{landed}/csv/Thing")
-    doc = load_spec("tables:\n  Thing:\n    bronze:\n      dlt_type: table\n      format: csv\n"
+    doc = load_spec("tables:\n  Thing:\n    bronze:\n      kind: table\n      format: csv\n"
                     "      options: {delimiter: '|', header: true, inferSchema: true}\n")
     g = build_graph(spark, doc, landed, lake)
     g.run()
