@@ -37,13 +37,14 @@ def _typed(df, like):
 
 
 # ------------------------------------------------------------ apply changes
-def _stream_apply(spark, sf_dir, spec, name):
+def _stream_apply(spark, sf_dir, spec, name, buckets=None):
     wd = work_dir(spark, name)
     events = table(spark, sf_dir, "events")
     land(events, f"{wd}/landing", by=["event_id"])
     src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
            .parquet(f"{wd}/landing"))
-    run_to_end(apply_changes_stream(src, spec, f"{wd}/target", f"{wd}/_checkpoint"))
+    run_to_end(apply_changes_stream(src, spec, f"{wd}/target", f"{wd}/_checkpoint",
+                                    buckets=buckets))
     return read_target(spark, f"{wd}/target", spec)
 
 
@@ -80,6 +81,26 @@ def stream_scd2_deletes(spark, sf_dir):
                          "stream_scd2_del")
 
 
+# Bucket count of the bucket-partitioned incremental targets.
+TARGET_BUCKETS = 16
+
+
+@query("stream_scd1_bucketed", None)
+def stream_scd1_bucketed(spark, sf_dir):
+    """S2 incremental on a bucket-partitioned target: each batch rewrites only
+    the key buckets it touches."""
+    return _stream_apply(spark, sf_dir, _events_spec(1), "stream_scd1_b",
+                         buckets=TARGET_BUCKETS).select(
+        "user_id", "ts", "event_id", "event_type", "value")
+
+
+@query("stream_scd2_bucketed", None)
+def stream_scd2_bucketed(spark, sf_dir):
+    """S3+S4 incremental on a bucket-partitioned target (deletes as markers)."""
+    return _stream_apply(spark, sf_dir, _events_spec(2, apply_as_deletes=DELETE_WHEN),
+                         "stream_scd2_b", buckets=TARGET_BUCKETS)
+
+
 # ------------------------------------------------------------ file ingest / joins
 @query("stream_ingest_csv", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
@@ -312,3 +333,5 @@ ORACLE["stream_scd1"] = ORACLE["scd1_events"]
 ORACLE["stream_scd2"] = ORACLE["scd2_events"]
 ORACLE["stream_scd1_deletes"] = ORACLE["scd1_deletes"]
 ORACLE["stream_scd2_deletes"] = ORACLE["scd2_events_deletes"]
+ORACLE["stream_scd1_bucketed"] = ORACLE["scd1_events"]
+ORACLE["stream_scd2_bucketed"] = ORACLE["scd2_events_deletes"]
