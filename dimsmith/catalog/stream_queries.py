@@ -278,6 +278,7 @@ tables:
         keys: [o_custkey]
         sequence_by: [o_orderdate, o_orderkey]
         except_column_list: [o_totalprice, source_filename]
+        buckets: 8
 """
 
 

@@ -58,6 +58,7 @@ class Dataset:
     spec: ChangeSpec | None = None
     streaming: bool | None = None
     schema: object | None = None
+    buckets: int | None = None
 
 
 class GraphError(ValueError):
@@ -137,9 +138,11 @@ class TableGraph:
 
     def apply_changes(self, target: str, source: str, spec: ChangeSpec,
                       comment: str | None = None, path: str | None = None,
-                      properties: Mapping | None = None) -> None:
+                      properties: Mapping | None = None, buckets: int | None = None) -> None:
+        """Change-data target maintained from a streaming source; ``buckets``
+        makes it bucket-partitioned (only touched buckets rewritten)."""
         self._register(Dataset(target, None, "changes", comment, path, dict(properties or {}),
-                               source=source, spec=spec, streaming=True))
+                               source=source, spec=spec, streaming=True, buckets=buckets))
 
     # ------------------------------------------------------------ paths
     def _generation(self, name: str) -> int:
@@ -281,7 +284,8 @@ class TableGraph:
         src = self._read(ds.source, stream=True, reader=ds.name)
         q = apply_changes_stream(src, ds.spec, self.table_path(ds.name), self._checkpoint(ds.name),
                                  available_now=not self._continuous,
-                                 processing_time=self._continuous or None)
+                                 processing_time=self._continuous or None,
+                                 buckets=ds.buckets)
         if self._continuous:
             self._running[ds.name] = q
             return None

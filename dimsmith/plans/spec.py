@@ -9,7 +9,7 @@
           expect_or_drop: {name: predicate}
           expect_or_fail: {name: predicate}
           cdc: {scd_type: 1|2, keys: [...], sequence_by: col | [col, tiebreak...],
-                column_list: [...] | except_column_list: [...]}
+                column_list: [...] | except_column_list: [...], buckets: N (optional)}
 
 Names and paths are derived: ``Bronze_<Entity>`` reads new files from
 ``<landed_root>/<format>/<Entity>`` (plus a ``source_filename`` column) into
@@ -32,7 +32,7 @@ _ENTITY = {"bronze", "silver"}
 _BRONZE = {"kind", "format", "options"}
 _SILVER = {"kind", "expect", "expect_or_drop", "expect_or_fail", "cdc"}
 _CDC = {"scd_type", "keys", "sequence_by", "column_list", "except_column_list", "where",
-        "ignore_null_updates", "apply_as_deletes", "apply_as_truncates"}
+        "ignore_null_updates", "apply_as_deletes", "apply_as_truncates", "buckets"}
 _TYPES = {"table", "view"}
 
 
@@ -112,7 +112,8 @@ def build_graph(spark: SparkSession, doc: Mapping, landed_root: str, lake_root:
         silver = f"Silver_{entity}"
         if s.get("cdc"):
             g.apply_changes(silver, source=bronze, spec=_change_spec(s["cdc"]),
-                            path=f"{lake_root}/silver/{entity}", properties={"layer": "silver"})
+                            path=f"{lake_root}/silver/{entity}", properties={"layer": "silver"},
+                            buckets=s["cdc"].get("buckets"))
             continue
 
         def read_bronze(ctx, bronze=bronze):
