@@ -151,3 +151,34 @@ def scd2_ignore_nulls(spark, sf_dir):
     spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
                       except_columns=EVENT_EXCEPT, ignore_null_updates=True)
     return apply_changes(src, spec)
+
+
+@query("scd2_ignore_nulls_deletes", """
+WITH src AS (
+  SELECT user_id, ts, event_id, event_type,
+         CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value
+  FROM events),
+seg AS (
+  SELECT *, max(CASE WHEN event_type = 'error' THEN ts END)
+              OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+              AS last_del
+  FROM src),
+filled AS (
+  SELECT *, last_value(CASE WHEN value IS NOT NULL AND (last_del IS NULL OR ts > last_del)
+                            THEN value END IGNORE NULLS)
+              OVER (PARTITION BY user_id, last_del ORDER BY ts
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled_value,
+            lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS end_at
+  FROM seg)
+SELECT user_id, event_id, event_type, filled_value AS value, ts AS start_at, end_at
+FROM filled WHERE NOT (event_type = 'error')
+""")
+def scd2_ignore_nulls_deletes(spark, sf_dir):
+    """IGNORE NULL UPDATES with APPLY AS DELETE on SCD 2 — values never
+    carry across a delete."""
+    src = _events(spark, sf_dir).withColumn(
+        "value", F.when(F.expr(NULL_WHEN), F.lit(None).cast("double")).otherwise(F.col("value")))
+    spec = ChangeSpec(keys=EVENT_KEYS, sequence_by=EVENT_SEQ, stored_as_scd_type=2,
+                      except_columns=EVENT_EXCEPT, ignore_null_updates=True,
+                      apply_as_deletes=DELETE_WHEN)
+    return apply_changes(src, spec)

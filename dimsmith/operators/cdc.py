@@ -149,11 +149,22 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
 def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
           keep_tombstones: bool = False) -> DataFrame:
     keys, seq = spec.keys, spec.sequence_by
-    if spec.ignore_null_updates:
-        if has_delete:
-            raise NotImplementedError("ignore_null_updates with deletes is SCD type 1 only")
+    if spec.ignore_null_updates and not has_delete:
         # A NULL in a change keeps the previous version's value.
         df = fill_within_key(df, keys, [seq], attrs, bucket_unit=spec.bucket_unit)
+    elif spec.ignore_null_updates:
+        # Same, but a value never carries across a delete: fill (sequence,
+        # value) pairs and the latest delete's sequence, keep values newer
+        # than that delete.
+        tagged = df.select(
+            *df.columns, F.when(F.col("_is_delete"), F.col(seq)).alias("_del"),
+            *[F.when(F.col(a).isNotNull(), F.struct(F.col(seq).alias("s"), F.col(a).alias("v")))
+              .alias(f"_p_{a}") for a in attrs])
+        filled = fill_within_key(tagged, keys, [seq], ["_del"] + [f"_p_{a}" for a in attrs],
+                                 bucket_unit=spec.bucket_unit)
+        keep = {a: F.when(F.col("_del").isNull() | (F.col(f"_p_{a}.s") > F.col("_del")),
+                          F.col(f"_p_{a}.v")).alias(a) for a in attrs}
+        df = filled.select(*[keep.get(c, F.col(c)) for c in df.columns])
     chained = next_within_key(df, keys, [seq], prefix="_next_", bucket_unit=spec.bucket_unit)
     out = [*keys, *attrs, F.col(seq).alias(START_AT), F.col(f"_next_{seq}").alias(END_AT)]
     if keep_tombstones:
