@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from dimsmith.catalog.cdc_queries import DELETE_WHEN, EVENT_EXCEPT, EVENT_KEYS, EVENT_SEQ
+from dimsmith.catalog.cdc_queries import (DELETE_WHEN, EVENT_EXCEPT, EVENT_KEYS, EVENT_SEQ,
+                                          NULL_WHEN)
 from dimsmith.catalog.registry import ORACLE, query, table
 from dimsmith.operators.cdc import ChangeSpec
 from dimsmith.plans.eventlog import quality_by_rule
@@ -81,6 +82,22 @@ def stream_scd2_deletes(spark, sf_dir):
                          "stream_scd2_del")
 
 
+@query("stream_scd1_ignore_nulls", None)
+def stream_scd1_ignore_nulls(spark, sf_dir):
+    """S2+S4 incremental IGNORE NULL UPDATES: per-column positions kept in the
+    target, so out-of-order batches give the one-shot result."""
+    wd = work_dir(spark, "stream_scd1_nn")
+    events = table(spark, sf_dir, "events").withColumn(
+        "value", F.when(F.expr(NULL_WHEN), F.lit(None).cast("double")).otherwise(F.col("value")))
+    land(events, f"{wd}/landing", by=["event_id"])
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+           .parquet(f"{wd}/landing"))
+    spec = _events_spec(1, ignore_null_updates=True)
+    run_to_end(apply_changes_stream(src, spec, f"{wd}/target", f"{wd}/_checkpoint"))
+    return read_target(spark, f"{wd}/target", spec).select(
+        "user_id", "ts", "event_id", "event_type", "value")
+
+
 # Bucket count of the bucket-partitioned incremental targets.
 TARGET_BUCKETS = 16
 
@@ -335,4 +352,5 @@ ORACLE["stream_scd2"] = ORACLE["scd2_events"]
 ORACLE["stream_scd1_deletes"] = ORACLE["scd1_deletes"]
 ORACLE["stream_scd2_deletes"] = ORACLE["scd2_events_deletes"]
 ORACLE["stream_scd1_bucketed"] = ORACLE["scd1_events"]
+ORACLE["stream_scd1_ignore_nulls"] = ORACLE["scd1_ignore_nulls"]
 ORACLE["stream_scd2_bucketed"] = ORACLE["scd2_events_deletes"]

@@ -133,8 +133,12 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
     if spec.ignore_null_updates:
         # Per column: the value of the latest change where it is not NULL.
         for c in attrs:
-            pos = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
-            aggs.append(F.max(F.struct(pos.alias("p"), F.col(c).alias("v"))).alias(f"_nn_{c}"))
+            has_value = F.col(c).isNotNull()
+            if has_delete:
+                has_value = has_value & ~F.col("_is_delete")  # a delete supplies no values
+            pos = F.when(has_value, F.struct(*[F.col(o) for o in order]))
+            val = F.when(has_value, F.col(c))
+            aggs.append(F.max(F.struct(pos.alias("p"), val.alias("v"))).alias(f"_nn_{c}"))
     out = df.groupBy(*keys).agg(*aggs)
     values = [(F.col(f"_nn_{c}.v") if spec.ignore_null_updates else F.col(f"_l.{c}")).alias(c)
               for c in attrs]

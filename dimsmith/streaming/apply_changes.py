@@ -53,6 +53,9 @@ def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> D
     changes = changes.select(*keys, seq, *attrs, TOMBSTONE)
     touched = changes.select(*keys).distinct()
 
+    if spec.stored_as_scd_type == 1 and spec.ignore_null_updates:
+        return _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched)
+
     if spec.stored_as_scd_type == 1:
         if prev is None:
             return _scd1(changes, spec, attrs, True, keep_tombstones=True)
@@ -72,11 +75,44 @@ def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> D
     return rest.unionByName(fresh.select(*rest.columns))
 
 
+def _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched):
+    """SCD 1 + IGNORE NULL UPDATES, order-independent across batches: the
+    target keeps, per column, the sequence of the value it holds (``_pos_c``)
+    and the key's latest delete (``_last_del``), so a late change is merged per
+    column exactly as the one-shot computation would."""
+    keys, seq = spec.keys, spec.sequence_by
+    order = [seq] + [c for c in spec.tiebreak if c != seq]
+    pos = lambda c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
+    rows = changes.select(
+        *keys, *order, *[a for a in attrs if a not in order], TOMBSTONE,
+        *[pos(a).alias(f"_pos_{a}") for a in attrs],
+        F.when(F.col(TOMBSTONE), F.struct(*[F.col(o) for o in order])).alias("_last_del"))
+    rest = None
+    if prev is not None:
+        old = prev.join(touched, keys, "left_semi").select(*rows.columns)
+        rest = prev.join(touched, keys, "left_anti")
+        rows = old.unionByName(rows)
+    agg = rows.groupBy(*keys).agg(
+        F.max(F.struct(*[F.col(o) for o in order], F.col(TOMBSTONE))).alias("_l"),
+        F.max("_last_del").alias("_last_del"),
+        *[F.max(F.struct(F.col(f"_pos_{a}").alias("p"), F.col(a).alias("v"))).alias(f"_n_{a}")
+          for a in attrs])
+    live = lambda a: F.col("_last_del").isNull() | (F.col(f"_n_{a}.p") > F.col("_last_del"))
+    fresh = agg.select(
+        *keys, *[F.col(f"_l.{o}").alias(o) for o in order],
+        *[F.when(live(a), F.col(f"_n_{a}.v")).alias(a) for a in attrs if a not in order],
+        F.col(f"_l.{TOMBSTONE}").alias(TOMBSTONE),
+        *[F.when(live(a), F.col(f"_n_{a}.p")).alias(f"_pos_{a}") for a in attrs],
+        "_last_del")
+    return fresh if rest is None else rest.unionByName(fresh.select(*rest.columns))
+
+
 def visible(stored: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """What readers see: delete markers (tombstones) removed."""
+    """What readers see: delete markers (tombstones) and bookkeeping removed."""
+    hidden = [c for c in stored.columns if c.startswith("_pos_") or c == "_last_del"]
     if TOMBSTONE in stored.columns:
-        return stored.where(~F.col(TOMBSTONE)).drop(TOMBSTONE)
-    return stored
+        stored = stored.where(~F.col(TOMBSTONE)).drop(TOMBSTONE)
+    return stored.drop(*hidden)
 
 
 def read_target(spark: SparkSession, root: str, spec: ChangeSpec) -> DataFrame | None:

@@ -194,3 +194,19 @@ def test_bucketed_target_rewrites_only_touched_buckets_and_replays_cleanly(spark
     merge_into_buckets(spark, one, spec, root, buckets=8)   # replay: no change
     expect = apply_changes(src.unionByName(one), spec)
     assert rows(read_target(spark, root, spec), *cols) == rows(expect, *cols)
+
+
+def test_incremental_ignore_nulls_is_split_invariant(spark):
+    rnd = random.Random(11)
+    seqs = rnd.sample(range(5000), 300)
+    data = [(rnd.randrange(10), dt.datetime(2024, 1, 1) + dt.timedelta(hours=s),
+             None if rnd.random() < 0.4 else f"v{rnd.randrange(30)}",
+             "delete" if rnd.random() < 0.08 else "upsert") for s in seqs]
+    src = feed(spark, data)
+    spec = ChangeSpec(["id"], "seq", 1, except_columns=["op"], ignore_null_updates=True,
+                      apply_as_deletes="op = 'delete'")
+    whole = apply_changes(src, spec)
+    cols = whole.columns
+    for parts, seed in ((3, 5), (5, 9)):
+        split = _split_apply(spark, src, spec, parts, seed)
+        assert rows(split, *cols) == rows(whole, *cols), parts
