@@ -44,6 +44,10 @@ def _previous(spark: SparkSession, root: str, before: int) -> DataFrame | None:
 
 def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Next stored snapshot from the previous one and one batch of changes."""
+    if spec.stored_as_scd_type == 2 and spec.ignore_null_updates:
+        # Stored versions hold filled values; a late change could not re-fill
+        # the versions after it. Use the batch form (apply_changes) instead.
+        raise NotImplementedError("incremental SCD 2 with ignore_null_updates")
     changes, attrs, has_delete = prepare_changes(batch, spec)
     keys, seq = spec.keys, spec.sequence_by
     if not has_delete:
