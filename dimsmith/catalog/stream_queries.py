@@ -98,6 +98,21 @@ def stream_scd1_ignore_nulls(spark, sf_dir):
         "user_id", "ts", "event_id", "event_type", "value")
 
 
+@query("stream_scd2_ignore_nulls", None)
+def stream_scd2_ignore_nulls(spark, sf_dir):
+    """S3+S4 incremental IGNORE NULL UPDATES on SCD 2: raw change values are
+    kept beside the filled ones, so a touched key is re-filled from scratch."""
+    wd = work_dir(spark, "stream_scd2_nn")
+    events = table(spark, sf_dir, "events").withColumn(
+        "value", F.when(F.expr(NULL_WHEN), F.lit(None).cast("double")).otherwise(F.col("value")))
+    land(events, f"{wd}/landing", by=["event_id"])
+    src = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+           .parquet(f"{wd}/landing"))
+    spec = _events_spec(2, ignore_null_updates=True)
+    run_to_end(apply_changes_stream(src, spec, f"{wd}/target", f"{wd}/_checkpoint"))
+    return read_target(spark, f"{wd}/target", spec)
+
+
 # Bucket count of the bucket-partitioned incremental targets.
 TARGET_BUCKETS = 16
 
@@ -353,4 +368,5 @@ ORACLE["stream_scd1_deletes"] = ORACLE["scd1_deletes"]
 ORACLE["stream_scd2_deletes"] = ORACLE["scd2_events_deletes"]
 ORACLE["stream_scd1_bucketed"] = ORACLE["scd1_events"]
 ORACLE["stream_scd1_ignore_nulls"] = ORACLE["scd1_ignore_nulls"]
+ORACLE["stream_scd2_ignore_nulls"] = ORACLE["scd2_ignore_nulls"]
 ORACLE["stream_scd2_bucketed"] = ORACLE["scd2_events_deletes"]

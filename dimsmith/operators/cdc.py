@@ -151,7 +151,7 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
 
 
 def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
-          keep_tombstones: bool = False) -> DataFrame:
+          keep_tombstones: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     keys, seq = spec.keys, spec.sequence_by
     if spec.ignore_null_updates and not has_delete:
         # A NULL in a change keeps the previous version's value.
@@ -170,7 +170,8 @@ def _scd2(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
                           F.col(f"_p_{a}.v")).alias(a) for a in attrs}
         df = filled.select(*[keep.get(c, F.col(c)) for c in df.columns])
     chained = next_within_key(df, keys, [seq], prefix="_next_", bucket_unit=spec.bucket_unit)
-    out = [*keys, *attrs, F.col(seq).alias(START_AT), F.col(f"_next_{seq}").alias(END_AT)]
+    out = [*keys, *attrs, F.col(seq).alias(START_AT), F.col(f"_next_{seq}").alias(END_AT),
+           *carry]
     if keep_tombstones:
         flag = F.col("_is_delete") if has_delete else F.lit(False)
         return chained.select(*out, flag.alias("_is_delete"))

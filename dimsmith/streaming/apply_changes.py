@@ -44,10 +44,6 @@ def _previous(spark: SparkSession, root: str, before: int) -> DataFrame | None:
 
 def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Next stored snapshot from the previous one and one batch of changes."""
-    if spec.stored_as_scd_type == 2 and spec.ignore_null_updates:
-        # Stored versions hold filled values; a late change could not re-fill
-        # the versions after it. Use the batch form (apply_changes) instead.
-        raise NotImplementedError("incremental SCD 2 with ignore_null_updates")
     changes, attrs, has_delete = prepare_changes(batch, spec)
     keys, seq = spec.keys, spec.sequence_by
     if not has_delete:
@@ -68,14 +64,21 @@ def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> D
         fresh = _scd1(old.unionByName(changes), spec, attrs, True, keep_tombstones=True)
         return rest.unionByName(fresh.select(*prev.columns))
 
+    # With ignore-null updates the stored versions hold filled values; the raw
+    # change values travel in hidden columns so a touched key's whole chain is
+    # re-filled from raw values (a late change may fill the versions after it).
+    raw = [f"_raw_{a}" for a in attrs] if spec.ignore_null_updates else []
+    if raw:
+        changes = changes.select(*changes.columns, *[F.col(a).alias(f"_raw_{a}") for a in attrs])
     if prev is None:
-        return _scd2(changes, spec, attrs, True, keep_tombstones=True)
+        return _scd2(changes, spec, attrs, True, keep_tombstones=True, carry=raw)
     old = prev.join(touched, keys, "left_semi")
     rest = prev.join(touched, keys, "left_anti")
-    stored = old.select(*keys, F.col(START_AT).alias(seq), *attrs, TOMBSTONE)
+    values = [F.col(f"_raw_{a}").alias(a) for a in attrs] if raw else attrs
+    stored = old.select(*keys, F.col(START_AT).alias(seq), *values, TOMBSTONE, *raw)
     # A replayed change equal to a stored one keeps the stored copy.
     chain = stored.unionByName(changes.join(stored.select(*keys, seq), keys + [seq], "left_anti"))
-    fresh = _scd2(chain, spec, attrs, True, keep_tombstones=True)
+    fresh = _scd2(chain, spec, attrs, True, keep_tombstones=True, carry=raw)
     return rest.unionByName(fresh.select(*rest.columns))
 
 
@@ -113,7 +116,8 @@ def _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched):
 
 def visible(stored: DataFrame, spec: ChangeSpec) -> DataFrame:
     """What readers see: delete markers (tombstones) and bookkeeping removed."""
-    hidden = [c for c in stored.columns if c.startswith("_pos_") or c == "_last_del"]
+    hidden = [c for c in stored.columns
+              if c.startswith(("_pos_", "_raw_")) or c == "_last_del"]
     if TOMBSTONE in stored.columns:
         stored = stored.where(~F.col(TOMBSTONE)).drop(TOMBSTONE)
     return stored.drop(*hidden)
