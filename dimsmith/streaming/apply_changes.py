@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dimsmith.operators.cdc import END_AT, START_AT, ChangeSpec, _scd1, _scd2, prepare_changes
+from dimsmith.operators.cdc import START_AT, ChangeSpec, _scd1, _scd2, prepare_changes
 from dimsmith.sinks.files import _versions, write_snapshot
 
 TOMBSTONE = "_is_delete"
