@@ -371,6 +371,16 @@ class TableGraph:
         append(log_rows(self.spark, update_id, started, flows), self.event_log_path)
         return update_id
 
+    def describe(self) -> DataFrame:
+        """One row per dataset: name, kind, comment, properties, path, rules."""
+        rows = [(ds.name, ds.kind, ds.comment, {k: str(v) for k, v in ds.properties.items()},
+                 None if ds.kind == "view" else self.table_path(ds.name),
+                 [f"{r.action}:{r.name}" for r in ds.rules])
+                for ds in self._datasets.values()]
+        return self.spark.createDataFrame(
+            rows, "name string, kind string, comment string, properties map<string,string>, "
+                  "path string, expectations array<string>")
+
     @property
     def event_log_path(self) -> str:
         return f"{self.root}/system/events"

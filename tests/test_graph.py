@@ -114,6 +114,9 @@ def test_graph_run_writes_event_log_and_streams_incrementally(spark):
     assert q["positive"] == (late.where("price > 0").count(), late.where("NOT price > 0").count())
     assert {r.table_name for r in rows_by_table(log).collect()} == {"bronze", "silver"}
     assert last is not None
+    desc = {r.name: r for r in g.describe().collect()}
+    assert desc["bronze"].properties == {"layer": "bronze"}
+    assert desc["silver"].expectations == ["warn:non_negative", "drop:positive"]
     meta = g.table_metadata("bronze")
     assert meta["properties"] == {"layer": "bronze"} and meta["streaming"]
     assert [e["name"] for e in g.table_metadata("silver")["expectations"]] == \
