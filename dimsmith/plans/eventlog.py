@@ -75,3 +75,17 @@ def rows_by_table(log: DataFrame) -> DataFrame:
                     dq.dropped_records.alias("dropped_records"))
             .where(F.col("num_output_rows").isNotNull())
             .orderBy("table_name"))
+
+
+def trace_key(tables: dict[str, DataFrame], where: str, order_by: str | None = None) -> DataFrame:
+    """One key followed through several tables (bronze, history, SCD 1,
+    SCD 2): rows matching ``where`` from each table, unioned by name with a
+    ``table`` column (missing columns NULL), sorted by table and ``order_by``."""
+    out = None
+    for name, df in tables.items():
+        part = df.where(where).withColumn("table", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no tables given")
+    sort = ["table"] + ([order_by] if order_by and order_by in out.columns else [])
+    return out.orderBy(*sort)

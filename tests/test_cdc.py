@@ -213,3 +213,13 @@ def test_incremental_ignore_nulls_is_split_invariant(spark):
             for parts, seed in ((3, 5), (5, 9)):
                 split = _split_apply(spark, src, spec, parts, seed)
                 assert rows(split, *cols) == rows(whole, *cols), (scd, deletes, parts)
+
+
+def test_trace_key_across_layers(spark):
+    from dimsmith.plans.eventlog import trace_key
+    src = feed(spark, ROWS)
+    s1 = apply_changes(src, ChangeSpec(["id"], "seq", 1, except_columns=["op"]))
+    s2 = apply_changes(src, ChangeSpec(["id"], "seq", 2, except_columns=["op"]))
+    t = trace_key({"bronze": src, "scd1": s1, "scd2": s2}, "id = 6", order_by="seq").collect()
+    assert [r.table for r in t] == ["bronze"] * 3 + ["scd1"] + ["scd2"] * 3
+    assert [r.seq for r in t[:3]] == [ts(1), ts(2), ts(3)]
