@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimsmith.llm.decontaminate import contamination
+from dimsmith.llm.language_id import UNKNOWN, predict, train_on
 from dimsmith.llm.mix_sources import mixed_texts
 from dimsmith.llm.near_dedup import near_duplicates
 from dimsmith.llm.registry import materialise, table
@@ -18,14 +20,28 @@ from dimsmith.llm.token_store import token_index
 
 def _keep(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """docs whose doc_id the verdict (doc_id) lists, with all their columns."""
-    v = materialise(verdict.select(F.col("doc_id").alias("_id")).distinct(), "verdict")
-    return docs.join(v, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    v = materialise(verdict.select(F.col("doc_id").alias("__stage_id")).distinct(), "verdict")
+    return docs.join(v, F.col("doc_id").eqNullSafe(F.col("__stage_id")), "left_semi")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, or no letter) go; the model learns from docs' own labels."""
+    model = train_on(docs.select("doc_id", "text", "lang"))
+    marked = predict(docs, model, tuple(docs.columns), ("__lang", "__score"))
+    return marked.where(F.col("__lang") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (of equal rows one)."""
     kept = _keep(docs, near_duplicates(docs).where("kept"))
-    return kept.withColumn("_h", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    return kept.withColumn("__stage_h", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "__stage_h"]).drop("__stage_h")
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    hit = contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
+    v = materialise(hit.select(F.col("doc_id").alias("__stage_id")).distinct(), "verdict")
+    return docs.join(v, F.col("doc_id").eqNullSafe(F.col("__stage_id")), "left_anti")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +55,9 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_stage),
     ("near_dedup", near_dedup_stage),
+    ("decontaminate", decontaminate_stage),
     ("mix_sources", mix_stage),
     ("token_store", token_stage),
 ]

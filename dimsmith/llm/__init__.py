@@ -11,9 +11,13 @@ from dimsmith.llm.registry import ORACLE, QUERIES  # noqa: F401
 from dimsmith.llm import (  # noqa: F401  (import for registration)
     chat_format,
     mix_sources,
+    line_templates,
     near_dedup,
+    decontaminate,
+    language_id,
     token_store,
     quality_rules,
+    repeat_spans,
     url_filters,
 )
 

@@ -121,21 +121,21 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
 
     docs must have doc_id, text, source; its other columns are kept.
     """
-    own = docs.withColumn("_size", F.size(word_list(F.col("text"))).cast("long")).withColumn(
-        "_k1", F.xxhash64("doc_id", "source", "text")).withColumn(
-        "_k2", F.xxhash64(F.lit(7), "text", "source", "doc_id"))
-    plan = mix(materialise(own.select("doc_id", "source", F.col("_size").alias("size"), "_k1", "_k2"), "mix-sizes"),
+    own = docs.withColumn("__mix_size", F.size(word_list(F.col("text"))).cast("long")).withColumn(
+        "__mix_k1", F.xxhash64("doc_id", "source", "text")).withColumn(
+        "__mix_k2", F.xxhash64(F.lit(7), "text", "source", "doc_id"))
+    plan = mix(materialise(own.select("doc_id", "source", F.col("__mix_size").alias("size"), "__mix_k1", "__mix_k2"), "mix-sizes"),
                **options)
-    plan = plan.select("_k1", "_k2", F.explode("copies").alias("_c"))
+    plan = plan.select("__mix_k1", "__mix_k2", F.explode("copies").alias("__mix_c"))
     # equal rows are one row here; each of them has its own copies in the plan
-    x = own.dropDuplicates(["_k1", "_k2"]).alias("d").join(plan.alias("p"), ["_k1", "_k2"])
-    words = F.col("_c.words").cast("int")
-    text = F.when(words >= F.col("_size"), F.col("d.text")).otherwise(
+    x = own.dropDuplicates(["__mix_k1", "__mix_k2"]).alias("d").join(plan.alias("p"), ["__mix_k1", "__mix_k2"])
+    words = F.col("__mix_c.words").cast("int")
+    text = F.when(words >= F.col("__mix_size"), F.col("d.text")).otherwise(
         F.array_join(F.slice(word_list(F.col("d.text")), 1, words), " "))
     names = docs.columns
     x = x.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in names],
-                 F.col("_c.finish").alias("_finish"), F.col("_c.pass").alias("_pass"))
-    return x.orderBy("_finish", "doc_id", "_pass").select(*names)
+                 F.col("__mix_c.finish").alias("__mix_finish"), F.col("__mix_c.pass").alias("__mix_pass"))
+    return x.orderBy("__mix_finish", "doc_id", "__mix_pass").select(*names)
 
 
 SQL = r"""
