@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.operators.ordered import global_rank
+from dimsmith.operators.same_key import same_key_join
 
 
 def assign_durable_keys(dim: DataFrame, business_keys: Sequence[str], out: str = "dk",
@@ -24,7 +25,7 @@ def assign_durable_keys(dim: DataFrame, business_keys: Sequence[str], out: str =
     numbering = global_rank(dim.select(*keys), keys, out="_n", method="dense_rank", attach=False)
     start_col = start if isinstance(start, Column) else F.lit(start)
     numbering = numbering.select(*keys, (start_col + F.col("_n")).cast("bigint").alias(out))
-    return dim.join(numbering, on=keys, how="inner")
+    return same_key_join(dim, numbering, keys)
 
 
 def assign_surrogate_keys(df: DataFrame, load_order: Sequence[str], out: str = "sk",

@@ -12,9 +12,10 @@
 ``global_rank`` — ``rank``/``dense_rank``/``row_number`` over a global order.
     A window with no PARTITION BY runs in one task. We count rows per
     distinct order value (partial aggregation absorbs ties), range-partition
-    the distinct values, checkpoint them so every branch sees the *same*
-    sampled bounds, number locally and add per-partition offsets (one small
-    row per partition, broadcast).
+    and sort the distinct values, stamp each with its partition and place and
+    checkpoint them so every branch sees the *same* sampled bounds; the number
+    is the place plus one offset per partition (one small row each, broadcast).
+    NULLs are values like any other, first in ascending order.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimsmith.operators.same_key import key_of, same_key_join
 from dimsmith.session import ensure_checkpoint_dir
 
 # Width of a sequence bucket when the sequence is numeric and a time unit was
@@ -67,20 +69,21 @@ def next_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     bucket = bucket_of(df, order[0], bucket_unit)
     row = F.struct(*[F.col(c) for c in fields])
 
-    d = df.withColumn("_bk", bucket)
-    in_bucket = Window.partitionBy(*keys, "_bk").orderBy(*order)
+    # key and bucket as one struct: NULLs in either compare as equal in the join back
+    key_bucket = F.struct(key_of(keys).alias("key"), bucket.alias("bucket"))
+    d = df.withColumn("_kb", key_bucket)
+    in_bucket = Window.partitionBy("_kb").orderBy(*order)
     d = d.withColumn("_nx", F.lead(row).over(in_bucket))
 
     # First row of every (key, bucket); the next bucket's head closes the tail.
     # A single carried column aggregates as a primitive (hash aggregate);
     # several need a struct (sort-based aggregate).
-    head = (F.struct(F.min(fields[0]).alias(fields[0])) if len(fields) == 1 else F.min(row))
-    heads = (df.withColumn("_bk", bucket).groupBy(*keys, "_bk")
-             .agg(head.alias("_head")))
-    by_bucket = Window.partitionBy(*keys).orderBy("_bk")
-    heads = heads.select(*keys, "_bk", F.lead("_head").over(by_bucket).alias("_carry"))
+    head = F.struct(F.min(fields[0]).alias(fields[0])) if len(fields) == 1 else F.min(row)
+    heads = df.select(*df.columns, key_bucket.alias("_kb")).groupBy("_kb").agg(head.alias("_head"))
+    by_bucket = Window.partitionBy("_kb.key").orderBy("_kb.bucket")
+    heads = heads.select("_kb", F.lead("_head").over(by_bucket).alias("_carry"))
 
-    out = (d.join(heads, on=keys + ["_bk"], how="left")
+    out = (d.join(heads, on="_kb", how="left")
            .withColumn("_nx", F.coalesce(F.col("_nx"), F.col("_carry"))))
     return out.select(*df.columns, *[F.col(f"_nx.{c}").alias(prefix + c) for c in fields])
 
@@ -96,9 +99,9 @@ def fill_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     window's own partitioning.
     """
     keys, order, columns = list(keys), list(order), list(columns)
-    bucket = bucket_of(df, order[0], bucket_unit)
-    d = df.withColumn("_bk", bucket)
-    run = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(
+    key_bucket = F.struct(key_of(keys).alias("key"), bucket_of(df, order[0], bucket_unit).alias("bucket"))
+    d = df.withColumn("_kb", key_bucket)
+    run = Window.partitionBy("_kb").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for c in columns:
         d = d.withColumn(f"_f_{c}", F.last(c, ignorenulls=True).over(run))
@@ -107,12 +110,11 @@ def fill_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         pos = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
         return F.max(F.struct(pos.alias("p"), F.col(c).alias("v")))
 
-    summary = (df.withColumn("_bk", bucket).groupBy(*keys, "_bk")
+    summary = (df.withColumn("_kb", key_bucket).groupBy("_kb")
                .agg(*[latest(c).alias(f"_l_{c}") for c in columns]))
-    earlier = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, "_bk",
-                           *[F.max(f"_l_{c}").over(earlier).alias(f"_c_{c}") for c in columns])
-    out = d.join(carry, on=keys + ["_bk"], how="left")
+    earlier = Window.partitionBy("_kb.key").orderBy("_kb.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select("_kb", *[F.max(f"_l_{c}").over(earlier).alias(f"_c_{c}") for c in columns])
+    out = d.join(carry, on="_kb", how="left")
     filled = {c: F.coalesce(F.col(f"_f_{c}"), F.col(f"_c_{c}.v")).alias(c) for c in columns}
     return out.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
@@ -131,43 +133,41 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank",
     order = list(order)
     asc = list(ascending) if ascending is not None else [True] * len(order)
     sort = [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(order, asc)]
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
 
     if method == "row_number":
         # Total order: every row is its own group; carry the rows through
         # the checkpoint and skip the join back.
-        groups = df.withColumn("_n", F.lit(1).cast("bigint"))
+        groups = df
     else:
         groups = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = (groups.repartitionByRange(n, *sort)
-              .withColumn("_b", F.spark_partition_id())
+    ranged = (groups.repartitionByRange(num_partitions, *sort) if num_partitions
+              else groups.repartitionByRange(*sort))
+    # The id's high bits are the (ordered) partition, its low 33 bits the place
+    # in it, so numbering needs no second exchange, only one offset a partition.
+    ranged = (ranged.sortWithinPartitions(*sort).withColumn("_id", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranged.groupBy("_b")
-               .agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_groups"))
-               .select("_b",
-                       F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
-                       F.coalesce(F.sum("_groups").over(before), F.lit(0)).alias("_grp_off")))
-
-    local = Window.partitionBy("_b").orderBy(*sort)
-    numbered = (ranged
-                .withColumn("_before", F.coalesce(
-                    F.sum("_n").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .withColumn("_gi", F.row_number().over(local))
-                .join(F.broadcast(offsets), "_b"))
-    if method == "dense_rank":
-        value = F.col("_grp_off") + F.col("_gi")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    if method == "rank":
+        # rows before a value: places are not enough, values have counts
+        local = Window.partitionBy("_b").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+        ranged = ranged.withColumn("_b", part).withColumn(
+            "_place", F.coalesce(F.sum("_n").over(local), F.lit(0)))
+        size = F.sum("_n")
     else:
-        value = F.col("_row_off") + F.col("_before") + F.lit(1)
+        ranged = ranged.withColumn("_b", part).withColumn("_place", place)
+        size = F.count(F.lit(1))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy("_b").agg(size.alias("_rows"))
+               .select("_b", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off")))
+    value = (F.col("_off") + F.col("_place") + F.lit(1)).cast("bigint").alias(out)
+    numbered = ranged.join(F.broadcast(offsets), "_b")
     if method == "row_number":
-        return numbered.select(*df.columns, value.cast("bigint").alias(out))
-    numbering = numbered.select(*order, value.cast("bigint").alias(out))
+        return numbered.select(*df.columns, value)
+    numbering = numbered.select(*order, value)
     if not attach:
         return numbering
-    return df.join(numbering, on=order, how="inner")
+    return same_key_join(df, numbering, order)
 
 
 def version_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -183,14 +183,14 @@ def version_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     does not count that key again. ``keys + order`` must be unique.
     """
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-              .withColumn("_b", F.spark_partition_id())
-              .checkpoint(eager=True))
-    key = F.struct(*[F.col(c) for c in keys])
-    local = Window.partitionBy("_b").orderBy(*keys, *order)
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [F.col(c) for c in keys + order]
+    ranged = df.repartitionByRange(num_partitions, *by) if num_partitions else df.repartitionByRange(*by)
+    ranged = (ranged.sortWithinPartitions(*by)
+              .withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    ranged = ranged.withColumn("_b", F.shiftright("_id", 33)).withColumn(
+        "_rn", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+    key = key_of(keys)
     parts = (ranged.groupBy("_b")
              .agg(F.count(F.lit(1)).alias("_rows"), F.count_distinct(key).alias("_keys"),
                   F.min(key).alias("_first"), F.max(key).alias("_last")))
@@ -203,8 +203,7 @@ def version_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
         F.coalesce(F.sum(F.col("_keys") - F.col("_cont").cast("int")).over(before),
                    F.lit(0)).alias("_key_off"))
-    numbered = (ranged.withColumn("_rn", F.row_number().over(local))
-                .withColumn("_dr", F.dense_rank().over(Window.partitionBy("_b").orderBy(*keys)))
+    numbered = (ranged.withColumn("_dr", F.dense_rank().over(Window.partitionBy("_b").orderBy(*keys)))
                 .join(F.broadcast(parts), "_b"))
     return numbered.select(
         *df.columns,
@@ -222,6 +221,6 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = list(keys), list(order)
     numbered = global_rank(df, keys + order, out="_g", method="row_number")
     first = numbered.groupBy(*keys).agg(F.min("_g").alias("_g0"))
-    return (numbered.join(first, on=keys)
+    return (same_key_join(numbered, first, keys)
             .withColumn(out, (F.col("_g") - F.col("_g0") + F.lit(1)).cast("int"))
             .drop("_g", "_g0"))

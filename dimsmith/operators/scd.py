@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from dimsmith.functions.scalars import OPEN_END
 from dimsmith.operators.keys import assign_durable_keys, assign_surrogate_keys
+from dimsmith.operators.same_key import same_key_join
 
 
 @dataclass
@@ -53,7 +54,8 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
         durable key from run_date to the open end; if the current row started
         on run_date itself it is replaced in place (``same_day='replace'``);
     (c) unchanged -> nothing;  (d) key absent from ``updates`` -> nothing.
-    A key whose rows are all closed is left alone unless ``reopen``.
+    A key whose rows are all closed is left alone unless ``reopen``. NULLs in
+    a key are equal to each other; a NULL current flag means not current.
 
     Only current rows (at most one per key) meet the updates (one per key) in
     the full outer join, so no join side can be skewed; closed versions pass
@@ -63,12 +65,14 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
     keys, attrs = spec.business_keys, spec.attributes
     run = _date(run_date)
     cols = spec.columns()
-    current = dim.where(F.col(spec.is_current)).select(*cols, F.lit(True).alias("_in_dim"))
-    closed = dim.where(~F.col(spec.is_current)).select(*cols)
-    u = updates.select(*keys, *[F.col(a).alias(f"_u_{a}") for a in attrs],
+    is_current = F.coalesce(F.col(spec.is_current), F.lit(False))
+    current = dim.where(is_current).select(*cols, F.lit(True).alias("_in_dim"))
+    closed = dim.where(~is_current).select(*cols)
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    u = updates.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], *[F.col(a).alias(f"_u_{a}") for a in attrs],
                        F.lit(True).alias("_in_upd"))
     known = dim.groupBy(*keys).agg(F.max(spec.dk).alias("_known_dk"))
-    j = current.join(u, on=keys, how="full_outer").join(known, on=keys, how="left")
+    j = same_key_join(same_key_join(current, u, keys, "full_outer"), known, keys, "left")
 
     in_dim = F.coalesce(F.col("_in_dim"), F.lit(False))
     changed = F.lit(False)
@@ -125,6 +129,13 @@ def current_view(dim: DataFrame, spec: DimSpec, prefix: str = "current_") -> Dat
         spec.dk, *[F.col(a).alias(prefix + a) for a in spec.attributes])
 
 
+def create_current_view(dim: DataFrame, spec: DimSpec, name: str, prefix: str = "current_") -> DataFrame:
+    """``current_view`` registered in the session under ``name`` for SQL readers."""
+    view = current_view(dim, spec, prefix)
+    view.createOrReplaceTempView(name)
+    return view
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], where: Column | None = None) -> DataFrame:
     """Key values occurring more than once (empty = unique). Partial aggregation."""
     src = df if where is None else df.where(where)

@@ -16,7 +16,7 @@ equi-join on the key, at most one row per key).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,13 +33,22 @@ def _bucket(c: Column, unit: str) -> Column:
 def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str],
                   at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                   how: str = "inner", bucket: str | None = "year",
-                  horizon: Column | dt.date | None = None) -> DataFrame:
+                  horizon: Column | dt.date | None = None,
+                  unknown_member: Mapping[str, object] | None = None) -> DataFrame:
     """Join ``facts`` to the ``dim`` version valid at ``facts[at]``.
 
+    ``unknown_member``: values for the named dim columns of facts without a
+    valid version, which are then kept (a left join) instead of dropped.
+
     ``on``: fact/dim key pairs (or shared names). Dim columns other than the
     keys keep their names; rename beforehand to avoid clashes. ``horizon``:
     the latest possible fact date (default: a scalar subquery over ``facts``).
     """
+    if unknown_member:
+        out = temporal_join(facts, dim.withColumn("_found", F.lit(True)), on, at, valid_from, valid_to, "left", bucket, horizon)
+        missing = F.col("_found").isNull()
+        return out.select(*[F.when(missing, F.lit(unknown_member[c])).otherwise(F.col(c)).alias(c)
+                            if c in unknown_member else F.col(c) for c in out.columns if c != "_found"])
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     at_col = F.col(at).cast("date")
     if bucket is None:

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimsmith.operators.generate import seed_days
+from dimsmith.operators.latest import latest_by
 from dimsmith.operators.keys import assign_durable_keys, assign_surrogate_keys
 from dimsmith.operators.ordered import global_rank, row_number_within
 from dimsmith.operators.reports import rollup_with_totals
@@ -15,49 +16,49 @@ from dimsmith.sources.calendar import calendar_from_offsets
 
 D = dt.date
 OPEN = D(9999, 12, 31)
-SPEC = DimSpec(business_keys=["source_system", "source_id"],
-               attributes=["name", "email", "category"])
-DIM_DDL = ("sk bigint, dk bigint, source_system string, source_id int, name string, "
-           "email string, category string, valid_from date, valid_to date, is_current boolean")
-
-# Same shape as the model's customer dimension: 7 versions over 4 business keys.
-DIM_ROWS = [
-    (1, 1, "Website", 1, "User One", "user1@example.org", "New", D(2019, 4, 19), D(2019, 7, 3), False),
-    (2, 1, "Website", 1, "User One", "user1@example.org", "Regular", D(2019, 7, 4), D(2020, 4, 30), False),
-    (3, 1, "Website", 1, "User One", "user1@example.org", "Super", D(2020, 5, 1), OPEN, True),
-    (4, 2, "Website", 2, "User Two", "user2@example.org", "Dabbler", D(2019, 4, 19), OPEN, True),
-    (5, 3, "Trade", 1, "Shop One", "shop1@example.org", "Trade Regular", D(2018, 2, 18), D(2018, 11, 11), False),
-    (6, 3, "Trade", 1, "Shop One", "shop1@example.org", "Trade Big", D(2018, 11, 12), OPEN, True),
-    (7, 4, "Website", 3, "User Three", "user3@example.org", "Irregular", D(2019, 4, 19), OPEN, True),
-]
-UPDATES = [
-    ("Website", 1, "User One", "user1@example.org", "Advocate"),      # changed
-    ("Website", 2, "User Two", "user2@example.org", "Dabbler"),       # unchanged
-    ("Website", 3, "User Three", "user3@example.org", "Irregular Orders"),  # changed
-    ("Website", 4, "User Four", "user4@example.org", "VIP"),          # new member
-]
-UPD_DDL = "source_system string, source_id int, name string, email string, category string"
-RUN = D(2020, 7, 1)
+SPEC = DimSpec(business_keys=["depot", "unit"], attributes=["label", "grade"])
+DIM_DDL = ("sk bigint, dk bigint, depot string, unit string, label string, grade string, "
+           "valid_from date, valid_to date, is_current boolean")
+
+
+def history(sk, dk, depot, unit, label, steps):
+    """Versions of one member: (start, grade) steps, each ending the day before the next."""
+    ends = [s - dt.timedelta(days=1) for s, _ in steps[1:]] + [OPEN]
+    return [(sk + i, dk, depot, unit, label, grade, start, end, end == OPEN)
+            for i, ((start, grade), end) in enumerate(zip(steps, ends, strict=True))]
+
+
+# Machines of two depots: one with three versions, one that stays as it is, one
+# that the updates do not mention and one that is regraded.
+DIM_ROWS = (
+    history(1, 1, "east", "pump", "Feed pump", [(D(2011, 2, 3), "C"), (D(2012, 6, 9), "B"), (D(2014, 1, 20), "A")])
+    + history(4, 2, "east", "valve", "Inlet valve", [(D(2013, 5, 5), "B")])
+    + history(5, 3, "west", "pump", "Drain pump", [(D(2010, 10, 1), "D"), (D(2015, 3, 3), "C")])
+    + history(7, 4, "west", "fan", "Roof fan", [(D(2012, 12, 12), "D"), (D(2013, 1, 1), "B")]))
+UPDATES = [("east", "pump", "Feed pump", "A+"), ("east", "valve", "Inlet valve", "B"),
+           ("west", "fan", "Roof fan", "A"), ("east", "belt", "Sorter belt", "C")]
+UPD_DDL = "depot string, unit string, label string, grade string"
+RUN = D(2016, 9, 14)
 
 
 def test_scd2_merge_golden_case(spark):
     dim = spark.createDataFrame(DIM_ROWS, DIM_DDL)
     upd = spark.createDataFrame(UPDATES, UPD_DDL)
     out = scd2_merge(dim, upd, SPEC, RUN).checkpoint()
-    rows = {(r.source_system, r.source_id, r.valid_from): r for r in out.collect()}
-    assert len(rows) == 10
+    rows = {(r.depot, r.unit, r.valid_from): r for r in out.collect()}
+    # two members regraded (one row closed, one added each), one new member
+    assert len(rows) == 8 + 2 + 1
     assert out.where("is_current").count() == 5
-    w1_old = rows[("Website", 1, D(2020, 5, 1))]
-    assert (w1_old.valid_to, w1_old.is_current) == (D(2020, 6, 30), False)
-    w1_new = rows[("Website", 1, RUN)]
-    assert (w1_new.dk, w1_new.category, w1_new.valid_to, w1_new.is_current) == (1, "Advocate", OPEN, True)
-    assert rows[("Website", 3, RUN)].dk == 4
-    w4 = rows[("Website", 4, RUN)]
-    assert w4.dk == 5 and w4.sk > 7
-    assert sorted(r.sk for r in out.collect()) == list(range(1, 11))
-    # Trade/1 untouched, Website/2 unchanged
-    assert rows[("Trade", 1, D(2018, 11, 12))].is_current
-    assert rows[("Website", 2, D(2019, 4, 19))].valid_to == OPEN
+    closed = rows[("east", "pump", D(2014, 1, 20))]
+    assert (closed.valid_to, closed.is_current) == (D(2016, 9, 13), False)
+    opened = rows[("east", "pump", RUN)]
+    assert (opened.dk, opened.grade, opened.valid_to, opened.is_current) == (1, "A+", OPEN, True)
+    assert rows[("west", "fan", RUN)].dk == 4
+    belt = rows[("east", "belt", RUN)]
+    assert belt.dk == 5 and belt.sk > 8
+    assert sorted(r.sk for r in out.collect()) == list(range(1, 12))
+    assert rows[("west", "pump", D(2015, 3, 3))].is_current          # not in the updates
+    assert rows[("east", "valve", D(2013, 5, 5))].valid_to == OPEN   # unchanged
     # a second run with the same updates changes nothing
     again = scd2_merge(out, upd, SPEC, RUN)
     cols = out.columns
@@ -67,57 +68,84 @@ def test_scd2_merge_golden_case(spark):
     assert duplicate_keys(out, ["dk"], F.col("is_current")).count() == 0
 
 
+def test_scd2_merge_null_keys_and_flags(spark):
+    """A NULL key part is a key like any other; a NULL flag means not current."""
+    rows = [(1, 1, None, "a", "n", "X", D(2015, 1, 1), OPEN, True), (2, 2, "d", None, "n", "X", D(2015, 1, 1), OPEN, True),
+            (3, 3, "d", "old", "n", "X", D(2015, 1, 1), D(2015, 12, 31), None)]
+    upd = [(None, "a", "n", "Y"), ("d", None, "n", "X"), (None, None, "n", "Z")]
+    out = scd2_merge(spark.createDataFrame(rows, DIM_DDL), spark.createDataFrame(upd, UPD_DDL), SPEC, RUN).collect()
+    got = sorted((r.depot or "", r.unit or "", r.grade, r.dk, bool(r.is_current)) for r in out)
+    assert got == [("", "", "Z", 4, True), ("", "a", "X", 1, False), ("", "a", "Y", 1, True), ("d", "", "X", 2, True),
+                   ("d", "old", "X", 3, False)]
+
+
 def test_scd2_merge_same_day_replaces(spark):
-    dim = spark.createDataFrame([(1, 1, "W", 1, "n", "e", "A", RUN, OPEN, True)], DIM_DDL)
-    upd = spark.createDataFrame([("W", 1, "n", "e", "B")], UPD_DDL)
+    dim = spark.createDataFrame([(1, 1, "W", "a", "n", "A", RUN, OPEN, True)], DIM_DDL)
+    upd = spark.createDataFrame([("W", "a", "n", "B")], UPD_DDL)
     out = scd2_merge(dim, upd, SPEC, RUN).collect()
-    assert len(out) == 1 and out[0].category == "B" and out[0].sk == 1
+    assert len(out) == 1 and out[0].grade == "B" and out[0].sk == 1
 
 
 def test_scd2_merge_closed_key_left_alone_unless_reopen(spark):
-    dim = spark.createDataFrame([(1, 1, "W", 1, "n", "e", "A", D(2019, 1, 1), D(2019, 12, 31), False)],
+    dim = spark.createDataFrame([(1, 1, "W", "a", "n", "A", D(2015, 1, 1), D(2015, 12, 31), False)],
                                 DIM_DDL)
-    upd = spark.createDataFrame([("W", 1, "n", "e", "B")], UPD_DDL)
+    upd = spark.createDataFrame([("W", "a", "n", "B")], UPD_DDL)
     assert scd2_merge(dim, upd, SPEC, RUN).count() == 1
     reopened = scd2_merge(dim, upd, SPEC, RUN, reopen=True)
-    assert reopened.where("is_current").select("category", "dk").collect()[0] == ("B", 1)
+    assert reopened.where("is_current").select("grade", "dk").collect()[0] == ("B", 1)
 
 
 def test_current_view(spark):
     dim = spark.createDataFrame(DIM_ROWS, DIM_DDL)
     cur = current_view(dim, SPEC).collect()
     assert len(cur) == 4 and {r.dk for r in cur} == {1, 2, 3, 4}
-    assert "current_category" in cur[0].asDict()
+    assert "current_grade" in cur[0].asDict()
 
 
 def test_durable_and_surrogate_keys(spark):
     dim = spark.createDataFrame(DIM_ROWS, DIM_DDL).drop("sk", "dk")
-    keyed = assign_surrogate_keys(assign_durable_keys(dim, ["source_system", "source_id"]),
-                                  ["source_system", "source_id", "valid_from"])
-    got = {(r.source_system, r.source_id, r.valid_from): (r.sk, r.dk) for r in keyed.collect()}
-    assert got[("Trade", 1, D(2018, 2, 18))] == (1, 1)
-    assert got[("Website", 3, D(2019, 4, 19))] == (7, 4)
-    assert len({v[0] for v in got.values()}) == 7
+    keyed = assign_surrogate_keys(assign_durable_keys(dim, ["depot", "unit"]),
+                                  ["depot", "unit", "valid_from"])
+    got = {(r.depot, r.unit, r.valid_from): (r.sk, r.dk) for r in keyed.collect()}
+    assert got[("east", "pump", D(2012, 6, 9))] == (2, 1)
+    assert got[("west", "fan", D(2012, 12, 12))] == (5, 3)
+    assert got[("west", "pump", D(2015, 3, 3))] == (8, 4)
+    assert len({v[0] for v in got.values()}) == 8
+
+
+def test_keys_and_ranks_keep_null_rows(spark):
+    rows = [("a", 1), (None, 2), ("b", None), (None, 2), (None, None)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    dk = assign_durable_keys(df, ["k", "v"]).collect()
+    assert len(dk) == 5 and len({r.dk for r in dk}) == 4
+    assert sorted(r["rank"] for r in global_rank(df, ["v"]).collect()) == [1, 1, 3, 4, 4]
+    assert sorted(r["rank"] for r in global_rank(df, ["v"], method="dense_rank").collect()) == [1, 1, 2, 3, 3]
+    assert latest_by(df, ["k"], ["v"], keep="all").count() == 4      # a, b, and NULL with its tie
+    one = {(r.k, r.v) for r in latest_by(df, ["k"], ["v"]).collect()}
+    assert one == {("a", 1), ("b", None), (None, 2)}
+    num = row_number_within(df.dropDuplicates(), ["k"], ["v"])
+    assert sorted(r.row_no for r in num.where("k IS NULL").collect()) == [1, 2]
 
 
 def test_temporal_join_inclusive_and_unmatched_dropped(spark):
-    dim = spark.createDataFrame(DIM_ROWS, DIM_DDL).select(
-        "source_system", "source_id", "sk", "valid_from", "valid_to")
+    dim = spark.createDataFrame(DIM_ROWS, DIM_DDL).select("depot", "unit", "sk", "valid_from", "valid_to")
     facts = spark.createDataFrame(
-        [("Website", 1, D(2019, 7, 3)), ("Website", 1, D(2019, 7, 4)), ("Website", 1, D(2021, 2, 1)),
-         ("Website", 3, D(2019, 1, 1)), ("Website", 9, D(2020, 1, 1))],
-        "ss string, sid int, order_date date")
+        [("east", "pump", D(2012, 6, 8)), ("east", "pump", D(2012, 6, 9)), ("east", "pump", D(2020, 2, 1)),
+         ("west", "fan", D(2010, 1, 1)), ("east", "none", D(2014, 1, 1))],
+        "dep string, uni string, used_on date")
     for bucket in ("year", "month", None):
-        j = temporal_join(facts, dim, [("ss", "source_system"), ("sid", "source_id")],
-                          "order_date", bucket=bucket)
-        assert sorted((r.order_date, r.sk) for r in j.collect()) == [
-            (D(2019, 7, 3), 1), (D(2019, 7, 4), 2), (D(2021, 2, 1), 3)]
+        j = temporal_join(facts, dim, [("dep", "depot"), ("uni", "unit")], "used_on", bucket=bucket)
+        assert sorted((r.used_on, r.sk) for r in j.collect()) == [
+            (D(2012, 6, 8), 1), (D(2012, 6, 9), 2), (D(2020, 2, 1), 3)]
+        k = temporal_join(facts, dim, [("dep", "depot"), ("uni", "unit")], "used_on", bucket=bucket,
+                          unknown_member={"sk": -1})
+        assert sorted(r.sk for r in k.collect()) == [-1, -1, 1, 2, 3]
 
 
 def test_as_of_picks_version(spark):
     dim = spark.createDataFrame(DIM_ROWS, DIM_DDL)
-    may = {(r.source_system, r.source_id): r.category for r in as_of(dim, "2020-04-30").collect()}
-    assert may[("Website", 1)] == "Regular"
+    then = {(r.depot, r.unit): r.grade for r in as_of(dim, "2014-01-19").collect()}
+    assert then[("east", "pump")] == "B" and ("west", "pump") in then
 
 
 def test_calendar_first_day_and_monday_first(spark):
