@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.operators.ordered import fill_within_key, next_within_key
+from dimsmith.operators.same_key import same_key_join
 
 START_AT = "start_at"
 END_AT = "end_at"
@@ -68,13 +69,24 @@ def _cond(expr: str | Column | None) -> Column | None:
     return F.expr(expr) if isinstance(expr, str) else expr
 
 
-def _drop_truncated(df: DataFrame, spec: ChangeSpec) -> DataFrame:
+def truncate_rows(df: DataFrame, spec: ChangeSpec) -> DataFrame | None:
+    """The feed's truncate events (after the source filter)."""
+    trunc = _cond(spec.apply_as_truncates)
+    if trunc is None:
+        return None
+    where = _cond(spec.where)
+    return (df if where is None else df.where(where)).where(trunc)
+
+
+def _drop_truncated(df: DataFrame, spec: ChangeSpec, at: Column | None) -> DataFrame:
+    """Changes later than the latest truncate (``at``, or the feed's own)."""
     trunc = _cond(spec.apply_as_truncates)
     if trunc is None:
         return df
-    # Scalar subquery: the latest truncate sequence, planned once, no join.
-    last = df.where(trunc).agg(F.max(spec.sequence_by).alias("_t")).scalar()
-    return df.where(last.isNull() | (F.col(spec.sequence_by) > last))
+    if at is None:
+        # Scalar subquery: the latest truncate sequence, planned once, no join.
+        at = df.where(trunc).agg(F.max(spec.sequence_by).alias("_t")).scalar()
+    return df.where(at.isNull() | (F.col(spec.sequence_by) > at))
 
 
 def _dedupe(df: DataFrame, spec: ChangeSpec, carry: list[str]) -> DataFrame:
@@ -89,16 +101,19 @@ def _dedupe(df: DataFrame, spec: ChangeSpec, carry: list[str]) -> DataFrame:
             .select(*group, *[F.col(f"_b.{c}").alias(c) for c in rest]))
 
 
-def prepare_changes(source: DataFrame, spec: ChangeSpec) -> tuple[DataFrame, list[str], bool]:
+def prepare_changes(source: DataFrame, spec: ChangeSpec, truncated_at: Column | None = None
+                    ) -> tuple[DataFrame, list[str], bool]:
     """Filter, truncate, flag deletes, project and dedupe a change feed.
 
+    ``truncated_at``: the latest truncate known, where it is not the feed's own.
+
     Returns (keys + sequence + attributes [+ _is_delete], attributes, has_delete).
     """
     df = source
     where = _cond(spec.where)
     if where is not None:
         df = df.where(where)
-    df = _drop_truncated(df, spec)
+    df = _drop_truncated(df, spec, truncated_at)
     attrs = spec.attributes(df)
     delete = _cond(spec.apply_as_deletes)
     carry = attrs + [c for c in spec.tiebreak if c not in attrs]
@@ -124,7 +139,7 @@ def _scd1(df: DataFrame, spec: ChangeSpec, attrs: list[str], has_delete: bool,
         # Values before the latest delete of a key must not leak into a re-insert.
         last_del = (df.where("_is_delete").groupBy(*keys)
                     .agg(F.max(seq).alias("_last_del")))
-        df = (df.join(last_del, keys, "left")
+        df = (same_key_join(df, last_del, keys, "left")
                 .where(F.col("_last_del").isNull() | (F.col(seq) >= F.col("_last_del")))
                 .drop("_last_del"))
     fields = order + [a for a in attrs if a not in order] + (["_is_delete"] if has_delete else [])

@@ -1,88 +1,191 @@
 """Incremental apply-changes: a change stream maintains a keyed target.
 
-Parquet has no MERGE, so the target is a series of snapshots ``v=<batch_id>``
-(see ``dimsmith.sinks.files``). For every micro-batch, in ``foreachBatch``:
-
-1. normalise the batch exactly like the batch operator (``prepare_changes``);
-2. split the previous snapshot into keys touched by the batch (semi join) and
-   untouched keys (anti join) — only touched keys are recomputed;
-3. SCD 1: previous row + batch changes -> greatest sequence per key; deletes
-   are stored as tombstones so a late, older change cannot revive a key;
-   SCD 2: stored versions and delete markers are turned back into changes
-   and the key's chain is rebuilt with ``next_within_key``, which splices
-   late rows in (a delete that arrives before the version it closes is kept
-   as a marker until then);
-4. write untouched ∪ recomputed as version ``batch_id``. A batch whose
-   version already exists (replay after a crash) is skipped, so the result is
-   exactly-once and independent of how the feed is split into batches.
-
-Large targets: ``buckets=N`` stores the target partitioned by
-``pmod(xxhash64(keys), N)`` and each batch rewrites only the buckets it
-touches (Spark's dynamic partition overwrite). The merge of a batch into a
-bucket is idempotent (greatest sequence wins; replayed changes equal to stored
-ones are dropped), so a batch replayed after a crash — even one that had
-rewritten some of its buckets — changes nothing further.
+Parquet has no MERGE, so the target is kept in ``buckets`` parts by
+``pmod(xxhash64(keys), buckets)``; a batch rewrites only the buckets it
+touches, each as a new version, and commits with one small manifest:
+
+    <root>/data/v=<batch>/_bucket=<b>/...   what batch <batch> wrote
+    <root>/manifest/<batch>.json            bucket -> version, bucket count,
+                                            greatest truncate, rows upserted
+
+For every micro-batch, in ``foreachBatch``:
+
+1. a batch whose manifest exists (replay after a crash) is skipped; a crash
+   before the manifest leaves the old versions in force and the replay writes
+   its own version anew, so readers see whole batches only;
+2. the batch is normalised like the batch operator (``prepare_changes``) and
+   persisted, as it is used several times;
+3. keys touched by the batch are recomputed from stored rows and changes, other
+   keys of a touched bucket are carried over;
+   SCD 1: greatest sequence per key; deletes are stored as tombstones so a
+   late, older change cannot revive a key;
+   SCD 2: stored versions and delete markers are turned back into changes and
+   the key's chain is rebuilt with ``next_within_key``, which splices late rows
+   in; on an equal (key, sequence) the greater tie-break wins, stored or new;
+4. the greatest truncate sequence is kept with the target: rows at or below it
+   vanish in every later batch and in what readers see.
+
+So the result does not depend on how the feed is split into batches. NULL key
+parts are equal to each other. The bucket count belongs to the target: another
+one is refused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dimsmith.operators.cdc import START_AT, ChangeSpec, _scd1, _scd2, prepare_changes
-from dimsmith.sinks.files import _versions, write_snapshot
+from dimsmith.operators.cdc import (START_AT, ChangeSpec, _dedupe, _scd1, _scd2, prepare_changes,
+                                    truncate_rows)
+from dimsmith.operators.same_key import same_key_join
+from dimsmith.sinks.files import _fs
 
 TOMBSTONE = "_is_delete"
 BUCKET = "_bucket"
+#: For targets of some GB; size it so that one bucket is a few GB at most.
+DEFAULT_BUCKETS = 8
+
+
+# ------------------------------------------------------------ manifests
+def _manifest_ids(spark: SparkSession, root: str) -> list[int]:
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/manifest")
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _manifest(spark: SparkSession, root: str, batch_id: int) -> dict:
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/manifest/{batch_id}.json")
+    stream = fs.open(p)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, root: str, batch_id: int, manifest: dict) -> None:
+    """Write the manifest under a temporary name and rename it: all or nothing."""
+    fs, tmp, jvm = _fs(spark, f"{root.rstrip('/')}/manifest/.{batch_id}-{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
+    finally:
+        out.close()
+    final = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/manifest/{batch_id}.json")
+    if not fs.rename(tmp, final):
+        raise RuntimeError(f"manifest {batch_id} of {root} was not committed")
+
+
+def upserted_rows(spark: SparkSession, root: str, after: int = -1) -> int:
+    """Rows written for touched keys by the batches later than ``after``."""
+    return sum(_manifest(spark, root, b)["upserted"] for b in _manifest_ids(spark, root) if b > after)
+
+
+def last_batch(spark: SparkSession, root: str) -> int:
+    ids = _manifest_ids(spark, root)
+    return ids[-1] if ids else -1
+
+
+def vacuum_target(spark: SparkSession, root: str) -> int:
+    """Delete data versions that the newest manifest does not use; how many."""
+    ids = _manifest_ids(spark, root)
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/data")
+    if not ids or not fs.exists(p):
+        return 0
+    used = {f"v={v}" for v in _manifest(spark, root, ids[-1])["versions"].values()}
+    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName() not in used]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)
 
 
-def _previous(spark: SparkSession, root: str, before: int) -> DataFrame | None:
-    older = [v for v in _versions(spark, root) if v < before]
-    return spark.read.parquet(f"{root.rstrip('/')}/v={older[-1]}") if older else None
+def _stored(spark: SparkSession, root: str, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
+    paths = [f"{root.rstrip('/')}/data/v={v}/{BUCKET}={b}" for b, v in manifest["versions"].items()
+             if buckets is None or int(b) in buckets]
+    if not paths:
+        return None
+    schema = T.StructType.fromJson(manifest["schema"])
+    return spark.read.schema(schema).parquet(*paths)
+
+
+# ------------------------------------------------------------ merge
+def _sequence_of(spec: ChangeSpec) -> str:
+    return START_AT if spec.stored_as_scd_type == 2 else spec.sequence_by
+
+
+def _after_truncate(stored: DataFrame, spec: ChangeSpec, at: Column | None) -> DataFrame:
+    """Stored rows (and column values) that a truncate at ``at`` leaves."""
+    if at is None:
+        return stored
+    out = stored.where(F.col(_sequence_of(spec)) > at)
+    for c in stored.columns:
+        if c.startswith("_pos_"):
+            live = F.col(f"{c}.{spec.sequence_by}") > at
+            value = c[len("_pos_"):]
+            if value in stored.columns and value not in (spec.sequence_by, *spec.tiebreak):
+                out = out.withColumn(value, F.when(live, F.col(value)))
+            out = out.withColumn(c, F.when(live, F.col(c)))
+    if "_last_del" in stored.columns:
+        out = out.withColumn("_last_del", F.when(F.col(f"_last_del.{spec.sequence_by}") > at, F.col("_last_del")))
+    return out
 
 
-def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec) -> DataFrame:
-    """Next stored snapshot from the previous one and one batch of changes."""
-    changes, attrs, has_delete = prepare_changes(batch, spec)
+def merge_batch(prev: DataFrame | None, batch: DataFrame, spec: ChangeSpec,
+                truncated_at: Column | None = None, recompute_all: bool = False,
+                written: Observation | None = None) -> DataFrame:
+    """Next stored rows from the previous ones and one batch of changes.
+
+    ``recompute_all`` rebuilds every stored key, not only touched ones;
+    ``written`` observes the visible rows of rebuilt keys (``rows``).
+    """
+    changes, attrs, has_delete = prepare_changes(batch, spec, truncated_at)
     keys, seq = spec.keys, spec.sequence_by
     if not has_delete:
         changes = changes.withColumn(TOMBSTONE, F.lit(False))
     # Tie-break columns travel with the stored rows so late changes still order.
     attrs = attrs + [c for c in spec.tiebreak if c not in attrs and c not in keys and c != seq]
     changes = changes.select(*keys, seq, *attrs, TOMBSTONE)
-    touched = changes.select(*keys).distinct()
+    old = rest = None
+    if prev is not None:
+        prev = _after_truncate(prev, spec, truncated_at)
+        if recompute_all:
+            old = prev
+        else:
+            touched = changes.select(*keys).distinct()
+            old = same_key_join(prev, touched, keys, "left_semi")
+            rest = same_key_join(prev, touched, keys, "left_anti")
 
     if spec.stored_as_scd_type == 1 and spec.ignore_null_updates:
-        return _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched)
-
-    if spec.stored_as_scd_type == 1:
-        if prev is None:
-            return _scd1(changes, spec, attrs, True, keep_tombstones=True)
-        old = prev.join(touched, keys, "left_semi").select(*keys, seq, *attrs, TOMBSTONE)
-        rest = prev.join(touched, keys, "left_anti")
-        fresh = _scd1(old.unionByName(changes), spec, attrs, True, keep_tombstones=True)
-        return rest.unionByName(fresh.select(*prev.columns))
-
-    # With ignore-null updates the stored versions hold filled values; the raw
-    # change values travel in hidden columns so a touched key's whole chain is
-    # re-filled from raw values (a late change may fill the versions after it).
-    raw = [f"_raw_{a}" for a in attrs] if spec.ignore_null_updates else []
-    if raw:
-        changes = changes.select(*changes.columns, *[F.col(a).alias(f"_raw_{a}") for a in attrs])
-    if prev is None:
-        return _scd2(changes, spec, attrs, True, keep_tombstones=True, carry=raw)
-    old = prev.join(touched, keys, "left_semi")
-    rest = prev.join(touched, keys, "left_anti")
-    values = [F.col(f"_raw_{a}").alias(a) for a in attrs] if raw else attrs
-    stored = old.select(*keys, F.col(START_AT).alias(seq), *values, TOMBSTONE, *raw)
-    # A replayed change equal to a stored one keeps the stored copy.
-    chain = stored.unionByName(changes.join(stored.select(*keys, seq), keys + [seq], "left_anti"))
-    fresh = _scd2(chain, spec, attrs, True, keep_tombstones=True, carry=raw)
-    return rest.unionByName(fresh.select(*rest.columns))
-
-
-def _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched):
+        fresh = _merge_scd1_ignore_nulls(old, changes, spec, attrs)
+    elif spec.stored_as_scd_type == 1:
+        rows = changes if old is None else old.select(*keys, seq, *attrs, TOMBSTONE).unionByName(changes)
+        fresh = _scd1(rows, spec, attrs, True, keep_tombstones=True)
+    else:
+        # With ignore-null updates the stored versions hold filled values; the raw
+        # change values travel in hidden columns so a touched key's whole chain is
+        # re-filled from raw values (a late change may fill the versions after it).
+        raw = [f"_raw_{a}" for a in attrs] if spec.ignore_null_updates else []
+        chain = changes.select(*changes.columns, *[F.col(a).alias(f"_raw_{a}") for a in attrs]) if raw else changes
+        if old is not None:
+            values = [F.col(f"_raw_{a}").alias(a) for a in attrs] if raw else attrs
+            stored = old.select(*keys, F.col(START_AT).alias(seq), *values, TOMBSTONE, *raw)
+            if spec.tiebreak:
+                chain = _dedupe(stored.unionByName(chain), spec, [*attrs, TOMBSTONE, *raw])
+            else:       # (key, sequence) is unique: an equal change is the stored one, replayed
+                chain = stored.unionByName(same_key_join(chain, stored.select(*keys, seq), [*keys, seq], "left_anti"))
+        fresh = _scd2(chain, spec, attrs, True, keep_tombstones=True, carry=raw)
+    if written is not None:
+        fresh = fresh.observe(written, F.count_if(~F.col(TOMBSTONE)).alias("rows"))
+    return fresh if rest is None else rest.unionByName(fresh.select(*rest.columns))
+
+
+def _merge_scd1_ignore_nulls(old, changes, spec, attrs):
     """SCD 1 + IGNORE NULL UPDATES, order-independent across batches: the
     target keeps, per column, the sequence of the value it holds (``_pos_c``)
     and the key's latest delete (``_last_del``), so a late change is merged per
@@ -94,43 +197,50 @@ def _merge_scd1_ignore_nulls(prev, changes, spec, attrs, touched):
         *keys, *order, *[a for a in attrs if a not in order], TOMBSTONE,
         *[pos(a).alias(f"_pos_{a}") for a in attrs],
         F.when(F.col(TOMBSTONE), F.struct(*[F.col(o) for o in order])).alias("_last_del"))
-    rest = None
-    if prev is not None:
-        old = prev.join(touched, keys, "left_semi").select(*rows.columns)
-        rest = prev.join(touched, keys, "left_anti")
-        rows = old.unionByName(rows)
+    if old is not None:
+        rows = old.select(*rows.columns).unionByName(rows)
     agg = rows.groupBy(*keys).agg(
         F.max(F.struct(*[F.col(o) for o in order], F.col(TOMBSTONE))).alias("_l"),
         F.max("_last_del").alias("_last_del"),
         *[F.max(F.struct(F.col(f"_pos_{a}").alias("p"), F.col(a).alias("v"))).alias(f"_n_{a}")
           for a in attrs])
     live = lambda a: F.col("_last_del").isNull() | (F.col(f"_n_{a}.p") > F.col("_last_del"))
-    fresh = agg.select(
+    return agg.select(
         *keys, *[F.col(f"_l.{o}").alias(o) for o in order],
         *[F.when(live(a), F.col(f"_n_{a}.v")).alias(a) for a in attrs if a not in order],
         F.col(f"_l.{TOMBSTONE}").alias(TOMBSTONE),
         *[F.when(live(a), F.col(f"_n_{a}.p")).alias(f"_pos_{a}") for a in attrs],
         "_last_del")
-    return fresh if rest is None else rest.unionByName(fresh.select(*rest.columns))
 
 
 def visible(stored: DataFrame, spec: ChangeSpec) -> DataFrame:
     """What readers see: delete markers (tombstones) and bookkeeping removed."""
     hidden = [c for c in stored.columns
               if c.startswith(("_pos_", "_raw_")) or c == "_last_del"]
+    unwanted = {c.lower() for c in spec.except_columns or []}
+    hidden += [c for c in spec.tiebreak if c in stored.columns and c not in spec.keys
+               and (c.lower() in unwanted or spec.columns and c not in spec.columns)]
     if TOMBSTONE in stored.columns:
         stored = stored.where(~F.col(TOMBSTONE)).drop(TOMBSTONE)
     return stored.drop(*hidden)
 
 
 def read_target(spark: SparkSession, root: str, spec: ChangeSpec) -> DataFrame | None:
-    from dimsmith.sinks.files import exists
-    if exists(spark, f"{root.rstrip('/')}/_bucketed"):
-        return visible(spark.read.parquet(root).drop(BUCKET), spec)
-    v = _versions(spark, root)
-    if not v:
+    """The target as of its newest committed batch."""
+    ids = _manifest_ids(spark, root)
+    if not ids:
         return None
-    return visible(spark.read.parquet(f"{root.rstrip('/')}/v={v[-1]}"), spec)
+    manifest = _manifest(spark, root, ids[-1])
+    stored = _stored(spark, root, manifest)
+    if stored is None:
+        stored = spark.createDataFrame([], T.StructType.fromJson(manifest["schema"]))
+    return visible(_after_truncate(stored, spec, _truncated(manifest, stored, spec)), spec)
+
+
+def _truncated(manifest: dict | None, like: DataFrame | None, spec: ChangeSpec) -> Column | None:
+    if not manifest or manifest.get("truncated_at") is None or like is None:
+        return None
+    return F.lit(manifest["truncated_at"]).cast(like.schema[_sequence_of(spec)].dataType)
 
 
 def _bucket_of(spec: ChangeSpec, n: int):
@@ -138,41 +248,70 @@ def _bucket_of(spec: ChangeSpec, n: int):
 
 
 def merge_into_buckets(spark: SparkSession, batch: DataFrame, spec: ChangeSpec, root: str,
-                       buckets: int) -> None:
-    """Rewrite only the target buckets holding keys of ``batch``."""
-    from dimsmith.sinks.files import _fs, exists
-    touched = [r[0] for r in batch.select(_bucket_of(spec, buckets).alias(BUCKET))
-               .distinct().collect()]          # at most ``buckets`` small ints
-    if not touched:
-        return
-    prev = None
-    if exists(spark, f"{root.rstrip('/')}/_bucketed"):
-        prev = (spark.read.parquet(root).where(F.col(BUCKET).isin(touched)).drop(BUCKET))
-    fresh = merge_batch(prev, batch, spec).withColumn(BUCKET, _bucket_of(spec, buckets))
-    fresh = fresh.checkpoint(eager=True)     # never overwrite what is being read
-    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(root))
-    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/_bucketed")
-    if not fs.exists(p):
-        fs.create(p, True).close()
+                       buckets: int, batch_id: int) -> None:
+    """Rewrite the target buckets that hold keys of ``batch`` and commit."""
+    root = root.rstrip("/")
+    ids = _manifest_ids(spark, root)
+    if batch_id in ids:
+        return                                  # committed before a restart
+    last = _manifest(spark, root, ids[-1]) if ids else None
+    if last and last["buckets"] != buckets:
+        raise ValueError(f"{root} has {last['buckets']} buckets, not {buckets}; "
+                         "a target keeps its bucket count (full refresh to change it)")
+    batch = batch.persist()
+    try:
+        seq_type = batch.schema[spec.sequence_by].dataType
+        mark = last.get("truncated_at") if last else None
+        before = mark
+        trunc = truncate_rows(batch, spec)
+        if trunc is not None:
+            newest = trunc.agg(F.max(spec.sequence_by).alias("t")).select(
+                F.greatest("t", F.lit(mark).cast(seq_type)).cast("string")).first()[0]
+            mark = newest if newest is not None else mark
+        at = None if mark is None else F.lit(mark).cast(seq_type)
+        changes, _, _ = prepare_changes(batch, spec, at)
+        touched = [r[0] for r in changes.select(_bucket_of(spec, buckets).alias(BUCKET))
+                   .distinct().collect()]          # at most ``buckets`` small ints
+        versions = dict(last["versions"]) if last else {}
+        # filled values of untouched keys may come from rows that are truncated now
+        refill = mark != before and spec.ignore_null_updates and spec.stored_as_scd_type == 2
+        if refill:
+            touched = sorted({*touched, *map(int, versions)})
+        prev = _stored(spark, root, last, touched) if last else None
+        written = Observation(f"written_{uuid.uuid4().hex[:8]}")
+        fresh = merge_batch(prev, batch, spec, at, refill, written)
+        manifest = {"buckets": buckets, "versions": versions, "truncated_at": mark,
+                    "schema": fresh.schema.jsonValue(), "upserted": 0}
+        if touched:
+            path = f"{root}/data/v={batch_id}"
+            (fresh.withColumn(BUCKET, _bucket_of(spec, buckets)).repartition(F.col(BUCKET), _spread(spec))
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+            fs, p, _ = _fs(spark, path)
+            have = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p)
+                    if s.getPath().getName().startswith(f"{BUCKET}=")}
+            for b in touched:
+                versions.pop(str(b), None)
+            versions |= {str(b): batch_id for b in have}
+            manifest["upserted"] = int(written.get["rows"])
+        _commit(spark, root, batch_id, manifest)
+    finally:
+        batch.unpersist()
+
+
+def _spread(spec: ChangeSpec) -> Column:
+    """A few writers per bucket, by other hash bits, so one large bucket is not one task."""
+    return F.pmod(F.shiftright(F.xxhash64(*[F.col(k) for k in spec.keys]), 32), F.lit(4))
 
 
 def apply_changes_stream(changes: DataFrame, spec: ChangeSpec, target_root: str,
                          checkpoint: str, available_now: bool = True,
                          processing_time: str | None = None,
                          buckets: int | None = None) -> StreamingQuery:
-    """Start the incremental apply; triggered (availableNow) or continuous.
-    ``buckets``: bucket-partitioned target, only touched buckets rewritten."""
-    spark = changes.sparkSession
+    """Start the incremental apply; triggered (availableNow) or continuous."""
+    spark, n = changes.sparkSession, buckets or DEFAULT_BUCKETS
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if buckets:
-            merge_into_buckets(spark, batch, spec, target_root, buckets)
-            return
-        if int(batch_id) in _versions(spark, target_root):
-            return  # committed before a restart: replay is a no-op
-        prev = _previous(spark, target_root, int(batch_id))
-        write_snapshot(merge_batch(prev, batch, spec), target_root, version=int(batch_id))
+        merge_into_buckets(spark, batch, spec, target_root, n, int(batch_id))
 
     writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = (writer.trigger(availableNow=True) if available_now

@@ -34,13 +34,13 @@ def ingest_files(stream: DataFrame, target: str, checkpoint: str,
     return writer.start()
 
 
-def run_to_end(query: StreamingQuery) -> list[dict]:
-    """Wait for a triggered query; return its progress reports."""
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait for a triggered query; raise its error, if any. (For counts over a
+    run see ``progress.ProgressTotals``: ``recentProgress`` is cut.)"""
     query.awaitTermination()
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(str(exc))
-    return [p if isinstance(p, dict) else p.__dict__ for p in query.recentProgress]
 
 
 def stream_join(left: DataFrame, right: DataFrame, on: Column | Sequence[str] | str,

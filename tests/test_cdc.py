@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -169,32 +170,74 @@ def test_bucketed_target_rewrites_only_touched_buckets_and_replays_cleanly(spark
     import os
     import tempfile
 
-    from dimsmith.streaming.apply_changes import merge_into_buckets, read_target
+    from dimsmith.streaming.apply_changes import merge_into_buckets, read_target, vacuum_target
 
     root = tempfile.mkdtemp(prefix="dimsmith-buckets-") + "/target"
     src = _random_feed(spark, n=300, keys=40)
     spec = ChangeSpec(["id"], "seq", 2, except_columns=["op"], apply_as_deletes="op = 'delete'")
-    merge_into_buckets(spark, src, spec, root, buckets=8)
+    merge_into_buckets(spark, src, spec, root, buckets=8, batch_id=0)
     whole = apply_changes(src, spec)
     cols = whole.columns
     assert rows(read_target(spark, root, spec), *cols) == rows(whole, *cols)
-
-    def stamps():
-        out = {}
-        for d in os.listdir(root):
-            if d.startswith("_bucket="):
-                out[d] = sorted(os.path.getmtime(f"{root}/{d}/{f}") for f in os.listdir(f"{root}/{d}"))
-        return out
-
-    before = stamps()
     one = feed(spark, [(3, dt.datetime(2030, 1, 1), "late", "upsert")])
-    merge_into_buckets(spark, one, spec, root, buckets=8)
-    after = stamps()
-    changed = [b for b in before if before[b] != after.get(b)]
-    assert len(changed) == 1                      # only key 3's bucket was rewritten
-    merge_into_buckets(spark, one, spec, root, buckets=8)   # replay: no change
+    merge_into_buckets(spark, one, spec, root, buckets=8, batch_id=1)
+    assert [d for d in os.listdir(f"{root}/data/v=1") if d.startswith("_bucket=")].__len__() == 1
+    merge_into_buckets(spark, one, spec, root, buckets=8, batch_id=1)   # replay: no change
     expect = apply_changes(src.unionByName(one), spec)
     assert rows(read_target(spark, root, spec), *cols) == rows(expect, *cols)
+    # another bucket count would leave stale buckets behind: refused
+    with pytest.raises(ValueError, match="8 buckets"):
+        merge_into_buckets(spark, one, spec, root, buckets=4, batch_id=2)
+    # files written by a batch that did not commit are not read, and are replaced by the replay
+    late = feed(spark, [(3, dt.datetime(2031, 1, 1), "later", "upsert"), (5, dt.datetime(2031, 1, 1), "x", "upsert")])
+    merge_into_buckets(spark, late, spec, root, buckets=8, batch_id=2)
+    os.remove(f"{root}/manifest/2.json")
+    assert rows(read_target(spark, root, spec), *cols) == rows(expect, *cols)
+    merge_into_buckets(spark, late, spec, root, buckets=8, batch_id=2)
+    both = apply_changes(src.unionByName(one).unionByName(late), spec)
+    assert rows(read_target(spark, root, spec), *cols) == rows(both, *cols)
+    assert vacuum_target(spark, root) == 1          # bucket 3 of batch 1 is no longer used
+    assert rows(read_target(spark, root, spec), *cols) == rows(both, *cols)
+
+
+def _in_batches(spark, parts, spec, **options):
+    import tempfile
+
+    from dimsmith.streaming.apply_changes import merge_into_buckets, read_target
+    root = tempfile.mkdtemp(prefix="dimsmith-batches-") + "/target"
+    for i, part in enumerate(parts):
+        merge_into_buckets(spark, part, spec, root, buckets=3, batch_id=i, **options)
+    return read_target(spark, root, spec)
+
+
+@pytest.mark.parametrize("scd", [1, 2])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_truncate_holds_across_batches(spark, scd, nulls):
+    day = lambda d: dt.datetime(2024, 1, d)
+    data = [(1, day(1), "a", "upsert"), (2, day(2), None, "upsert"), (1, day(3), "x", "truncate"),
+            (2, day(4), "late", "upsert"), (1, day(2), "old", "upsert"), (3, day(5), None, "upsert"), (2, day(6), None, "upsert")]
+    src = feed(spark, data)
+    spec = ChangeSpec(["id"], "seq", scd, except_columns=["op"], apply_as_truncates="op = 'truncate'",
+                      ignore_null_updates=nulls)
+    whole = apply_changes(src, spec)
+    for cut in (2, 3, 5):
+        for flip in (False, True):
+            parts = [feed(spark, data[:cut]), feed(spark, data[cut:])]
+            got = _in_batches(spark, parts[::-1] if flip else parts, spec)
+            assert rows(got, *whole.columns) == rows(whole, *whole.columns), (cut, flip)
+
+
+@pytest.mark.parametrize("scd", [1, 2])
+def test_tie_break_and_null_keys_across_batches(spark, scd):
+    day = lambda d: dt.datetime(2024, 1, d)
+    data = [(1, day(1), "old", "a"), (1, day(1), "new", "b"), (None, day(1), "n1", "a"), (None, day(2), "n2", "a"),
+            (None, day(2), "n3", "c"), (2, day(5), "z", "a")]
+    spec = ChangeSpec(["id"], "seq", scd, tiebreak=["op"])
+    whole = apply_changes(feed(spark, data), spec)
+    assert whole.where("id IS NULL").count() == scd
+    for parts in ([data[:1], data[1:]], [data[1:], data[:1]], [[x] for x in data], [[x] for x in reversed(data)]):
+        got = _in_batches(spark, [feed(spark, p) for p in parts], spec)
+        assert rows(got, *whole.columns) == rows(whole, *whole.columns)
 
 
 def test_incremental_ignore_nulls_is_split_invariant(spark):
