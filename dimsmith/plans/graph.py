@@ -22,27 +22,34 @@
   rejected: a stream needs an append-only source.
 * Expectations are observed while the table is written; per-run metrics go to
   the event log (``root/system/events``) as create_update / flow_progress rows.
-* ``run(full_refresh=[…])`` starts those streaming tables over: new
-  checkpoint and new output generation (e.g. after adding columns).
+* ``run(full_refresh=[…])`` starts those streaming tables over (new checkpoint,
+  new output generation, file schemas inferred anew), and with them every
+  dataset that streams from one of them, directly or through a view.
+* SQL bodies read other datasets by name, ``FROM orders`` or ``FROM
+  live.orders`` as a table and ``FROM STREAM(orders)`` as a stream.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.operators.cdc import ChangeSpec
 from dimsmith.plans.eventlog import log_rows
-from dimsmith.plans.quality import Expectation, expectations_from, metrics_of
+from dimsmith.plans.quality import (Expectation, apply_actions, expectations_from, metric_columns,
+                                    metrics_of)
 from dimsmith.sinks.files import _fs, append, latest_snapshot_path, write_snapshot
 from dimsmith.sources.files import read_file_stream
-from dimsmith.streaming.apply_changes import apply_changes_stream, read_target
+from dimsmith.streaming.apply_changes import (apply_changes_stream, last_batch, read_target,
+                                              upserted_rows)
+from dimsmith.streaming.progress import ProgressTotals
 
 
 @dataclass
@@ -87,14 +94,33 @@ class _Context:
                                 provenance=provenance)
 
     def sql(self, query: str) -> DataFrame:
-        """SQL body: other datasets are visible under their own names."""
-        for name in self.graph._datasets:
-            if name != self.reader and name.lower() in query.lower():
-                self._register_view(name)
-        return self.spark.sql(query)
-
-    def _register_view(self, name: str) -> None:
-        self.read(name).createOrReplaceTempView(name)
+        """SQL body: datasets named after FROM or JOIN are read under their own
+        names; ``live.`` before a name is dropped, ``STREAM(name)`` streams."""
+        known = {n.lower(): n for n in self.graph._datasets if n != self.reader}
+        text = re.sub(r"(?i)\blive\.(?=`?\w)", "", query)
+        tables = {known[n] for n in table_names(text) if n in known}
+
+        def stream(m: re.Match) -> str:
+            name = known.get(m[1].lower())
+            if name is None:
+                raise GraphError(f"{self.reader} streams from unknown dataset {m[1]}")
+            view = f"{name}__stream" if name in tables else name
+            self.read_stream(name).createOrReplaceTempView(view)
+            return f"`{view}`"
+        text = re.sub(r"(?i)\bstream\s*\(\s*`?(\w+)`?\s*\)", stream, text)
+        for name in tables:
+            self.read(name).createOrReplaceTempView(name)
+        return self.spark.sql(text)
+
+
+def table_names(query: str) -> set[str]:
+    """Lower-case names that follow FROM, JOIN or a comma of a FROM list."""
+    plain = re.sub(r"'(?:[^'\\]|\\.|'')*'|--[^\n]*|/\*.*?\*/", " ", query, flags=re.S)
+    name = r"`?(\w+)`?(?![\w`]|\s*\()"
+    found = re.findall(rf"(?i)\b(?:from|join)\s+{name}", plain)
+    for more in re.findall(r"(?i)\bfrom\s+((?:`?\w+`?(?:\s+(?:as\s+)?\w+)?\s*,\s*)+`?\w+`?)", plain):
+        found += [re.match(r"\s*`?(\w+)", part)[1] for part in more.split(",")]
+    return {f.lower() for f in found}
 
 
 class TableGraph:
@@ -105,6 +131,10 @@ class TableGraph:
         self._resolving: set[str] = set()
         self._metrics: dict[str, dict] = {}
         self._full_refresh: set[str] = set()
+        self._view_tags: dict[str, str] = {}
+        self._view_counts: dict[str, Observation] = {}
+        self._readers: dict[str, set[str]] = {}
+        self._totals: ProgressTotals | None = None
         self._continuous: str | None = None
         self._running: dict = {}
 
@@ -166,8 +196,11 @@ class TableGraph:
         if name not in self._datasets:
             raise GraphError(f"{reader} reads unknown dataset {name}")
         ds = self._datasets[name]
+        self._readers.setdefault(name, set()).add(reader)
         if ds.kind == "view":
             df = self._materialise(name)
+            if name in self._full_refresh:
+                self._full_refresh.add(reader)
             if stream and not df.isStreaming:
                 raise GraphError(f"{reader} streams from view {name}, which is not a stream")
             return df
@@ -181,6 +214,8 @@ class TableGraph:
                 raise GraphError(
                     f"{reader} streams from full-refresh table {name}; a stream needs an "
                     "append-only source (declare the source as a streaming table)")
+            if name in self._full_refresh:      # its files were replaced
+                self._full_refresh.add(reader)
             schema = ds.schema if ds.schema is not None else self._schema(name)
             return self.spark.readStream.schema(schema).parquet(self.table_path(name))
         if ds.streaming:
@@ -203,10 +238,12 @@ class TableGraph:
             if ds.kind == "changes":
                 out = self._run_changes(ds)
             else:
+                if name in self._full_refresh:
+                    self._drop_schema(name)
                 df = ds.fn(_Context(self, name))
                 ds.streaming = df.isStreaming
                 if ds.kind == "view":
-                    out = self._apply_rules(ds, df)[0] if ds.rules else df
+                    out = self._view_rules(ds, df) if ds.rules else df
                 elif df.isStreaming:
                     out = self._run_stream(ds, df)
                 else:
@@ -218,84 +255,77 @@ class TableGraph:
         self._done[name] = out
         return out
 
-    def _apply_rules(self, ds: Dataset, df: DataFrame):
-        from dimsmith.plans.quality import apply_expectations
-        return apply_expectations(df, ds.rules, ds.name)
+    def _view_rules(self, ds: Dataset, df: DataFrame) -> DataFrame:
+        """A view's rules are counted while the first table that reads it is written."""
+        tag = f"v_{ds.name}_{uuid.uuid4().hex[:8]}"
+        if df.isStreaming:
+            self._view_tags[tag] = ds.name
+            return apply_actions(df.observe(tag, *metric_columns(ds.rules)), ds.rules, ds.name)
+        self._view_counts[ds.name] = counts = Observation(tag)
+        return apply_actions(df.observe(counts, *metric_columns(ds.rules)), ds.rules, ds.name)
+
+    def _log_views(self, totals: Mapping[str, Mapping[str, int]]) -> None:
+        for tag, values in totals.items():
+            view = self._view_tags.get(tag)
+            if view and view not in self._metrics and values:
+                self._metrics[view] = metrics_of(values, self._datasets[view].rules, view)
+
+    def _is_written(self, name: str) -> bool:
+        """Whether a table of this run has read the view, directly or through views."""
+        return any(r in self._datasets and (self._datasets[r].kind != "view" or self._is_written(r))
+                   for r in self._readers.get(name, ()))
 
     def _run_stream(self, ds: Dataset, df: DataFrame) -> None:
         if ds.name in self._full_refresh:
             self._bump_generation(ds.name)
         tag = f"q_{ds.name}_{uuid.uuid4().hex[:8]}"
+        out = df
         if ds.rules:
-            from dimsmith.plans.quality import _metric_columns
-            out = df.observe(tag, *_metric_columns(ds.rules))
-            for r in ds.rules:
-                if r.action == "fail":
-                    msg = F.lit(f"expectation {r.name} failed on {ds.name}: {r.predicate}")
-                    out = out.where(F.when(r.passes, F.lit(True)).otherwise(F.raise_error(msg)))
-            for r in ds.rules:
-                if r.action == "drop":
-                    out = out.where(r.passes)
-        else:
-            out = df
+            out = apply_actions(df.observe(tag, *metric_columns(ds.rules)), ds.rules, ds.name)
         ds.schema = out.schema
+        out = out.observe(f"{tag}_out", F.count(F.lit(1)).alias("rows"))
         writer = (out.writeStream.format("parquet").outputMode("append")
                   .option("path", self.table_path(ds.name))
                   .option("checkpointLocation", self._checkpoint(ds.name)))
         if self._continuous:
             self._running[ds.name] = writer.trigger(processingTime=self._continuous).start()
             return None
-        q = writer.trigger(availableNow=True).start()
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-        totals: dict[str, int] = {}
-        rows = 0
-        seen = set()
-        for p in q.recentProgress:
-            if p.batchId in seen:  # a retried batch is reported once
-                continue
-            seen.add(p.batchId)
-            rows += int(p.numInputRows)
-            row = (p.observedMetrics or {}).get(tag)
-            if row is not None:
-                for k, v in row.asDict().items():
-                    totals[k] = totals.get(k, 0) + int(v or 0)
-        if ds.rules and totals:
-            self._metrics[ds.name] = metrics_of(totals, ds.rules, ds.name)
-        else:
-            self._metrics[ds.name] = {"metrics": {"num_output_rows": rows}}
+        totals = self._totals.finish(writer.trigger(availableNow=True).start())
+        rows = totals.pop(f"{tag}_out", {}).get("rows", 0)
+        self._metrics[ds.name] = metrics_of(totals.pop(tag, None), ds.rules, ds.name, rows)
+        self._log_views(totals)
         return None
 
     def _run_batch(self, ds: Dataset, df: DataFrame) -> None:
-        out, obs = self._apply_rules(ds, df) if ds.rules else (df, None)
-        path = self.table_path(ds.name)
-        write_snapshot(out, path)
-        if obs is not None:
-            self._metrics[ds.name] = metrics_of(obs.get, ds.rules, ds.name)
-        else:
-            n = self.spark.read.parquet(latest_snapshot_path(self.spark, path)).count()
-            self._metrics[ds.name] = {"metrics": {"num_output_rows": n}}
+        counts = Observation(f"q_{ds.name}_{uuid.uuid4().hex[:8]}")
+        out = apply_actions(df.observe(counts, *metric_columns(ds.rules)), ds.rules, ds.name)
+        write_snapshot(out, self.table_path(ds.name))
+        self._metrics[ds.name] = metrics_of(counts.get, ds.rules, ds.name)
         return None
 
     def _run_changes(self, ds: Dataset) -> None:
+        src = self._read(ds.source, stream=True, reader=ds.name)
         if ds.name in self._full_refresh:
             self._bump_generation(ds.name)
-        src = self._read(ds.source, stream=True, reader=ds.name)
-        q = apply_changes_stream(src, ds.spec, self.table_path(ds.name), self._checkpoint(ds.name),
+        path = self.table_path(ds.name)
+        before = last_batch(self.spark, path)
+        q = apply_changes_stream(src, ds.spec, path, self._checkpoint(ds.name),
                                  available_now=not self._continuous,
                                  processing_time=self._continuous or None,
                                  buckets=ds.buckets)
         if self._continuous:
             self._running[ds.name] = q
             return None
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-        rows = sum(int(p.numInputRows) for p in q.recentProgress)
+        self._log_views(self._totals.finish(q))
+        rows = upserted_rows(self.spark, path, before)
         self._metrics[ds.name] = {"metrics": {"num_output_rows": rows}}
         return None
 
+    def _drop_schema(self, name: str) -> None:
+        fs, p, _ = _fs(self.spark, f"{self.root}/_schemas/{name}.json")
+        if fs.exists(p):
+            fs.delete(p, True)
+
     def _write_metadata(self, ds: Dataset) -> None:
         """Table metadata (comment, properties such as the layer, kind, path)
         as ``_table.json`` beside the data; readers skip '_' files."""
@@ -325,7 +355,6 @@ class TableGraph:
         fs_cp, p_cp, _ = _fs(self.spark, cp)
         if fs_cp.exists(p_cp):
             fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_checkpoints/{name}/gen={gen + 1}"))
-        self._full_refresh.discard(name)
 
     def validate(self) -> None:
         """Static checks before running: every source exists."""
@@ -339,7 +368,7 @@ class TableGraph:
         returns {name: StreamingQuery}. Stop them with ``stop()``."""
         self.validate()
         self._done.clear()
-        self._running = {}
+        self._running, self._full_refresh = {}, set()
         self._continuous = processing_time
         try:
             for name in self._datasets:
@@ -365,10 +394,17 @@ class TableGraph:
             raise GraphError(f"full refresh of unknown datasets {sorted(unknown)}")
         update_id = uuid.uuid4().hex
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        for name in self._datasets:
-            self._materialise(name)
-        flows = {n: m for n, m in self._metrics.items() if self._datasets[n].kind != "view"}
-        append(log_rows(self.spark, update_id, started, flows), self.event_log_path)
+        self._view_tags, self._view_counts, self._readers = {}, {}, {}
+        self._totals = ProgressTotals().attach(self.spark)
+        try:
+            for name in self._datasets:
+                self._materialise(name)
+        finally:
+            self._totals.detach(self.spark)
+        for view, counts in self._view_counts.items():
+            if self._is_written(view):
+                self._metrics[view] = metrics_of(counts.get, self._datasets[view].rules, view)
+        append(log_rows(self.spark, update_id, started, self._metrics), self.event_log_path)
         return update_id
 
     def describe(self) -> DataFrame:

@@ -49,7 +49,7 @@ def expectations_from(expect: Mapping[str, str] | None = None,
     return out
 
 
-def _metric_columns(rules: list[Expectation]) -> list[Column]:
+def metric_columns(rules: list[Expectation]) -> list[Column]:
     cols = [F.count(F.lit(1)).alias("input_rows")]
     for i, r in enumerate(rules):
         cols.append(F.count_if(r.passes).alias(f"passed_{i}"))
@@ -65,21 +65,27 @@ def _metric_columns(rules: list[Expectation]) -> list[Column]:
     return cols
 
 
-def apply_expectations(df: DataFrame, rules: Iterable[Expectation], dataset: str
-                       ) -> tuple[DataFrame, Observation | None]:
+def apply_actions(df: DataFrame, rules: Iterable[Expectation], dataset: str) -> DataFrame:
+    """Abort on violations of ``fail`` rules, drop those of ``drop`` rules."""
     rules = list(rules)
-    if not rules:
-        return df, None
-    obs = Observation(f"quality_{dataset}")
-    out = df.observe(obs, *_metric_columns(rules))
     for r in rules:
         if r.action == "fail":
             msg = F.lit(f"expectation {r.name} failed on {dataset}: {r.predicate}")
-            out = out.where(F.when(r.passes, F.lit(True)).otherwise(F.raise_error(msg)))
+            df = df.where(F.when(r.passes, F.lit(True)).otherwise(F.raise_error(msg)))
     for r in rules:
         if r.action == "drop":
-            out = out.where(r.passes)
-    return out, obs
+            df = df.where(r.passes)
+    return df
+
+
+def apply_expectations(df: DataFrame, rules: Iterable[Expectation], dataset: str
+                       ) -> tuple[DataFrame, Observation | None]:
+    """Batch form: the filtered DataFrame and the Observation that its first action fills."""
+    rules = list(rules)
+    if not rules:
+        return df, None
+    obs = Observation(f"quality_{dataset}")
+    return apply_actions(df.observe(obs, *metric_columns(rules)), rules, dataset), obs
 
 
 def metrics_of(values: Mapping[str, int] | None, rules: Iterable[Expectation], dataset: str,
@@ -93,6 +99,8 @@ def metrics_of(values: Mapping[str, int] | None, rules: Iterable[Expectation], d
     exp = [{"name": r.name, "dataset": dataset, "passed_records": int(m[f"passed_{i}"]),
             "failed_records": int(m[f"failed_{i}"])} for i, r in enumerate(rules)]
     rows = int(m["input_rows"]) - int(m["dropped_records"])
+    if not rules:
+        return {"metrics": {"num_output_rows": rows if output_rows is None else output_rows}}
     return {"metrics": {"num_output_rows": rows if output_rows is None else output_rows},
             "data_quality": {"dropped_records": int(m["dropped_records"]), "expectations": exp}}
 
@@ -100,7 +108,7 @@ def metrics_of(values: Mapping[str, int] | None, rules: Iterable[Expectation], d
 def quality_report(df: DataFrame, rules: Iterable[Expectation], dataset: str) -> DataFrame:
     """(dataset, expectation, passed_records, failed_records) — one aggregate pass."""
     rules = list(rules)
-    agg = df.agg(*_metric_columns(rules))
+    agg = df.agg(*metric_columns(rules))
     stacked = F.explode(F.array(*[
         F.struct(F.lit(dataset).alias("dataset"), F.lit(r.name).alias("expectation"),
                  F.col(f"passed_{i}").alias("passed_records"),

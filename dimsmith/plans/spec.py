@@ -2,7 +2,7 @@
 
     tables:
       <Entity>:
-        bronze: {kind: table|view, format: csv, options: {...}}
+        bronze: {kind: table|view, format: csv, options: {...}, folder: name (optional)}
         silver:
           kind: table|view
           expect: {name: predicate}          # warn
@@ -12,10 +12,12 @@
                 column_list: [...] | except_column_list: [...], buckets: N (optional)}
 
 Names and paths are derived: ``Bronze_<Entity>`` reads new files from
-``<landed_root>/<format>/<Entity>`` (plus a ``source_filename`` column) into
-``<lake_root>/bronze/<Entity>``; ``Silver_<Entity>`` streams from the bronze
-dataset into ``<lake_root>/silver/<Entity>``. A bronze block alone is allowed.
-Unknown keys are rejected rather than ignored.
+``<landed_root>/<format>/<Entity>`` (plus a ``source_filename`` column; entities
+may share a ``folder`` and pick files by ``pathGlobFilter``) into
+``<lake_root>/Bronze_<Entity>``; ``Silver_<Entity>`` streams from the bronze
+dataset into ``<lake_root>/Silver_<Entity>``. A comment is derived from layer and
+entity unless given. A bronze block alone is allowed. Unknown keys are rejected
+rather than ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from dimsmith.operators.cdc import ChangeSpec
 from dimsmith.plans.graph import TableGraph
 
 _ENTITY = {"bronze", "silver"}
-_BRONZE = {"kind", "format", "options"}
-_SILVER = {"kind", "expect", "expect_or_drop", "expect_or_fail", "cdc"}
+_BRONZE = {"kind", "format", "options", "folder", "comment"}
+_SILVER = {"kind", "expect", "expect_or_drop", "expect_or_fail", "cdc", "comment"}
 _CDC = {"scd_type", "keys", "sequence_by", "column_list", "except_column_list", "where",
         "ignore_null_updates", "apply_as_deletes", "apply_as_truncates", "buckets"}
 _TYPES = {"table", "view"}
@@ -94,25 +96,27 @@ def build_graph(spark: SparkSession, doc: Mapping, landed_root: str, lake_root:
     for entity, blocks in doc["tables"].items():
         b = blocks["bronze"]
         bronze, fmt, opts = f"Bronze_{entity}", b["format"], dict(b.get("options") or {})
-        landed = f"{landed_root.rstrip('/')}/{fmt}/{entity}"
+        landed = f"{landed_root.rstrip('/')}/{fmt}/{b.get('folder', entity)}"
+        note = b.get("comment", f"{entity}: new files as they land")
 
         def read_landed(ctx, landed=landed, fmt=fmt, opts=opts):
             return ctx.read_files(landed, fmt, opts)
 
         props = {"layer": "bronze"}
         if b.get("kind", "table") == "view":
-            g.view(name=bronze)(read_landed)
+            g.view(name=bronze, comment=note)(read_landed)
         else:
-            g.table(name=bronze, path=f"{lake_root}/bronze/{entity}", properties=props)(read_landed)
+            g.table(name=bronze, comment=note, path=f"{lake_root}/{bronze}", properties=props)(read_landed)
 
         s = blocks.get("silver")
         if s is None:
             continue
         s = s or {}
         silver = f"Silver_{entity}"
+        note = s.get("comment", f"{entity}: refined")
         if s.get("cdc"):
             g.apply_changes(silver, source=bronze, spec=_change_spec(s["cdc"]),
-                            path=f"{lake_root}/silver/{entity}", properties={"layer": "silver"},
+                            path=f"{lake_root}/{silver}", properties={"layer": "silver"}, comment=note,
                             buckets=s["cdc"].get("buckets"))
             continue
 
@@ -122,8 +126,8 @@ def build_graph(spark: SparkSession, doc: Mapping, landed_root: str, lake_root:
         rules = dict(expect=s.get("expect"), expect_or_drop=s.get("expect_or_drop"),
                      expect_or_fail=s.get("expect_or_fail"))
         if s.get("kind", "table") == "view":
-            g.view(name=silver, **rules)(read_bronze)
+            g.view(name=silver, comment=note, **rules)(read_bronze)
         else:
-            g.table(name=silver, path=f"{lake_root}/silver/{entity}",
+            g.table(name=silver, path=f"{lake_root}/{silver}", comment=note,
                     properties={"layer": "silver"}, **rules)(read_bronze)
     return g

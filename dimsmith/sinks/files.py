@@ -73,13 +73,26 @@ def write_text_table(df: DataFrame, path: str) -> None:
 
 def write_partitioned_csv(df: DataFrame, path: str, partition_col: str,
                           header: bool = True) -> None:
-    """Hive-partitioned CSV. Rows are first shuffled by the partition column,
-    so each partition folder is written by one task (one file, not one file
-    per input task)."""
-    (df.repartition(F.col(partition_col)).write.mode("overwrite")
+    """Hive-partitioned CSV. Rows are rebalanced by the partition column: rows of
+    a value meet in few tasks (few files), and adaptive execution splits a value
+    that is too large for one."""
+    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
      .partitionBy(partition_col).option("header", str(header).lower()).csv(path))
 
 
+def move_single_file(spark: SparkSession, folder: str, target: str) -> str:
+    """Give the only data file of a written folder a place and name of its own."""
+    fs, p, jvm = _fs(spark, folder)
+    parts = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} has {len(parts)} data files, not one")
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(path.getParent())
+    if not fs.rename(parts[0], path):
+        raise RuntimeError(f"{parts[0]} could not be renamed to {target}")
+    return target
+
+
 def write_quoted_csv(df: DataFrame, path: str, n_files: int | None = None,
                      header: bool = True) -> None:
     """Truncate-and-load delimited text with every value quoted. ``n_files``

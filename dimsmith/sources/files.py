@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 # Fixed reader options of the declared delimited-text format.
 DELIMITED_DEFAULTS = {"sep": ",", "quote": '"', "escape": "\\", "header": "true"}
 SOURCE_FILE = "source_file"
+_RECORD = "_record"
 
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
@@ -42,15 +43,37 @@ def with_provenance(df: DataFrame, column: str = SOURCE_FILE) -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
+def _headers(spark: SparkSession, path: str, options: Mapping[str, object] | None) -> dict[str, list[str]]:
+    """Header line -> files of a folder (names and first lines only, read on the driver)."""
+    from dimsmith.sinks.files import _fs
+    fs, root, jvm = _fs(spark, path)
+    out: dict[str, list[str]] = {}
+    files, dirs = [], [root]
+    while dirs:
+        for st in fs.listStatus(dirs.pop()):
+            if st.getPath().getName().startswith(("_", ".")):
+                continue
+            (dirs if st.isDirectory() else files).append(st.getPath())
+    for f in sorted(files, key=str):
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
+        try:
+            out.setdefault(reader.readLine() or "", []).append(f.toString())
+        finally:
+            reader.close()
+    return out
+
+
 def read_with_drift(spark: SparkSession, drops: Sequence[str],
                     declared: Mapping[str, str],
                     options: Mapping[str, object] | None = None) -> DataFrame:
-    """Schema drift: each drop is read with its own header; declared columns
-    are cast (try_cast, bad values -> NULL), undeclared ones flow through as
-    strings, and drops are unioned by name (missing columns -> NULL)."""
+    """Schema drift: files are read by their own header (files of one folder may
+    differ, also in the order of columns); declared columns are cast (try_cast,
+    bad values -> NULL), undeclared ones flow through as strings, and all are
+    unioned by name (missing columns -> NULL)."""
     out = None
-    for path in drops:
-        raw = read_delimited(spark, path, options=options)
+    groups = [files for path in drops for header, files in _headers(spark, path, options).items() if header]
+    for files in groups:
+        raw = read_delimited(spark, files, options=options)
         cols = []
         for c in raw.columns:
             if c in declared:
@@ -81,7 +104,14 @@ def stream_schema(spark: SparkSession, source: str, fmt: str, options: Mapping[s
     if stored:
         return T.StructType.fromJson(json.loads(stored))
     reader = spark.read.format(fmt).options(**{k: str(v) for k, v in options.items()})
-    schema = reader.load(source).schema
+    files: str | list[str] = source
+    if fmt == "csv" and str(options.get("header", "false")).lower() == "true" and "pathGlobFilter" not in options:
+        # later files may have more columns: infer from those with the widest header
+        found = _headers(spark, source, options)
+        if len(found) > 1:
+            sep = str(options.get("sep", ","))
+            files = found[max(found, key=lambda h: (h.count(sep), h))]
+    schema = reader.load(files).schema
     spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(schema_path)
     return schema
@@ -90,14 +120,37 @@ def stream_schema(spark: SparkSession, source: str, fmt: str, options: Mapping[s
 def read_file_stream(spark: SparkSession, source: str, fmt: str = "csv",
                      options: Mapping[str, object] | None = None,
                      schema: T.StructType | None = None, schema_path: str | None = None,
-                     provenance: str | None = SOURCE_FILE) -> DataFrame:
+                     provenance: str | None = SOURCE_FILE, rescue: str | None = None) -> DataFrame:
     """Incremental file source: each landed file is read once (the checkpoint
-    of the consuming query records which files were taken)."""
+    of the consuming query records which files were taken).
+
+    ``rescue`` (delimited text): a column that keeps, as JSON, what does not fit
+    the schema: values that cannot be cast, by column, and under ``_record`` the
+    whole line where it has more or fewer fields. NULL where all fits.
+    """
     opts = {k: (str(v).lower() if isinstance(v, bool) else str(v))
             for k, v in (options or {}).items()}
     if schema is None:
         if schema_path is None:
             raise ValueError("a streaming file source needs schema or schema_path")
         schema = stream_schema(spark, source, fmt, opts, schema_path)
-    df = spark.readStream.format(fmt).options(**opts).schema(schema).load(source)
-    return with_provenance(df, provenance) if provenance else df
+    if rescue is None:
+        df = spark.readStream.format(fmt).options(**opts).schema(schema).load(source)
+        return with_provenance(df, provenance) if provenance else df
+    if fmt != "csv":
+        raise ValueError("rescue is for delimited text")
+    text = all_string_schema(schema.names).add(_RECORD, T.StringType())
+    opts.pop("inferSchema", None)
+    df = (spark.readStream.format(fmt).options(**opts, columnNameOfCorruptRecord=_RECORD, mode="PERMISSIVE")
+          .schema(text).load(source))
+    lost = []
+    for f in schema.fields:
+        kept = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
+        lost.append(F.when(F.col(f.name).isNotNull() & kept.isNull(), F.struct(F.lit(f.name).alias("k"), F.col(f.name).alias("v"))))
+    lost.append(F.when(F.col(_RECORD).isNotNull(), F.struct(F.lit(_RECORD).alias("k"), F.col(_RECORD).alias("v"))))
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+    out = df.select(
+        *[F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name) for f in schema.fields],
+        F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found))).alias(rescue),
+        *([F.col("_metadata.file_path").alias(provenance)] if provenance else []))
+    return out

@@ -112,7 +112,8 @@ def test_graph_run_writes_event_log_and_streams_incrementally(spark):
          for r in quality_by_rule(log).collect()}
     late = src.where("id >= 50")
     assert q["positive"] == (late.where("price > 0").count(), late.where("NOT price > 0").count())
-    assert {r.table_name for r in rows_by_table(log).collect()} == {"bronze", "silver"}
+    assert {r.table_name: (r.num_output_rows, r.dropped_records) for r in rows_by_table(log).collect()} == {
+        "bronze": (50, None), "silver": (late.where("price > 0").count(), late.where("NOT price > 0").count())}
     assert last is not None
     desc = {r.name: r for r in g.describe().collect()}
     assert desc["bronze"].properties == {"layer": "bronze"}
@@ -244,3 +245,123 @@ def test_left_stream_join_needs_watermark(spark):
     with pytest.raises(Exception, match="(?i)watermark"):
         j = stream_join(a, b.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), how="left")
         j.writeStream.format("noop").option("checkpointLocation", f"{wd}/cp").start()
+
+
+def test_counts_do_not_depend_on_how_many_reports_spark_keeps(spark):
+    """Every micro-batch counts, also those whose report is no longer kept."""
+    root, landed = fresh("many"), fresh("manyland")
+    spark.range(40).repartition(12, "id").write.mode("append").parquet(landed)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        g = TableGraph(spark, root)
+
+        @g.table(expect={"even": "id % 2 = 0"}, expect_or_drop={"small": "id < 30"})
+        def kept(ctx):
+            return ctx.spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(landed)
+
+        g.run()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    q = {r.expectation: (r.passing_records, r.failing_records) for r in quality_by_rule(g.event_log()).collect()}
+    assert q == {"even": (20, 20), "small": (30, 10)}
+    r = rows_by_table(g.event_log()).first()
+    assert (r.num_output_rows, r.dropped_records) == (30, 10)
+
+
+def test_output_rows_are_rows_written(spark):
+    from dimsmith.operators.cdc import ChangeSpec
+    root, landed = fresh("written"), fresh("writtenland")
+    spark.range(25).select("id", (F.col("id") % 5).alias("k")).write.mode("append").parquet(landed)
+    g = TableGraph(spark, root)
+
+    @g.table()
+    def filtered(ctx):
+        return ctx.spark.readStream.schema("id bigint, k bigint").parquet(landed).where("id < 10")
+
+    @g.table()
+    def raw(ctx):
+        return ctx.spark.readStream.schema("id bigint, k bigint").parquet(landed)
+
+    g.apply_changes("state", source="raw", spec=ChangeSpec(["k"], "id", 1))
+    g.apply_changes("state_b", source="raw", spec=ChangeSpec(["k"], "id", 1), buckets=2)
+    g.run()
+    assert {r.table_name: r.num_output_rows for r in rows_by_table(g.event_log()).collect()} == {
+        "filtered": 10, "raw": 25, "state": 5, "state_b": 5}
+
+
+def test_batch_view_rules_are_logged_and_unread_views_are_not(spark):
+    g = TableGraph(spark, fresh("bview"))
+
+    @g.view(expect_or_drop={"positive": "price > 0"})
+    def checked(ctx):
+        return _data(spark)
+
+    @g.view(expect={"any": "id > 0"})
+    def unread(ctx):
+        return _data(spark)
+
+    @g.table()
+    def out(ctx):
+        return ctx.read("checked")
+
+    g.run()
+    assert {(r.dataset, r.expectation, r.passing_records) for r in quality_by_rule(g.event_log()).collect()} == {
+        ("checked", "positive", 2)}
+    assert g.read("out").count() == 2
+
+
+def test_sql_names_are_read_after_from_and_join_only(spark):
+    from dimsmith.plans.graph import table_names
+    assert table_names("SELECT a FROM x, `y` z, w JOIN v ON 1=1 -- FROM no\n WHERE b IN (SELECT c FROM u) ORDER BY t") == {
+        "x", "y", "w", "v", "u"}
+    assert table_names("SELECT 'FROM s' FROM range(3)") == set()
+    g = TableGraph(spark, fresh("sqlnames"))
+
+    @g.view(name="data_in")
+    def data_in(ctx):
+        return _data(spark)
+
+    g.sql_table("order", "SELECT id FROM live.data_in ORDER BY id")
+    g.sql_table("by_id", "SELECT id AS `order` FROM data_in ORDER BY id")
+    g.run()
+    assert g.read("by_id").count() == 4 and g.read("order").count() == 4
+
+
+def test_drift_reads_each_file_by_its_own_header(spark):
+    from dimsmith.sources.files import read_with_drift
+    d = fresh("drift")
+    for name, text in (("a.csv", "id,n\n1,10\n2,x\n"), ("b.csv", "n,id,extra\n30,3,e\n"), ("c.csv", "id,n\n4,40\n")):
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    got = {tuple(r) for r in read_with_drift(spark, [d], {"id": "int", "n": "int"}).select("id", "n", "extra").collect()}
+    assert got == {(1, 10, None), (2, None, None), (3, 30, "e"), (4, 40, None)}
+
+
+def test_rescue_keeps_values_and_lines_that_do_not_fit(spark):
+    wd = fresh("rescue")
+    os.makedirs(f"{wd}/in")
+
+    def land(name, text):
+        with open(f"{wd}/in/{name}", "w") as f:
+            f.write(text)
+
+    def run():
+        s = read_file_stream(spark, f"{wd}/in", "csv", {"header": True, "inferSchema": True},
+                             schema_path=f"{wd}/schema", rescue="_rescued")
+        run_to_end(ingest_files(s, f"{wd}/bronze", f"{wd}/cp"))
+
+    land("a.csv", "id,n\n1,10\n")
+    run()
+    land("b.csv", "id,n\n2,12.5\n3,7,more\n")
+    run()
+    got = {r.id: (r.n, json.loads(r._rescued) if r._rescued else None) for r in spark.read.parquet(f"{wd}/bronze").collect()}
+    assert got[1] == (10, None) and got[2] == (None, {"n": "12.5"})
+    assert got[3] == (7, {"_record": "3,7,more"})
+
+
+def test_current_view_is_registered(spark):
+    from dimsmith.operators.scd import DimSpec, create_current_view
+    dim = spark.createDataFrame([(1, 1, "k", "A", "2020-01-01", "9999-12-31", True)],
+                                "sk bigint, dk bigint, key string, grade string, valid_from string, valid_to string, is_current boolean")
+    create_current_view(dim, DimSpec(["key"], ["grade"]), "machines_now")
+    assert spark.sql("SELECT current_grade FROM machines_now").first()[0] == "A"
