@@ -25,8 +25,16 @@ def _events(spark, sf_dir):
 SELECT event_id, ts, user_id, event_type, value, props FROM events
 """)
 def history_no_scd(spark, sf_dir):
-    """Append-all history — every change row kept, duplicates included."""
-    return _events(spark, sf_dir)
+    """Append-all history — a stream appends every landed change row, duplicates included."""
+    from dimsmith.catalog.stream_queries import BATCHES, land
+    from dimsmith.session import work_dir
+    from dimsmith.streaming.ingest import ingest_files, run_to_end
+    wd, events = work_dir(spark, "history"), _events(spark, sf_dir)
+    for part in range(BATCHES):
+        land(events, f"{wd}/landed", by=["event_id"], part=part)
+        src = spark.readStream.schema(events.schema).parquet(f"{wd}/landed")
+        run_to_end(ingest_files(src, f"{wd}/history", f"{wd}/_checkpoint"))
+    return spark.read.parquet(f"{wd}/history")
 
 
 @query("scd1_events", """

@@ -15,11 +15,11 @@ from dimsmith.operators.scd import (backfill_from, current_view, duplicate_keys,
                                     scd2_merge)
 from dimsmith.operators.temporal import temporal_join
 
-# Fixed parameters of the merge query: dimension built from orders before
-# MERGE_BASE, attribute snapshot taken from orders before MERGE_RUN, merged on
-# MERGE_RUN.
+# Fixed parameters of the merge query: the existing dimension is the one built
+# from orders before MERGE_BASE, the attribute snapshot is that of all orders,
+# merged on MERGE_RUN (a day after the last order).
 MERGE_BASE = dt.date(1998, 1, 1)
-MERGE_RUN = dt.date(1999, 1, 1)
+MERGE_RUN = dt.date(2010, 1, 1)
 
 
 @query("customer_dim_scd2", with_ctes(SQL_CUSTOMER_DIM) + """
@@ -64,8 +64,7 @@ def current_view_q(spark, sf_dir):
 def _merge_inputs(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     base = orders.where(F.col("o_orderdate") < F.lit(dt.datetime.combine(MERGE_BASE, dt.time())))
-    snap = orders.where(F.col("o_orderdate") < F.lit(dt.datetime.combine(MERGE_RUN, dt.time())))
-    return base, snap
+    return base, orders
 
 
 @query("scd2_merge", f"""
@@ -90,7 +89,7 @@ upd AS (
   SELECT customer_id, category FROM (
     SELECT o_custkey AS customer_id, o_orderpriority AS category,
            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate < TIMESTAMP '{MERGE_RUN} 00:00:00')
+    FROM orders)
   WHERE rn = 1),
 chg AS (
   SELECT c.customer_id, c.customer_dk, u.category
@@ -138,6 +137,63 @@ def scd2_merge_q(spark, sf_dir):
     return scd2_merge(dim0, updates, CUSTOMER, MERGE_RUN)
 
 
+_NULL_PART = "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END"
+
+
+def _nullable_orders(spark, sf_dir):
+    """Orders with a key part that is NULL for a fifth of the customers."""
+    return table(spark, sf_dir, "orders").select(
+        F.expr(_NULL_PART).alias("customer"), F.col("o_orderpriority").alias("priority"),
+        "o_orderkey", "o_orderdate")
+
+
+@query("durable_keys_nulls", f"""
+SELECT customer, priority, o_orderkey,
+       CAST(dense_rank() OVER (ORDER BY customer NULLS FIRST, priority) AS BIGINT) AS dk
+FROM (SELECT {_NULL_PART} AS customer, o_orderpriority AS priority, o_orderkey FROM orders)
+""")
+def durable_keys_nulls(spark, sf_dir):
+    """S6 with a NULL key part: a key like any other, no row lost."""
+    from dimsmith.operators.keys import assign_durable_keys
+    return assign_durable_keys(_nullable_orders(spark, sf_dir).drop("o_orderdate"),
+                               ["customer", "priority"])
+
+
+@query("latest_version_all_nulls", f"""
+SELECT customer, priority, o_orderkey, o_orderdate FROM (
+  SELECT *, rank() OVER (PARTITION BY customer ORDER BY o_orderdate DESC) AS r
+  FROM (SELECT {_NULL_PART} AS customer, o_orderpriority AS priority, o_orderkey, o_orderdate FROM orders))
+WHERE r = 1
+""")
+def latest_version_all_nulls(spark, sf_dir):
+    """G2 with NULL keys: every row tied at the latest date of its key."""
+    return latest_by(_nullable_orders(spark, sf_dir), ["customer"], ["o_orderdate"], keep="all")
+
+
+@query("global_rank_nulls", f"""
+SELECT o_orderkey, customer, CAST(rank() OVER (ORDER BY customer NULLS FIRST) AS BIGINT) AS rank
+FROM (SELECT {_NULL_PART} AS customer, o_orderkey FROM orders)
+""")
+def global_rank_nulls(spark, sf_dir):
+    """G4 with NULL order values: ranked first."""
+    from dimsmith.operators.ordered import global_rank
+    return global_rank(_nullable_orders(spark, sf_dir).select("o_orderkey", "customer"), ["customer"])
+
+
+@query("scd2_null_keys", """
+SELECT customer, o_orderkey, start_at,
+       lead(start_at) OVER (PARTITION BY customer ORDER BY start_at) AS end_at
+FROM (SELECT CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END AS customer, o_orderkey,
+             CAST(o_orderkey AS BIGINT) AS start_at FROM orders)
+""")
+def scd2_null_keys(spark, sf_dir):
+    """S3 with NULL keys: one chain, one open version."""
+    from dimsmith.operators.cdc import ChangeSpec, apply_changes
+    feed = _nullable_orders(spark, sf_dir).select(
+        "customer", "o_orderkey", F.col("o_orderkey").cast("bigint").alias("seq"))
+    return apply_changes(feed, ChangeSpec(["customer"], "seq", 2))
+
+
 def _order_fact(spark, sf_dir, cust):
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), "o_custkey",

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from dimsmith.catalog.registry import query, table
 from dimsmith.functions.scalars import (date_key, day_in_week, md5_draw, money,
                                         null_safe_changed, register_sql_functions)
-from dimsmith.operators.joins import broadcast_if_bounded, part_totals, set_parts
+from dimsmith.operators.same_key import same_key_join
+from dimsmith.operators.joins import hinted_join, part_totals, set_parts
 from dimsmith.operators.latest import latest_by
 from dimsmith.operators.ordered import global_rank
 from dimsmith.operators.scd import backfill_from
@@ -109,10 +110,10 @@ def sql_function_spare_qty(spark, sf_dir):
 SELECT c.c_custkey, c.c_name, n.n_name FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
 """)
 def broadcast_join(spark, sf_dir):
-    """E5: join with an explicit broadcast side, only after a row-count bound check."""
+    """E5: join with an explicit broadcast side, asked for by the caller (25 nations)."""
     cust = table(spark, sf_dir, "customer")
-    nation = broadcast_if_bounded(table(spark, sf_dir, "nation"), max_rows=10_000)
-    return cust.join(nation, cust.c_nationkey == nation.n_nationkey).select(
+    nation = table(spark, sf_dir, "nation")
+    return hinted_join(cust, nation, cust.c_nationkey == nation.n_nationkey, hint="broadcast").select(
         "c_custkey", "c_name", "n_name")
 
 
@@ -132,16 +133,26 @@ def column_rename_map(spark, sf_dir):
 
 
 @query("null_default_label", """
-SELECT n.n_nationkey, n.n_name, COALESCE(r.r_name, 'Other') AS region_label
-FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_name LIKE 'A%') r
-  ON r.r_regionkey = n.n_regionkey
+SELECT c.c_custkey, o.o_orderkey, COALESCE(o.o_orderpriority, 'Other') AS priority_label
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
 """)
 def null_default_label(spark, sf_dir):
-    """ISNULL(x, default) after an outer join."""
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region").where(F.col("r_name").startswith("A"))
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
-        "n_nationkey", "n_name", F.coalesce("r_name", F.lit("Other")).alias("region_label"))
+    """ISNULL(x, default) after an outer join (customers without orders)."""
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    return c.join(o, c.c_custkey == o.o_custkey, "left").select(
+        "c_custkey", "o_orderkey", F.coalesce("o_orderpriority", F.lit("Other")).alias("priority_label"))
+
+
+@query("limit_preview", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 20
+""")
+def limit_preview(spark, sf_dir):
+    """H3: the first n rows of a filtered table in a total order."""
+    return (table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+            .orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(20)
+            .select("o_orderkey", "o_custkey", "o_totalprice"))
 
 
 @query("distinct_business_keys", """
@@ -306,7 +317,7 @@ def group_normalise(spark, sf_dir):
         F.min("_g").alias("_g0"), F.min("l_discount").alias("min_discount"),
         F.min(F.struct(*[F.col(c) for c in order], F.col("l_shipdate").alias("_s")))._s
         .alias("first_ship"))
-    li = li.join(per_order, "l_orderkey").withColumn(
+    li = same_key_join(li, per_order, ["l_orderkey"]).withColumn(
         "line_no", (F.col("_g") - F.col("_g0") + 1).cast("int"))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "min_discount", "line_no",
                      "first_ship")

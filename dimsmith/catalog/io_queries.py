@@ -56,19 +56,18 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 FROM orders
 """)
 def schema_drift(spark, sf_dir):
-    """Two drops, the second with an extra column; declared columns cast,
-    the new one kept as string, the first drop gets NULL for it."""
+    """Files of one folder with different headers, later ones with another
+    column order and an extra column; declared columns cast, the new one kept as
+    string, earlier files get NULL for it."""
     wd = work_dir(spark, "drift")
     orders = table(spark, sf_dir, "orders")
     late = F.col("o_orderdate") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     opts = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
-    land(orders.where(~late), f"{wd}/drop1", n_files=2, by=["o_orderkey"], fmt="csv", **opts)
-    land(orders.where(late).withColumn(
-        "o_comment", F.concat(F.lit("p"), (F.col("o_orderkey") % 3).cast("string"))),
-        f"{wd}/drop2", n_files=2, by=["o_orderkey"], fmt="csv", **opts)
+    land(orders.where(~late), f"{wd}/drops", fmt="csv", **opts)
+    extra = F.concat(F.lit("p"), (F.col("o_orderkey") % 3).cast("string")).alias("o_comment")
+    land(orders.where(late).select(extra, *reversed(orders.columns)), f"{wd}/drops", fmt="csv", **opts)
     declared = {f.name: f.dataType.simpleString() for f in orders.schema.fields}
-    return read_with_drift(spark, [f"{wd}/drop1", f"{wd}/drop2"], declared,
-                           options={"header": True})
+    return read_with_drift(spark, [f"{wd}/drops"], declared, options={"header": True})
 
 
 @query("sink_partitioned_csv", """

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimsmith.catalog.registry import query, table
-from dimsmith.plans.eventlog import quality_by_rule, rows_by_table
 from dimsmith.plans.quality import Expectation, apply_expectations, quality_report
 
 # Fixed rule sets of the quality queries.
@@ -19,10 +18,6 @@ LINE_RULES = [
     Expectation("tax_recorded", "l_tax > 0", "warn"),
     Expectation("order_known", "o_orderkey IS NOT NULL", "fail"),
 ]
-# Event-log feed: each day of events is one run, each event type one flow.
-FEED_RULES = [("value_below_400", "value < 400", "warn"), ("value_at_least_1", "value >= 1", "drop")]
-FLOW_WITHOUT_METRICS = "signup"
-FLOW_WITHOUT_RULES = "error"
 
 
 def _orders_customers(spark, sf_dir):
@@ -80,71 +75,6 @@ def expect_report(spark, sf_dir):
     return quality_report(_lines_orders(spark, sf_dir), LINE_RULES, "lines")
 
 
-def feed_event_log(spark, sf_dir):
-    """Event-log rows of a daily run over the ``events`` feed (built by Spark)."""
-    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    update = F.concat(F.lit("update_"), F.date_format("day", "yyyyMMdd"))
-    aggs = [F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n")]
-    for name, pred, _ in FEED_RULES:
-        ok = F.coalesce(F.expr(pred), F.lit(False))
-        aggs += [F.count_if(ok).alias(f"p_{name}"), F.count_if(~ok).alias(f"f_{name}")]
-    flows = ev.groupBy("day", "event_type").agg(*aggs)
-    flow = F.concat(F.lit("silver_"), F.col("event_type"))
-    dropped = sum((F.col(f"f_{n}") for n, _, a in FEED_RULES if a == "drop"), F.lit(0))
-    exps = F.array(*[F.struct(F.lit(n).alias("name"), flow.alias("dataset"),
-                              F.col(f"p_{n}").alias("passed_records"),
-                              F.col(f"f_{n}").alias("failed_records")) for n, _, _ in FEED_RULES])
-    with_rules = F.struct(F.struct(
-        F.struct((F.col("n") - dropped).alias("num_output_rows")).alias("metrics"),
-        F.struct(dropped.alias("dropped_records"), exps.alias("expectations")).alias("data_quality")
-    ).alias("flow_progress"))
-    no_rules = F.struct(F.struct(F.struct(F.col("n").alias("num_output_rows")).alias("metrics"))
-                        .alias("flow_progress"))
-    no_metrics = F.struct(F.struct(F.lit("COMPLETED").alias("status")).alias("flow_progress"))
-    details = (F.when(F.col("event_type") == FLOW_WITHOUT_METRICS, F.to_json(no_metrics))
-               .when(F.col("event_type") == FLOW_WITHOUT_RULES, F.to_json(no_rules))
-               .otherwise(F.to_json(with_rules)))
-    progress = flows.select(
-        F.col("last_ts").alias("timestamp"), F.lit("flow_progress").alias("event_type"),
-        F.struct(update.alias("update_id"), flow.alias("flow_name")).alias("origin"),
-        details.alias("details"))
-    runs = ev.groupBy("day").agg(F.min("ts").alias("timestamp")).select(
-        "timestamp", F.lit("create_update").alias("event_type"),
-        F.struct(update.alias("update_id"), F.lit(None).cast("string").alias("flow_name"))
-        .alias("origin"),
-        F.lit('{"create_update": {}}').alias("details"))
-    return runs.unionByName(progress)
-
-
-_LAST_DAY = """
-WITH d AS (SELECT max(CAST(ts AS DATE)) AS d FROM events),
-ev AS (SELECT * FROM events WHERE CAST(ts AS DATE) = (SELECT d FROM d))"""
-
-
-@query("event_log_quality", _LAST_DAY + """
-SELECT 'silver_' || event_type AS dataset, 'value_below_400' AS expectation,
-       CAST(count_if(value < 400) AS BIGINT) AS passing_records, CAST(count_if(NOT (value < 400)) AS BIGINT) AS failing_records
-FROM ev WHERE event_type NOT IN ('signup', 'error') GROUP BY event_type
-UNION ALL
-SELECT 'silver_' || event_type, 'value_at_least_1', CAST(count_if(value >= 1) AS BIGINT), CAST(count_if(NOT (value >= 1)) AS BIGINT)
-FROM ev WHERE event_type NOT IN ('signup', 'error') GROUP BY event_type
-""")
-def event_log_quality(spark, sf_dir):
-    """L1-L3: JSON path + from_json + explode over the last run's quality records."""
-    return quality_by_rule(feed_event_log(spark, sf_dir))
-
-
-@query("event_log_rows", _LAST_DAY + """
-SELECT 'silver_' || event_type AS table_name,
-       CASE WHEN event_type = 'error' THEN count(*) ELSE CAST(count_if(value >= 1) AS BIGINT) END AS num_output_rows,
-       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(count_if(NOT (value >= 1)) AS BIGINT) END AS dropped_records
-FROM ev WHERE event_type <> 'signup' GROUP BY event_type ORDER BY table_name
-""")
-def event_log_rows(spark, sf_dir):
-    """Output and dropped rows per table of the last run, no-metric flows removed."""
-    return rows_by_table(feed_event_log(spark, sf_dir))
-
-
 @query("json_explode_sum", """
 SELECT event_type,
        CAST(SUM(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total_k,

@@ -26,6 +26,7 @@ from dimsmith.operators.latest import latest_by
 from dimsmith.operators.ordered import next_within_key, version_numbers
 from dimsmith.operators.scd import DimSpec
 from dimsmith.operators.temporal import temporal_join
+from dimsmith.session import work_dir
 from dimsmith.sources.calendar import calendar_between
 
 # Fixed parameters of the star-schema queries.
@@ -75,9 +76,12 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_keys(versions: DataFrame, spec: DimSpec) -> DataFrame:
     """Surrogate key in load order (key, valid_from), durable key per business key.
 
-    The versions are materialised first: range numbering samples its input
-    and then reads it again, and the versions are two shuffles deep."""
-    versions = versions.checkpoint(eager=True)
+    The versions are written first: range numbering samples its input and then
+    reads it again, and the versions are two shuffles deep."""
+    spark = versions.sparkSession
+    path = work_dir(spark, "versions")
+    versions.write.parquet(path)
+    versions = spark.read.schema(versions.schema).parquet(path)
     keyed = version_numbers(versions, spec.business_keys, [spec.valid_from],
                             row_out=spec.sk, dense_out=spec.dk)
     return keyed.select(*spec.columns())

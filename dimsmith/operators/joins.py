@@ -1,27 +1,23 @@
-"""Join helpers: size-checked broadcast and the inventory (set → parts) ETL.
+"""Joins of the inventory (set → parts) ETL, and a join with an explicit hint.
 
-``broadcast_if_bounded`` broadcasts a side only after proving it has at most
-``max_rows`` rows; the check reads at most ``max_rows + 1`` rows (a LIMIT), so
-it costs nothing on a big table. Beyond the bound the join is left to
-Catalyst/AQE (sort-merge, skew-split, or a runtime broadcast if it is small).
+``hinted_join`` sets a join strategy where the caller knows better than the
+statistics (``broadcast``, ``merge``, ``shuffle_hash`` …); without a hint
+Catalyst and adaptive execution choose by bytes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.functions.scalars import spare_quantity
 from dimsmith.operators.latest import latest_by
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    bounded = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if bounded else df
+def hinted_join(left: DataFrame, right: DataFrame, on: Column | Sequence[str] | str,
+                how: str = "inner", hint: str | None = None) -> DataFrame:
+    return left.join(right.hint(hint) if hint else right, on, how)
 
 
 def set_parts(sets: DataFrame, inventories: DataFrame, parts: DataFrame,
