@@ -18,12 +18,6 @@ from dimsmith.llm.registry import materialise, table
 from dimsmith.llm.token_store import token_index
 
 
-def _keep(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """docs whose doc_id the verdict (doc_id) lists, with all their columns."""
-    v = materialise(verdict.select(F.col("doc_id").alias("__stage_id")).distinct(), "verdict")
-    return docs.join(v, F.col("doc_id").eqNullSafe(F.col("__stage_id")), "left_semi")
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or no letter) go; the model learns from docs' own labels."""
     model = train_on(docs.select("doc_id", "text", "lang"))
@@ -32,9 +26,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays (of equal rows one)."""
-    kept = _keep(docs, near_duplicates(docs).where("kept"))
-    return kept.withColumn("__stage_h", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "__stage_h"]).drop("__stage_h")
+    """One document of each group of near duplicates stays (of rows equal in id and text, one)."""
+    kept = near_duplicates(docs).where("kept").groupBy("doc_id", "tk").agg(F.count("*").alias("__stage_n"))
+    v = materialise(kept.withColumnsRenamed({"doc_id": "__stage_id", "tk": "__stage_tk"}), "verdict")
+    same = F.col("doc_id").eqNullSafe(F.col("__stage_id")) & (F.xxhash64("text") == F.col("__stage_tk"))
+    once = docs.join(v.where("__stage_n = 1"), same, "left_semi")
+    again = docs.join(v.where("__stage_n > 1"), same).dropDuplicates(["__stage_id", "__stage_tk"])
+    return once.unionByName(again.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

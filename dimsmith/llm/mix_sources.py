@@ -126,9 +126,13 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
         "__mix_k2", F.xxhash64(F.lit(7), "text", "source", "doc_id"))
     plan = mix(materialise(own.select("doc_id", "source", F.col("__mix_size").alias("size"), "__mix_k1", "__mix_k2"), "mix-sizes"),
                **options)
-    plan = plan.select("__mix_k1", "__mix_k2", F.explode("copies").alias("__mix_c"))
-    # equal rows are one row here; each of them has its own copies in the plan
-    x = own.dropDuplicates(["__mix_k1", "__mix_k2"]).alias("d").join(plan.alias("p"), ["__mix_k1", "__mix_k2"])
+    keys = ["__mix_k1", "__mix_k2"]
+    rows = plan.groupBy(*keys).agg(F.count("*").alias("n"), F.flatten(F.collect_list("copies")).alias("copies"))
+    rows = materialise(rows.where(F.size("copies") > 0), "mix-plan")
+    # rows equal in these columns are one key; only their texts need a shuffle to meet
+    once = own.join(rows.where("n = 1").drop("n"), keys)
+    many = own.join(rows.where("n > 1").drop("n"), keys).dropDuplicates(keys)
+    x = once.unionByName(many).withColumn("__mix_c", F.explode("copies")).alias("d")
     words = F.col("__mix_c.words").cast("int")
     text = F.when(words >= F.col("__mix_size"), F.col("d.text")).otherwise(
         F.array_join(F.slice(word_list(F.col("d.text")), 1, words), " "))
