@@ -8,16 +8,19 @@ with half-key j of the second, so rows x rows tables cost only
 48 instead of 576; a pair at similarity 0.75 shares a table with probability
 0.9999, at 0.8 with more than 0.99999.
 
-Full keys are formed of live half-keys only (those that two sets share): a
-shared key needs both its halves shared, so nothing is lost, and a document
-without any overlap ends at its 24 half-keys.
-
 Equal sets are one node.  In each table bucket the members are compared with
-one representative (never all pairs).  The first round takes the same random
-priority in every table, so that a group has few representatives; later rounds
-look only at buckets whose members are not yet in one component and take new
-representatives per bucket, until a round adds no link.  Every link is
-confirmed on the full sets: 100 * |A and B| >= 75 * |A or B|.
+one representative, never all pairs, in rounds:
+
+* first in the 12 tables of the diagonal (half-key i of both collections),
+  where most groups are found; the representative is the member with the
+  fullest buckets, which in a group of edited copies is their original;
+* then in all tables, but only with half-keys that two components share (a key
+  that two components share needs both its halves shared, so nothing is lost,
+  and a document without overlap ends at its 24 half-keys);
+* again with other representatives, in the buckets that still hold several
+  components, until a round adds no link.
+
+Every link is confirmed on the full sets: 100 * |A and B| >= 75 * |A or B|.
 
 Hot buckets: representatives come from a min aggregate with map-side combine,
 and the joins back are inner joins that adaptive execution splits.
@@ -136,35 +139,52 @@ def signatures(docs: DataFrame) -> DataFrame:
         _signatures, f"doc_id {kind}, tk long, n_shingles long, node long, halves array<long>")
 
 
-def table_keys(sig: DataFrame) -> DataFrame:
-    """node, n, key: the keys of all tables that are formed of shared half-keys."""
-    nodes = sig.where("node IS NOT NULL").groupBy("node").agg(
+def _set_nodes(sig: DataFrame) -> DataFrame:
+    """node, n, halves: one row for each distinct non-empty set."""
+    return sig.where("node IS NOT NULL").groupBy("node").agg(
         F.max("n_shingles").alias("n"), F.first("halves").alias("halves"))
-    nodes = materialise(nodes, "nodes")
-    halves = nodes.select("node", "n", F.posexplode("halves").alias("i", "h"))
-    live = halves.groupBy("i", "h").agg(F.count("*").alias("c")).where("c > 1").select("i", "h")
-    mine = (halves.join(live, ["i", "h"], "left_semi").groupBy("node", "n")
+
+
+def diagonal_keys(nodes: DataFrame) -> DataFrame:
+    """node, n, comp, key of the tables that pair half-key i with half-key i."""
+    keys = F.array(*[F.xxhash64(F.lit(i), F.get("halves", F.lit(i)), F.get("halves", F.lit(i + ROWS))) for i in range(ROWS)])
+    keys = nodes.select("node", "n", F.col("node").alias("comp"), F.explode(keys).alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    return keys.join(shared, "key", "left_semi")
+
+
+def table_keys(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, n, comp, key: the keys of all tables that two components share."""
+    x = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    halves = x.select("node", "n", "comp", F.posexplode("halves").alias("i", "h"))
+    live = (halves.groupBy("i", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo <> hi").select("i", "h"))
+    mine = (halves.join(live, ["i", "h"], "left_semi").groupBy("node", "n", "comp")
             .agg(F.collect_list(F.struct("i", "h")).alias("l")))        # 24 entries at most
     left = F.filter("l", lambda x: x["i"] < ROWS)
     right = F.filter("l", lambda x: x["i"] >= ROWS)
-    both = mine.select("node", "n", F.explode(left).alias("x"), right.alias("r")).select(
-        "node", "n", "x", F.explode("r").alias("y"))
-    return both.select("node", "n", F.xxhash64("x.i", "x.h", "y.i", "y.h").alias("key"))
+    both = mine.select("node", "n", "comp", F.explode(left).alias("x"), right.alias("r")).select(
+        "node", "n", "comp", "x", F.explode("r").alias("y"))
+    return _several(both.select("node", "n", "comp", F.xxhash64("x.i", "x.h", "y.i", "y.h").alias("key")))
+
 
+def _several(keys: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    open_ = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return keys.join(open_.select("key"), "key", "left_semi")
 
-def _candidates(keys: DataFrame, labels: DataFrame | None, salt: int) -> DataFrame:
+
+def _candidates(keys: DataFrame, salt: int) -> DataFrame:
     """Pairs (a, b) of each bucket's representative and its members of other components."""
-    if labels is None:
-        k = keys.withColumn("comp", F.col("node"))
-        prio = F.xxhash64(F.lit(salt), "node")
+    if salt < 2:        # the member whose buckets are the fullest
+        size = keys.groupBy("key").agg(F.count("*").alias("c"))
+        rank = keys.join(size, "key").groupBy("node").agg(F.sum("c").alias("rank"))
+        keys = keys.join(rank, "node")
     else:
-        k = keys.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        prio = F.xxhash64(F.lit(salt), "node", "key")
-    rep = k.groupBy("key").agg(F.min(F.struct(prio.alias("p"), "node", "n", "comp")).alias("r"),
-                               F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    rep = rep.where("lo <> hi").select("key", F.col("r.node").alias("rep"), F.col("r.n").alias("rep_n"),
-                                       F.col("r.comp").alias("rep_comp"))
-    x = k.join(rep, "key").where("comp <> rep_comp")
+        keys = keys.withColumn("rank", F.xxhash64(F.lit(salt), "node"))
+    rep = keys.groupBy("key").agg(F.max(F.struct("rank", "node", "n", "comp")).alias("r")).select(
+        "key", F.col("r.node").alias("rep"), F.col("r.n").alias("rep_n"), F.col("r.comp").alias("rep_comp"))
+    x = keys.join(rep, "key").where("comp <> rep_comp")
     x = x.where(4 * F.least("n", "rep_n") >= 3 * F.greatest("n", "rep_n"))     # else J < 0.75
     return x.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
 
@@ -178,37 +198,48 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return x.where(100 * common >= 75 * union).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, n_shingles, component_id, kept."""
-    sig = materialise(signatures(docs), "signatures")
-    keys = materialise(table_keys(sig), "keys")
-    # one document of each set that shares a key: only their sets are needed
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _sets_of(docs: DataFrame, sig: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, shingles of the wanted nodes, from one document of each."""
     chosen = (sig.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "tk")).alias("c"))
-              .join(keys.select("node").distinct(), "node", "left_semi")).select("node", "c.*").alias("c")
+              .join(wanted, "node", "left_semi")).select("node", "c.*").alias("c")
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("tk")).alias("d")
     texts = d.join(chosen, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.tk") == F.col("c.tk")))
-    sets = materialise(texts.select("node", "text").mapInArrow(_sets, "node long, shingles array<long>"), "sets")
+    return texts.select("node", "text").mapInArrow(_sets, "node long, shingles array<long>")
+
 
-    links = tested = labels = None
-    salt = 0
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, tk (xxhash64 of the text), n_shingles, component_id, kept."""
+    sig = materialise(signatures(docs), "signatures")
+    nodes = materialise(_set_nodes(sig), "nodes")
+    diagonal = materialise(diagonal_keys(nodes), "diagonal")
+    pairs = materialise(_candidates(diagonal, 0), "pairs")
+    links = materialise(_verified(pairs, _sets_of(docs, sig, _ends(pairs))), "links")
+    labels = components(links)
+    keys = materialise(table_keys(nodes, labels), "keys")
+    sets = materialise(_sets_of(docs, sig, keys.select("node").distinct()), "sets")
+    tested, salt = pairs, 1
     while True:
-        pairs = _candidates(keys, labels, salt)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        new = materialise(_verified(pairs, sets), "new-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        if salt and new.isEmpty():
-            break
-        labels = components(links)
+        pairs = materialise(_candidates(keys, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = materialise(_verified(pairs, sets), "links")
+        if new.isEmpty():
+            if salt > 1:
+                break
+        else:
+            tested, links = tested.unionByName(pairs), links.unionByName(new)
+            labels = components(links)
+            keys = keys.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            keys = materialise(_several(keys), "keys")
         salt += 1
-    x = sig.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
+    x = sig.select("doc_id", "tk", "n_shingles", "node").join(labels, "node", "left")
     x = x.withColumn("comp", F.coalesce("comp", "node"))
     first = x.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("first"))
     x = x.join(first, "comp", "left")
     own = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("first"))
-    return x.select("doc_id", "n_shingles", own.alias("component_id"),
+    return x.select("doc_id", "tk", "n_shingles", own.alias("component_id"),
                     F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
@@ -234,4 +265,4 @@ FROM n LEFT JOIN r ON r.id = n.doc_id
 @query("op4_near_dedup", SQL)
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, whole texts."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("tk")
