@@ -9,10 +9,8 @@ level, and a rank directory (set bits before every 512th) finds an id's place
 there.  Any id or range is read without decoding what precedes it
 (`DacShard`).
 
-Tokenising: the normaliser drops white space and no token crosses it, so a
-batch's texts are split at spaces, every distinct piece is encoded once by the
-tokenizers library and the ids are gathered by numpy.  Pieces that hold the
-start of a special token's string are encoded one by one.
+Tokenising: a batch's texts are cut where no token crosses, every distinct piece
+is encoded once by the tokenizers library and the ids are gathered by numpy.
 
 A shard is closed at ``shard_tokens``; a document is never split, so the
 memory of a task is bounded by a shard and one document.  Nothing is collected
@@ -26,9 +24,11 @@ documents, ordered by text; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -99,54 +99,68 @@ class DacShard:
         return out
 
 
+def _byte_symbols() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others, in order, for 256 and up."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(256, 512))
+    return [chr(b if b in plain else next(other)) for b in range(256)]
+
+
+#: Letters that the normaliser only lower-cases and that stay in one token of the pre-tokeniser.
+_WORD = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
 class Encoder:
-    """Whole texts to ids, each distinct space-separated piece encoded once a batch."""
+    """Whole texts to ids: each distinct piece of a batch is encoded once.
 
-    def __init__(self, path: str, lower_space: bool = True):
+    No token crosses white space or a step from an ASCII letter to ``.`` or
+    ``,``, and case and the kind of white space do not matter, so texts are cut
+    there.  Pieces of Latin letters are what the pre-tokeniser hands to the
+    model and go to it directly; all others go through the whole tokeniser, and
+    so does every text that holds the start of a special token.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.split = lower_space
-        added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.mark, self.mark_id = next(iter(added.items())) if added else ("", -1)
-        self.heads = tuple({t[:2] for t in added})
-
-    def _pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """ids of each piece; plain pieces are joined by a special token, encoded together and cut."""
-        out: list = [None] * len(pieces)
-        plain = []
-        for i, p in enumerate(pieces):
-            if self.mark_id < 0 or any(h in p for h in self.heads):
-                out[i] = np.array(self.tok.encode(p, add_special_tokens=False).ids, np.uint32)
-            else:
-                plain.append(i)
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            ids = np.array(self.tok.encode(self.mark.join(pieces[i] for i in some), add_special_tokens=False).ids, np.uint32)
-            for i, x in zip(some, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                out[i] = x[1:] if len(x) and x[0] == self.mark_id else x
-        return out
+        added = self.tok.get_added_tokens_decoder().values()
+        self.heads = sorted({t.content[:2] for t in added})
+        self.symbols = _byte_symbols()
+
+    def _piece(self, piece: str) -> list[int]:
+        if _WORD.fullmatch(piece):
+            if not piece.isascii():
+                piece = "".join([self.symbols[b] for b in piece.lower().encode()])
+            return [t.id for t in self.tok.model.tokenize(piece)]
+        return self.tok.encode(piece, add_special_tokens=False).ids
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
-        if not len(texts):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if not self.split:
-            got = [self.tok.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
-            return np.concatenate([np.array(g, np.uint32) for g in got]), np.array([len(g) for g in got])
-        parts = pc.split_pattern(texts, " ")
-        per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+        n = len(texts)
+        whole = np.zeros(n, bool)
+        for head in self.heads:
+            whole |= pc.match_substring(texts, head).to_numpy(zero_copy_only=False)
+        cut = pc.if_else(pa.array(whole), "", pc.replace_substring(pc.ascii_lower(texts), "\n", " "))
+        cut = pc.replace_substring_regex(cut, pattern="([a-z])([.,])", replacement=r"\1 \2")
+        parts = pc.split_pattern(cut, " ")
+        per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        known = self._pieces(coded.dictionary.to_pylist())
-        size = np.array([len(k) for k in known], np.int64)
-        flat = np.concatenate(known) if known else np.zeros(0, np.uint32)
-        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+        known = [self._piece(p) for p in coded.dictionary.to_pylist()]
+        size = np.fromiter(map(len, known), np.int64, len(known))
+        flat = np.fromiter(chain.from_iterable(known), np.uint32, int(size.sum()))
+        first = np.cumsum(size) - size
         sizes = size[index]
         ends = np.cumsum(sizes)
-        ids = flat[np.repeat(first[index] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bound = np.concatenate([[0], np.cumsum(per_text)])
-        total = np.concatenate([[0], ends])[bound]
-        return ids, np.diff(total)
+        ids = flat[np.repeat(first[index] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        counts = np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)])])
+        if not whole.any():
+            return ids, counts
+        at, out = np.concatenate([[0], np.cumsum(counts)]), []
+        for i in range(n):
+            out.append(np.array(self.tok.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+                       if whole[i] else ids[at[i]:at[i + 1]])
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
 
 def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
