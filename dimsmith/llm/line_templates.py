@@ -12,10 +12,11 @@ the order in which lines come; no leaf is ever gathered in one place.
 A template that occurs in ``min_docs`` documents or more recurs, and every line
 that has a recurring template is dropped from its document.
 
-Scale: batches count each template once a document and send one number per
-distinct template; recurring templates are a small table that Spark broadcasts
-if its bytes allow and otherwise joins by shuffle, splitting hot partitions.
-Lines move as hashes; texts move once, to meet the dropped line numbers.
+Scale: texts are parsed once, into a written table of template hashes per
+document; counting has map-side combine, however common a line is; recurring
+templates are a small table that Spark broadcasts if its bytes allow and
+otherwise joins by shuffle, splitting hot partitions.  Lines move as hashes;
+texts move once, to meet the dropped line numbers.
 
 Defined results: a null or empty text has no line; lines without a word are
 never dropped; lines of fewer than ``MIN_TOKENS`` tokens only match as they
@@ -83,48 +84,39 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return line_doc[held], number[held], out
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        data, off = buffers(b.column("text"))
-        found = []
-        for i, j in slices(off):
-            doc, _, t = templates(data[off[i]:off[j]], off[i:j + 1] - off[i])
-            pair = np.stack([np.repeat(doc.astype(np.uint64), t.shape[1]), t.ravel()])
-            order = np.lexsort(pair)        # a template counts once a document
-            pair = pair[:, order]
-            new = np.ones(pair.shape[1], bool)
-            new[1:] = np.any(pair[:, 1:] != pair[:, :-1], axis=0)
-            found.append(pair[1, new])
-        if found:
-            t, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n, pa.int64())], names=["template", "n"])
-
-
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, off = buffers(b.column("text"))
         for i, j in slices(off):
             doc, number, t = templates(data[off[i]:off[j]], off[i:j + 1] - off[i])
-            at = np.repeat(doc + i, t.shape[1])
+            ends = np.searchsorted(doc, np.arange(j - i + 1))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(at)), b.column("tk").take(pa.array(at)),
-                 pa.array(np.repeat(number, t.shape[1]), pa.int32()), pa.array(t.ravel().view(np.int64))],
-                names=["doc_id", "tk", "line", "template"])
+                [b.column("doc_id").slice(i, j - i), b.column("tk").slice(i, j - i),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(number, pa.int32())),
+                 pa.ListArray.from_arrays(pa.array(ends * t.shape[1], pa.int32()), pa.array(t.ravel().view(np.int64)))],
+                names=["doc_id", "tk", "lines", "templates"])
 
 
-def recurring_templates(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+def line_table(docs: DataFrame) -> DataFrame:
+    """doc_id, tk (hash of the text), lines (numbers of lines with a word), templates (1 + BLOCKS a line)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").mapInArrow(
+        _lines, f"doc_id {kind}, tk long, lines array<int>, templates array<long>")
+
+
+def recurring_templates(lines: DataFrame, min_docs: int = 10) -> DataFrame:
     """template, n: the templates that occur in ``min_docs`` documents or more."""
-    return (docs.select("text").mapInArrow(_count, "template long, n long")
-            .groupBy("template").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs))
+    once = lines.select(F.explode(F.array_distinct("templates")).alias("template"))
+    return once.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     """doc_id, tk (hash of the text), drop: the numbers of the lines to drop."""
-    recurring = materialise(recurring_templates(docs, min_docs).select("template"), "templates")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    lines = docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").mapInArrow(
-        _lines, f"doc_id {kind}, tk long, line int, template long")
-    hit = lines.join(recurring, "template", "left_semi")
+    lines = materialise(line_table(docs), "lines")
+    recurring = materialise(recurring_templates(lines, min_docs).select("template"), "templates")
+    each = lines.select("doc_id", "tk", "lines", F.posexplode("templates").alias("i", "template")).select(
+        "doc_id", "tk", F.get("lines", F.floor(F.col("i") / (1 + BLOCKS)).cast("int")).alias("line"), "template")
+    hit = each.join(recurring, "template", "left_semi")
     return hit.groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
