@@ -40,8 +40,8 @@ _STATS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 METRICS = {
     "symbols": ("n_symbols", "n_words", 0.1, None),
     "word_length": ("word_chars", "n_words", 12.0, 2.5),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.3, None),
-    "repeats": ("n_repeat_words", "n_words", 0.2, None),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.5, None),
+    "repeats": ("n_repeat_words", "n_words", 0.35, None),
 }
 GAMMA = 1.02
 ZERO = -1_000_000
@@ -189,9 +189,63 @@ def quality_filter(docs: DataFrame, k: float = 3.0, min_docs: int = 200) -> Data
     return x.withColumn("kept", good).drop("_lang", "_source")
 
 
-@query("op8_quality_rules")
+def _sql() -> str:
+    parts, his = [], []
+    for m, (a, b, hi, lo) in METRICS.items():
+        parts.append(f"SELECT lang, source, '{m}' AS metric, {a}::DOUBLE / greatest({b}, 1) AS v FROM good")
+        value = f"{a}::DOUBLE / greatest({b}, 1)"
+        his.append(f"coalesce({value} <= greatest({hi}, max(q3 + 3 * (q3 - q1)) FILTER (metric = '{m}')), true)")
+        if lo is not None:
+            his.append(f"coalesce({value} >= least({lo}, max(q1 - 3 * (q3 - q1)) FILTER (metric = '{m}')), true)")
+    value = f"CASE WHEN bucket = {ZERO} THEN 0.0 ELSE 2 * pow({GAMMA}, bucket::DOUBLE) / {1 + GAMMA} END"
+
+    def quartiles(name: str, by: str) -> str:
+        keys = f"{by}, " if by else ""
+        return f"""{name} AS (
+  SELECT {keys}metric, arg_min(v, bucket) FILTER (upto >= ceil(total * 0.25)) AS q1,
+         arg_min(v, bucket) FILTER (upto >= ceil(total * 0.75)) AS q3, max(total) AS n
+  FROM (SELECT *, {value} AS v, sum(n) OVER (PARTITION BY {keys}metric ORDER BY bucket) AS upto,
+               sum(n) OVER (PARTITION BY {keys}metric) AS total
+        FROM (SELECT {keys}metric, bucket, count(*) AS n FROM sk GROUP BY ALL))
+  GROUP BY {keys}metric)"""
+    stats = "n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words"
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c
+        FROM (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3))),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM tri WHERE c > 1) GROUP BY 1),
+ln AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l FROM d),
+s AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+             (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+      FROM d JOIN ln USING (doc_id) LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
+good AS (SELECT * FROM b WHERE NOT base_failed),
+sk AS (SELECT lang, source, metric,
+              CASE WHEN v > 0 THEN ceil(ln(v) / {math.log(GAMMA)!r} - 1e-9)::INTEGER ELSE {ZERO} END AS bucket
+       FROM ({" UNION ALL ".join(parts)})),
+{quartiles("g", "lang, source")},
+{quartiles("l", "lang")},
+{quartiles("a", "")},
+lim AS (SELECT g.lang, g.source, g.metric,
+               CASE WHEN g.n >= 200 THEN g.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
+               CASE WHEN g.n >= 200 THEN g.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3
+        FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.metric = l.metric JOIN a ON g.metric = a.metric)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(his)} AS kept
+FROM b LEFT JOIN lim ON b.lang IS NOT DISTINCT FROM lim.lang AND b.source IS NOT DISTINCT FROM lim.source
+GROUP BY b.doc_id, b.lang, b.source, {stats}, base_failed
+"""
+
+
+@query("op8_quality_rules", _sql())
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, whole texts; tested against a plain count of each text."""
+    """All documents, whole texts."""
     out = quality_filter(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
