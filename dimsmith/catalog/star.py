@@ -74,19 +74,19 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_keys(versions: DataFrame, spec: DimSpec) -> DataFrame:
-    """Surrogate key in load order (key, valid_from), durable key per business key.
-
-    The versions are written first: range numbering samples its input and then
-    reads it again, and the versions are two shuffles deep."""
-    spark = versions.sparkSession
-    path = work_dir(spark, "versions")
-    versions.write.parquet(path)
-    versions = spark.read.schema(versions.schema).parquet(path)
+    """Surrogate key in load order (key, valid_from), durable key per business key."""
     keyed = version_numbers(versions, spec.business_keys, [spec.valid_from],
                             row_out=spec.sk, dense_out=spec.dk)
     return keyed.select(*spec.columns())
 
 
+def built_once(df: DataFrame, name: str) -> DataFrame:
+    """A table that several branches read: written as parquet, so each reads its own columns."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_keys(customer_versions(spark, sf_dir), CUSTOMER)
 
