@@ -117,9 +117,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents' rows, each as often as it is taken, in order of virtual
-    finish time (globally range-sorted); a cut copy has its first words, joined as they stood.
+    finish time (globally range-sorted); a cut copy has its first words, joined by single spaces.
 
-    docs must have doc_id, text, source; its other columns are kept.
+    docs must have doc_id, text, source; its other columns are kept (rows equal in
+    these three share one row's other columns).
     """
     own = docs.withColumn("__mix_size", F.size(word_list(F.col("text"))).cast("long")).withColumn(
         "__mix_k1", F.xxhash64("doc_id", "source", "text")).withColumn(
@@ -127,12 +128,12 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     plan = mix(materialise(own.select("doc_id", "source", F.col("__mix_size").alias("size"), "__mix_k1", "__mix_k2"), "mix-sizes"),
                **options)
     keys = ["__mix_k1", "__mix_k2"]
-    rows = plan.groupBy(*keys).agg(F.count("*").alias("n"), F.flatten(F.collect_list("copies")).alias("copies"))
-    rows = materialise(rows.where(F.size("copies") > 0), "mix-plan")
+    rows = plan.groupBy(*keys).agg(F.count("*").alias("__mix_n"), F.flatten(F.collect_list("copies")).alias("__mix_copies"))
+    rows = materialise(rows.where(F.size("__mix_copies") > 0), "mix-plan")
     # rows equal in these columns are one key; only their texts need a shuffle to meet
-    once = own.join(rows.where("n = 1").drop("n"), keys)
-    many = own.join(rows.where("n > 1").drop("n"), keys).dropDuplicates(keys)
-    x = once.unionByName(many).withColumn("__mix_c", F.explode("copies")).alias("d")
+    once = own.join(rows.where("__mix_n = 1"), keys)
+    many = own.join(rows.where("__mix_n > 1"), keys).dropDuplicates(keys)
+    x = once.unionByName(many).withColumn("__mix_c", F.explode("__mix_copies")).alias("d")
     words = F.col("__mix_c.words").cast("int")
     text = F.when(words >= F.col("__mix_size"), F.col("d.text")).otherwise(
         F.array_join(F.slice(word_list(F.col("d.text")), 1, words), " "))

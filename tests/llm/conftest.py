@@ -41,7 +41,7 @@ def odd_docs(spark, odd_rows):
     from pyspark.sql import functions as F
     df = spark.createDataFrame(odd_rows, "doc_id long, text string, lang string, source string").repartition(3)
     for c in ("n_chars", "node", "comp", "key", "n", "size", "w", "words", "term", "pos", "bucket", "dk", "removed", "kept",
-              "n_words", "line", "template", "host", "score", "_h", "_b", "part", "at", "d", "x"):
+              "n_words", "line", "template", "host", "score", "_h", "_b", "part", "at", "d", "x", "copies", "rank", "shingles"):
         df = df.withColumn(c, F.lit("extra"))
     return df
 
