@@ -16,12 +16,13 @@ figures.
    but the first are repeats, with all their windows.
 2. Long ties: only samples whose gram has several contexts are still open.  The
    first of each context goes back to its text, its windows are hashed one by
-   one, dealt into buckets and sorted; all but the first of equals are repeats.
+   one, dealt by that hash and sorted; all but the first of equals are repeats.
 3. Each document takes the union of its repeated windows out.
 
 Batches drop their own repeats before the shuffle (an earlier equal exists, so
-the verdict is known), so a passage that a third of all documents share sends
-one entry a batch to its bucket.  The number of buckets follows the corpus
+the verdict is known), and a gram with many contexts in a batch sends one mark
+and is open at once, so a passage that a third of all documents share sends few
+entries a batch to a bucket, and its windows are dealt by their own hashes.  The number of buckets follows the corpus
 size, so one bucket fits a task.  Equality is judged on 64-bit hashes beside 32
 further bits of the gram.
 
@@ -48,12 +49,13 @@ from pyspark.sql import functions as F
 from dimsmith.llm.registry import materialise, query, table
 from dimsmith.llm.textbytes import RangeHash, buffers, mix, slices
 
-LENGTH, GRAM = 100, 40
-BUCKET_BYTES = 24 << 20         # of text for each suffix bucket
+LENGTH, GRAM = 100, 32
+BUCKET_BYTES = 32 << 20         # of text for each suffix bucket
+MANY_CONTEXTS = 8               # of one gram in one batch: its samples are open without being sorted
 _POS = np.uint64((1 << 31) - 1)
 _COLUMNS = ["bucket", "tie", "value", "doc", "dkey", "at", "count"]
 _BLOB = "bucket int, tie binary, value binary, doc binary, dkey binary, at binary, count binary"
-_FOUND = "doc_id long, dk long, removed array<long>, open array<long>"
+_FOUND = "id long, dk long, removed array<long>, open array<long>"
 NULL_ID = -(1 << 63)
 
 
@@ -109,29 +111,63 @@ def _earlier(order: np.ndarray, keys: list[np.ndarray], doc, dk, at) -> tuple[np
     return new, later
 
 
-def _blobs(tie, value, doc, dk, at, count, buckets: int, salt: int) -> Iterator[pa.RecordBatch]:
-    """The batch's first entry of each (tie, value) by bucket, the others as known repeats."""
-    bucket = (tie % np.uint64(buckets)).astype(np.int64)
+def _blobs(tie, value, doc, dk, at, count, buckets: int, salt: int, by_gram: bool) -> Iterator[pa.RecordBatch]:
+    """The batch's first entry of each (tie, value) by bucket, the others as known repeats.
+
+    Samples are dealt by their gram, windows by their hash.  A gram with many
+    contexts in the batch is open, whatever other batches hold: its bucket gets
+    one mark, an entry without windows, and its samples go on to the windows.
+    """
+    bucket = ((tie if by_gram else value) % np.uint64(buckets)).astype(np.int64)
     small = (tie >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((at, dk, doc, value, small, bucket))
     new, later = _earlier(order, [bucket, small, value], doc, dk, at)
-    entry, known = order[new], order[~new & later]
+    entry, known, opened = order[new], order[~new & later], order[:0]
+    if by_gram and len(entry):
+        gram = np.concatenate([[True], (small[entry][1:] != small[entry][:-1]) | (bucket[entry][1:] != bucket[entry][:-1])])
+        size = np.diff(np.append(np.flatnonzero(gram), len(entry)))
+        many = np.repeat(size > MANY_CONTEXTS, size)
+        opened, mark = entry[many], entry[many & gram]
+        count = count.copy()
+        if len(mark):       # the mark itself is also among the open samples
+            tie, value, doc, dk, at = (np.concatenate([x, x[mark]]) for x in (tie, value, doc, dk, at))
+            bucket, small = (np.concatenate([x, x[mark]]) for x in (bucket, small))
+            count = np.concatenate([count, np.zeros(len(mark), count.dtype)])
+            entry = np.concatenate([entry[~many], np.arange(len(count) - len(mark), len(count))])
+    entry = entry[np.lexsort((at[entry], dk[entry], doc[entry], bucket[entry]))]
     cut = np.flatnonzero(np.diff(bucket[entry], prepend=-1))
     for part in np.split(entry, cut[1:]) if len(entry) else []:
         yield _blob(int(bucket[part[0]]), small[part], value[part], doc[part], dk[part], at[part], count[part])
-    if len(known):      # passed through another group, spread over the tasks
-        yield _blob(buckets + salt % buckets, small[:0], value[:0], doc[known], dk[known], at[known], count[known])
+    for kind, part in ((1, known), (2, opened)):
+        if len(part):       # settled here: passed through other groups, spread over the tasks
+            part = part[np.lexsort((at[part], dk[part], doc[part]))]
+            yield _blob(kind * buckets + salt % buckets, small[:0], value[:0], doc[part], dk[part], at[part], count[part])
+
+
+_KINDS = {"tie": "<u4", "value": "<u8", "doc": "<i8", "dkey": "<u4", "at": "<u4", "count": "<u1"}
+_SORTED = ("doc", "dkey", "at")         # kept as differences, which compress well
 
 
-def _blob(bucket, tie, value, doc, dk, at, count) -> pa.RecordBatch:
-    cols = [tie.astype("<u4"), value.astype("<u8"), doc.astype("<i8"), dk.astype("<u4"), at.astype("<u4"), count.astype("<u1")]
-    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32())] + [pa.array([c.tobytes()], pa.binary()) for c in cols],
-                                      names=_COLUMNS)
+def _blob(bucket, *arrays) -> pa.RecordBatch:
+    cols = [pa.array([bucket], pa.int32())]
+    for (c, kind), x in zip(_KINDS.items(), arrays, strict=True):
+        x = x.astype(kind)
+        if c in _SORTED:
+            x = np.concatenate([x[:1], x[1:] - x[:-1]])
+        cols.append(pa.array([x.tobytes()], pa.binary()))
+    return pa.RecordBatch.from_arrays(cols, names=_COLUMNS)
+
+
+def _read_blobs(t: pa.Table) -> list[np.ndarray]:
+    out = []
+    for c, kind in _KINDS.items():
+        rows = [np.frombuffer(x, kind) for x in t.column(c).to_pylist()]
+        out.append(np.concatenate([np.cumsum(x, dtype=kind) if c in _SORTED else x for x in rows]))
+    return out
 
 
 def _ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    doc = b.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-    return doc, b.column("dk").to_numpy(zero_copy_only=False).astype(np.int64)
+    return b.column("id").to_numpy(zero_copy_only=False), b.column("dk").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _sample_blobs(buckets: int):
@@ -147,15 +183,10 @@ def _sample_blobs(buckets: int):
             if parts:
                 s = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
                 salt = int(mix(np.array([len(data)], np.uint64) + doc[:1].astype(np.uint64))[0] >> np.uint64(33))
-                yield from _blobs(s["gram"], s["context"], doc[s["doc"]], dk[s["doc"]], s["at"], s["count"], buckets, salt)
+                yield from _blobs(s["gram"], s["context"], doc[s["doc"]], dk[s["doc"]], s["at"], s["count"], buckets, salt, True)
     return run
 
 
-def _read_blobs(t: pa.Table):
-    kinds = {"tie": "<u4", "value": "<u8", "doc": "<i8", "dkey": "<u4", "at": "<u4", "count": "<u1"}
-    return [np.frombuffer(b"".join(t.column(c).to_pylist()), k) for c, k in kinds.items()]
-
-
 def _by_document(doc, dk, at, count, is_open) -> pa.Table:
     """One row per document: its repeated and its open runs as (start << 20 | count)."""
     code = (at.astype(np.int64) << 20) | count.astype(np.int64)
@@ -170,17 +201,20 @@ def _by_document(doc, dk, at, count, is_open) -> pa.Table:
         lists.append(pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(pick)])[np.append(heads, len(doc))], pa.int32()),
             pa.array(code[pick], pa.int64())))
-    return pa.table({"doc_id": pa.array(doc[heads], pa.int64()), "dk": pa.array(dk[heads], pa.int64()),
+    return pa.table({"id": pa.array(doc[heads], pa.int64()), "dk": pa.array(dk[heads], pa.int64()),
                      "removed": lists[0], "open": lists[1]})
 
 
 def _sort_bucket(buckets: int, resolve: bool):
     """One bucket: repeats of each value; with ``resolve`` the first of each value of a tie is open."""
     def run(t: pa.Table) -> pa.Table:
-        known = t.column("bucket")[0].as_py() >= buckets
+        kind = t.column("bucket")[0].as_py() // buckets
         tie, value, doc, dk, at, count = _read_blobs(t)
-        if known:
-            return _by_document(doc, dk, at, count, np.zeros(len(doc), bool))
+        if kind:
+            return _by_document(doc, dk, at, count, np.full(len(doc), kind == 2))
+        marked = np.unique(tie[count == 0])
+        some = count > 0
+        tie, value, doc, dk, at, count = (x[some] for x in (tie, value, doc, dk, at, count))
         order = np.lexsort((at, dk, doc, value, tie))
         new, later = _earlier(order, [tie, value], doc, dk, at)
         repeat = order[~new & later]
@@ -188,7 +222,7 @@ def _sort_bucket(buckets: int, resolve: bool):
         if resolve:
             heads = order[new]
             same = tie[heads][1:] == tie[heads][:-1]
-            several = np.zeros(len(heads), bool)
+            several = np.isin(tie[heads], marked)
             several[1:] |= same
             several[:-1] |= same
             still = heads[several]
@@ -223,60 +257,30 @@ def _cut(raw: bytes, codes: np.ndarray) -> tuple[int, int, int, str]:
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_SETTLED = f"kind int, doc_id long, dk long, text string, removed array<long>, {_RESULT}, {_BLOB}"
-
-
-def _settle(buckets: int):
-    """Finish documents without open runs; hash the windows of the others' open runs."""
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("dk", pa.int64()), ("text", pa.string()),
-                        ("removed", pa.list_(pa.int64())), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-                        ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("bucket", pa.int32())]
-                       + [(c, pa.binary()) for c in _COLUMNS[1:]])
 
-    def filled(n: int, **cols) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) if f.name in cols else pa.nulls(n, f.type) for f in schema],
-                                          schema=schema)
 
+def _window_blobs(buckets: int):
+    """Hash the windows of open runs one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = buffers(b.column("text"))
-            removed, r_at = _lists(b, "removed")
             opened, o_at = _lists(b, "open")
-            done = [i for i in range(b.num_rows) if o_at[i] == o_at[i + 1]]
-            yield from _finished(b, done, data, off, removed, r_at, filled)
-            rest = [i for i in range(b.num_rows) if o_at[i] < o_at[i + 1]]
-            if not rest:
-                continue
-            idx = pa.array(rest, pa.int64())
-            yield filled(len(rest), kind=pa.array([1] * len(rest)), doc_id=b.column("doc_id").take(idx),
-                         dk=b.column("dk").take(idx), text=b.column("text").take(idx), removed=b.column("removed").take(idx))
             doc, dk = _ids(b)
             out: list[tuple] = []
-            for i in rest:
-                part = data[off[i]:off[i + 1]]
-                hashed = RangeHash(part)
+            for i in np.flatnonzero(np.diff(o_at)):
+                hashed = RangeHash(data[off[i]:off[i + 1]])
                 code = opened[o_at[i]:o_at[i + 1]]
                 count = code & 0xFFFFF
                 at = np.repeat((code >> 20) - (np.cumsum(count) - count), count) + np.arange(count.sum())
                 value = hashed(at, at + LENGTH)
-                # the bytes' middle, hashed apart from the whole: dealt and compared beside it
-                tie = hashed(at + 30, at + 70)
+                tie = hashed(at + 30, at + 70)      # the bytes' middle, hashed apart from the whole
                 out.append((tie, value, np.full(len(at), doc[i]), np.full(len(at), dk[i]), at, np.ones(len(at), np.int64)))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-            salt = int(mix(cols[1][:1])[0] >> np.uint64(33))
-            for blob in _blobs(*cols, buckets, salt):
-                yield filled(blob.num_rows, kind=pa.array([2]), **{c: blob.column(c) for c in _COLUMNS})
+            if out:
+                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                yield from _blobs(*cols, buckets, int(mix(cols[1][:1])[0] >> np.uint64(33)), False)
     return run
 
 
-def _finished(b, rows, data, off, removed, r_at, filled) -> Iterator[pa.RecordBatch]:
-    if rows:
-        got = [_cut(data[off[i]:off[i + 1]].tobytes(), removed[r_at[i]:r_at[i + 1]]) for i in rows]
-        idx = pa.array(rows, pa.int64())
-        yield filled(len(rows), kind=pa.array([0] * len(rows)), doc_id=b.column("doc_id").take(idx), dk=b.column("dk").take(idx),
-                     **{c: pa.array([g[k] for g in got]) for k, c in enumerate(("n_bytes", "n_removed", "n_spans", "kept_sha256"))})
-
-
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, off = buffers(b.column("text"))
@@ -285,39 +289,34 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [_cut(data[off[i]:off[i + 1]].tobytes(), np.concatenate([first[f_at[i]:f_at[i + 1]], more[m_at[i]:m_at[i + 1]]]))
                for i in range(b.num_rows)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id")] + [pa.array([g[k] for g in got], pa.string() if k == 3 else pa.int64()) for k in range(4)],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            [b.column("id")] + [pa.array([g[k] for g in got], pa.string() if k == 3 else pa.int64()) for k in range(4)],
+            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _gather(found: DataFrame) -> DataFrame:
-    return found.groupBy("doc_id", "dk").agg(F.flatten(F.collect_list("removed")).alias("removed"),
-                                             F.flatten(F.collect_list("open")).alias("open"))
+    return found.groupBy("id", "dk").agg(F.flatten(F.collect_list("removed")).alias("removed"),
+                                         F.flatten(F.collect_list("open")).alias("open"))
 
 
 def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """docs (doc_id long, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spark = docs.sparkSession
-    dk = F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF))
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    d = d.select("doc_id", dk.alias("dk"), "text")
+    """docs (doc_id long, text) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    Texts are shuffled once, by document: both joins read the same exchange.
+    """
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+                    F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("dk"),
+                    F.coalesce("text", F.lit("")).alias("text"))
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+    buckets = max(8, -(-total // bucket_bytes))
 
     blobs = d.mapInArrow(_sample_blobs(buckets), _BLOB)
-    found = blobs.groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)
-    f = _gather(found).alias("f")
-    x = d.alias("d").join(f, (F.coalesce("d.doc_id", F.lit(NULL_ID)) == F.col("f.doc_id")) & (F.col("d.dk") == F.col("f.dk")), "left")
-    x = x.select("d.doc_id", "d.dk", "d.text", "f.removed", "f.open")
-    x = materialise(x.mapInArrow(_settle(buckets), _SETTLED), "settled")
-
-    result = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    done = x.where("kind = 0").select(*result)
-    more = x.where("kind = 2").select(*_COLUMNS).groupBy("bucket").applyInArrow(_sort_bucket(buckets, False), _FOUND)
-    m = _gather(more).select("doc_id", "dk", F.col("removed").alias("more")).alias("m")
-    o = x.where("kind = 1").select("doc_id", "dk", "text", "removed").alias("o")
-    o = o.join(m, (F.coalesce("o.doc_id", F.lit(NULL_ID)) == F.col("m.doc_id")) & (F.col("o.dk") == F.col("m.dk")), "left")
-    o = o.select("o.doc_id", "o.text", "o.removed", "m.more").mapInArrow(_finish, f"doc_id long, {_RESULT}")
-    return done.unionByName(o.select(*result))
+    found = materialise(_gather(blobs.groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
+    x = d.join(found, ["id", "dk"], "left")
+    more = x.where(F.size("open") > 0).mapInArrow(_window_blobs(buckets), _BLOB)
+    more = _gather(more.groupBy("bucket").applyInArrow(_sort_bucket(buckets, False), _FOUND))
+    out = x.join(more.select("id", "dk", F.col("removed").alias("more")), ["id", "dk"], "left")
+    out = out.select("id", "text", "removed", "more").mapInArrow(_finish, f"id long, {_RESULT}")
+    return out.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 @query("op9_repeat_spans")

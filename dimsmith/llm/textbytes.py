@@ -1,7 +1,7 @@
 """Vectorised work on the UTF-8 bytes of Arrow string columns.
 
 All functions take one contiguous byte buffer that holds many documents, and
-the documents' offsets in it.  Batches are cut into slices of some megabytes
+the documents' offsets in it.  Batches are cut into slices of about a megabyte
 (`slices`), so memory does not grow with the size of an Arrow batch; a single
 document is never cut.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)        # odd, so it has an inverse mod 2^64
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _rng = np.random.default_rng(20240607)
@@ -60,7 +60,7 @@ def _power(kind: str, n: int) -> np.ndarray:
         out = np.full(size, base, np.uint64)
         out[0] = 1
         out = np.multiply.accumulate(out)
-        if size > 4 * SLICE_BYTES:      # tables for a huge document are not kept
+        if size > 16 * SLICE_BYTES:     # tables for a huge document are not kept
             return out
         _powers[kind] = have = out
     return have
