@@ -77,31 +77,27 @@ def reply_paths(messages: DataFrame, n_best: int = 1, salts: int = 64) -> DataFr
     m = m.withColumn("parent_id", F.when(F.col("_known"), F.col("parent_id"))).drop("_known")
     m = materialise(m, "messages")
 
-    # up: message -> its ancestor 2^k above; sum of the scores on the way, itself included
-    up = m.select(*key, "msg_id", F.col("parent_id").alias("anc"), F.col("score").alias("total"),
-                  F.lit(1).cast("long").alias("steps"))
     leaves = m.select(*key, "tree_id", "msg_id").join(
         m.where("parent_id IS NOT NULL").select(*key, F.col("parent_id").alias("msg_id")).distinct(),
         [*key, "msg_id"], "left_anti")
     members = leaves.select(*key, "tree_id", F.col("msg_id").alias("leaf_id"), "msg_id",
                             F.lit(0).cast("long").alias("hop"))
+    # up: message -> its ancestor 2^k above, sum of the scores on the way (itself included);
+    # who has reached the root is done and takes no part in later rounds
+    up = m.select(*key, "msg_id", F.col("parent_id").alias("anc"), F.col("score").alias("total"),
+                  F.lit(1).cast("long").alias("steps"))
+    done, up = up.where("anc IS NULL"), up.where("anc IS NOT NULL")
     step, left, jumps = 1, None, []
-    while True:
-        up = materialise(up, "up")
+    while (above := up.count()) not in (0, left):       # unchanged: only messages on cycles are left
         jumps.append((step, up))
-        above = up.where("anc IS NOT NULL").count()
-        if above in (0, left):      # nobody has an ancestor so far up, or only messages on cycles
-            break
-        nxt = up.select(*key, F.col("msg_id").alias("anc"), F.col("anc").alias("_anc2"),
-                        F.col("total").alias("_total2"), F.col("steps").alias("_steps2"))
-        up = up.join(nxt, [*key, "anc"], "left").select(
-            *key, "msg_id", F.col("_anc2").alias("anc"),
-            (F.col("total") + F.coalesce("_total2", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("_steps2", F.lit(0))).alias("steps"))
+        there = done.unionByName(up).select(*key, F.col("msg_id").alias("anc"), F.col("anc").alias("_anc2"),
+                                            F.col("total").alias("_total2"), F.col("steps").alias("_steps2"))
+        far = materialise(up.join(there, [*key, "anc"]).select(
+            *key, "msg_id", F.col("_anc2").alias("anc"), (F.col("total") + F.col("_total2")).alias("total"),
+            (F.col("steps") + F.col("_steps2")).alias("steps")), "up")
+        done, up = done.unionByName(far.where("anc IS NULL")), far.where("anc IS NOT NULL")
         step, left = step * 2, above
 
-    # after the last round a message's total and steps cover its whole way to the root
-    done = jumps[-1][1].where("anc IS NULL")
     scored = members.join(done.select(*key, "msg_id", "total", "steps"), [*key, "msg_id"])
     scored = scored.withColumn("_mean", F.col("total") / F.col("steps"))
     scored = scored.withColumn("_salt", F.pmod(F.xxhash64("leaf_id"), F.lit(salts)))
@@ -113,8 +109,8 @@ def reply_paths(messages: DataFrame, n_best: int = 1, salts: int = 64) -> DataFr
 
     # enumerate the chosen paths: who is at hop h finds who is at hop h + 2^k
     path = materialise(best.select(*key, "tree_id", "leaf_id", "path_rank", "steps", "msg_id", "hop"), "leaves")
-    for k, up in reversed(jumps[:-1]):
-        nxt = (path.join(up.where("anc IS NOT NULL").select(*key, "msg_id", "anc"), [*key, "msg_id"])
+    for k, up in reversed(jumps):
+        nxt = (path.join(up.select(*key, "msg_id", "anc"), [*key, "msg_id"])
                .select(*key, "tree_id", "leaf_id", "path_rank", "steps", F.col("anc").alias("msg_id"),
                        (F.col("hop") + k).alias("hop")))
         path = materialise(path.unionByName(nxt), "path")
