@@ -10,7 +10,9 @@ import __spark_entry__ as entry
 from dimsmith.catalog import QUERIES as CATALOG
 from tests.conftest import SF_SMALL
 
-QUERIES = {name: build for name, build in entry.queries().items() if name in CATALOG}
+# a streaming query's result is a scan of the table it wrote: nothing to see in its plan
+QUERIES = {name: build for name, build in entry.queries().items()
+           if name in CATALOG and not name.startswith("stream_")}
 
 
 def plan_of(df) -> str:
