@@ -9,8 +9,10 @@ variable field.  Two lines under one leaf that differ within one part (so at
 least three quarters of the rest agree) therefore share a template, whatever
 the order in which lines come; no leaf is ever gathered in one place.
 
-A template that occurs in ``min_docs`` documents or more recurs, and every line
-that has a recurring template is dropped from its document.
+A template with ``LONG`` fixed tokens or more (neither a field nor in the left-out
+part) recurs from ``LONG_DOCS`` documents on, a shorter or more generic one from
+``SHORT_DOCS`` on, and every line that has a recurring template is dropped from
+its document.  The lowest bit of a template's hash says which of the two it is.
 
 Scale: texts are parsed once, into a written table of template hashes per
 document; counting has map-side combine, however common a line is; recurring
@@ -19,8 +21,8 @@ otherwise joins by shuffle, splitting hot partitions.  Lines move as hashes;
 texts move once, to meet the dropped line numbers.
 
 Defined results: a null or empty text has no line; lines without a word are
-never dropped; lines of fewer than ``MIN_TOKENS`` tokens only match as they
-are, and fields in them stay as they are; rows that repeat doc_id and text count
+never dropped; lines of fewer than ``MIN_TOKENS`` tokens have no left-out part
+and only match as they are but for their fields; rows that repeat doc_id and text count
 as separate documents and lose the same lines; an empty table gives an empty
 result; extra columns are kept by `drop_lines`.
 """
@@ -38,6 +40,7 @@ from dimsmith.llm.registry import materialise, query, table
 from dimsmith.llm.textbytes import RangeHash, buffers, mix, slices, words
 
 LEAD, BLOCKS, MIN_TOKENS = 3, 4, 8
+LONG, LONG_DOCS, SHORT_DOCS = 8, 2, 10
 _DIGIT = np.zeros(256, np.int64)
 _DIGIT[48:58] = 1
 _FIELD = np.uint64(0x5851F42D4C957F2D)
@@ -53,6 +56,11 @@ def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return ls, doc, np.arange(len(ls)) - first
 
 
+def _marked(template: np.ndarray, fixed: np.ndarray) -> np.ndarray:
+    """Template hashes whose lowest bit is set if they have ``LONG`` fixed tokens."""
+    return (template & ~np.uint64(1)) | (fixed >= LONG).astype(np.uint64)
+
+
 def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, line number, (lines, 1 + BLOCKS) template hashes) of lines with a word."""
     start, end, _ = words(data, offsets)
@@ -66,8 +74,8 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     held = np.flatnonzero(n)
     first = np.concatenate([[0], np.cumsum(n)[:-1]])
     place, size = np.arange(len(start)) - first[line], n[line]
-    long = size >= MIN_TOKENS
-    h = np.where(long & (digits[end] > digits[start]), _FIELD, h)
+    field = digits[end] > digits[start]
+    h = np.where(field, _FIELD, h)
     # each token's share of the line's sum depends on its place; a left-out part adds a mark instead
     term = mix(h + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * _odd[place % len(_odd)]
     at = first[held]
@@ -75,11 +83,13 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     leaf = np.add.reduceat(np.where(place < LEAD, term, np.uint64(0)), at) + mix(n[held].astype(np.uint64))
     rest = np.maximum(size - LEAD, 1)
     part = np.where(place < LEAD, -1, (place - LEAD) * BLOCKS // rest)
+    fixed = np.add.reduceat((~field).astype(np.int64), at)
     out = np.zeros((len(held), 1 + BLOCKS), np.uint64)
-    out[:, 0] = mix(leaf ^ mix(full))
+    out[:, 0] = _marked(mix(leaf ^ mix(full)), fixed)
     for p in range(BLOCKS):
         left = full - np.add.reduceat(np.where(part == p, term, np.uint64(0)), at)
-        own = mix(leaf ^ mix(left + _FIELD * np.uint64(p + 2)))
+        own = _marked(mix(leaf ^ mix(left + _FIELD * np.uint64(p + 2))),
+                      fixed - np.add.reduceat(((part == p) & ~field).astype(np.int64), at))
         out[:, 1 + p] = np.where(n[held] >= MIN_TOKENS, own, out[:, 0])
     return line_doc[held], number[held], out
 
@@ -104,13 +114,15 @@ def line_table(docs: DataFrame) -> DataFrame:
         _lines, f"doc_id {kind}, tk long, lines array<int>, templates array<long>")
 
 
-def recurring_templates(lines: DataFrame, min_docs: int = 10) -> DataFrame:
-    """template, n: the templates that occur in ``min_docs`` documents or more."""
+def recurring_templates(lines: DataFrame, min_docs: int | None = None) -> DataFrame:
+    """template, n: the templates that recur (given ``min_docs``: in as many documents, whatever their length)."""
+    long = F.col("template").bitwiseAND(F.lit(1)) == 1
+    least = F.when(long, LONG_DOCS).otherwise(SHORT_DOCS) if min_docs is None else F.lit(min_docs)
     once = lines.select(F.explode(F.array_distinct("templates")).alias("template"))
-    return once.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    return once.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int | None = None) -> DataFrame:
     """doc_id, tk (hash of the text), drop: the numbers of the lines to drop."""
     lines = materialise(line_table(docs), "lines")
     recurring = materialise(recurring_templates(lines, min_docs).select("template"), "templates")
@@ -120,7 +132,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     return hit.groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("line")).alias("drop"))
 
 
-def drop_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
+def drop_lines(docs: DataFrame, min_docs: int | None = None) -> DataFrame:
     """docs with their text less the dropped lines, n_lines and n_dropped."""
     gone = dropped_lines(docs, min_docs).select(F.col("doc_id").alias("__line_id"), F.col("tk").alias("__line_tk"), F.col("drop").alias("__line_drop"))
     x = docs.withColumn("__line_h", F.xxhash64("text"))
