@@ -2,13 +2,16 @@
 
 The benchmark's windows (``width`` consecutive words; a shorter item is one
 window) are the test phrases.  One pass over the corpus counts every term of
-the windows; each window is then represented by its rarest term.  A second pass
-stores the postings of those terms (term, document, position and the words
-around), and the windows of a term are intersected with its postings at their
-offset: exact phrases where all words agree, proximity matches where at least
-``near_share`` of a window's distinct terms stand within its width of the
-rarest one.  A window with a term that the corpus lacks is settled by the
-count alone.
+the windows.  A proximity match may lack k of a window's distinct terms, so a
+window is represented by its k + 1 rarest ones, of which each match holds one
+(exact phrases: by the rarest).  A second pass stores the postings of those
+terms (term, document, position and the words around), and the windows of a
+term are intersected with its postings: exact phrases where all words agree at
+their offset, proximity matches where at least ``near_share`` of a window's
+distinct terms stand within its width of one of its k + 1 rarest; so every
+stretch of ``width`` words with that many of them is found.  Terms that the
+corpus lacks count as the rarest; a window that lacks more than k of its terms
+is settled by the count alone, and one that lacks any has no exact phrase.
 
 DataFrame functions only.  The terms searched for are broadcast in blocks of at
 most ``block_terms`` (the bound is the block, not the data: a larger benchmark
@@ -97,14 +100,17 @@ def find_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, near_sha
     """
     win = materialise(windows(items, width), "windows")
     words = win.select("window", F.posexplode(F.split("window", " ")).alias("offset", "word"))
-    words = words.withColumn("term", F.lower("word"))
+    words = words.groupBy("window", "word").agg(F.min("offset").alias("offset")).withColumn("term", F.lower("word"))
     counts = materialise(term_counts(docs, words.select("term").distinct(), block_terms), "term-counts")
-    rarest = (words.join(counts, "term", "left").groupBy("window")
-              .agg(F.min(F.struct(F.coalesce("tf", F.lit(0)).alias("tf"), "offset", "term")).alias("r"))
-              .where("r.tf > 0"))
+    ranked = (words.join(counts, "term", "left").groupBy("window")     # an entry a distinct word of the window
+              .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("tf", F.lit(0)).alias("tf"), "offset", "term", "word"))).alias("r"))
+              .withColumn("need", F.ceil(F.size("r") * near_share)))
+    rarest = ranked.select("window", "need", F.transform("r", lambda e: e["word"]).alias("terms"),
+                           F.posexplode(F.slice("r", 1, (F.size("r") - F.col("need") + 1).cast("int"))).alias("rank", "r")).where("r.tf > 0")
     anchors = materialise(
         win.join(rarest, "window").groupBy(F.col("r.term").alias("term")).agg(
-            F.collect_list(F.struct(F.col("r.offset").alias("offset"), "n", "window", "items")).alias("wins")), "anchors")
+            F.collect_list(F.struct((F.col("rank") == 0).alias("rarest"), F.col("r.offset").alias("offset"), "n", "window",
+                                    "items", "terms", "need")).alias("wins")), "anchors")
     index = materialise(postings(docs, anchors.select("term"), width - 1, block_terms), "postings")
 
     x = index.join(anchors, "term").withColumn("ctx", F.split("context", " ", -1))
@@ -115,9 +121,8 @@ def find_matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, near_sha
                           F.lit(False))
 
     def near(w: Column) -> Column:
-        terms = F.array_distinct(F.split(w["window"], " "))
-        return F.size(F.array_intersect(F.col("ctx"), terms)) >= F.ceil(F.size(terms) * near_share)
-    found = F.transform(F.filter("wins", phrase), lambda w: F.struct(
+        return F.size(F.array_intersect(F.col("ctx"), w["terms"])) >= w["need"]
+    found = F.transform(F.filter("wins", lambda w: w["rarest"] & phrase(w)), lambda w: F.struct(
         (F.col("pos") - w["offset"]).alias("start"), w["n"].alias("n"), w["items"].alias("items")))
     close = F.array_distinct(F.flatten(F.transform(F.filter("wins", near), lambda w: w["items"])))
     x = x.select("doc_id", "tk", found.alias("phrases"), close.alias("near")).where(
@@ -137,7 +142,7 @@ def covered(phrases: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, item_ids (sorted), near_items (sorted)."""
+    """Per document: doc_id, tk (hash of the text), n_words, n_hit, item_ids (sorted), near_items (sorted)."""
     hits = find_matches(docs, items, **options)
     hits = hits.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), covered(F.col("phrases")).alias("n_hit"),
                        F.sort_array(F.array_distinct(F.flatten(F.col("phrases.items")))).alias("item_ids"),
@@ -146,7 +151,7 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     d = docs.select("doc_id", F.xxhash64("text").alias("tk"), word_count(raw_words(F.col("text"))).alias("n_words"))
     x = d.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_tk")), "left")
     none = F.array().cast("array<string>")
-    return x.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+    return x.select("doc_id", "tk", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("near_items", none).alias("near_items"))
 
 
