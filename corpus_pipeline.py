@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dimsmith.llm.decontaminate import contamination
 from dimsmith.llm.language_id import UNKNOWN, predict, train_on
 from dimsmith.llm.mix_sources import mixed_texts
-from dimsmith.llm.near_dedup import near_duplicates
+from dimsmith.llm.near_dedup import near_components
 from dimsmith.llm.registry import materialise, table
 from dimsmith.llm.token_store import token_index
 
@@ -27,8 +27,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (of rows equal in id and text, one)."""
-    kept = near_duplicates(docs).where("kept").groupBy("doc_id", "tk").agg(F.count("*").alias("__stage_n"))
-    v = materialise(kept.withColumnsRenamed({"doc_id": "__stage_id", "tk": "__stage_tk"}), "verdict")
+    x = near_components(docs).groupBy("comp", "doc_id", "tk").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tk", "n")).alias("c")     # an id before null, then the smallest text hash
+    one = x.where("comp IS NOT NULL").groupBy("comp").agg(first).select("c.doc_id", "c.tk", "c.n")
+    kept = one.unionByName(x.where("comp IS NULL").select("doc_id", "tk", "n"))            # no words: a group of its own
+    v = materialise(kept.withColumnsRenamed({"doc_id": "__stage_id", "tk": "__stage_tk", "n": "__stage_n"}), "verdict")
     same = F.col("doc_id").eqNullSafe(F.col("__stage_id")) & (F.xxhash64("text") == F.col("__stage_tk"))
     once = docs.join(v.where("__stage_n = 1"), same, "left_semi")
     again = docs.join(v.where("__stage_n > 1"), same).dropDuplicates(["__stage_id", "__stage_tk"])
@@ -38,8 +41,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     hit = contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
-    v = materialise(hit.select(F.col("doc_id").alias("__stage_id")).distinct(), "verdict")
-    return docs.join(v, F.col("doc_id").eqNullSafe(F.col("__stage_id")), "left_anti")
+    v = materialise(hit.select(F.col("doc_id").alias("__stage_id"), F.col("tk").alias("__stage_tk")).distinct(), "verdict")
+    same = F.col("doc_id").eqNullSafe(F.col("__stage_id")) & (F.xxhash64("text") == F.col("__stage_tk"))
+    return docs.join(v, same, "left_anti")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

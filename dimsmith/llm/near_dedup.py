@@ -211,8 +211,8 @@ def _sets_of(docs: DataFrame, sig: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(_sets, "node long, shingles array<long>")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, tk (xxhash64 of the text), n_shingles, component_id, kept."""
+def near_components(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, tk (xxhash64 of the text), n_shingles, comp (null: no set)."""
     sig = materialise(signatures(docs), "signatures")
     nodes = materialise(_set_nodes(sig), "nodes")
     diagonal = materialise(diagonal_keys(nodes), "diagonal")
@@ -235,7 +235,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             keys = materialise(_several(keys), "keys")
         salt += 1
     x = sig.select("doc_id", "tk", "n_shingles", "node").join(labels, "node", "left")
-    x = x.withColumn("comp", F.coalesce("comp", "node"))
+    return x.select("doc_id", "tk", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, tk (xxhash64 of the text), n_shingles, component_id, kept."""
+    x = near_components(docs)
     first = x.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("first"))
     x = x.join(first, "comp", "left")
     own = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("first"))

@@ -81,3 +81,28 @@ def test_proximity_without_the_rarest_terms(spark):
     around, stretch = brute_near(docs, items)
     assert got == around and stretch <= got
     assert {(0, "9"), (1, "9")} <= got and (2, "9") not in got
+
+# --- pipeline --------------------------------------------------------------------------------
+
+def test_stages_judge_rows_by_id_and_text(spark, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(2)
+    vocab = [f"{a}{b}{c}" for a in "abcdefgh" for b in "uvwxyz" for c in "mnopq"]
+    text = [" ".join(rng.choices(vocab, k=60)) for _ in range(8)]
+    spark.createDataFrame([(1, " ".join(text[0].split()[20:40]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def left(stage, rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        return Counter((r.doc_id, r.text) for r in stage(spark, df, str(tmp_path)).collect())
+    rows = [(None, text[0], "en", "a"), (None, text[1], "en", "a"), (None, None, "en", "a"), (5, text[0], "en", "a"),
+            (5, text[2], "en", "a"), (6, text[3], "en", "a")]
+    assert left(corpus_pipeline.decontaminate_stage, rows) == Counter(
+        [(None, text[1]), (None, None), (5, text[2]), (6, text[3])])
+
+    near = [text[0], text[0].upper(), text[0] + " tail"]
+    rows = [(None, t, "en", "a") for t in near] + [(7, t + " x", "en", "a") for t in (text[4], text[4].upper())]
+    rows += [(None, text[4], "en", "a"), (8, text[5], "en", "a"), (8, text[5], "en", "a"), (8, text[6], "en", "a"), (9, None, "en", "a")]
+    got = left(corpus_pipeline.near_dedup_stage, rows)
+    assert sum(got[None, t] for t in near) == 1 and got[None, text[4]] == 0
+    assert sum(n for (d, _), n in got.items() if d == 7) == 1
+    assert got[8, text[5]] == got[8, text[6]] == got[9, None] == 1 and sum(got.values()) == 5
