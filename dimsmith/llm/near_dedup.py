@@ -18,7 +18,12 @@ one representative, never all pairs, in rounds:
   that two components share needs both its halves shared, so nothing is lost,
   and a document without overlap ends at its 24 half-keys);
 * again with other representatives, in the buckets that still hold several
-  components, until a round adds no link.
+  components, until a round adds fewer than one link in 100;
+* then every pair of different components among the members of buckets that are
+  still open, by an exact prefix filter: shingles are ordered by how often they
+  occur there, those of a single component first, and a pair at 0.75 shares one
+  of the first quarter of either set.  Pairs meet at such shingles, a common one
+  dealt in blocks of ``BLOCK`` members.
 
 Every link is confirmed on the full sets: 100 * |A and B| >= 75 * |A or B|.
 
@@ -46,6 +51,7 @@ from dimsmith.llm.registry import materialise, query, table
 from dimsmith.llm.textbytes import TO_LOWER, RangeHash, buffers, mix, slices, words
 
 SHINGLE, ROWS, WIDTH = 5, 12, 2
+BLOCK = 500
 _BITS = np.uint64(50)
 _rng = np.random.default_rng(4)
 _A = _rng.integers(1, 1 << 63, 2 * ROWS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -189,6 +195,35 @@ def _candidates(keys: DataFrame, salt: int) -> DataFrame:
     return x.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
 
 
+def prefixes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """nodes (node, n, comp) -> node, n, comp, s, at: the shingles of each prefix that other components have, and their places."""
+    each = materialise(sets.join(nodes, "node").select("node", "n", "comp", F.explode("shingles").alias("s")), "shingles")
+    shared = each.groupBy("s").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    shared = shared.where("lo <> hi").select("s", "df")
+    mine = each.join(shared, "s").groupBy("node", "n", "comp").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("l"))
+    mine = mine.withColumn("own", F.col("n") - F.size("l"))         # only in this component: first in the order
+    mine = mine.withColumn("left", F.floor(F.col("n") / 4) + 1 - F.col("own")).where("left > 0")
+    return mine.select("node", "n", "comp", "own", F.posexplode(F.slice("l", 1, F.col("left").cast("int"))).alias("i", "e")).select(
+        "node", "n", "comp", F.col("e.s").alias("s"), (F.col("own") + F.col("i")).alias("at"))
+
+
+def rest_pairs(nodes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of all nodes (node, n, comp) of different components that may be at 0.75."""
+    x = materialise(prefixes(nodes, sets), "prefixes")
+    met = x.groupBy("s").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    x = x.join(met.select("s", F.ceil(F.col("c") / block).alias("blocks")), "s")
+    x = x.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    one = x.select("s", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("at").alias("ia"),
+                   F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"))
+    two = x.select("s", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("at").alias("ib"),
+                   F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("p"), F.col("own").alias("q"))
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))     # in common from their first common shingle on
+    one, two = one.alias("one"), two.alias("two")
+    same = [F.col(f"one.{k}") == F.col(f"two.{k}") for k in ("s", "p", "q")]
+    may = (F.col("ca") != F.col("cb")) & (7 * most >= 3 * (F.col("na") + F.col("nb"))) & ((F.col("one.p") != F.col("one.q")) | (F.col("a") < F.col("b")))
+    return one.join(two, [*same, may]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
@@ -225,15 +260,21 @@ def near_components(docs: DataFrame) -> DataFrame:
     while True:
         pairs = materialise(_candidates(keys, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
         new = materialise(_verified(pairs, sets), "links")
-        if new.isEmpty():
-            if salt > 1:
-                break
-        else:
+        n_new = new.count()
+        few = 100 * n_new < links.count() or not n_new
+        if n_new:
             tested, links = tested.unionByName(pairs), links.unionByName(new)
             labels = components(links)
             keys = keys.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
             keys = materialise(_several(keys), "keys")
+        if few:         # the last pass decides all that is left
+            break
         salt += 1
+    rest = materialise(keys.select("node", "n", "comp").distinct(), "open")
+    pairs = materialise(rest_pairs(rest, sets).join(tested, ["a", "b"], "left_anti"), "pairs")
+    new = materialise(_verified(pairs, sets), "links")
+    if not new.isEmpty():
+        labels = components(links.unionByName(new))
     x = sig.select("doc_id", "tk", "n_shingles", "node").join(labels, "node", "left")
     return x.select("doc_id", "tk", "n_shingles", F.coalesce("comp", "node").alias("comp"))
 

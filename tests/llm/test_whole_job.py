@@ -5,9 +5,35 @@ import random
 import re
 from collections import Counter
 
-from tests.llm.test_text_operators import SPACE, WORD, by_row, lower
+from tests.llm.test_text_operators import SPACE, WORD, brute_components, by_row, lower
 
 
+# --- near duplicates -------------------------------------------------------------------------
+
+def test_rounds_without_links_do_not_end_the_search(spark, odd_docs, odd_rows, monkeypatch):
+    """Every representative misses: the last pass alone finds the links."""
+    import dimsmith.llm.near_dedup as near_dedup
+    some = near_dedup._candidates
+    monkeypatch.setattr(near_dedup, "_candidates", lambda keys, salt: some(keys, salt).limit(0))
+    assert by_row(near_dedup.near_duplicates(odd_docs).drop("tk")) == brute_components(odd_rows)
+
+
+def test_pairs_of_the_last_pass_hold_every_link(spark):
+    from dimsmith.llm.near_dedup import _verified, rest_pairs
+    rng = random.Random(4)
+    sets = {}
+    for i in range(150):
+        base = rng.sample(range(60), rng.randint(1, 30)) if i % 3 else list(rng.choice(list(sets.values()) or [[1, 2]]))
+        sets[i] = sorted({*base[rng.randint(0, 3) % len(base):], *rng.sample(range(60), rng.randint(0, 3))})
+    comp = {i: i // 2 for i in sets}
+    df = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
+    nodes = spark.createDataFrame([(i, len(x), comp[i]) for i, x in sets.items()], "node long, n long, comp long")
+    want = {(i, j) for i in sets for j in range(i + 1, len(sets)) if comp[i] != comp[j]
+            and 100 * len({*sets[i]} & {*sets[j]}) >= 75 * len({*sets[i], *sets[j]})}
+    assert len(want) > 20
+    for block in (500, 3):
+        assert {tuple(r) for r in _verified(rest_pairs(nodes, df, block), df).collect()} == want
+
 # --- line templates --------------------------------------------------------------------------
 
 def brute_default_lines(rows):
