@@ -19,6 +19,9 @@ from dimsmith.llm import (  # noqa: F401  (import for registration)
     quality_rules,
     repeat_spans,
     url_filters,
+    best_fit_packing,
+    hard_negatives,
+    importance_sampling,
 )
 
 __all__ = ["QUERIES", "ORACLE"]
