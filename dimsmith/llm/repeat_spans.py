@@ -6,7 +6,7 @@ cover: a sparse set of sample positions such that any two equal windows contain
 a sample at the same offset.  The usual arithmetic difference cover needs 12 to
 14 % of all positions for 100-byte strings and a partner's residue to choose
 the common sample; here the cover is defined by content (each window's smallest
-hashed 40-byte gram, the leftmost of equals), which picks about 3 % and gives
+hashed 32-byte gram, the leftmost of equals), which picks about 3 % and gives
 equal windows the same sample without knowing the partner.  README.md has the
 figures.
 
@@ -31,7 +31,8 @@ never cross documents.
 
 Defined results: a null or empty text has no bytes and the digest of nothing;
 rows that repeat doc_id and text are one document and get equal results; rows
-with one doc_id and different texts are ordered by a hash of the text; texts
+with one doc_id, or none, and different texts are ordered by a hash of the text
+(95 bits, which also tell them apart); texts
 under ``LENGTH`` bytes are kept whole; an empty table gives an empty result;
 extra columns are ignored.
 """
@@ -40,6 +41,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +55,12 @@ LENGTH, GRAM = 100, 32
 BUCKET_BYTES = 32 << 20         # of text for each suffix bucket
 MANY_CONTEXTS = 8               # of one gram in one batch: its samples are open without being sorted
 _POS = np.uint64((1 << 31) - 1)
-_COLUMNS = ["bucket", "tie", "value", "doc", "dkey", "at", "count"]
-_BLOB = "bucket int, tie binary, value binary, doc binary, dkey binary, at binary, count binary"
-_FOUND = "id long, dk long, removed array<long>, open array<long>"
+_COLUMNS = ["bucket", "tie", "value", "doc", "top", "dkey", "at", "count"]
+_BLOB = "bucket int, tie binary, value binary, doc binary, top binary, dkey binary, at binary, count binary"
+_FOUND = "id long, top long, dk long, removed array<long>, open array<long>"
+_KEY = ["id", "top", "dk"]      # a document: its id, whether there is one beside 31 bits of the text's hash, 64 further bits
 NULL_ID = -(1 << 63)
+NO_ID = 1 << 31                 # added to the top key of documents with an id, so that null comes before all
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -100,18 +104,17 @@ def samples(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return {"doc": doc, "at": at - offsets[doc], "count": count, "gram": gram[sample], "context": context}
 
 
-def _earlier(order: np.ndarray, keys: list[np.ndarray], doc, dk, at) -> tuple[np.ndarray, np.ndarray]:
+def _earlier(order: np.ndarray, keys: list[np.ndarray], doc, top, dk, at) -> tuple[np.ndarray, np.ndarray]:
     """(starts of the groups of equal keys, whether the entry has an earlier equal one), in ``order``."""
     new = np.ones(len(order), bool)
     if len(order) > 1:
         new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
     head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    d, k, a = doc[order], dk[order], at[order]
-    later = (d != d[head]) | (k != k[head]) | (a != a[head])
+    later = np.any([x[order] != x[order][head] for x in (doc, top, dk, at)], axis=0)
     return new, later
 
 
-def _blobs(tie, value, doc, dk, at, count, buckets: int, salt: int, by_gram: bool) -> Iterator[pa.RecordBatch]:
+def _blobs(tie, value, doc, top, dk, at, count, buckets: int, salt: int, by_gram: bool) -> Iterator[pa.RecordBatch]:
     """The batch's first entry of each (tie, value) by bucket, the others as known repeats.
 
     Samples are dealt by their gram, windows by their hash.  A gram with many
@@ -120,8 +123,8 @@ def _blobs(tie, value, doc, dk, at, count, buckets: int, salt: int, by_gram: boo
     """
     bucket = ((tie if by_gram else value) % np.uint64(buckets)).astype(np.int64)
     small = (tie >> np.uint64(32)).astype(np.uint32)
-    order = np.lexsort((at, dk, doc, value, small, bucket))
-    new, later = _earlier(order, [bucket, small, value], doc, dk, at)
+    order = np.lexsort((at, dk, top, doc, value, small, bucket))
+    new, later = _earlier(order, [bucket, small, value], doc, top, dk, at)
     entry, known, opened = order[new], order[~new & later], order[:0]
     if by_gram and len(entry):
         gram = np.concatenate([[True], (small[entry][1:] != small[entry][:-1]) | (bucket[entry][1:] != bucket[entry][:-1])])
@@ -130,22 +133,22 @@ def _blobs(tie, value, doc, dk, at, count, buckets: int, salt: int, by_gram: boo
         opened, mark = entry[many], entry[many & gram]
         count = count.copy()
         if len(mark):       # the mark itself is also among the open samples
-            tie, value, doc, dk, at = (np.concatenate([x, x[mark]]) for x in (tie, value, doc, dk, at))
+            tie, value, doc, top, dk, at = (np.concatenate([x, x[mark]]) for x in (tie, value, doc, top, dk, at))
             bucket, small = (np.concatenate([x, x[mark]]) for x in (bucket, small))
             count = np.concatenate([count, np.zeros(len(mark), count.dtype)])
             entry = np.concatenate([entry[~many], np.arange(len(count) - len(mark), len(count))])
-    entry = entry[np.lexsort((at[entry], dk[entry], doc[entry], bucket[entry]))]
+    entry = entry[np.lexsort((at[entry], dk[entry], top[entry], doc[entry], bucket[entry]))]
     cut = np.flatnonzero(np.diff(bucket[entry], prepend=-1))
     for part in np.split(entry, cut[1:]) if len(entry) else []:
-        yield _blob(int(bucket[part[0]]), small[part], value[part], doc[part], dk[part], at[part], count[part])
+        yield _blob(int(bucket[part[0]]), small[part], value[part], doc[part], top[part], dk[part], at[part], count[part])
     for kind, part in ((1, known), (2, opened)):
         if len(part):       # settled here: passed through other groups, spread over the tasks
-            part = part[np.lexsort((at[part], dk[part], doc[part]))]
-            yield _blob(kind * buckets + salt % buckets, small[:0], value[:0], doc[part], dk[part], at[part], count[part])
+            part = part[np.lexsort((at[part], dk[part], top[part], doc[part]))]
+            yield _blob(kind * buckets + salt % buckets, small[:0], value[:0], doc[part], top[part], dk[part], at[part], count[part])
 
 
-_KINDS = {"tie": "<u4", "value": "<u8", "doc": "<i8", "dkey": "<u4", "at": "<u4", "count": "<u1"}
-_SORTED = ("doc", "dkey", "at")         # kept as differences, which compress well
+_KINDS = {"tie": "<u4", "value": "<u8", "doc": "<i8", "top": "<u4", "dkey": "<i8", "at": "<u4", "count": "<u1"}
+_SORTED = ("doc", "top", "dkey", "at")         # kept as differences, which compress well
 
 
 def _blob(bucket, *arrays) -> pa.RecordBatch:
@@ -166,14 +169,23 @@ def _read_blobs(t: pa.Table) -> list[np.ndarray]:
     return out
 
 
-def _ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return b.column("id").to_numpy(zero_copy_only=False), b.column("dk").to_numpy(zero_copy_only=False).astype(np.int64)
+def _ids(b: pa.RecordBatch) -> list[np.ndarray]:
+    return [b.column(c).to_numpy(zero_copy_only=False) for c in _KEY]
+
+
+def _batch_salts() -> Iterator[int]:
+    """A number for each batch of a task, so that what batches pass through is spread over the groups."""
+    from pyspark import TaskContext
+    task = TaskContext.get()
+    first = (task.partitionId() if task else 0) << 32
+    for n in count_up():
+        yield int(mix(np.array([first + n], np.uint64))[0] >> np.uint64(33))
 
 
 def _sample_blobs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            doc, dk = _ids(b)
+        for b, salt in zip(batches, _batch_salts(), strict=False):
+            doc, top, dk = _ids(b)
             data, off = buffers(b.column("text"))
             parts = []
             for i, j in slices(off):
@@ -182,18 +194,17 @@ def _sample_blobs(buckets: int):
                 parts.append(s)
             if parts:
                 s = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-                salt = int(mix(np.array([len(data)], np.uint64) + doc[:1].astype(np.uint64))[0] >> np.uint64(33))
-                yield from _blobs(s["gram"], s["context"], doc[s["doc"]], dk[s["doc"]], s["at"], s["count"], buckets, salt, True)
+                yield from _blobs(s["gram"], s["context"], doc[s["doc"]], top[s["doc"]], dk[s["doc"]], s["at"], s["count"], buckets, salt, True)
     return run
 
 
-def _by_document(doc, dk, at, count, is_open) -> pa.Table:
+def _by_document(doc, top, dk, at, count, is_open) -> pa.Table:
     """One row per document: its repeated and its open runs as (start << 20 | count)."""
     code = (at.astype(np.int64) << 20) | count.astype(np.int64)
-    order = np.lexsort((at, dk, doc))
-    doc, dk, code, is_open = doc[order], dk[order].astype(np.int64), code[order], is_open[order]
+    order = np.lexsort((at, dk, top, doc))
+    doc, top, dk, code, is_open = doc[order], top[order].astype(np.int64), dk[order], code[order], is_open[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (dk[1:] != dk[:-1])
+    new[1:] = (doc[1:] != doc[:-1]) | (top[1:] != top[:-1]) | (dk[1:] != dk[:-1])
     heads = np.flatnonzero(new)
     lists = []
     for want in (False, True):
@@ -201,22 +212,22 @@ def _by_document(doc, dk, at, count, is_open) -> pa.Table:
         lists.append(pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(pick)])[np.append(heads, len(doc))], pa.int32()),
             pa.array(code[pick], pa.int64())))
-    return pa.table({"id": pa.array(doc[heads], pa.int64()), "dk": pa.array(dk[heads], pa.int64()),
-                     "removed": lists[0], "open": lists[1]})
+    return pa.table({"id": pa.array(doc[heads], pa.int64()), "top": pa.array(top[heads], pa.int64()),
+                     "dk": pa.array(dk[heads], pa.int64()), "removed": lists[0], "open": lists[1]})
 
 
 def _sort_bucket(buckets: int, resolve: bool):
     """One bucket: repeats of each value; with ``resolve`` the first of each value of a tie is open."""
     def run(t: pa.Table) -> pa.Table:
         kind = t.column("bucket")[0].as_py() // buckets
-        tie, value, doc, dk, at, count = _read_blobs(t)
+        tie, value, doc, top, dk, at, count = _read_blobs(t)
         if kind:
-            return _by_document(doc, dk, at, count, np.full(len(doc), kind == 2))
+            return _by_document(doc, top, dk, at, count, np.full(len(doc), kind == 2))
         marked = np.unique(tie[count == 0])
         some = count > 0
-        tie, value, doc, dk, at, count = (x[some] for x in (tie, value, doc, dk, at, count))
-        order = np.lexsort((at, dk, doc, value, tie))
-        new, later = _earlier(order, [tie, value], doc, dk, at)
+        tie, value, doc, top, dk, at, count = (x[some] for x in (tie, value, doc, top, dk, at, count))
+        order = np.lexsort((at, dk, top, doc, value, tie))
+        new, later = _earlier(order, [tie, value], doc, top, dk, at)
         repeat = order[~new & later]
         still = order[:0]
         if resolve:
@@ -227,7 +238,7 @@ def _sort_bucket(buckets: int, resolve: bool):
             several[:-1] |= same
             still = heads[several]
         x = np.concatenate([repeat, still])
-        return _by_document(doc[x], dk[x], at[x], count[x], np.arange(len(x)) >= len(repeat))
+        return _by_document(doc[x], top[x], dk[x], at[x], count[x], np.arange(len(x)) >= len(repeat))
     return run
 
 
@@ -262,10 +273,10 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 def _window_blobs(buckets: int):
     """Hash the windows of open runs one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b, salt in zip(batches, _batch_salts(), strict=False):
             data, off = buffers(b.column("text"))
             opened, o_at = _lists(b, "open")
-            doc, dk = _ids(b)
+            doc, top, dk = _ids(b)
             out: list[tuple] = []
             for i in np.flatnonzero(np.diff(o_at)):
                 hashed = RangeHash(data[off[i]:off[i + 1]])
@@ -274,10 +285,10 @@ def _window_blobs(buckets: int):
                 at = np.repeat((code >> 20) - (np.cumsum(count) - count), count) + np.arange(count.sum())
                 value = hashed(at, at + LENGTH)
                 tie = hashed(at + 30, at + 70)      # the bytes' middle, hashed apart from the whole
-                out.append((tie, value, np.full(len(at), doc[i]), np.full(len(at), dk[i]), at, np.ones(len(at), np.int64)))
+                out.append((tie, value, *(np.full(len(at), x[i]) for x in (doc, top, dk)), at, np.ones(len(at), np.int64)))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield from _blobs(*cols, buckets, int(mix(cols[1][:1])[0] >> np.uint64(33)), False)
+                yield from _blobs(*cols, buckets, salt, False)
     return run
 
 
@@ -289,12 +300,12 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [_cut(data[off[i]:off[i + 1]].tobytes(), np.concatenate([first[f_at[i]:f_at[i + 1]], more[m_at[i]:m_at[i + 1]]]))
                for i in range(b.num_rows)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("id")] + [pa.array([g[k] for g in got], pa.string() if k == 3 else pa.int64()) for k in range(4)],
-            names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            [b.column("id"), b.column("top")] + [pa.array([g[k] for g in got], pa.string() if k == 3 else pa.int64()) for k in range(4)],
+            names=["id", "top", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _gather(found: DataFrame) -> DataFrame:
-    return found.groupBy("id", "dk").agg(F.flatten(F.collect_list("removed")).alias("removed"),
+    return found.groupBy(*_KEY).agg(F.flatten(F.collect_list("removed")).alias("removed"),
                                          F.flatten(F.collect_list("open")).alias("open"))
 
 
@@ -304,19 +315,21 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
     Texts are shuffled once, by document: both joins read the same exchange.
     """
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-                    F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("dk"),
+                    F.xxhash64(F.lit(9), "text").bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(
+                        F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.lit(NO_ID))).cast("long").alias("top"),
+                    F.xxhash64("text").alias("dk"),
                     F.coalesce("text", F.lit("")).alias("text"))
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // bucket_bytes))
 
     blobs = d.mapInArrow(_sample_blobs(buckets), _BLOB)
     found = materialise(_gather(blobs.groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
-    x = d.join(found, ["id", "dk"], "left")
+    x = d.join(found, _KEY, "left")
     more = x.where(F.size("open") > 0).mapInArrow(_window_blobs(buckets), _BLOB)
     more = _gather(more.groupBy("bucket").applyInArrow(_sort_bucket(buckets, False), _FOUND))
-    out = x.join(more.select("id", "dk", F.col("removed").alias("more")), ["id", "dk"], "left")
-    out = out.select("id", "text", "removed", "more").mapInArrow(_finish, f"id long, {_RESULT}")
-    return out.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    out = x.join(more.select(*_KEY, F.col("removed").alias("more")), _KEY, "left")
+    out = out.select("id", "top", "text", "removed", "more").mapInArrow(_finish, f"id long, top long, {_RESULT}")
+    return out.select(F.when(F.col("top") >= NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 @query("op9_repeat_spans")

@@ -132,3 +132,41 @@ def test_stages_judge_rows_by_id_and_text(spark, tmp_path):
     assert sum(got[None, t] for t in near) == 1 and got[None, text[4]] == 0
     assert sum(n for (d, _), n in got.items() if d == 7) == 1
     assert got[8, text[5]] == got[8, text[6]] == got[9, None] == 1 and sum(got.values()) == 5
+
+
+# --- repeated spans --------------------------------------------------------------------------
+
+def test_documents_without_id_are_told_apart(spark, odd_rows):
+    """Two texts whose 32-bit hashes are equal, one with a repeat of its own: the other loses nothing."""
+    import hashlib
+
+    import xxhash
+    from dimsmith.llm.repeat_spans import remove_repeats
+    seen, pairs = {}, []
+    for i in range(200_000):
+        s = hashlib.sha512(str(i).encode()).hexdigest()
+        t = s + s if i % 2 else s + hashlib.sha512(b"z" + str(i).encode()).hexdigest()
+        j = seen.setdefault(xxhash.xxh64(t, seed=42).intdigest() & 0xFFFFFFFF, (i, t))
+        if j[0] != i and (j[0] + i) % 2:
+            pairs.append((j[1], t))
+    assert pairs
+    df = spark.createDataFrame([(None, t) for p in pairs for t in p] + [(-(1 << 63), "x" * 300)], "doc_id long, text string")
+    got = sorted((r.doc_id is not None, r.n_removed) for r in remove_repeats(df).collect())
+    assert got == [(False, 0)] * len(pairs) + [(False, 128)] * len(pairs) + [(True, 299)]
+
+
+def test_rows_that_share_an_id_are_ordered_as_documents(spark, odd_rows):
+    """Repeated spans against a plain scan that takes rows of one id, or none, in the order of the hash."""
+    from dimsmith.llm.repeat_spans import NO_ID, remove_repeats
+    from tests.llm.test_text_operators import brute_spans
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(odd_rows, "doc_id long, text string, lang string, source string")
+    keyed = df.select("doc_id", "text", F.xxhash64(F.lit(9), "text").bitwiseAND(F.lit(NO_ID - 1)).alias("top"), F.xxhash64("text").alias("dk"))
+    rows = sorted(keyed.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.top, r.dk))
+    number = {}
+    for r in rows:
+        number.setdefault((r.doc_id, r.text or ""), len(number))
+    back = {n: k[0] for k, n in number.items()}
+    want = brute_spans([(number[r.doc_id, r.text or ""], r.text) for r in rows])
+    got = Counter(tuple(r) for r in remove_repeats(df).collect())
+    assert got == Counter({}) + sum((Counter({(back[k[0]], *k[1:]): n}) for k, n in want.items()), Counter())
