@@ -17,12 +17,17 @@ from dimsmith.llm.near_dedup import near_components
 from dimsmith.llm.registry import materialise, table
 from dimsmith.llm.token_store import token_index
 
+#: share of a text's n-grams that its language has to know
+LEAST_SCORE = 0.1
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letter) go; the model learns from docs' own labels."""
+    """Documents without a language go: null, no letter, or fewer than LEAST_SCORE of the n-grams known in
+    the best language.  A null lang becomes the predicted one.  The model learns from docs' own labels."""
     model = train_on(docs.select("doc_id", "text", "lang"))
     marked = predict(docs, model, tuple(docs.columns), ("__lang", "__score"))
-    return marked.where(F.col("__lang") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    some = marked.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= LEAST_SCORE))
+    return some.select(*[F.coalesce("lang", "__lang").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +45,8 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    hit = contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
+    # exact windows decide here, so that only the rarest term of each is indexed
+    hit = contamination(docs, table(spark, sf_dir, "benchmark"), near_share=1.0).where("n_hit > 0")
     v = materialise(hit.select(F.col("doc_id").alias("__stage_id"), F.col("tk").alias("__stage_tk")).distinct(), "verdict")
     same = F.col("doc_id").eqNullSafe(F.col("__stage_id")) & (F.xxhash64("text") == F.col("__stage_tk"))
     return docs.join(v, same, "left_anti")
