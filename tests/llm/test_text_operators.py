@@ -282,7 +282,7 @@ def test_repeat_spans_however_dealt(many, monkeypatch):
         n, buckets = rng.choice([1, 3, 7]), rng.choice([1, 3, 8])
 
         def batch(rows, **more):
-            cols = {"id": pa.array([r[0] for r in rows], pa.int64()), "dk": pa.array([0] * len(rows), pa.int64()),
+            cols = {"id": pa.array([r[0] for r in rows], pa.int64()), "top": pa.array([0] * len(rows), pa.int64()), "dk": pa.array([0] * len(rows), pa.int64()),
                     "text": pa.array([r[1] for r in rows], pa.string()), **more}
             return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 

@@ -134,6 +134,19 @@ def test_stages_judge_rows_by_id_and_text(spark, tmp_path):
     assert got[8, text[5]] == got[8, text[6]] == got[9, None] == 1 and sum(got.values()) == 5
 
 
+def test_language_stage_uses_the_prediction(spark):
+    """A text in an unknown script goes, a null lang is filled in."""
+    import corpus_pipeline
+    rng = random.Random(4)
+    de = [f"{a}{b}{c}" for a in ("ver", "ge", "be", "schl") for b in ("ach", "ung", "eit") for c in ("en", "er", "lich")]
+    es = [f"{a}{b}{c}" for a in ("que", "des", "par", "no") for b in ("ci", "ami", "osa") for c in ("on", "ar", "ado")]
+    rows = [(i, " ".join(rng.choices(v, k=40)), lang) for i, (v, lang) in enumerate([(de, "de"), (es, "es")] * 40)]
+    rows += [(1000, " ".join(rng.choices(es, k=40)), None), (1001, "щука жужжит где угодно " * 20, None), (1002, "12 34", "de"), (1003, None, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.language_stage(spark, df, "").collect()}
+    assert got == {**{r[0]: r[2] for r in rows[:80]}, 1000: "es"}
+
+
 # --- repeated spans --------------------------------------------------------------------------
 
 def test_documents_without_id_are_told_apart(spark, odd_rows):
