@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from dimsmith.catalog import star
-from dimsmith.catalog.registry import query, table
+from dimsmith.catalog.registry import ORACLE, query, table
 from dimsmith.catalog.star import (CUSTOMER, SQL_CUSTOMER_DIM, SQL_FACT, SQL_PRODUCT_DIM,
                                    with_ctes)
 from dimsmith.operators.latest import latest_by
 from dimsmith.operators.scd import (backfill_from, current_view, duplicate_keys, null_counts,
                                     scd2_merge)
+from dimsmith.operators.scd_diff import DigestedDim
 from dimsmith.operators.temporal import temporal_join
+from dimsmith.session import work_dir
 
 # Fixed parameters of the merge query: the existing dimension is the one built
 # from orders before MERGE_BASE, the attribute snapshot is that of all orders,
@@ -67,6 +69,25 @@ def _merge_inputs(spark, sf_dir):
     return base, orders
 
 
+def _merge_tables(spark, sf_dir):
+    """The dimension before the merge and the attribute snapshot."""
+    base, snap = _merge_inputs(spark, sf_dir)
+    versions = star._versions(
+        latest_by(base.select(F.col("o_custkey").alias("customer_id"),
+                              F.to_date("o_orderdate").alias("valid_from"), "o_orderkey",
+                              F.col("o_orderpriority").alias("category")),
+                  ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey"),
+        "customer_id")
+    # The dimension before the merge is an existing table: materialise it once
+    # (the merge reads current rows, closed rows, distinct keys and key maxima).
+    dim0 = star.with_keys(versions, CUSTOMER).checkpoint(eager=True)
+    updates = latest_by(snap.select(F.col("o_custkey").alias("customer_id"), "o_orderdate",
+                                    "o_orderkey", F.col("o_orderpriority").alias("category")),
+                        ["customer_id"], ["o_orderdate", "o_orderkey"]).select(
+        "customer_id", "category")
+    return dim0, updates
+
+
 @query("scd2_merge", f"""
 WITH src0 AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{MERGE_BASE} 00:00:00'),
 d0_day AS (
@@ -120,23 +141,20 @@ FROM fresh f, mx
 """)
 def scd2_merge_q(spark, sf_dir):
     """SCD 2 merge of an attribute snapshot into the dimension (same DK on change)."""
-    base, snap = _merge_inputs(spark, sf_dir)
-    versions = star._versions(
-        latest_by(base.select(F.col("o_custkey").alias("customer_id"),
-                              F.to_date("o_orderdate").alias("valid_from"), "o_orderkey",
-                              F.col("o_orderpriority").alias("category")),
-                  ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey"),
-        "customer_id")
-    # The dimension before the merge is an existing table: materialise it once
-    # (the merge reads current rows, closed rows, distinct keys and key maxima).
-    dim0 = star.with_keys(versions, CUSTOMER).checkpoint(eager=True)
-    updates = latest_by(snap.select(F.col("o_custkey").alias("customer_id"), "o_orderdate",
-                                    "o_orderkey", F.col("o_orderpriority").alias("category")),
-                        ["customer_id"], ["o_orderdate", "o_orderkey"]).select(
-        "customer_id", "category")
+    dim0, updates = _merge_tables(spark, sf_dir)
     return scd2_merge(dim0, updates, CUSTOMER, MERGE_RUN)
 
 
+@query("scd2_merge_diff", ORACLE["scd2_merge"])
+def scd2_merge_diff(spark, sf_dir):
+    """The same merge into a stored dimension with a digest per key bucket; only buckets that differ are read."""
+    dim0, updates = _merge_tables(spark, sf_dir)
+    dim = DigestedDim(spark, work_dir(spark, "digested-dim"), CUSTOMER, buckets=64, fanout=8)
+    dim.create(dim0)
+    dim.merge(updates, MERGE_RUN)
+    return dim.read()
+
+
 _NULL_PART = "CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE o_custkey END"
 
 
@@ -243,6 +261,14 @@ def fact_load_temporal(spark, sf_dir):
     return star.sales_fact(spark, sf_dir)
 
 
+@query("fact_load_sweep", ORACLE["fact_load_temporal"])
+def fact_load_sweep(spark, sf_dir):
+    """E12/S14 by a sweep: facts and versions in one sorted stream, the last version carried forward."""
+    cust = star.built_once(star.customer_dim(spark, sf_dir), "customer_dim")
+    prod = star.built_once(star.product_dim(spark, sf_dir), "product_dim")
+    return star.sales_fact(spark, sf_dir, cust, prod, sweep=True)
+
+
 @query("pk_check", """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1

@@ -25,6 +25,7 @@ from dimsmith.functions.scalars import OPEN_END, date_key, money
 from dimsmith.operators.latest import latest_by
 from dimsmith.operators.ordered import next_within_key, version_numbers
 from dimsmith.operators.scd import DimSpec
+from dimsmith.operators.sweep import sweep_join
 from dimsmith.operators.temporal import temporal_join
 from dimsmith.session import work_dir
 from dimsmith.sources.calendar import calendar_between
@@ -102,12 +103,14 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
-               prod: DataFrame | None = None, order_days: DataFrame | None = None) -> DataFrame:
+               prod: DataFrame | None = None, order_days: DataFrame | None = None,
+               sweep: bool = False) -> DataFrame:
     """Temporal fact load: SK and DK of every dimension as of the order date.
 
     ``order_days`` (a small set of ``calendar_date`` rows, e.g. one report
     year) restricts the orders before any join — a broadcast semi-join, the
     reduction dynamic partition pruning would apply to a date-partitioned fact.
+    ``sweep``: look versions up by ``sweep_join``, not by ``temporal_join``.
     """
     cust = cust if cust is not None else customer_dim(spark, sf_dir)
     prod = prod if prod is not None else product_dim(spark, sf_dir)
@@ -123,12 +126,17 @@ def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
                     F.col("valid_from").alias("c_from"), F.col("valid_to").alias("c_to"))
     p = prod.select("product_id", "product_sk", "product_dk", "price",
                     F.col("valid_from").alias("p_from"), F.col("valid_to").alias("p_to"))
-    # Latest possible fact date, from one column of orders (not from the join).
-    horizon = orders.agg(F.max(F.to_date("o_orderdate")).alias("h")).scalar()
-    j = temporal_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to",
-                      horizon=horizon)
-    j = temporal_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
-                      horizon=horizon)
+    if sweep:
+        # bounds are drawn from the base tables; a line's ship date is near enough to its order's date for that
+        j = sweep_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to",
+                       sample=orders.select("o_custkey", F.to_date("o_orderdate").alias("order_date")))
+        j = sweep_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
+                       sample=li.select("l_partkey", F.to_date("l_shipdate").alias("order_date")))
+    else:
+        # Latest possible fact date, from one column of orders (not from the join).
+        horizon = orders.agg(F.max(F.to_date("o_orderdate")).alias("h")).scalar()
+        j = temporal_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to", horizon=horizon)
+        j = temporal_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to", horizon=horizon)
     discount = F.round(F.col("l_discount") * 100).cast("int")
     paid = F.round(F.col("price") * (F.lit(100) - discount) * F.lit(Decimal("0.01")), 2)
     return j.select(

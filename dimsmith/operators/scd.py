@@ -45,7 +45,7 @@ def _date(d: dt.date | str | Column) -> Column:
 
 def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
                run_date: dt.date | str, reopen: bool = False,
-               same_day: str = "replace") -> DataFrame:
+               same_day: str = "replace", last_keys: tuple[int, int] | None = None) -> DataFrame:
     """Next SCD 2 snapshot of ``dim`` given ``updates`` (one row per business key).
 
     (a) key never seen -> new member, new durable key;
@@ -61,6 +61,9 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
     the full outer join, so no join side can be skewed; closed versions pass
     straight through, and "never seen" is a left-anti test against the
     distinct keys of the dimension (a partial aggregate).
+
+    ``last_keys``: the largest surrogate and durable key in use, where ``dim``
+    is only a part of the dimension (default: the largest in ``dim``).
     """
     keys, attrs = spec.business_keys, spec.attributes
     run = _date(run_date)
@@ -111,8 +114,11 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, spec: DimSpec,
 
     old = touched.where(F.col("_kind") == "kept").drop("_kind")
     new = touched.where(F.col("_kind") != "kept")
-    max_sk = dim.agg(F.coalesce(F.max(spec.sk), F.lit(0)).alias("m")).scalar()
-    max_dk = dim.agg(F.coalesce(F.max(spec.dk), F.lit(0)).alias("m")).scalar()
+    if last_keys is None:
+        max_sk = dim.agg(F.coalesce(F.max(spec.sk), F.lit(0)).alias("m")).scalar()
+        max_dk = dim.agg(F.coalesce(F.max(spec.dk), F.lit(0)).alias("m")).scalar()
+    else:
+        max_sk, max_dk = (F.lit(k).cast("bigint") for k in last_keys)
 
     members = new.where(F.col("_kind") == "member").drop(spec.dk)
     members = assign_durable_keys(members, keys, out=spec.dk, start=max_dk)
