@@ -16,6 +16,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     generate_queries,
     stream_queries,
     io_queries,
+    star_layout,
 )
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from dimsmith.operators.scd import (backfill_from, current_view, duplicate_keys,
 from dimsmith.operators.scd_diff import DigestedDim
 from dimsmith.operators.temporal import temporal_join
 from dimsmith.session import work_dir
+from dimsmith.sinks.tables import create_view, save_table, table_properties
 
 # Fixed parameters of the merge query: the existing dimension is the one built
 # from orders before MERGE_BASE, the attribute snapshot is that of all orders,
@@ -269,6 +271,23 @@ def fact_load_sweep(spark, sf_dir):
     return star.sales_fact(spark, sf_dir, cust, prod, sweep=True)
 
 
+@query("catalog_current_view", with_ctes(SQL_CUSTOMER_DIM) + """
+SELECT customer_dk, category AS current_category, 'gold' AS layer, 'customer versions; one row a member''s day' AS comment
+FROM customer_dim WHERE is_current
+""")
+def catalog_current_view(spark, sf_dir):
+    """A catalog table with comment and properties and a stored view, read by name from another session."""
+    name = f"customer_{uuid.uuid4().hex[:12]}"
+    save_table(star.customer_dim(spark, sf_dir), name, work_dir(spark, "catalog-table"),
+               comment="customer versions; one row a member's day", properties={"layer": "gold"})
+    create_view(spark, f"{name}_current", f"SELECT customer_dk, category AS current_category FROM {name} WHERE is_current",
+                comment="one row a member")
+    other = spark.newSession()
+    told = {r["key"]: r["value"] for r in table_properties(other, name).collect()}      # some rows of one table
+    return other.table(f"{name}_current").select(
+        "customer_dk", "current_category", F.lit(told.get("layer")).alias("layer"), F.lit(told.get("comment")).alias("comment"))
+
+
 @query("pk_check", """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1

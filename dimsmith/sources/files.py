@@ -43,24 +43,24 @@ def with_provenance(df: DataFrame, column: str = SOURCE_FILE) -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
-def _headers(spark: SparkSession, path: str, options: Mapping[str, object] | None) -> dict[str, list[str]]:
-    """Header line -> files of a folder (names and first lines only, read on the driver)."""
-    from dimsmith.sinks.files import _fs
-    fs, root, jvm = _fs(spark, path)
-    out: dict[str, list[str]] = {}
-    files, dirs = [], [root]
-    while dirs:
-        for st in fs.listStatus(dirs.pop()):
-            if st.getPath().getName().startswith(("_", ".")):
-                continue
-            (dirs if st.isDirectory() else files).append(st.getPath())
-    for f in sorted(files, key=str):
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(f), "UTF-8"))
-        try:
-            out.setdefault(reader.readLine() or "", []).append(f.toString())
-        finally:
-            reader.close()
-    return out
+def header_index(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file below a folder, found by a job over its blocks.
+
+    Only lines of blocks that start a file count; each partition keeps one line a
+    file. A file without lines is absent.
+    """
+    # a block's lines stand in one partition, in order
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("nth"))
+    first = lines.where("start = 0").groupBy("uri").agg(F.min_by("value", "nth").alias("header"))
+    return first.select(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))).alias("file"), "header")
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> its files, in order: a row for each different header."""
+    found = header_index(spark, path).groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return {r.header: r.files for r in found.orderBy(F.col("files")[0]).collect()}
 
 
 def read_with_drift(spark: SparkSession, drops: Sequence[str],
@@ -71,7 +71,7 @@ def read_with_drift(spark: SparkSession, drops: Sequence[str],
     bad values -> NULL), undeclared ones flow through as strings, and all are
     unioned by name (missing columns -> NULL)."""
     out = None
-    groups = [files for path in drops for header, files in _headers(spark, path, options).items() if header]
+    groups = [files for path in drops for header, files in _headers(spark, path).items() if header]
     for files in groups:
         raw = read_delimited(spark, files, options=options)
         cols = []
@@ -107,7 +107,7 @@ def stream_schema(spark: SparkSession, source: str, fmt: str, options: Mapping[s
     files: str | list[str] = source
     if fmt == "csv" and str(options.get("header", "false")).lower() == "true" and "pathGlobFilter" not in options:
         # later files may have more columns: infer from those with the widest header
-        found = _headers(spark, source, options)
+        found = _headers(spark, source)
         if len(found) > 1:
             sep = str(options.get("sep", ","))
             files = found[max(found, key=lambda h: (h.count(sep), h))]

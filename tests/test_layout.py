@@ -146,3 +146,84 @@ def test_a_hot_key_with_many_versions_is_split(spark):
     assert hot.count() == 1
     sizes = [r["count"] for r in with_block(stream, hot, 32).groupBy("part", "piece").count().collect()]
     assert len(sizes) >= 30 and max(sizes) < 3 * 100_050 / 32
+
+
+# --- stored star and catalog -----------------------------------------------------------------
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_star_prunes_years_and_joins_by_bucket(spark):
+    from dimsmith.catalog.star_layout import posted_sales, store_star
+    from tests.conftest import SF_SMALL
+    names = store_star(spark, SF_SMALL, buckets=4)
+    year = F.col("calendar_date").between("1997-01-01", "1997-12-31")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")       # the dimensions are small here, not on a cluster
+    try:
+        plan = posted_sales(spark, names, year)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    fact_scan = next(line for line in plan.split("\n") if names.fact in line and "FileScan" in line)
+    assert "dynamicpruning" in fact_scan and "Bucketed: true" in fact_scan
+    lines = plan.split("\n")
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    below = [line for line in lines[join:] if line.find("- ") >= 0]
+    assert not any("Exchange hashpartitioning" in line for line in below), plan      # fact and product meet by bucket
+    full = posted_sales(spark, names, F.lit(True)).agg(F.sum("sales")).first()[0]
+    some = posted_sales(spark, names, year).agg(F.sum("sales")).first()[0]
+    assert 0 < some < full
+    years = spark.table(names.fact).select("order_year").distinct().count()
+    assert years > 3 and spark.table(names.fact).where("order_year <> order_date_sk div 10000").count() == 0
+
+
+def test_catalog_tables_and_views(spark, tmp_path):
+    from dimsmith.sinks.tables import create_view, save_table, table_properties
+    df = spark.range(5).withColumn("b", F.col("id") % 2)
+    save_table(df, "layout_test", f"{tmp_path}/t", partition_by=["b"], comment="it's \\ five", properties={"layer": "raw", "a.b": "x'y"})
+    told = {r["key"]: r["value"] for r in table_properties(spark.newSession(), "layout_test").collect()}
+    assert told["comment"] == "it's \\ five" and told["layer"] == "raw" and told["a.b"] == "x'y"
+    assert told["location"].endswith(f"{tmp_path}/t") and told["type"] == "EXTERNAL"
+    assert create_view(spark, "layout_test_odd", "SELECT id FROM layout_test WHERE b = 1", "odd ones").count() == 2
+    assert spark.newSession().table("layout_test_odd").count() == 2
+    with pytest.raises(Exception, match="already exists"):
+        save_table(df, "layout_test", f"{tmp_path}/other")
+    spark.sql("DROP VIEW layout_test_odd")
+    spark.sql("DROP TABLE layout_test")
+    assert len(glob.glob(f"{tmp_path}/t/b=*/*.parquet")) >= 2         # external: the files stay
+
+
+# --- header index ----------------------------------------------------------------------------
+
+def test_headers_of_many_files(spark, tmp_path):
+    from dimsmith.sources.files import header_index, read_with_drift
+    headers = ["id,name", "name,id", "id,name,extra"]
+    os.makedirs(f"{tmp_path}/drop/sub dir+1")
+    for i in range(10_000):
+        folder = "drop/sub dir+1" if i % 10 == 0 else "drop"
+        with open(f"{tmp_path}/{folder}/f {i}%.csv", "w") as out:
+            cells = {"id": str(i), "name": f"n{i}", "extra": "e"}
+            h = headers[i % 3]
+            out.write(h + "\n" + ",".join(cells[c] for c in h.split(",")) + "\n")
+    open(f"{tmp_path}/drop/empty.csv", "w").close()
+    open(f"{tmp_path}/drop/_hidden.csv", "w").write("x,y\n1,2\n")
+    index = header_index(spark, f"{tmp_path}/drop")
+    assert {r.header: r.n for r in index.groupBy("header").agg(F.count("*").alias("n")).collect()} == {
+        headers[0]: 3334, headers[1]: 3333, headers[2]: 3333}
+    got = read_with_drift(spark, [f"{tmp_path}/drop"], {"id": "int", "name": "string"}, options={"header": True})
+    assert got.count() == 10_000 and set(got.columns) == {"id", "name", "extra"}
+    assert got.where("name = concat('n', id)").count() == 10_000 and got.where("extra = 'e'").count() == 3333
+
+
+def test_first_line_of_a_file_in_blocks(spark, tmp_path):
+    """A file of many blocks: only its own first line is the header."""
+    from dimsmith.sources.files import header_index
+    os.makedirs(f"{tmp_path}/drop")
+    with open(f"{tmp_path}/drop/long.csv", "w") as out:
+        out.write("a,b\n" + "".join(f"{i},{i}\n" for i in range(50_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert [r.header for r in header_index(spark, f"{tmp_path}/drop").collect()] == ["a,b"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
