@@ -462,7 +462,8 @@ def sql_body_stream_join(spark, sf_dir):
 
     g.sql_table("order_names", """
         SELECT o.o_orderkey, o.o_totalprice, c.c_name
-        FROM STREAM(live.orders_raw) o JOIN STREAM(live.customers_raw) c ON c.c_custkey = o.o_custkey""",
+        FROM orders_raw o JOIN customers_raw c ON c.c_custkey = o.o_custkey""",
+                streams=["orders_raw", "customers_raw"],
                 expect_or_drop={"worth": "o_totalprice > 1000", "named": "c_name IS NOT NULL"})
     g.run()
     return g.read("order_names")
@@ -635,7 +636,7 @@ def sql_body_table(spark, sf_dir):
 
     g.sql_table("customer_nation", """
         SELECT c.c_custkey, c.c_name, n.n_name
-        FROM customers c JOIN nations n ON n.n_nationkey = c.c_nationkey""",
+        FROM customers c JOIN nations n ON n.n_nationkey = c.c_nationkey""", reads=["customers", "nations"],
                 comment="customers with their nation", properties={"layer": "silver"})
     g.run()
     return g.read("customer_nation")

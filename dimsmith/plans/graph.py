@@ -25,15 +25,14 @@
 * ``run(full_refresh=[…])`` starts those streaming tables over (new checkpoint,
   new output generation, file schemas inferred anew), and with them every
   dataset that streams from one of them, directly or through a view.
-* SQL bodies read other datasets by name, ``FROM orders`` or ``FROM
-  live.orders`` as a table and ``FROM STREAM(orders)`` as a stream.
+* SQL bodies name other datasets like tables; the author lists which of them
+  are read and which streamed, and Spark resolves the text as it is.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
@@ -47,8 +46,7 @@ from dimsmith.plans.quality import (Expectation, apply_actions, expectations_fro
                                     metrics_of)
 from dimsmith.sinks.files import _fs, append, latest_snapshot_path, write_snapshot
 from dimsmith.sources.files import read_file_stream
-from dimsmith.streaming.apply_changes import (apply_changes_stream, last_batch, read_target,
-                                              upserted_rows)
+from dimsmith.streaming.apply_changes import apply_changes_stream, read_target
 from dimsmith.streaming.progress import ProgressTotals
 
 
@@ -93,34 +91,19 @@ class _Context:
         return read_file_stream(self.spark, path, fmt, opts, schema_path=schema_path,
                                 provenance=provenance)
 
-    def sql(self, query: str) -> DataFrame:
-        """SQL body: datasets named after FROM or JOIN are read under their own
-        names; ``live.`` before a name is dropped, ``STREAM(name)`` streams."""
-        known = {n.lower(): n for n in self.graph._datasets if n != self.reader}
-        text = re.sub(r"(?i)\blive\.(?=`?\w)", "", query)
-        tables = {known[n] for n in table_names(text) if n in known}
-
-        def stream(m: re.Match) -> str:
-            name = known.get(m[1].lower())
-            if name is None:
-                raise GraphError(f"{self.reader} streams from unknown dataset {m[1]}")
-            view = f"{name}__stream" if name in tables else name
-            self.read_stream(name).createOrReplaceTempView(view)
-            return f"`{view}`"
-        text = re.sub(r"(?i)\bstream\s*\(\s*`?(\w+)`?\s*\)", stream, text)
-        for name in tables:
+    def sql(self, query: str, reads: Iterable[str] = (), streams: Iterable[str] = ()) -> DataFrame:
+        """SQL body over the datasets that it lists: each is a view of its own
+        name, one in ``streams`` a streaming view; Spark resolves the names.
+
+        A dataset that is read and streamed has its streaming view under
+        ``<name>__stream``.
+        """
+        reads, streams = list(reads), list(streams)
+        for name in streams:
+            self.read_stream(name).createOrReplaceTempView(f"{name}__stream" if name in reads else name)
+        for name in reads:
             self.read(name).createOrReplaceTempView(name)
-        return self.spark.sql(text)
-
-
-def table_names(query: str) -> set[str]:
-    """Lower-case names that follow FROM, JOIN or a comma of a FROM list."""
-    plain = re.sub(r"'(?:[^'\\]|\\.|'')*'|--[^\n]*|/\*.*?\*/", " ", query, flags=re.S)
-    name = r"`?(\w+)`?(?![\w`]|\s*\()"
-    found = re.findall(rf"(?i)\b(?:from|join)\s+{name}", plain)
-    for more in re.findall(r"(?i)\bfrom\s+((?:`?\w+`?(?:\s+(?:as\s+)?\w+)?\s*,\s*)+`?\w+`?)", plain):
-        found += [re.match(r"\s*`?(\w+)", part)[1] for part in more.split(",")]
-    return {f.lower() for f in found}
+        return self.spark.sql(query)
 
 
 class TableGraph:
@@ -163,14 +146,14 @@ class TableGraph:
             return fn
         return deco
 
-    def sql_table(self, name: str, query: str, **kwargs) -> None:
-        self.table(name=name, **kwargs)(lambda ctx: ctx.sql(query))
+    def sql_table(self, name: str, query: str, reads: Iterable[str] = (), streams: Iterable[str] = (), **kwargs) -> None:
+        self.table(name=name, **kwargs)(lambda ctx: ctx.sql(query, reads, streams))
 
     def apply_changes(self, target: str, source: str, spec: ChangeSpec,
                       comment: str | None = None, path: str | None = None,
                       properties: Mapping | None = None, buckets: int | None = None) -> None:
         """Change-data target maintained from a streaming source; ``buckets``
-        makes it bucket-partitioned (only touched buckets rewritten)."""
+        deals its snapshots to so many files by key."""
         self._register(Dataset(target, None, "changes", comment, path, dict(properties or {}),
                                source=source, spec=spec, streaming=True, buckets=buckets))
 
@@ -308,17 +291,16 @@ class TableGraph:
         if ds.name in self._full_refresh:
             self._bump_generation(ds.name)
         path = self.table_path(ds.name)
-        before = last_batch(self.spark, path)
+        counts: list[int] = []
         q = apply_changes_stream(src, ds.spec, path, self._checkpoint(ds.name),
                                  available_now=not self._continuous,
                                  processing_time=self._continuous or None,
-                                 buckets=ds.buckets)
+                                 buckets=ds.buckets, on_batch=counts.append)
         if self._continuous:
             self._running[ds.name] = q
             return None
         self._log_views(self._totals.finish(q))
-        rows = upserted_rows(self.spark, path, before)
-        self._metrics[ds.name] = {"metrics": {"num_output_rows": rows}}
+        self._metrics[ds.name] = {"metrics": {"num_output_rows": sum(counts)}}
         return None
 
     def _drop_schema(self, name: str) -> None:

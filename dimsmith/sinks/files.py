@@ -24,7 +24,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions, ascending."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -39,7 +40,7 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def latest_snapshot_path(spark: SparkSession, root: str) -> str | None:
-    v = _versions(spark, root)
+    v = snapshot_versions(spark, root)
     return f"{root.rstrip('/')}/v={v[-1]}" if v else None
 
 
@@ -51,7 +52,7 @@ def latest_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
 def write_snapshot(df: DataFrame, root: str, version: int | None = None) -> str:
     """Write ``df`` as version ``version`` (default: newest + 1); skip if committed."""
     spark = df.sparkSession
-    have = _versions(spark, root)
+    have = snapshot_versions(spark, root)
     v = (have[-1] + 1 if have else 0) if version is None else version
     path = f"{root.rstrip('/')}/v={v}"
     if v in have:
@@ -60,6 +61,15 @@ def write_snapshot(df: DataFrame, root: str, version: int | None = None) -> str:
     return path
 
 
+def drop_snapshots(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` versions; how many went."""
+    gone = snapshot_versions(spark, root)[:-keep]
+    for v in gone:
+        fs, p, _ = _fs(spark, f"{root.rstrip('/')}/v={v}")
+        fs.delete(p, True)
+    return len(gone)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """INSERT … SELECT: append rows to a table folder."""
     df.write.mode("append").format(fmt).save(path)

@@ -1,22 +1,18 @@
 """Incremental apply-changes: a change stream maintains a keyed target.
 
-Parquet has no MERGE, so the target is kept in ``buckets`` parts by
-``pmod(xxhash64(keys), buckets)``; a batch rewrites only the buckets it
-touches, each as a new version, and commits with one small manifest:
+Every micro-batch, in ``foreachBatch``, writes the target's next complete
+snapshot as plain Parquet (``write_snapshot`` with the batch's number):
 
-    <root>/data/v=<batch>/_bucket=<b>/...   what batch <batch> wrote
-    <root>/manifest/<batch>.json            bucket -> version, bucket count,
-                                            greatest truncate, rows upserted
+    <root>/data/v=<batch>     stored rows, delete markers included
+    <root>/truncated/v=<batch>  one row: the greatest truncate so far, if any
 
-For every micro-batch, in ``foreachBatch``:
-
-1. a batch whose manifest exists (replay after a crash) is skipped; a crash
-   before the manifest leaves the old versions in force and the replay writes
-   its own version anew, so readers see whole batches only;
+1. a batch whose snapshot is complete (replay after a crash) is skipped; a crash
+   before that leaves the snapshot before it in force, and the replay writes its
+   own anew, so readers see whole batches only;
 2. the batch is normalised like the batch operator (``prepare_changes``) and
    persisted, as it is used several times;
 3. keys touched by the batch are recomputed from stored rows and changes, other
-   keys of a touched bucket are carried over;
+   keys are carried over;
    SCD 1: greatest sequence per key; deletes are stored as tombstones so a
    late, older change cannot revive a key;
    SCD 2: stored versions and delete markers are turned back into changes and
@@ -26,92 +22,24 @@ For every micro-batch, in ``foreachBatch``:
    vanish in every later batch and in what readers see.
 
 So the result does not depend on how the feed is split into batches. NULL key
-parts are equal to each other. The bucket count belongs to the target: another
-one is refused.
+parts are equal to each other.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dimsmith.operators.cdc import (START_AT, ChangeSpec, _dedupe, _scd1, _scd2, prepare_changes,
                                     truncate_rows)
 from dimsmith.operators.same_key import same_key_join
-from dimsmith.sinks.files import _fs
+from dimsmith.sinks.files import latest_snapshot, snapshot_versions, write_snapshot
 
 TOMBSTONE = "_is_delete"
-BUCKET = "_bucket"
-#: For targets of some GB; size it so that one bucket is a few GB at most.
-DEFAULT_BUCKETS = 8
-
-
-# ------------------------------------------------------------ manifests
-def _manifest_ids(spark: SparkSession, root: str) -> list[int]:
-    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/manifest")
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-
-def _manifest(spark: SparkSession, root: str, batch_id: int) -> dict:
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/manifest/{batch_id}.json")
-    stream = fs.open(p)
-    try:
-        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def _commit(spark: SparkSession, root: str, batch_id: int, manifest: dict) -> None:
-    """Write the manifest under a temporary name and rename it: all or nothing."""
-    fs, tmp, jvm = _fs(spark, f"{root.rstrip('/')}/manifest/.{batch_id}-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
-    finally:
-        out.close()
-    final = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/manifest/{batch_id}.json")
-    if not fs.rename(tmp, final):
-        raise RuntimeError(f"manifest {batch_id} of {root} was not committed")
-
-
-def upserted_rows(spark: SparkSession, root: str, after: int = -1) -> int:
-    """Rows written for touched keys by the batches later than ``after``."""
-    return sum(_manifest(spark, root, b)["upserted"] for b in _manifest_ids(spark, root) if b > after)
-
-
-def last_batch(spark: SparkSession, root: str) -> int:
-    ids = _manifest_ids(spark, root)
-    return ids[-1] if ids else -1
-
-
-def vacuum_target(spark: SparkSession, root: str) -> int:
-    """Delete data versions that the newest manifest does not use; how many."""
-    ids = _manifest_ids(spark, root)
-    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/data")
-    if not ids or not fs.exists(p):
-        return 0
-    used = {f"v={v}" for v in _manifest(spark, root, ids[-1])["versions"].values()}
-    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName() not in used]
-    for path in gone:
-        fs.delete(path, True)
-    return len(gone)
-
-
-def _stored(spark: SparkSession, root: str, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
-    paths = [f"{root.rstrip('/')}/data/v={v}/{BUCKET}={b}" for b, v in manifest["versions"].items()
-             if buckets is None or int(b) in buckets]
-    if not paths:
-        return None
-    schema = T.StructType.fromJson(manifest["schema"])
-    return spark.read.schema(schema).parquet(*paths)
 
 
 # ------------------------------------------------------------ merge
@@ -225,93 +153,72 @@ def visible(stored: DataFrame, spec: ChangeSpec) -> DataFrame:
     return stored.drop(*hidden)
 
 
-def read_target(spark: SparkSession, root: str, spec: ChangeSpec) -> DataFrame | None:
-    """The target as of its newest committed batch."""
-    ids = _manifest_ids(spark, root)
-    if not ids:
-        return None
-    manifest = _manifest(spark, root, ids[-1])
-    stored = _stored(spark, root, manifest)
-    if stored is None:
-        stored = spark.createDataFrame([], T.StructType.fromJson(manifest["schema"]))
-    return visible(_after_truncate(stored, spec, _truncated(manifest, stored, spec)), spec)
+def _truncate_mark(spark: SparkSession, root: str, version: int) -> str | None:
+    return spark.read.parquet(f"{root}/truncated/v={version}").first()[0]
 
 
-def _truncated(manifest: dict | None, like: DataFrame | None, spec: ChangeSpec) -> Column | None:
-    if not manifest or manifest.get("truncated_at") is None or like is None:
+def read_target(spark: SparkSession, root: str, spec: ChangeSpec) -> DataFrame | None:
+    """The target as of its newest complete snapshot."""
+    root = root.rstrip("/")
+    versions = snapshot_versions(spark, f"{root}/data")
+    if not versions:
         return None
-    return F.lit(manifest["truncated_at"]).cast(like.schema[_sequence_of(spec)].dataType)
-
+    stored, mark = latest_snapshot(spark, f"{root}/data"), _truncate_mark(spark, root, versions[-1])
+    at = None if mark is None else F.lit(mark).cast(stored.schema[_sequence_of(spec)].dataType)
+    return visible(_after_truncate(stored, spec, at), spec)
 
-def _bucket_of(spec: ChangeSpec, n: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(n)).cast("int")
 
+def merge_into_target(spark: SparkSession, batch: DataFrame, spec: ChangeSpec, root: str, batch_id: int,
+                      files: int | None = None) -> int | None:
+    """Write the target's snapshot ``batch_id``; the visible rows of touched keys, None if it was written before.
 
-def merge_into_buckets(spark: SparkSession, batch: DataFrame, spec: ChangeSpec, root: str,
-                       buckets: int, batch_id: int) -> None:
-    """Rewrite the target buckets that hold keys of ``batch`` and commit."""
+    ``files``: deal the snapshot's rows to so many files by key (default: as they come).
+    """
     root = root.rstrip("/")
-    ids = _manifest_ids(spark, root)
-    if batch_id in ids:
-        return                                  # committed before a restart
-    last = _manifest(spark, root, ids[-1]) if ids else None
-    if last and last["buckets"] != buckets:
-        raise ValueError(f"{root} has {last['buckets']} buckets, not {buckets}; "
-                         "a target keeps its bucket count (full refresh to change it)")
+    versions = snapshot_versions(spark, f"{root}/data")
+    if batch_id in versions:
+        return None                                 # complete before a restart
+    prev = latest_snapshot(spark, f"{root}/data")
+    mark = _truncate_mark(spark, root, versions[-1]) if versions else None
     batch = batch.persist()
     try:
-        seq_type = batch.schema[spec.sequence_by].dataType
-        mark = last.get("truncated_at") if last else None
-        before = mark
+        seq_type, before = batch.schema[spec.sequence_by].dataType, mark
         trunc = truncate_rows(batch, spec)
         if trunc is not None:
             newest = trunc.agg(F.max(spec.sequence_by).alias("t")).select(
                 F.greatest("t", F.lit(mark).cast(seq_type)).cast("string")).first()[0]
             mark = newest if newest is not None else mark
         at = None if mark is None else F.lit(mark).cast(seq_type)
-        changes, _, _ = prepare_changes(batch, spec, at)
-        touched = [r[0] for r in changes.select(_bucket_of(spec, buckets).alias(BUCKET))
-                   .distinct().collect()]          # at most ``buckets`` small ints
-        versions = dict(last["versions"]) if last else {}
         # filled values of untouched keys may come from rows that are truncated now
         refill = mark != before and spec.ignore_null_updates and spec.stored_as_scd_type == 2
-        if refill:
-            touched = sorted({*touched, *map(int, versions)})
-        prev = _stored(spark, root, last, touched) if last else None
         written = Observation(f"written_{uuid.uuid4().hex[:8]}")
         fresh = merge_batch(prev, batch, spec, at, refill, written)
-        manifest = {"buckets": buckets, "versions": versions, "truncated_at": mark,
-                    "schema": fresh.schema.jsonValue(), "upserted": 0}
-        if touched:
-            path = f"{root}/data/v={batch_id}"
-            (fresh.withColumn(BUCKET, _bucket_of(spec, buckets)).repartition(F.col(BUCKET), _spread(spec))
-             .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
-            fs, p, _ = _fs(spark, path)
-            have = {int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p)
-                    if s.getPath().getName().startswith(f"{BUCKET}=")}
-            for b in touched:
-                versions.pop(str(b), None)
-            versions |= {str(b): batch_id for b in have}
-            manifest["upserted"] = int(written.get["rows"])
-        _commit(spark, root, batch_id, manifest)
+        if files:
+            fresh = fresh.repartition(files, *[F.col(k) for k in spec.keys])
+        # the mark first: the data's success marker completes the batch
+        write_snapshot(spark.createDataFrame([(mark,)], "truncated_at string").coalesce(1), f"{root}/truncated", batch_id)
+        write_snapshot(fresh, f"{root}/data", batch_id)
+        return int(written.get["rows"])
     finally:
         batch.unpersist()
 
 
-def _spread(spec: ChangeSpec) -> Column:
-    """A few writers per bucket, by other hash bits, so one large bucket is not one task."""
-    return F.pmod(F.shiftright(F.xxhash64(*[F.col(k) for k in spec.keys]), 32), F.lit(4))
-
-
 def apply_changes_stream(changes: DataFrame, spec: ChangeSpec, target_root: str,
                          checkpoint: str, available_now: bool = True,
                          processing_time: str | None = None,
-                         buckets: int | None = None) -> StreamingQuery:
-    """Start the incremental apply; triggered (availableNow) or continuous."""
-    spark, n = changes.sparkSession, buckets or DEFAULT_BUCKETS
+                         buckets: int | None = None,
+                         on_batch: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Start the incremental apply; triggered (availableNow) or continuous.
+
+    ``buckets``: files of a snapshot, a key's rows together; ``on_batch`` hears
+    how many visible rows a batch wrote for the keys it touched.
+    """
+    spark = changes.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_into_buckets(spark, batch, spec, target_root, n, int(batch_id))
+        rows = merge_into_target(spark, batch, spec, target_root, int(batch_id), buckets)
+        if rows is not None and on_batch:
+            on_batch(rows)
 
     writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = (writer.trigger(availableNow=True) if available_now

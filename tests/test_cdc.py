@@ -166,47 +166,45 @@ def test_numeric_sequence_with_default_bucket(spark):
     assert got == [(3_000_000, 3_000_001), (3_000_001, 3_000_002), (3_000_002, None)]
 
 
-def test_bucketed_target_rewrites_only_touched_buckets_and_replays_cleanly(spark):
+def test_target_snapshots_are_whole_and_replay_cleanly(spark):
     import os
     import tempfile
 
-    from dimsmith.streaming.apply_changes import merge_into_buckets, read_target, vacuum_target
+    from dimsmith.sinks.files import drop_snapshots
+    from dimsmith.streaming.apply_changes import merge_into_target, read_target
 
-    root = tempfile.mkdtemp(prefix="dimsmith-buckets-") + "/target"
+    root = tempfile.mkdtemp(prefix="dimsmith-target-") + "/target"
     src = _random_feed(spark, n=300, keys=40)
     spec = ChangeSpec(["id"], "seq", 2, except_columns=["op"], apply_as_deletes="op = 'delete'")
-    merge_into_buckets(spark, src, spec, root, buckets=8, batch_id=0)
+    merge_into_target(spark, src, spec, root, 0, files=3)
+    assert len([f for f in os.listdir(f"{root}/data/v=0") if f.endswith(".parquet")]) == 3
     whole = apply_changes(src, spec)
     cols = whole.columns
     assert rows(read_target(spark, root, spec), *cols) == rows(whole, *cols)
     one = feed(spark, [(3, dt.datetime(2030, 1, 1), "late", "upsert")])
-    merge_into_buckets(spark, one, spec, root, buckets=8, batch_id=1)
-    assert [d for d in os.listdir(f"{root}/data/v=1") if d.startswith("_bucket=")].__len__() == 1
-    merge_into_buckets(spark, one, spec, root, buckets=8, batch_id=1)   # replay: no change
+    assert merge_into_target(spark, one, spec, root, 1) >= 1
+    assert merge_into_target(spark, one, spec, root, 1) is None          # replay: no change
     expect = apply_changes(src.unionByName(one), spec)
     assert rows(read_target(spark, root, spec), *cols) == rows(expect, *cols)
-    # another bucket count would leave stale buckets behind: refused
-    with pytest.raises(ValueError, match="8 buckets"):
-        merge_into_buckets(spark, one, spec, root, buckets=4, batch_id=2)
-    # files written by a batch that did not commit are not read, and are replaced by the replay
+    # a snapshot that was not completed is not read, and is replaced by the replay
     late = feed(spark, [(3, dt.datetime(2031, 1, 1), "later", "upsert"), (5, dt.datetime(2031, 1, 1), "x", "upsert")])
-    merge_into_buckets(spark, late, spec, root, buckets=8, batch_id=2)
-    os.remove(f"{root}/manifest/2.json")
+    merge_into_target(spark, late, spec, root, 2)
+    os.remove(f"{root}/data/v=2/_SUCCESS")
     assert rows(read_target(spark, root, spec), *cols) == rows(expect, *cols)
-    merge_into_buckets(spark, late, spec, root, buckets=8, batch_id=2)
+    merge_into_target(spark, late, spec, root, 2)
     both = apply_changes(src.unionByName(one).unionByName(late), spec)
     assert rows(read_target(spark, root, spec), *cols) == rows(both, *cols)
-    assert vacuum_target(spark, root) == 1          # bucket 3 of batch 1 is no longer used
+    assert drop_snapshots(spark, f"{root}/data", keep=1) == 2
     assert rows(read_target(spark, root, spec), *cols) == rows(both, *cols)
 
 
 def _in_batches(spark, parts, spec, **options):
     import tempfile
 
-    from dimsmith.streaming.apply_changes import merge_into_buckets, read_target
+    from dimsmith.streaming.apply_changes import merge_into_target, read_target
     root = tempfile.mkdtemp(prefix="dimsmith-batches-") + "/target"
     for i, part in enumerate(parts):
-        merge_into_buckets(spark, part, spec, root, buckets=3, batch_id=i, **options)
+        merge_into_target(spark, part, spec, root, i, **options)
     return read_target(spark, root, spec)
 
 

@@ -310,21 +310,28 @@ def test_batch_view_rules_are_logged_and_unread_views_are_not(spark):
     assert g.read("out").count() == 2
 
 
-def test_sql_names_are_read_after_from_and_join_only(spark):
-    from dimsmith.plans.graph import table_names
-    assert table_names("SELECT a FROM x, `y` z, w JOIN v ON 1=1 -- FROM no\n WHERE b IN (SELECT c FROM u) ORDER BY t") == {
-        "x", "y", "w", "v", "u"}
-    assert table_names("SELECT 'FROM s' FROM range(3)") == set()
+def test_sql_bodies_read_the_datasets_they_list(spark):
     g = TableGraph(spark, fresh("sqlnames"))
 
     @g.view(name="data_in")
     def data_in(ctx):
         return _data(spark)
 
-    g.sql_table("order", "SELECT id FROM live.data_in ORDER BY id")
-    g.sql_table("by_id", "SELECT id AS `order` FROM data_in ORDER BY id")
+    @g.table(name="landed")
+    def landed(ctx):
+        return ctx.spark.readStream.schema(_data(spark).schema).parquet(path)
+
+    path = fresh("sqlnames-in")
+    _data(spark).write.mode("append").parquet(path)
+    g.sql_table("order", "SELECT id FROM data_in ORDER BY id", reads=["data_in"])
+    g.sql_table("by_id", "SELECT id AS `order`, 'FROM landed' AS note FROM data_in ORDER BY id", reads=["data_in"])
+    g.sql_table("both", "SELECT s.id FROM landed__stream s JOIN landed t ON t.id = s.id", reads=["landed"], streams=["landed"])
     g.run()
-    assert g.read("by_id").count() == 4 and g.read("order").count() == 4
+    assert g.read("by_id").count() == 4 and g.read("order").count() == 4 and g.read("both").count() == 4
+    bad = TableGraph(spark, fresh("sqlnames"))
+    bad.sql_table("x", "SELECT 1 FROM nowhere", reads=["nowhere"])
+    with pytest.raises(GraphError, match="unknown dataset nowhere"):
+        bad.run()
 
 
 def test_drift_reads_each_file_by_its_own_header(spark):
