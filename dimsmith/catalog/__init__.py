@@ -17,6 +17,7 @@ from dimsmith.catalog import (  # noqa: F401  (import for registration)
     stream_queries,
     io_queries,
     star_layout,
+    lifecycle_queries,
 )
 
 __all__ = ["QUERIES", "ORACLE"]

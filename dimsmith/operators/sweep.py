@@ -28,6 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimsmith.operators.ordered import row_number_within
 from dimsmith.session import ensure_checkpoint_dir
 
 SAMPLE_PER_BLOCK = 32
@@ -59,7 +60,7 @@ def with_block(stream: DataFrame, hot: DataFrame, blocks: int) -> DataFrame:
 def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str], at: str,
                valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "inner",
                unknown_member: Mapping[str, object] | None = None, blocks: int | None = None,
-               sample: DataFrame | None = None) -> DataFrame:
+               sample: DataFrame | None = None, strictly: bool = False, ends: bool = True) -> DataFrame:
     """Join ``facts`` to the ``dim`` version valid at ``facts[at]`` (both ends inclusive).
 
     ``on``: fact / dim key pairs (or shared names); the columns of both sides keep
@@ -67,7 +68,9 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
     dim columns of facts without a version, which are then kept. ``blocks``: how
     many blocks to aim at (default: four a shuffle partition). ``sample``: rows
     with the facts' keys and time to draw the bounds from, where ``facts`` itself
-    is dear to compute twice.
+    is dear to compute twice. ``strictly``: versions that begin at the fact's
+    time do not hold yet (the one before is then looked at). ``ends`` False: a version
+    holds until the next one of its key, whatever ``valid_to`` says.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
@@ -86,7 +89,7 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
         F.lit(0).cast("long").alias("salt"), F.col(valid_to).alias("end"), F.struct(*dim_columns).alias("v"))
 
     def places(rows):
-        return rows.select(keys([f for f, _ in pairs]).alias("k"), F.col(at).cast(time).alias("t"), F.lit(1).alias("kind"),
+        return rows.select(keys([f for f, _ in pairs]).alias("k"), F.col(at).cast(time).alias("t"), F.lit(-1 if strictly else 1).alias("kind"),
                            F.xxhash64(*rows.columns).alias("salt"), *([F.struct(*rows.columns).alias("f")] if rows is facts else []))
     f = places(facts)
     drawn = (places(sample) if sample is not None else f).select("k", *_PLACE).unionByName(versions.select("k", *_PLACE))
@@ -105,17 +108,41 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
     carried = ranges.join(mine, ["hk", "piece"], "left").select(
         "hk", "piece", F.last("last", ignorenulls=True).over(before).alias("carried")).where("piece > 0")
 
-    x = stream.withColumn("held", held).where("kind = 1").join(
+    x = stream.withColumn("held", held).where("kind <> 0").join(
         F.broadcast(carried.withColumnRenamed("piece", "_piece")), (F.col("k") == F.col("hk")) & (F.col("piece") == F.col("_piece")), "left")
     # in a hash block another key may come before: then nothing of the own key is in force
     x = x.withColumn("held", F.coalesce(F.when(F.col("held.k") == F.col("k"), F.col("held")), F.col("carried")))
     same = F.lit(True)
     for i in range(len(pairs)):     # NULL keys match nothing
         same = same & (F.col(f"k.k{i}") == F.col(f"held.k.k{i}"))
-    found = F.coalesce(same & (F.col("t") <= F.col("held.end")), F.lit(False))
+    if ends:
+        same = same & (F.col("t") <= F.col("held.end"))
+    found = F.coalesce(same & F.col("t").isNotNull(), F.lit(False))
     if how == "inner" and not unknown_member:
         x = x.where(found)
     fallback = dict(unknown_member or {})
     return x.select(
         *[F.col(f"f.`{c}`").alias(c) for c in facts.columns],
         *[F.when(found, F.col(f"held.v.`{c}`")).otherwise(F.lit(fallback.get(c))).alias(c) for c in dim_columns])
+
+
+def latest_before(rows: DataFrame, others: DataFrame, on: Sequence[tuple[str, str]], at: str, when: str,
+                  tiebreak: Sequence[str], k: int = 1, place: str = "place") -> DataFrame:
+    """For each row the ``k`` latest of ``others`` with its keys and ``when`` before ``at``, numbered from 1.
+
+    What a lateral subquery with an order and a limit of its own gives. Spark turns
+    such a subquery into a join of all distinct times with all other rows; here the
+    others are numbered within their key, a sweep finds the number of the last one
+    before each row, and the k numbers up to it are an equi-join. ``when`` and
+    ``tiebreak`` must be unique within a key; column names of the two sides must differ.
+    """
+    keys, number = [d for _, d in on], "_nth"
+    numbered = row_number_within(others, keys, [when, *tiebreak], out=number).where(F.col(when).isNotNull()).checkpoint(eager=True)
+    last = numbered.groupBy(*keys, when).agg(F.max(number).alias("_last")).select(
+        *[F.col(d).alias(f"_k{i}") for i, d in enumerate(keys)], F.col(when).alias("_from"), F.col(when).alias("_to"), "_last")
+    found = sweep_join(rows, last, [(a, f"_k{i}") for i, (a, _) in enumerate(on)], at, "_from", "_to", strictly=True, ends=False)
+    wanted = found.withColumn(place, F.explode(F.sequence(F.lit(1), F.least(F.lit(k), F.col("_last")))))
+    meet = F.col("_last") - F.col(place) + 1 == F.col(number)
+    for i, d in enumerate(keys):
+        meet = meet & (F.col(f"_k{i}") == F.col(d))
+    return wanted.join(numbered, meet).select(*rows.columns, place, *others.columns)

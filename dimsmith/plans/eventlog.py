@@ -15,10 +15,12 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimsmith.functions.variant import at, elements, variant_column
+
 EXPECTATIONS_DDL = ("array<struct<name: string, dataset: string, "
                     "passed_records: bigint, failed_records: bigint>>")
 
@@ -89,3 +91,21 @@ def trace_key(tables: dict[str, DataFrame], where: str, order_by: str | None = N
         raise ValueError("no tables given")
     sort = ["table"] + ([order_by] if order_by and order_by in out.columns else [])
     return out.orderBy(*sort)
+
+
+def parsed(log: DataFrame) -> DataFrame:
+    """The log with ``details`` as a VARIANT, to be stored or read by path."""
+    return variant_column(log, "details")
+
+
+def flow_metrics(log: DataFrame) -> DataFrame:
+    """Every run's flows of a parsed log: run (1, 2, ...), table_name, rows written, dropped and late, number of rules."""
+    runs = (log.where(F.col("event_type") == "create_update")           # a row a run
+            .select(F.col("origin.update_id").alias("update_id"), F.row_number().over(Window.orderBy("timestamp")).alias("run")))
+    flows = log.where(F.col("event_type") == "flow_progress").withColumn("update_id", F.col("origin.update_id"))
+    return flows.join(runs, "update_id").select(
+        "run", F.col("origin.flow_name").alias("table_name"),
+        at("details", "flow_progress.metrics.num_output_rows", "bigint").alias("num_output_rows"),
+        at("details", "flow_progress.data_quality.dropped_records", "bigint").alias("dropped_records"),
+        at("details", "flow_progress.metrics.num_late_rows", "bigint").alias("late_rows"),
+        F.size(elements("details", "flow_progress.data_quality.expectations")).cast("bigint").alias("rules"))

@@ -47,7 +47,7 @@ from dimsmith.plans.quality import (Expectation, apply_actions, expectations_fro
 from dimsmith.sinks.files import _fs, append, latest_snapshot_path, write_snapshot
 from dimsmith.sources.files import read_file_stream
 from dimsmith.streaming.apply_changes import apply_changes_stream, read_target
-from dimsmith.streaming.progress import ProgressTotals
+from dimsmith.streaming.progress import STATE, ProgressTotals
 
 
 @dataclass
@@ -275,7 +275,10 @@ class TableGraph:
             return None
         totals = self._totals.finish(writer.trigger(availableNow=True).start())
         rows = totals.pop(f"{tag}_out", {}).get("rows", 0)
+        late = totals.pop(STATE, None)
         self._metrics[ds.name] = metrics_of(totals.pop(tag, None), ds.rules, ds.name, rows)
+        if late is not None:
+            self._metrics[ds.name]["metrics"]["num_late_rows"] = late["late_rows"]
         self._log_views(totals)
         return None
 

@@ -120,14 +120,25 @@ def stream_schema(spark: SparkSession, source: str, fmt: str, options: Mapping[s
 def read_file_stream(spark: SparkSession, source: str, fmt: str = "csv",
                      options: Mapping[str, object] | None = None,
                      schema: T.StructType | None = None, schema_path: str | None = None,
-                     provenance: str | None = SOURCE_FILE, rescue: str | None = None) -> DataFrame:
+                     provenance: str | None = SOURCE_FILE, rescue: str | None = None,
+                     max_files: int | None = None, max_bytes: str | int | None = None,
+                     max_age: str | None = None, archive: str | None = None) -> DataFrame:
     """Incremental file source: each landed file is read once (the checkpoint
     of the consuming query records which files were taken).
 
     ``rescue`` (delimited text): a column that keeps, as JSON, what does not fit
     the schema: values that cannot be cast, by column, and under ``_record`` the
     whole line where it has more or fewer fields. NULL where all fits.
+
+    ``max_files`` / ``max_bytes``: at most so much a micro-batch (one file at
+    least). ``max_age``: how much older than the newest file a file that arrives
+    late may be (Spark's default: 7 days; older ones are never read). ``archive``:
+    a folder outside the source to which a file moves once the batch after its
+    own has begun, so that listing the source stays cheap.
     """
+    life = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes, "maxFileAge": max_age,
+            "cleanSource": "archive" if archive else None, "sourceArchiveDir": archive}
+    options = {**(options or {}), **{k: v for k, v in life.items() if v is not None}}
     opts = {k: (str(v).lower() if isinstance(v, bool) else str(v))
             for k, v in (options or {}).items()}
     if schema is None:

@@ -54,3 +54,9 @@ def stream_join(left: DataFrame, right: DataFrame, on: Column | Sequence[str] |
     if "right" in wm:
         right = right.withWatermark(*wm["right"])
     return left.join(right, on=on, how=how)
+
+
+def dedupe_within(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """The first row of each key, in bounded state: a key is forgotten ``delay`` after its event time, and
+    rows below the watermark are dropped as late (counted by ``progress.ProgressTotals`` and the event log)."""
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

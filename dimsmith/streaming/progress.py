@@ -2,7 +2,8 @@
 
 ``query.recentProgress`` keeps only the last reports (100 by default), so a
 run with more micro-batches would lose counts. The listener receives every
-report in order and adds the observed metrics up per query run.
+report in order and adds the observed metrics up per query run, and with them
+the rows that stateful operators dropped as late.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
+#: Tag of what stateful operators report: rows that came below the watermark.
+STATE = "_state"
+
+
 class ProgressTotals(StreamingQueryListener):
     def __init__(self) -> None:
         self._lock = threading.Lock()
@@ -38,6 +43,8 @@ class ProgressTotals(StreamingQueryListener):
             for tag, row in (p.observedMetrics or {}).items():
                 for name, value in row.asDict().items():
                     mine[tag][name] += int(value or 0)
+            for state in p.stateOperators or []:
+                mine[STATE]["late_rows"] += int(state.numRowsDroppedByWatermark)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dimsmith.operators import scd_diff
 from dimsmith.operators.scd import DimSpec, scd2_merge
 from dimsmith.operators.scd_diff import BUCKET, DigestedDim
-from dimsmith.operators.sweep import hot_ranges, sweep_join, with_block
+from dimsmith.operators.sweep import hot_ranges, latest_before, sweep_join, with_block
 from dimsmith.operators.temporal import temporal_join
 
 OPEN = dt.date(9999, 12, 31)
@@ -148,6 +148,22 @@ def test_a_hot_key_with_many_versions_is_split(spark):
     assert len(sizes) >= 30 and max(sizes) < 3 * 100_050 / 32
 
 
+def test_latest_before_equals_a_plain_loop(spark):
+    rng = random.Random(8)
+    others = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([None, *[dt.datetime(2020, 1, rng.randint(1, 28), rng.randint(0, 3))] * 9]), i) for i in range(600)]
+    rows = [(i, rng.choice([1, 2, 3, 4, None]), rng.choice([None, *[dt.datetime(2020, 1, rng.randint(1, 28), rng.randint(0, 3))] * 9])) for i in range(300)]
+    want = set()
+    for i, key, at in rows:
+        mine = sorted(((w, n) for k, w, n in others if key is not None and k == key and at and w and w < at), reverse=True)[:3]
+        want |= {(i, p, n) for p, (_, n) in enumerate(mine, 1)}
+    got = latest_before(spark.createDataFrame(rows, "i int, key int, at timestamp"), spark.createDataFrame(others, "k int, w timestamp, n int"),
+                        [("key", "k")], "at", "w", ["n"], k=3)
+    found = [(r.i, r.place, r.n) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 # --- stored star and catalog -----------------------------------------------------------------
 
 def executed(df):
