@@ -10,7 +10,8 @@ the rows a source has, and a source with too few documents is judged by its
 language's merged sketch, or by that of all documents.
 
 A threshold is the upper Tukey fence Q3 + k (Q3 - Q1), for word length also
-the lower one, and never stricter than a lenient bound for the metric, so a
+the lower one.  Where the quartiles are closer than the metric's least spread
+(most groups hardly ever repeat a line), that stands for their distance, so a
 group without outliers loses nothing.  The thresholds (one row per group) are
 joined back to the statistics.
 
@@ -36,12 +37,14 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 _STATS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
-#: metric: (numerator, denominator, lenient upper bound, lenient lower bound)
+#: metric: (numerator, denominator, least spread, whether too small a value counts too).
+#: The least spread stands for the distance of the quartiles where these are closer, as in a
+#: group whose documents hardly ever repeat a line; it moves with the group's quartiles.
 METRICS = {
-    "symbols": ("n_symbols", "n_words", 0.1, None),
-    "word_length": ("word_chars", "n_words", 12.0, 2.5),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.5, None),
-    "repeats": ("n_repeat_words", "n_words", 0.35, None),
+    "symbols": ("n_symbols", "n_words", 0.03, False),
+    "word_length": ("word_chars", "n_words", 0.5, True),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.15, False),
+    "repeats": ("n_repeat_words", "n_words", 0.12, False),
 }
 GAMMA = 1.02
 ZERO = -1_000_000
@@ -164,13 +167,12 @@ def thresholds(sketch: DataFrame, k: float = 3.0, min_docs: int = 200) -> DataFr
         return F.when(F.col("n") >= min_docs, F.col(own)).when(F.col("ln") >= min_docs, F.col(lang)).otherwise(F.col(everything))
     g = g.withColumn("_q1", pick("q1", "l1", "a1")).withColumn("_q3", pick("q3", "l3", "a3"))
     out = []
-    for m, (_, _, hi, lo) in METRICS.items():
+    for m, (_, _, least, both) in METRICS.items():
         here = F.col("metric") == m
-        fence = F.col("_q3") + k * (F.col("_q3") - F.col("_q1"))
-        out.append(F.max(F.when(here, F.greatest(F.lit(hi), fence))).alias(f"hi_{m}"))
-        if lo is not None:
-            fence = F.col("_q1") - k * (F.col("_q3") - F.col("_q1"))
-            out.append(F.max(F.when(here, F.least(F.lit(lo), fence))).alias(f"lo_{m}"))
+        spread = F.greatest(F.col("_q3") - F.col("_q1"), F.lit(least))
+        out.append(F.max(F.when(here, F.col("_q3") + k * spread)).alias(f"hi_{m}"))
+        if both:
+            out.append(F.max(F.when(here, F.col("_q1") - k * spread)).alias(f"lo_{m}"))
     return g.groupBy("lang", "source").agg(*out)
 
 
@@ -181,22 +183,22 @@ def quality_filter(docs: DataFrame, k: float = 3.0, min_docs: int = 200) -> Data
     limits = limits.withColumnRenamed("lang", "_lang").withColumnRenamed("source", "_source")
     x = stats.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     good = ~F.col("base_failed")
-    for m, (a, b, _, lo) in METRICS.items():
+    for m, (a, b, _, both) in METRICS.items():
         value = F.col(a) / F.greatest(F.col(b), F.lit(1))
         good &= F.coalesce(value <= F.col(f"hi_{m}"), F.lit(True))
-        if lo is not None:
+        if both:
             good &= F.coalesce(value >= F.col(f"lo_{m}"), F.lit(True))
     return x.withColumn("kept", good).drop("_lang", "_source")
 
 
 def _sql() -> str:
     parts, his = [], []
-    for m, (a, b, hi, lo) in METRICS.items():
+    for m, (a, b, least, both) in METRICS.items():
         parts.append(f"SELECT lang, source, '{m}' AS metric, {a}::DOUBLE / greatest({b}, 1) AS v FROM good")
         value = f"{a}::DOUBLE / greatest({b}, 1)"
-        his.append(f"coalesce({value} <= greatest({hi}, max(q3 + 3 * (q3 - q1)) FILTER (metric = '{m}')), true)")
-        if lo is not None:
-            his.append(f"coalesce({value} >= least({lo}, max(q1 - 3 * (q3 - q1)) FILTER (metric = '{m}')), true)")
+        his.append(f"coalesce({value} <= max(q3 + 3 * greatest(q3 - q1, {least})) FILTER (metric = '{m}'), true)")
+        if both:
+            his.append(f"coalesce({value} >= max(q1 - 3 * greatest(q3 - q1, {least})) FILTER (metric = '{m}'), true)")
     value = f"CASE WHEN bucket = {ZERO} THEN 0.0 ELSE 2 * pow({GAMMA}, bucket::DOUBLE) / {1 + GAMMA} END"
 
     def quartiles(name: str, by: str) -> str:
