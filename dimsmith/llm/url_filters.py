@@ -6,9 +6,9 @@ a rule is judged by its host.  Labelled page outcomes are shrunk through
 beta-binomial priors from suffix to registered domain to host (empirical
 Bayes): each level's prior mean is its parent's posterior mean, each level's
 prior strength comes from the method of moments over all groups of the level.
-A host is blocked where a lower bound of its posterior share of bad pages is
-above a threshold, so a host with few labels follows its domain and is not
-blocked for one bad page.
+A host is blocked where the odds of a bad page at a lower bound of its posterior
+are above a multiple of the overall odds, so a host with few labels follows its
+domain and is not blocked for one bad page.
 
 DataFrame functions only.  Pages are aggregated to one row per host before
 anything is joined; a host with a third of all pages is one row of counts, and
@@ -95,7 +95,7 @@ def _strength(groups: DataFrame, n: str, k: str) -> DataFrame:
 
 
 def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """One row per host: n, bad, the posterior's mean and its lower bound.
+    """One row per host: n, bad, the posterior's mean and its lower bound, and the overall rate.
 
     pages: page_id, host.  outcomes: page_id, bad (0, 1 or null).
     """
@@ -122,17 +122,21 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) ->
     hosts = hosts.join(domains.select("domain", "d_mean"), "domain")
     a = F.col("bad") + F.col("d_mean") * h_w
     b = F.col("n") - F.col("bad") + (1 - F.col("d_mean")) * h_w
-    return (hosts.withColumn("mean", a / (a + b))
+    return (hosts.withColumn("overall", F.lit(float(mean))).withColumn("mean", a / (a + b))
             .withColumn("bound", F.col("mean") - z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]],
-                z: float = 1.645, threshold: float = 0.5) -> DataFrame:
-    """pages (page_id, url) -> page_id, host, path, rule, verdict, mean, bound."""
+                z: float = 1.645, excess: float = 2.0) -> DataFrame:
+    """pages (page_id, url) -> page_id, host, path, rule, verdict, mean, bound.
+
+    A host is blocked if the odds at its lower bound are above ``excess`` times the overall odds.
+    """
     p = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    rep = materialise(host_reputation(p, outcomes, z).select("host", "mean", "bound"), "reputation")
+    rep = materialise(host_reputation(p, outcomes, z).select("host", "mean", "bound", "overall"), "reputation")
     hit = matched_rule(F.col("host"), F.col("path"), rules)
-    by_host = F.when(F.col("bound") > threshold, F.lit("block")).otherwise(F.lit("allow"))
+    worse = F.col("bound") * (1 - F.col("overall")) > excess * F.col("overall") * (1 - F.col("bound"))
+    by_host = F.when(worse, F.lit("block")).otherwise(F.lit("allow"))
     return (p.join(rep, "host", "left").withColumn("_hit", hit)
             .select("page_id", "host", "path", F.col("_hit.rule").alias("rule"),
                     F.coalesce(F.col("_hit.verdict"), by_host).alias("verdict"), "mean", "bound"))
@@ -174,8 +178,8 @@ fit AS (SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(rv, length
         FROM (SELECT DISTINCT host, path FROM p), rules
         WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY 1, 2)
 SELECT page_id, p.host, p.path, rule,
-       coalesce(rv, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN rep USING (host) LEFT JOIN fit ON fit.host = p.host AND fit.path = p.path
+       coalesce(rv, CASE WHEN bound * (1 - rate) > 2.0 * rate * (1 - bound) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p CROSS JOIN (SELECT sum(k) / sum(n) AS rate FROM s0) LEFT JOIN rep USING (host) LEFT JOIN fit ON fit.host = p.host AND fit.path = p.path
 """
 
 
