@@ -19,11 +19,12 @@ positions follow.
 
 Defined results: a null text is empty (the end id alone); an empty table gives
 no shard; a null doc_id sorts first; rows that repeat a doc_id are separate
-documents, ordered by text; extra columns are ignored.
+documents, ordered by a hash of the text; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -106,23 +107,36 @@ def _byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(other)) for b in range(256)]
 
 
+#: The normaliser and the pre-tokeniser for which texts may be cut into pieces.
+_LOWER_WORDS = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "</w>")
+
 #: Letters that the normaliser only lower-cases and that stay in one token of the pre-tokeniser.
 _WORD = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 class Encoder:
-    """Whole texts to ids: each distinct piece of a batch is encoded once.
+    """Whole texts to ids; with the rules of ``_LOWER_WORDS`` each distinct piece of a batch is encoded once.
 
-    No token crosses white space or a step from an ASCII letter to ``.`` or
+    There no token crosses white space or a step from an ASCII letter to ``.`` or
     ``,``, and case and the kind of white space do not matter, so texts are cut
     there.  Pieces of Latin letters are what the pre-tokeniser hands to the
     model and go to it directly; all others go through the whole tokeniser, and
-    so does every text that holds the start of a special token.
+    so does every text that holds the start of a special token.  A tokeniser
+    with other rules gets whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        parts = [json.loads(x.__getstate__()) if x is not None else None for x in (self.tok.normalizer, self.tok.pre_tokenizer)]
+        self.by_piece = (*parts, getattr(self.tok.model, "end_of_word_suffix", None)) == _LOWER_WORDS
         added = self.tok.get_added_tokens_decoder().values()
         self.heads = sorted({t.content[:2] for t in added})
         self.symbols = _byte_symbols()
@@ -137,6 +151,9 @@ class Encoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
         n = len(texts)
+        if not self.by_piece:
+            out = [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.uint32), *out]), np.array([len(x) for x in out], np.int64)
         whole = np.zeros(n, bool)
         for head in self.heads:
             whole |= pc.match_substring(texts, head).to_numpy(zero_copy_only=False)
@@ -218,8 +235,11 @@ def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: i
 def write_token_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1,
                       shard_tokens: int = 1 << 20) -> str:
     """Write the shards of docs (doc_id, text) in ascending doc_id order to ``path``."""
-    (docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD).write.parquet(path))
+    # rows that share an id, or have none, are spread by their text and, where equal, by their place
+    keys = ["doc_id", "text_key", "row_key"]
+    (docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"),
+                 F.xxhash64(F.monotonically_increasing_id()).alias("row_key"))
+     .repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text").mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD).write.parquet(path))
     return path
 
 
