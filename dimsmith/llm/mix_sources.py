@@ -76,12 +76,14 @@ def water_fill(sources: DataFrame, share: float = 1.5, max_passes: float = 2.0)
 
 
 def queue_times(docs: DataFrame, targets: DataFrame, seed: str = SEED,
-                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                bucket_rows: int = BUCKET_ROWS, key: str | None = None) -> DataFrame:
     """docs (doc_id, source, size, ...) with source_size, target, and ``sent``:
     the words its source has sent in a pass when the document ends."""
     n = docs.count()
     buckets = max(1, min(1 << 24, -(-n // bucket_rows)))
-    h = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # id, size and ``key`` (of the text): rows without an id, or that share one, are spread too
+    h = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"),
+                       F.lit(":"), F.col(key).cast("string") if key else F.lit("")))
     x = docs.withColumn("_h", h).withColumn(
         "_b", F.floor(F.conv(F.substr("_h", F.lit(1), F.lit(8)), 16, 10).cast("long") * buckets / (1 << 32)))
     sums = x.groupBy("source", "_b").agg(F.sum("size").alias("_n"))
@@ -98,12 +100,12 @@ def queue_times(docs: DataFrame, targets: DataFrame, seed: str = SEED,
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5,
-        max_passes: int = 2, seed: str = SEED) -> DataFrame:
+        max_passes: int = 2, seed: str = SEED, key: str | None = None) -> DataFrame:
     """docs (doc_id, source, size) -> doc_id, source, size, source_size, target, taken,
     and ``copies``: array of (pass, words, finish) in queue order, finish up to 1."""
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialise(water_fill(weigh_in_order(sizes, weights), share, max_passes), "mix-targets")
-    x = queue_times(docs, targets, seed)
+    x = queue_times(docs, targets, seed, key=key)
     budget = F.floor(F.col("target") + 1e-6)
     copies = []
     for p in range(max_passes):
@@ -115,6 +117,30 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     return x.withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]))
 
 
+def cut_queue(queue: DataFrame, order: list[str]) -> DataFrame:
+    """queue (words, budget, ...) in the order of ``order``, with ``sent``: the words that fit the total budget.
+
+    The budget is the same in all rows.  Rows are range-sorted and written, each
+    partition's sum and the sums before it (one row a partition) say which
+    partitions are sent whole; only the one in which the budget runs out is
+    summed row by row.
+    """
+    q = materialise(queue.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "_place", F.monotonically_increasing_id()), "mix-queue")
+    q = q.withColumn("_part", F.shiftright("_place", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = q.groupBy("_part").agg(F.sum("words").alias("_n")).select(
+        "_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    x = q.join(F.broadcast(parts), "_part")
+    left = F.col("budget") - F.col("_before")
+    whole = x.where(left >= F.col("_n")).withColumn("sent", F.col("words"))
+    none = x.where(left <= 0).where(left < F.col("_n")).withColumn("sent", F.lit(0).cast("long"))
+    upto = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    some = x.where((left > 0) & (left < F.col("_n"))).withColumn("_upto", F.sum("words").over(upto)).withColumn(
+        "sent", F.greatest(F.lit(0), F.least(F.col("words"), left - (F.col("_upto") - F.col("words"))))).drop("_upto")
+    return whole.unionByName(none).unionByName(some).drop("_part", "_place", "_n", "_before")
+
+
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents' rows, each as often as it is taken, in order of virtual
     finish time (globally range-sorted); a cut copy has its first words, joined by single spaces.
@@ -126,7 +152,7 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
         "__mix_k1", F.xxhash64("doc_id", "source", "text")).withColumn(
         "__mix_k2", F.xxhash64(F.lit(7), "text", "source", "doc_id"))
     plan = mix(materialise(own.select("doc_id", "source", F.col("__mix_size").alias("size"), "__mix_k1", "__mix_k2"), "mix-sizes"),
-               **options)
+               key="__mix_k1", **options)
     keys = ["__mix_k1", "__mix_k2"]
     rows = plan.groupBy(*keys).agg(F.count("*").alias("__mix_n"), F.flatten(F.collect_list("copies")).alias("__mix_copies"))
     rows = materialise(rows.where(F.size("__mix_copies") > 0), "mix-plan")
@@ -145,7 +171,8 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source,
-                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  md5(coalesce(text, '')) AS text_key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
              CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
       FROM d GROUP BY source),
@@ -156,7 +183,7 @@ l AS (SELECT *, (budget - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () -
 z AS (SELECT arg_min(level, ratio) AS lv FROM l WHERE ratio > level),
 t AS (SELECT source, source_size, CASE WHEN lv IS NULL OR ratio <= lv THEN cap ELSE lv * weight END AS target FROM l, z),
 q AS (SELECT d.doc_id, d.size, source_size, target, floor(target + 1e-6)::BIGINT AS budget,
-             sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1' || coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1' || coalesce(d.doc_id::VARCHAR, '') || ':' || d.size || ':' || text_key), d.doc_id, d.size
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS sent
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
@@ -170,6 +197,13 @@ FROM q
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; weights 5, 2, 1 over the sources, 150 % of all words, two passes at most."""
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", F.size(word_list(F.col("text"))).cast("long").alias("size"))
-    out = mix(materialise(docs, "mix-sizes"))
+        "doc_id", "source", F.size(word_list(F.col("text"))).cast("long").alias("size"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), F.monotonically_increasing_id().alias("row"))
+    plan = mix(materialise(docs, "mix-sizes"), key="text_key")
+    budget = plan.groupBy("source").agg(F.floor(F.max("target") + 1e-6).alias("n")).agg(F.sum("n")).first()[0]
+    own = ["row", "doc_id", "size", "source_size", "target"]
+    queue = plan.select(*own, "source", F.explode_outer("copies").alias("copy")).select(
+        *own, "source", F.coalesce("copy.words", F.lit(0).cast("long")).alias("words"),
+        F.coalesce("copy.finish", F.lit(2.0)).alias("finish"), F.lit(budget).cast("long").alias("budget"))
+    out = cut_queue(queue, ["finish", "source", "row"]).groupBy(*own).agg(F.sum("sent").alias("taken"))
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "taken")
