@@ -5,6 +5,9 @@ import random
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.llm.test_text_operators import SPACE, WORD, brute_components, by_row, lower
 
 
@@ -183,3 +186,130 @@ def test_rows_that_share_an_id_are_ordered_as_documents(spark, odd_rows):
     want = brute_spans([(number[r.doc_id, r.text or ""], r.text) for r in rows])
     got = Counter(tuple(r) for r in remove_repeats(df).collect())
     assert got == Counter({}) + sum((Counter({(back[k[0]], *k[1:]): n}) for k, n in want.items()), Counter())
+
+
+# --- token files -----------------------------------------------------------------------------
+
+def test_encoder_follows_the_tokenizer_file(spark, odd_docs, odd_rows):
+    """Both public JSON files give the library's own ids; rows without an id are spread over shards."""
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from dimsmith.llm.token_store import token_index
+    from tokenizers import Tokenizer
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        tok = Tokenizer.from_file(public_tokenizers.path(name))
+        want = Counter()
+        for doc, text, *_ in odd_rows:
+            ids = np.array(tok.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
+            want[doc, len(ids), zlib.crc32(ids.tobytes())] += 1
+        rows = token_index(odd_docs, public_tokenizers.path(name)).collect()
+        assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == want
+        at = 0
+        for r in sorted(rows, key=lambda r: r.start):
+            assert r.start == at
+            at += r.n_tokens
+        ids = [r.doc_id for r in sorted(rows, key=lambda r: r.start)]
+        assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
+
+
+def test_rows_without_an_id_are_many_ranges(spark):
+    from dimsmith.llm.registry import shared_path
+    from dimsmith.llm.token_store import write_token_store
+    import public_tokenizers
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(
+        F.lit("text "), F.col("id").cast("string"))).alias("text")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = write_token_store(df, public_tokenizers.path("word_bpe_49k.json"), shared_path(spark, "many"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r.n for r in spark.read.parquet(path).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) < 20_000 / 3
+
+
+# --- line templates in long texts ------------------------------------------------------------
+
+def test_many_lines_take_linear_time(spark):
+    import time
+
+    from dimsmith.llm.line_templates import drop_lines
+    took = {}
+    for n in (20_000, 20_000, 80_000):
+        text = "\n".join(f"line {chr(97 + i % 26)} of a long text that two documents share word {i}" for i in range(n)) + "\nown"
+        df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        at = time.time()
+        rows = drop_lines(df).collect()
+        took[n] = time.time() - at
+        assert [(r.n_lines, r.n_dropped, r.text) for r in rows] == [(n + 1, n, "own")] * 2 or all(r.n_dropped >= n for r in rows)
+    assert took[80_000] < 12 * max(took[20_000], 1.0)
+
+
+# --- quality fences --------------------------------------------------------------------------
+
+def test_groups_differ_in_their_verdicts(spark):
+    """The same text is ordinary in one language's documents and an outlier in the other's."""
+    from dimsmith.llm.quality_rules import quality_filter
+    rng = random.Random(11)
+
+    def words(n, sizes):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.choice(sizes))) for _ in range(n))
+    rows = [(i, words(80, [8, 9, 10, 11]), "long", "a") for i in range(250)] + [(300 + i, words(80, [3, 4, 5]), "short", "a") for i in range(250)]
+    probe = words(80, [8, 9, 10])
+    rows += [(1000, probe, "long", "a"), (1001, probe, "short", "a")]
+    noisy = " ".join(w + "#" if i % 10 == 0 else w for i, w in enumerate(words(80, [3, 4, 5]).split()))
+    rows += [(2000 + i, noisy.replace("a", chr(97 + i % 7)), "noisy", "a") for i in range(250)] + [(1002, noisy, "short", "a"), (1003, noisy, "noisy", "a")]
+    kept = {r.doc_id: r.kept for r in quality_filter(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert kept[1000] and not kept[1001]
+    assert kept[1003] and not kept[1002]
+    assert sum(kept[i] for i in range(250)) == 250 and sum(kept[300 + i] for i in range(250)) == 250
+
+
+# --- url filters -----------------------------------------------------------------------------
+
+def test_a_bad_host_is_blocked(spark):
+    from dimsmith.llm.url_filters import filter_urls
+    rng = random.Random(12)
+    pages, labels = [], []
+    for i in range(3000):
+        host = "spam.bad.net" if i % 30 == 0 else f"h{i % 40}.fine{i % 7}.org"
+        pages.append((i, f"https://{host}/p/{i}", "x", "x", 0.5, 0.5, 0.5))
+        labels.append((i, int(rng.random() < (0.9 if i % 30 == 0 else 0.2))))
+    df = spark.createDataFrame(pages, "page_id long, url string, host string, path string, mean double, bound double, overall double")
+    out = filter_urls(df, spark.createDataFrame(labels, "page_id long, bad int"), [])
+    assert {(r.host == "spam.bad.net", r.verdict) for r in out.select("host", "verdict").distinct().collect()} == {(True, "block"), (False, "allow")}
+    allowed = filter_urls(df, spark.createDataFrame(labels, "page_id long, bad int"), [("allow", "bad.net/p")])
+    assert {r.verdict for r in allowed.collect()} == {"allow"}
+    assert {r.verdict for r in filter_urls(df, spark.createDataFrame([], "page_id long, bad int"), []).collect()} == {"allow"}
+
+
+# --- mixing ----------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("budget", [0, 1, 700, 12_345, 10 ** 9])
+def test_queue_is_cut_at_the_budget(spark, budget):
+    from dimsmith.llm.mix_sources import cut_queue
+    rng = random.Random(budget)
+    rows = [(i, rng.random(), rng.randint(0, 60)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "row int, finish double, words long").withColumn("budget", F.lit(budget).cast("long")).repartition(5)
+    got = {r.row: r.sent for r in cut_queue(df, ["finish", "row"]).collect()}
+    left, want = budget, {}
+    for i, _, n in sorted(rows, key=lambda r: (r[1], r[0])):
+        want[i] = min(n, max(left, 0))
+        left -= n
+    assert got == want
+
+
+def test_rows_without_an_id_are_many_buckets(spark):
+    import dimsmith.llm.mix_sources as ms
+    df = spark.range(12_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("s").alias("source"),
+                                    (F.col("id") % 50 + 1).alias("size"), F.md5(F.col("id").cast("string")).alias("key"))
+    targets = ms.water_fill(ms.weigh_in_order(df.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    sent = sorted((r.sent, r["size"]) for r in ms.queue_times(df, targets, bucket_rows=200, key="key").collect())
+    at = 0
+    for end, size in sent:          # one queue without gaps
+        assert end == at + size
+        at = end
+    h = F.md5(F.concat(F.lit(ms.SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string"), F.lit(":"), F.col("key")))
+    sizes = sorted(r["count"] for r in df.groupBy(F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("long") * 60 / (1 << 32))).count().collect())
+    assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
