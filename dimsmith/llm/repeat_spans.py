@@ -323,10 +323,12 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
     buckets = max(8, -(-total // bucket_bytes))
 
     blobs = d.mapInArrow(_sample_blobs(buckets), _BLOB)
-    found = materialise(_gather(blobs.groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
+    # tasks grow in number, not in size, with the corpus
+    tasks = max(2 * buckets, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = materialise(_gather(blobs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
     x = d.join(found, _KEY, "left")
     more = x.where(F.size("open") > 0).mapInArrow(_window_blobs(buckets), _BLOB)
-    more = _gather(more.groupBy("bucket").applyInArrow(_sort_bucket(buckets, False), _FOUND))
+    more = _gather(more.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(buckets, False), _FOUND))
     out = x.join(more.select(*_KEY, F.col("removed").alias("more")), _KEY, "left")
     out = out.select("id", "top", "text", "removed", "more").mapInArrow(_finish, f"id long, top long, {_RESULT}")
     return out.select(F.when(F.col("top") >= NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
