@@ -23,7 +23,8 @@ one representative, never all pairs, in rounds:
   still open, by an exact prefix filter: shingles are ordered by how often they
   occur there, those of a single component first, and a pair at 0.75 shares one
   of the first quarter of either set.  Pairs meet at such shingles, a common one
-  dealt in blocks of ``BLOCK`` members.
+  dealt in blocks of ``BLOCK`` members, and are dropped there if the parities of
+  their sets differ in more places than sets at 0.75 can differ in shingles.
 
 Every link is confirmed on the full sets: 100 * |A and B| >= 75 * |A or B|.
 
@@ -52,6 +53,7 @@ from dimsmith.llm.textbytes import TO_LOWER, RangeHash, buffers, mix, slices, wo
 
 SHINGLE, ROWS, WIDTH = 5, 12, 2
 BLOCK = 500
+PARITY_WORDS = 8         # 64 parities each
 _BITS = np.uint64(50)
 _rng = np.random.default_rng(4)
 _A = _rng.integers(1, 1 << 63, 2 * ROWS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -200,11 +202,16 @@ def prefixes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     each = materialise(sets.join(nodes, "node").select("node", "n", "comp", F.explode("shingles").alias("s")), "shingles")
     shared = each.groupBy("s").agg(F.count("*").alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     shared = shared.where("lo <> hi").select("s", "df")
-    mine = each.join(shared, "s").groupBy("node", "n", "comp").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("l"))
+    # parities of the shared shingles by hash: two sets differ in at least as many shingles as in parities
+    h = F.xxhash64(F.lit(17), "s")
+    bit = F.expr("shiftleft(1L, cast(shiftright(xxhash64(17, s), 8) & 63 as int))")
+    parity = [F.coalesce(F.bit_xor(F.when(F.pmod(h, F.lit(PARITY_WORDS)) == w, bit)), F.lit(0).cast("long")) for w in range(PARITY_WORDS)]
+    mine = each.join(shared, "s").groupBy("node", "n", "comp").agg(
+        F.sort_array(F.collect_list(F.struct("df", "s"))).alias("l"), F.array(*parity).alias("parity"))
     mine = mine.withColumn("own", F.col("n") - F.size("l"))         # only in this component: first in the order
     mine = mine.withColumn("left", F.floor(F.col("n") / 4) + 1 - F.col("own")).where("left > 0")
-    return mine.select("node", "n", "comp", "own", F.posexplode(F.slice("l", 1, F.col("left").cast("int"))).alias("i", "e")).select(
-        "node", "n", "comp", F.col("e.s").alias("s"), (F.col("own") + F.col("i")).alias("at"))
+    return mine.select("node", "n", "comp", "own", "parity", F.posexplode(F.slice("l", 1, F.col("left").cast("int"))).alias("i", "e")).select(
+        "node", "n", "comp", "parity", F.col("own").alias("alone"), F.col("e.s").alias("s"), (F.col("own") + F.col("i")).alias("at"))
 
 
 def rest_pairs(nodes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -214,13 +221,17 @@ def rest_pairs(nodes: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFra
     x = x.join(met.select("s", F.ceil(F.col("c") / block).alias("blocks")), "s")
     x = x.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     one = x.select("s", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("at").alias("ia"),
-                   F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"))
+                   F.col("parity").alias("pa"), F.col("alone").alias("oa"), F.col("own").alias("p"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("q"))
     two = x.select("s", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("at").alias("ib"),
-                   F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("p"), F.col("own").alias("q"))
+                   F.col("parity").alias("pb"), F.col("alone").alias("ob"), F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("p"), F.col("own").alias("q"))
     most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))     # in common from their first common shingle on
     one, two = one.alias("one"), two.alias("two")
     same = [F.col(f"one.{k}") == F.col(f"two.{k}") for k in ("s", "p", "q")]
-    may = (F.col("ca") != F.col("cb")) & (7 * most >= 3 * (F.col("na") + F.col("nb"))) & ((F.col("one.p") != F.col("one.q")) | (F.col("a") < F.col("b")))
+    # sets at 0.75 differ in a seventh of their sizes at most; shingles of one component only are differences too
+    apart = F.col("oa") + F.col("ob")
+    for w in range(PARITY_WORDS):
+        apart = apart + F.bit_count(F.get("pa", F.lit(w)).bitwiseXOR(F.get("pb", F.lit(w))))
+    may = (F.col("ca") != F.col("cb")) & (7 * apart <= F.col("na") + F.col("nb")) & (7 * most >= 3 * (F.col("na") + F.col("nb"))) & ((F.col("one.p") != F.col("one.q")) | (F.col("a") < F.col("b")))
     return one.join(two, [*same, may]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
