@@ -37,6 +37,23 @@ def test_pairs_of_the_last_pass_hold_every_link(spark):
     for block in (500, 3):
         assert {tuple(r) for r in _verified(rest_pairs(nodes, df, block), df).collect()} == want
 
+
+def test_texts_of_the_same_passages_make_few_pairs(spark):
+    """Sets of 30 out of 60 shared passages: the last pass keeps the near ones among them only."""
+    from dimsmith.llm.near_dedup import _verified, rest_pairs
+    rng = random.Random(9)
+    sets = {i: sorted(rng.sample(range(60), 30)) for i in range(4000)}
+    for i in range(4000, 4040):         # near copies: two passages exchanged
+        x = sets[i - 4000]
+        sets[i] = sorted({*x[2:], *rng.sample(sorted({*range(60)} - {*x}), 2)})
+    df = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>").repartition(8)
+    nodes = spark.createDataFrame([(i, 30, i) for i in sets], "node long, n long, comp long")
+    pairs = rest_pairs(nodes, df).persist()
+    assert pairs.count() < 0.05 * len(sets) ** 2 / 2
+    found = {tuple(r) for r in _verified(pairs, df).collect()}
+    assert {(i - 4000, i) for i in range(4000, 4040)} <= found
+
+
 # --- line templates --------------------------------------------------------------------------
 
 def brute_default_lines(rows):
