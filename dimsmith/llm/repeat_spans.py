@@ -114,6 +114,25 @@ def _earlier(order: np.ndarray, keys: list[np.ndarray], doc, top, dk, at) -> tup
     return new, later
 
 
+def _joined(doc, top, dk, at, count) -> tuple[np.ndarray, ...]:
+    """Sorted runs of windows, those that touch or overlap joined; a run is 255 windows at most."""
+    end = at + count
+    new = np.ones(len(doc), bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in (doc, top, dk)], axis=0)
+    # the furthest end so far of the document: documents are kept apart by an offset
+    number = np.cumsum(new)
+    wide = np.int64(1) << 32
+    reach = np.maximum.accumulate(end.astype(np.int64) + number * wide) - number * wide
+    new[1:] |= at[1:] > reach[:-1]
+    heads = np.flatnonzero(new)
+    length = reach[np.append(heads[1:] - 1, len(doc) - 1)] - at[heads]
+    pieces = -(-length // 255)
+    back = np.repeat(heads, pieces)
+    nth = np.arange(len(back)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    size = np.minimum(np.repeat(length, pieces) - 255 * nth, 255)
+    return doc[back], top[back], dk[back], at[back] + 255 * nth, size
+
+
 def _blobs(tie, value, doc, top, dk, at, count, buckets: int, salt: int, by_gram: bool) -> Iterator[pa.RecordBatch]:
     """The batch's first entry of each (tie, value) by bucket, the others as known repeats.
 
@@ -144,7 +163,8 @@ def _blobs(tie, value, doc, top, dk, at, count, buckets: int, salt: int, by_gram
     for kind, part in ((1, known), (2, opened)):
         if len(part):       # settled here: passed through other groups, spread over the tasks
             part = part[np.lexsort((at[part], dk[part], top[part], doc[part]))]
-            yield _blob(kind * buckets + salt % buckets, small[:0], value[:0], doc[part], top[part], dk[part], at[part], count[part])
+            runs = doc[part], top[part], dk[part], at[part], count[part]
+            yield _blob(kind * buckets + salt % buckets, small[:0], value[:0], *(_joined(*runs) if kind == 1 else runs))
 
 
 _KINDS = {"tie": "<u4", "value": "<u8", "doc": "<i8", "top": "<u4", "dkey": "<i8", "at": "<u4", "count": "<u1"}
@@ -164,7 +184,7 @@ def _blob(bucket, *arrays) -> pa.RecordBatch:
 def _read_blobs(t: pa.Table) -> list[np.ndarray]:
     out = []
     for c, kind in _KINDS.items():
-        rows = [np.frombuffer(x, kind) for x in t.column(c).to_pylist()]
+        rows = [np.frombuffer(x.as_buffer(), kind) for x in t.column(c)]
         out.append(np.concatenate([np.cumsum(x, dtype=kind) if c in _SORTED else x for x in rows]))
     return out
 
