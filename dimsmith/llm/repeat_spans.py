@@ -52,7 +52,7 @@ from dimsmith.llm.registry import materialise, query, table
 from dimsmith.llm.textbytes import RangeHash, buffers, mix, slices
 
 LENGTH, GRAM = 100, 32
-BUCKET_BYTES = 32 << 20         # of text for each suffix bucket
+BUCKET_BYTES = 8 << 20          # of text for each suffix bucket
 MANY_CONTEXTS = 8               # of one gram in one batch: its samples are open without being sorted
 _POS = np.uint64((1 << 31) - 1)
 _COLUMNS = ["bucket", "tie", "value", "doc", "top", "dkey", "at", "count"]
@@ -344,7 +344,7 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
 
     blobs = d.mapInArrow(_sample_blobs(buckets), _BLOB)
     # tasks grow in number, not in size, with the corpus
-    tasks = max(2 * buckets, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(buckets, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = materialise(_gather(blobs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
     x = d.join(found, _KEY, "left")
     more = x.where(F.size("open") > 0).mapInArrow(_window_blobs(buckets), _BLOB)
