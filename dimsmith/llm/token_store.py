@@ -19,7 +19,7 @@ positions follow.
 
 Defined results: a null text is empty (the end id alone); an empty table gives
 no shard; a null doc_id sorts first; rows that repeat a doc_id are separate
-documents, ordered by a hash of the text; extra columns are ignored.
+documents, ordered by text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -189,7 +189,7 @@ def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from dimsmith.llm.textbytes import buffers, slices
+        from dimsmith.llm.textbytes import buffers, in_turn, slices
 
         enc, part = Encoder(tokenizer), TaskContext.get().partitionId()
         seq = start = held = 0
@@ -210,7 +210,7 @@ def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: i
             docs.clear(), counts.clear(), ids.clear()
             return row
 
-        for b in batches:
+        for b in in_turn(batches):
             text, doc = pc.fill_null(b.column("text"), ""), b.column("doc_id").cast(pa.int64())
             _, off = buffers(text)
             for i, j in slices(off, batch_bytes):
@@ -235,11 +235,9 @@ def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: i
 def write_token_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1,
                       shard_tokens: int = 1 << 20) -> str:
     """Write the shards of docs (doc_id, text) in ascending doc_id order to ``path``."""
-    # rows that share an id, or have none, are spread by their text and, where equal, by their place
-    keys = ["doc_id", "text_key", "row_key"]
-    (docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"),
-                 F.xxhash64(F.monotonically_increasing_id()).alias("row_key"))
-     .repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text").mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD).write.parquet(path))
+    # rows that share an id, or have none, are spread by how their text begins, in the order of the texts
+    (docs.select("doc_id", "text", F.substring("text", 1, 64).alias("head"))
+     .repartitionByRange("doc_id", "head").sortWithinPartitions("doc_id", "text").select("doc_id", "text").mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD).write.parquet(path))
     return path
 
 

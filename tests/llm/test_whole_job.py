@@ -235,8 +235,8 @@ def test_rows_without_an_id_are_many_ranges(spark):
     from dimsmith.llm.registry import shared_path
     from dimsmith.llm.token_store import write_token_store
     import public_tokenizers
-    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(
-        F.lit("text "), F.col("id").cast("string"))).alias("text")).repartition(8)
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(
+        F.lit("text "), F.col("id").cast("string")).alias("text")).repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         path = write_token_store(df, public_tokenizers.path("word_bpe_49k.json"), shared_path(spark, "many"))
