@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import TO_LOWER, buffers, slices
+from dimsmith.llm.textbytes import TO_LOWER, buffers, in_turn, slices
 
 DIGIT_BITS = 12
 BLOCK_BITS = 17          # 131,072 places a block
@@ -93,7 +93,7 @@ def bucket_counts(texts: DataFrame, least: int = 1, most: int = 1, buckets: int
     """texts (text) -> (bucket, n): features in each bucket, over all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
-        for b in batches:
+        for b in in_turn(batches):
             data, off = buffers(b.column("text"))
             for i, j in slices(off):
                 bucket, _, _ = features(data[off[i]:off[j]], off[i:j + 1] - off[i], least, most, buckets)
@@ -116,7 +116,7 @@ def gain_array(raw: DataFrame, target: DataFrame, buckets: int) -> np.ndarray:
 def weighted(docs: DataFrame, gains: np.ndarray, least: int = 1, most: int = 1) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, n_features, weight."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_turn(batches):
             data, off = buffers(b.column("text"))
             for i, j in slices(off):
                 bucket, text, n = features(data[off[i]:off[j]], off[i:j + 1] - off[i], least, most, len(gains))

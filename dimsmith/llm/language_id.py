@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import RangeHash, buffers, mix, per_doc, slices
+from dimsmith.llm.textbytes import RangeHash, buffers, in_turn, mix, per_doc, slices
 
 GRAMS = (3, 5)
 HASHES = 3
@@ -124,7 +124,7 @@ def _lowered(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = _lowered(b.column("text"))
         langs = np.array(b.column("lang").to_pylist(), dtype=object)
         for i, j in slices(off):
@@ -179,7 +179,7 @@ def train(labelled: DataFrame, sample_docs: int = 3000, max_ngrams: int = 20_000
 
 def _predict(model: LanguageFilter, keep: tuple[str, ...], names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_turn(batches):
             text = pc.fill_null(b.column("text"), "")
             letter = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
             data, off = _lowered(text)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import RangeHash, buffers, mix, slices, words
+from dimsmith.llm.textbytes import RangeHash, buffers, in_turn, mix, slices, words
 
 LEAD, BLOCKS, MIN_TOKENS = 3, 4, 8
 LONG, LONG_DOCS, SHORT_DOCS = 8, 2, 10
@@ -95,7 +95,7 @@ def templates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = buffers(b.column("text"))
         for i, j in slices(off):
             doc, number, t = templates(data[off[i]:off[j]], off[i:j + 1] - off[i])

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from dimsmith.llm.components import components
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import TO_LOWER, RangeHash, buffers, mix, slices, words
+from dimsmith.llm.textbytes import TO_LOWER, RangeHash, buffers, in_turn, mix, slices, words
 
 SHINGLE, ROWS, WIDTH = 5, 12, 2
 BLOCK = 500
@@ -110,7 +110,7 @@ def half_keys(values: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = buffers(b.column("text"))
         for i, j in slices(off):
             values, size = shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i])
@@ -131,7 +131,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = buffers(b.column("text"))
         for i, j in slices(off):
             values, size = shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i])

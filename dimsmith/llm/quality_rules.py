@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import RangeHash, buffers, mix, per_doc, slices, words
+from dimsmith.llm.textbytes import RangeHash, buffers, in_turn, mix, per_doc, slices, words
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -101,7 +101,7 @@ def _repeats(values: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = buffers(b.column("text"))
         rest = [b.column(i) for i, c in enumerate(b.schema.names) if c != "text"]
         names = [c for c in b.schema.names if c != "text"]

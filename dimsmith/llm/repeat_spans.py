@@ -49,10 +49,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import RangeHash, buffers, mix, slices
+from dimsmith.llm.textbytes import RangeHash, buffers, in_turn, mix, slices
 
 LENGTH, GRAM = 100, 32
-BUCKET_BYTES = 8 << 20          # of text for each suffix bucket
+BUCKET_BYTES = 32 << 20         # of text for each suffix bucket
 MANY_CONTEXTS = 8               # of one gram in one batch: its samples are open without being sorted
 _POS = np.uint64((1 << 31) - 1)
 _COLUMNS = ["bucket", "tie", "value", "doc", "top", "dkey", "at", "count"]
@@ -204,7 +204,7 @@ def _batch_salts() -> Iterator[int]:
 
 def _sample_blobs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, salt in zip(batches, _batch_salts(), strict=False):
+        for b, salt in zip(in_turn(batches), _batch_salts(), strict=False):
             doc, top, dk = _ids(b)
             data, off = buffers(b.column("text"))
             parts = []
@@ -293,7 +293,7 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 def _window_blobs(buckets: int):
     """Hash the windows of open runs one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, salt in zip(batches, _batch_salts(), strict=False):
+        for b, salt in zip(in_turn(batches), _batch_salts(), strict=False):
             data, off = buffers(b.column("text"))
             opened, o_at = _lists(b, "open")
             doc, top, dk = _ids(b)
@@ -313,7 +313,7 @@ def _window_blobs(buckets: int):
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in in_turn(batches):
         data, off = buffers(b.column("text"))
         first, f_at = _lists(b, "removed")
         more, m_at = _lists(b, "more")
@@ -344,7 +344,7 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFra
 
     blobs = d.mapInArrow(_sample_blobs(buckets), _BLOB)
     # tasks grow in number, not in size, with the corpus
-    tasks = max(buckets, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(2 * buckets, int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = materialise(_gather(blobs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_sort_bucket(buckets, True), _FOUND)), "found")
     x = d.join(found, _KEY, "left")
     more = x.where(F.size("open") > 0).mapInArrow(_window_blobs(buckets), _BLOB)

@@ -8,6 +8,7 @@ document is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +67,20 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have
 
 
+def in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what the work on one has freed goes back to the system before the next.
+
+    Python workers are reused, and allocators keep freed memory else.
+    """
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A finalising bijection of 64-bit integers (SplitMix64)."""
     x = x ^ (x >> np.uint64(30))
