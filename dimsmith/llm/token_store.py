@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.llm.registry import query, shared_path, table
+from dimsmith.llm.registry import query, shared_path, small_batches, table
 
 MAGIC, BLOCK = b"DAC1", 512
 _SHARD = "part int, seq int, start long, doc_ids array<long>, doc_tokens array<long>, dac binary"
@@ -185,7 +185,7 @@ def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndar
     return out.astype(np.uint32), counts + 1
 
 
-def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 16 << 20):
+def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 6 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -236,8 +236,11 @@ def write_token_store(docs: DataFrame, tokenizer: str, path: str, end_id: int =
                       shard_tokens: int = 1 << 20) -> str:
     """Write the shards of docs (doc_id, text) in ascending doc_id order to ``path``."""
     # rows that share an id, or have none, are spread by how their text begins, in the order of the texts
-    (docs.select("doc_id", "text", F.substring("text", 1, 64).alias("head"))
-     .repartitionByRange("doc_id", "head").sortWithinPartitions("doc_id", "text").select("doc_id", "text").mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD).write.parquet(path))
+    shards = (docs.select("doc_id", "text", F.substring("text", 1, 64).alias("head"))
+              .repartitionByRange("doc_id", "head").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
+              .mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD))
+    with small_batches(docs.sparkSession):
+        shards.write.parquet(path)
     return path
 
 
