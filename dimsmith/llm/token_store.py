@@ -185,7 +185,7 @@ def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndar
     return out.astype(np.uint32), counts + 1
 
 
-def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 6 << 20):
+def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 12 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
