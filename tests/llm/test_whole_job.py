@@ -89,44 +89,44 @@ def test_long_lines_recur_in_two_documents_and_short_fields_are_variable(spark,
 # --- proximity -------------------------------------------------------------------------------
 
 def brute_near(docs, items, width=10, share=0.8):
-    """(matches around one of a window's k + 1 rarest terms, matches within ``width`` words) as (doc, item)."""
-    tf = Counter(w.lower() for _, t in docs for w in WORD.findall(lower(t)))
-    around, stretch = set(), set()
+    """Matches within ``width`` words as (doc, item)."""
+    out = set()
     for item, text in items:
         w = WORD.findall(lower(text))
         for x in [w[i:i + width] for i in range(max(len(w) - width + 1, 1))]:
-            terms = sorted(set(x), key=lambda t: (tf[t], x.index(t)))
-            need = math.ceil(len(terms) * share)
-            rare = terms[:len(terms) - need + 1]
+            need = math.ceil(len(set(x)) * share)
             for doc, t in docs:
                 d = WORD.findall(lower(t))
-                for i, c in enumerate(d):
-                    if c in rare and len(set(d[max(i - width + 1, 0):i + width]) & set(x)) >= need:
-                        around.add((doc, str(item)))
-                    if len(set(d[i:i + width]) & set(x)) >= need:
-                        stretch.add((doc, str(item)))
-    return around, stretch
+                if x and any(len(set(d[i:i + width]) & set(x)) >= need for i in range(len(d))):
+                    out.add((doc, str(item)))
+    return out
 
 
-def test_proximity_without_the_rarest_terms(spark):
-    from dimsmith.llm.decontaminate import contamination
+@pytest.mark.parametrize("neighbours, row", [(64, 500), (20, 3), (0, 1)])
+def test_proximity_without_the_rarest_terms(spark, monkeypatch, neighbours, row):
+    from dimsmith.llm import decontaminate
+    monkeypatch.setattr(decontaminate, "MAX_NEIGHBOURS", neighbours)
+    monkeypatch.setattr(decontaminate, "WINDOWS_A_ROW", row)
     rng = random.Random(3)
     vocab = [f"{a}{b}" for a in "abcdefgh" for b in "uvwxyz"]
     items = [(i, " ".join(rng.choices(vocab, weights=range(1, 49), k=n))) for i, n in enumerate([3, 5, 8, 10, 14, 30])]
     items.append((9, "alpha beta gamma delta epsilon zeta eta theta iota kappa"))
+    items.append((10, "É é Ö ö one two Ü ü ß İ"))        # two words a letter, one lowered term
     docs = [(0, "alpha beta gamma delta epsilon zeta eta theta iota kapa"),     # the rarest word misspelt: in no text
             (1, "alpha beta gama delta epsilon zeta eta theta iota kapa"),
             (2, "alpha beta gama delta epsilon zeta eta teta iota kapa"), (3, "kappa")]
+    docs += [(4, "É é Ö ö one two Ü ü other"), (5, "é é ö ö ONE TWO ü ü ß i̇"), (6, "é Ö ö one two Ü ü\tß"), (7, None), (8, "")]
+    docs += [(9, "alpha beta gamma delta x x x x x x epsilon zeta eta theta")]          # around a word, in no ten words
     for i in range(60):
         w = items[i % 6][1].split(" ")
         for _ in range(i % 5):
             w[rng.randrange(len(w))] = rng.choice(["other", "words", *vocab])
         docs.append((10 + i, " ".join(rng.choices(vocab, k=20) + w + rng.choices(vocab, k=20))))
-    got = contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, i) for r in got.collect() for i in r.near_items}
-    around, stretch = brute_near(docs, items)
-    assert got == around and stretch <= got
-    assert {(0, "9"), (1, "9")} <= got and (2, "9") not in got
+    assert got == brute_near([(i, t or "") for i, t in docs], items)
+    assert {(0, "9"), (1, "9"), (4, "10")} <= got and not {(2, "9"), (5, "10"), (9, "9")} & got
 
 # --- pipeline --------------------------------------------------------------------------------
 
