@@ -143,36 +143,36 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, sample_docs: int = 3000, max_ngrams: int = 20_000, slot_bits: int = 18,
-          share_of_best: float = 0.1) -> LanguageFilter:
+          share_of_best: float = 0.1, max_langs: int = 1024) -> LanguageFilter:
     """labelled (doc_id, text, lang, non-null) -> filter.
 
     An n-gram is in a language's filter if its rate there is at least
     ``share_of_best`` of its greatest rate in any language and it occurs three
-    times or more; of those the ``max_ngrams`` most frequent ones.
+    times or more; of those the ``max_ngrams`` most frequent ones.  More than
+    ``max_langs`` languages are refused: the filter holds a bit for each.
     """
-    count = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not count:
+    labelled = labelled.select("doc_id", "text", "lang")
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n_docs")).limit(max_langs + 1).collect()
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than max_langs={max_langs} languages")
+    if not sizes:
         return LanguageFilter([], np.zeros((1, 0), np.uint64), np.zeros(0))
-    langs = sorted(count, key=lambda k: (-count[k], k))
-    share = F.lit(0.0)
-    for k, n in count.items():
-        share = F.when(F.col("lang") == k, min(1.0, sample_docs / n)).otherwise(share)
+    langs = [r.lang for r in sorted(sizes, key=lambda r: (-r.n_docs, r.lang))]
+    sizes = F.broadcast(labelled.sparkSession.createDataFrame(sizes, "lang string, n_docs long"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-    counted = (labelled.where(draw < share).select("lang", "text")
+    counted = (labelled.join(sizes, "lang").where(draw < sample_docs / F.col("n_docs")).select("lang", "text")
                .mapInArrow(_count_grams, "lang string, gram long, n long")
                .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     counted = materialise(counted, "ngrams")
-    total = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    rate = F.lit(0.0)
-    for k, n in total.items():
-        rate = F.when(F.col("lang") == k, F.col("n") / n).otherwise(rate)
+    total = F.broadcast(counted.groupBy("lang").agg(F.sum("n").alias("total")))     # a row a language
     best = Window.partitionBy("gram")
     rank = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    rows = (counted.withColumn("_rate", rate).withColumn("_best", F.max("_rate").over(best))
+    rows = (counted.join(total, "lang").withColumn("_rate", F.col("n") / F.col("total"))
+            .withColumn("_best", F.max("_rate").over(best))
             .where((F.col("_rate") >= share_of_best * F.col("_best")) & (F.col("n") >= 3))
             .withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= max_ngrams)
-            .groupBy("lang").agg(F.collect_list("gram").alias("grams")).collect())     # max_ngrams a language
-    grams = {r.lang: np.array(r.grams, np.int64).view(np.uint64) for r in rows}
+            .groupBy("lang").agg(F.collect_list("gram").alias("grams")).toArrow())     # max_ngrams a language
+    grams = {k.as_py(): g.values.to_numpy().view(np.uint64) for k, g in zip(rows["lang"], rows["grams"], strict=True)}
     langs = [k for k in langs if k in grams] or langs
     return LanguageFilter.build({k: grams.get(k, np.zeros(0, np.uint64)) for k in langs}, langs, slot_bits)
 

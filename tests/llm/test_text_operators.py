@@ -1,6 +1,7 @@
 """The text operators against plain Python versions on a small table of odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -364,6 +365,49 @@ def test_language_id(spark, odd_docs, no_docs):
     assert predict(no_docs, model).count() == 0
 
 
+def brute_languages(rows, texts):
+    """{text: share of its n-grams in each language}, from plain sets of byte strings."""
+    def grams(text):
+        folded = bytes(c if 97 <= c <= 122 or c > 127 else 32 for c in f" {text.lower()} ".encode())
+        found = [folded[i:i + n] for n in (3, 5) for i in range(len(folded) - n + 1)]
+        return [g for g in found if b"  " not in g]
+    count = {}
+    for _, text, lang in rows:
+        count.setdefault(lang, Counter()).update(grams(text))
+    rate = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in count.items()}
+    best = Counter()
+    for r in rate.values():
+        best |= Counter(r)
+    own = {k: {g for g, x in r.items() if x >= 0.1 * best[g] and count[k][g] >= 3} for k, r in rate.items()}
+    return {t: {k: sum(g in s for g in grams(t)) / max(len(grams(t)), 1) for k, s in own.items()} for t in texts}
+
+
+def test_filter_equals_plain_sets(spark):
+    from dimsmith.llm.language_id import predict, train
+    rng = random.Random(9)
+    letters = {"aa": "abcdeghil", "bb": "abdmnoprs", "cc": "éñßabcdst", "dd": "日本語文字"}
+    vocab = {k: ["".join(rng.choices(v, k=rng.randint(1, 6))) for _ in range(150)] for k, v in letters.items()}
+
+    def text(k, n):
+        return "".join(w + rng.choice([" ", " ", ", ", "\n", " 12 ", "-"]) for w in rng.choices(vocab[k], k=n))
+    rows = [(i, text(k, rng.randint(1, 80)), k) for i, k in enumerate(rng.choices(list(letters), [4, 3, 2, 1], k=300))]
+    texts = sorted({text(k, n) for k in letters for n in (1, 5, 30)} | {text("aa", 20) + text("dd", 20), "q", "xyz xyz", "A B C"})
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=10 ** 6, max_ngrams=10 ** 6, slot_bits=20)
+    plain = brute_languages(rows, texts)
+    got = predict(spark.createDataFrame([(t,) for t in texts], "text string"), model, ("text",)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        first, second = sorted(plain[r.text].values(), reverse=True)[:2]
+        assert abs(r.score - first) < 1e-3, r
+        assert first - second < 1e-3 or plain[r.text][r.lang_pred] == first, r
+
+
+def test_too_many_languages_are_refused(spark):
+    from dimsmith.llm.language_id import train
+    with pytest.raises(ValueError, match="max_langs"):
+        train(spark.createDataFrame([(i, "some text", f"l{i}") for i in range(5)], "doc_id long, text string, lang string"), max_langs=4)
+
+
 def test_filter_corrects_false_positives():
     from dimsmith.llm.language_id import LanguageFilter
     rng = np.random.default_rng(0)
