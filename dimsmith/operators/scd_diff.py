@@ -14,11 +14,13 @@ columns of the buckets with equal digests too (a full comparison, for audits).
 A key that the source no longer has makes its bucket differ: it is read, and
 nothing changes.
 
-The data is plain Parquet, partitioned by bucket; a merge replaces the changed
-partitions by Spark's dynamic partition overwrite and then writes the next
-version of the (small) tree. A merge that dies between the two is repeated: its
-buckets still differ by the old tree, and merging the same snapshot again
-changes nothing. One writer at a time; readers read after it.
+The data is plain Parquet, partitioned by bucket. A merge writes the leaves of the
+changed buckets as open (no digest equals theirs, the largest keys are the new
+ones), replaces the partitions by Spark's dynamic partition overwrite and then
+writes their leaves as they are. After a merge that died on the way the open
+buckets count as different, so the next one, of the same snapshot or another,
+compares their rows and gives no key twice. One writer at a time; readers read
+after it.
 """
 
 from __future__ import annotations
@@ -103,12 +105,15 @@ class DigestedDim:
         self._write(rows)
         self._commit(self._read())
 
-    def _commit(self, rows: DataFrame, replaced: Sequence[int] | None = None) -> None:
-        """Write the next leaves: those of ``rows``, and the others as they were."""
-        current = rows.where(F.coalesce(F.col(self.spec.is_current), F.lit(False)))
+    def _commit(self, rows: DataFrame, replaced: Sequence[int] | None = None, is_open: bool = False) -> None:
+        """Write the next leaves: those of ``rows`` (``is_open``: with a digest that nothing equals), and the others as they were."""
         keys = rows.groupBy(F.col(BUCKET).cast("long").alias("node")).agg(
             F.max(self.spec.sk).alias("sk"), F.max(self.spec.dk).alias("dk"))
-        leaves = keys.join(leaf_digests(current, self.spec), "node", "left").select(*_DIGEST, "sk", "dk")
+        if is_open:
+            leaves = keys.select("node", *[F.lit(v).cast("long").alias(c) for c, v in (("n", -1), ("d1", 0), ("d2", 0))], "sk", "dk")
+        else:
+            current = rows.where(F.coalesce(F.col(self.spec.is_current), F.lit(False)))
+            leaves = keys.join(leaf_digests(current, self.spec), "node", "left").select(*_DIGEST, "sk", "dk")
         if replaced is not None:
             leaves = self._leaves().where(~F.col("node").isin(list(replaced))).unionByName(leaves)
         write_snapshot(leaves.coalesce(1), f"{self.path}/leaves")
@@ -160,6 +165,7 @@ class DigestedDim:
             path = work_dir(self.spark, "scd-merged")       # whole before any partition is replaced
             part.withColumn(BUCKET, key_bucket(self.spec.business_keys, self.buckets)).write.parquet(path)
             merged = self.spark.read.parquet(path)
+            self._commit(merged, changed, is_open=True)
             self._write(merged)
             self._commit(merged, changed)
         return changed

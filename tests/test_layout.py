@@ -70,6 +70,31 @@ def test_digested_merge_equals_the_merge_and_reads_only_what_differs(spark, tmp_
     assert as_set(store.read()) == want
 
 
+def test_a_merge_that_died_is_followed_by_another_snapshot(spark, tmp_path, monkeypatch):
+    """Its buckets count as different: keys are not given twice, and values that went back are seen."""
+    rows = depot(120, random.Random(4))
+    dim = spark.createDataFrame(rows, DIM_DDL)
+    first = [(r[2], r[3], r[4], r[5]) for r in rows if r[8]]
+    ddl = "site string, item int, label string, size int"
+    died = spark.createDataFrame([(s, i, "other" if n % 9 == 0 else lab, z) for n, (s, i, lab, z) in enumerate(first)] + [("new", 1, "a", 1)], ddl)
+    after = spark.createDataFrame([*first, ("new", 1, "a", 1), ("new", 2, "b", 2)], ddl)
+    later = RUN + dt.timedelta(days=30)
+    store = DigestedDim(spark, f"{tmp_path}/dim", DIM, buckets=64, fanout=4)
+    store.create(dim)
+    write = store._write
+
+    def write_and_die(part):
+        write(part)
+        raise RuntimeError("lost")
+    monkeypatch.setattr(store, "_write", write_and_die)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.merge(died, RUN)
+    monkeypatch.undo()
+    store.merge(after, later)
+    assert as_set(store.read()) == as_set(scd2_merge(scd2_merge(dim, died, DIM, RUN).checkpoint(), after, DIM, later))
+    assert store.changed(store._source(after)) == []
+
+
 def test_equal_digests_are_resolved_by_columns(spark, tmp_path, monkeypatch):
     rows = depot(120, random.Random(2))
     dim = spark.createDataFrame(rows, DIM_DDL)
