@@ -74,15 +74,13 @@ def _merge_inputs(spark, sf_dir):
 def _merge_tables(spark, sf_dir):
     """The dimension before the merge and the attribute snapshot."""
     base, snap = _merge_inputs(spark, sf_dir)
-    versions = star._versions(
-        latest_by(base.select(F.col("o_custkey").alias("customer_id"),
-                              F.to_date("o_orderdate").alias("valid_from"), "o_orderkey",
-                              F.col("o_orderpriority").alias("category")),
-                  ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey"),
-        "customer_id")
+    days = latest_by(base.select(F.col("o_custkey").alias("customer_id"),
+                                 F.to_date("o_orderdate").alias("valid_from"), "o_orderkey",
+                                 F.col("o_orderpriority").alias("category")),
+                     ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey")
     # The dimension before the merge is an existing table: materialise it once
     # (the merge reads current rows, closed rows, distinct keys and key maxima).
-    dim0 = star.with_keys(versions, CUSTOMER).checkpoint(eager=True)
+    dim0 = star.with_keys(days, CUSTOMER).checkpoint(eager=True)
     updates = latest_by(snap.select(F.col("o_custkey").alias("customer_id"), "o_orderdate",
                                     "o_orderkey", F.col("o_orderpriority").alias("category")),
                         ["customer_id"], ["o_orderdate", "o_orderkey"]).select(

@@ -17,13 +17,14 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimsmith.catalog.registry import table
 from dimsmith.functions.scalars import OPEN_END, date_key, money
 from dimsmith.operators.latest import latest_by
-from dimsmith.operators.ordered import next_within_key, version_numbers
+from dimsmith.operators.ordered import key_numbers
+from dimsmith.operators.same_key import key_of
 from dimsmith.operators.scd import DimSpec
 from dimsmith.operators.sweep import sweep_join
 from dimsmith.operators.temporal import temporal_join
@@ -42,26 +43,30 @@ PRODUCT = DimSpec(business_keys=["product_id"], attributes=["category", "price"]
                   sk="product_sk", dk="product_dk")
 
 
-def _versions(days: DataFrame, key: str) -> DataFrame:
-    """Daily snapshots -> SCD 2 intervals (valid_to = next start - 1 day)."""
-    chained = next_within_key(days, [key], ["valid_from"], prefix="_n_", bucket_unit="month")
-    nxt = F.col("_n_valid_from")
-    return chained.select(
-        *[c for c in days.columns],
-        F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END)).alias("valid_to"),
-        nxt.isNull().alias("is_current"))
+def _interval(within: Window, start: str = "valid_from") -> list[Column]:
+    """valid_to (next start - 1 day) and is_current of daily snapshots, in a window over the key.
 
+    A key has one row a day, so its rows are bounded by the calendar however many
+    orders or lines it has: the window needs no time buckets.
+    """
+    nxt = F.lead(start).over(within)
+    return [F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END)).alias("valid_to"), nxt.isNull().alias("is_current")]
 
-def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def customer_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("valid_from"),
         "o_orderkey", F.col("o_orderpriority").alias("category"))
-    days = latest_by(orders, ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey")
-    return _versions(days, "customer_id")
+    return latest_by(orders, ["customer_id", "valid_from"], ["o_orderkey"]).drop("o_orderkey")
 
 
-def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = customer_days(spark, sf_dir)
+    return days.select(*days.columns, *_interval(Window.partitionBy("customer_id").orderBy("valid_from")))
+
+
+def product_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("product_id"),
         F.to_date("l_shipdate").alias("valid_from"),
@@ -70,15 +75,22 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     band = F.lit(TOP_BAND)
     for limit, name in reversed(PRICE_BANDS):
         band = F.when(F.col("price") < F.lit(limit), F.lit(name)).otherwise(band)
-    days = days.select("product_id", "valid_from", band.alias("category"), "price")
-    return _versions(days, "product_id")
+    return days.select("product_id", "valid_from", band.alias("category"), "price")
+
 
+def with_keys(days: DataFrame, spec: DimSpec) -> DataFrame:
+    """SCD 2 versions of daily snapshots (one row a key and day) with their keys:
+    surrogate key in load order (key, valid_from), durable key per business key.
 
-def with_keys(versions: DataFrame, spec: DimSpec) -> DataFrame:
-    """Surrogate key in load order (key, valid_from), durable key per business key."""
-    keyed = version_numbers(versions, spec.business_keys, [spec.valid_from],
-                            row_out=spec.sk, dense_out=spec.dk)
-    return keyed.select(*spec.columns())
+    The days are shuffled once, by key: the join with the keys' numbers and the
+    window over the key share that exchange.
+    """
+    numbers = key_numbers(days, spec.business_keys, "_first", spec.dk)
+    keyed = days.withColumn("_key", key_of(spec.business_keys)).join(
+        numbers.select(key_of(spec.business_keys).alias("_key"), "_first", spec.dk), "_key")
+    within = Window.partitionBy("_key").orderBy(spec.valid_from)
+    sk = (F.col("_first") + F.row_number().over(within) - 1).cast("bigint").alias(spec.sk)
+    return keyed.select(spec.dk, sk, *days.columns, *_interval(within, spec.valid_from)).select(*spec.columns())
 
 
 def built_once(df: DataFrame, name: str) -> DataFrame:
@@ -89,11 +101,11 @@ def built_once(df: DataFrame, name: str) -> DataFrame:
 
 
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_keys(customer_versions(spark, sf_dir), CUSTOMER)
+    return with_keys(customer_days(spark, sf_dir), CUSTOMER)
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_keys(product_versions(spark, sf_dir), PRODUCT)
+    return with_keys(product_days(spark, sf_dir), PRODUCT)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +123,9 @@ def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
     year) restricts the orders before any join — a broadcast semi-join, the
     reduction dynamic partition pruning would apply to a date-partitioned fact.
     ``sweep``: look versions up by ``sweep_join``, not by ``temporal_join``.
+
+    Customers are looked up for the orders, before the lines join them: lines
+    are shuffled for the order and for the product only.
     """
     cust = cust if cust is not None else customer_dim(spark, sf_dir)
     prod = prod if prod is not None else product_dim(spark, sf_dir)
@@ -120,23 +135,27 @@ def sales_fact(spark: SparkSession, sf_dir: str, cust: DataFrame | None = None,
     if order_days is not None:
         days = F.broadcast(order_days.select(F.col("calendar_date").alias("_day")))
         orders = orders.join(days, F.to_date("o_orderdate") == F.col("_day"), "left_semi")
-    lines = li.join(orders, li.l_orderkey == orders.o_orderkey).withColumn(
-        "order_date", F.to_date("o_orderdate"))
+    orders = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"))
     c = cust.select("customer_id", "customer_sk", "customer_dk",
                     F.col("valid_from").alias("c_from"), F.col("valid_to").alias("c_to"))
     p = prod.select("product_id", "product_sk", "product_dk", "price",
                     F.col("valid_from").alias("p_from"), F.col("valid_to").alias("p_to"))
+    found = ["o_orderkey", "order_date", "customer_sk", "customer_dk"]
     if sweep:
+        o = sweep_join(orders, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to").select(*found)
+        lines = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
         # bounds are drawn from the base tables; a line's ship date is near enough to its order's date for that
-        j = sweep_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to",
-                       sample=orders.select("o_custkey", F.to_date("o_orderdate").alias("order_date")))
-        j = sweep_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
+        j = sweep_join(lines, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
                        sample=li.select("l_partkey", F.to_date("l_shipdate").alias("order_date")))
     else:
-        # Latest possible fact date, from one column of orders (not from the join).
-        horizon = orders.agg(F.max(F.to_date("o_orderdate")).alias("h")).scalar()
-        j = temporal_join(lines, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to", horizon=horizon)
-        j = temporal_join(j, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to", horizon=horizon)
+        # Earliest and latest possible fact date, from one column of orders (not from the join).
+        since = orders.agg(F.min("order_date").alias("s")).scalar()
+        horizon = orders.agg(F.max("order_date").alias("h")).scalar()
+        o = temporal_join(orders, c, [("o_custkey", "customer_id")], "order_date", "c_from", "c_to",
+                          horizon=horizon, since=since).select(*found)
+        lines = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
+        j = temporal_join(lines, p, [("l_partkey", "product_id")], "order_date", "p_from", "p_to",
+                          horizon=horizon, since=since)
     discount = F.round(F.col("l_discount") * 100).cast("int")
     paid = F.round(F.col("price") * (F.lit(100) - discount) * F.lit(Decimal("0.01")), 2)
     return j.select(

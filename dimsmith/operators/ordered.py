@@ -212,6 +212,33 @@ def version_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         .alias(dense_out))
 
 
+def key_numbers(df: DataFrame, keys: Sequence[str], first_out: str, dense_out: str,
+                num_partitions: int | None = None) -> DataFrame:
+    """Per distinct key, in key order: ``first_out``, the global number of its first row,
+    and ``dense_out``, its place among the keys (both from 1).
+
+    The rows themselves are only counted: what is range-partitioned, checkpointed and
+    numbered is one row a key. A row's own number is ``first_out`` plus its place within
+    the key.
+    """
+    keys = list(keys)
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [F.col(c) for c in keys]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = groups.repartitionByRange(num_partitions, *by) if num_partitions else groups.repartitionByRange(*by)
+    ranged = (ranged.sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
+              .checkpoint(eager=True).withColumn("_b", F.shiftright("_id", 33)))
+    local = Window.partitionBy("_b").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_b").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys")).select(
+        "_b", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
+        F.coalesce(F.sum("_keys").over(before), F.lit(0)).alias("_key_off"))
+    numbered = ranged.withColumn("_before", F.coalesce(F.sum("_n").over(local), F.lit(0))).join(F.broadcast(offsets), "_b")
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return numbered.select(*keys, (F.col("_row_off") + F.col("_before") + 1).cast("bigint").alias(first_out),
+                           (F.col("_key_off") + place + 1).cast("bigint").alias(dense_out))
+
+
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       out: str = "row_no") -> DataFrame:
     """``row_number() over (partition by keys order by order)`` without a

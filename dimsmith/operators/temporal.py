@@ -33,7 +33,7 @@ def _bucket(c: Column, unit: str) -> Column:
 def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str],
                   at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                   how: str = "inner", bucket: str | None = "year",
-                  horizon: Column | dt.date | None = None,
+                  horizon: Column | dt.date | None = None, since: Column | dt.date | None = None,
                   unknown_member: Mapping[str, object] | None = None) -> DataFrame:
     """Join ``facts`` to the ``dim`` version valid at ``facts[at]``.
 
@@ -43,9 +43,11 @@ def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]
     ``on``: fact/dim key pairs (or shared names). Dim columns other than the
     keys keep their names; rename beforehand to avoid clashes. ``horizon``:
     the latest possible fact date (default: a scalar subquery over ``facts``).
+    ``since``: the earliest possible fact date; versions that ended before it
+    take no part (default: all do).
     """
     if unknown_member:
-        out = temporal_join(facts, dim.withColumn("_found", F.lit(True)), on, at, valid_from, valid_to, "left", bucket, horizon)
+        out = temporal_join(facts, dim.withColumn("_found", F.lit(True)), on, at, valid_from, valid_to, "left", bucket, horizon, since)
         missing = F.col("_found").isNull()
         return out.select(*[F.when(missing, F.lit(unknown_member[c])).otherwise(F.col(c)).alias(c)
                             if c in unknown_member else F.col(c) for c in out.columns if c != "_found"])
@@ -61,7 +63,11 @@ def temporal_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]
     elif not isinstance(horizon, Column):
         horizon = F.lit(horizon)
     vf, vt = F.col(valid_from), F.least(F.col(valid_to), horizon)
-    spread = (dim.where(F.col(valid_from) <= horizon)
+    alive = dim.where(F.col(valid_from) <= horizon)
+    if since is not None:
+        since = since if isinstance(since, Column) else F.lit(since)
+        alive, vf = alive.where(F.col(valid_to) >= since), F.greatest(vf, since)
+    spread = (alive
               .withColumn("_tb", F.explode(F.sequence(_bucket(vf, bucket), _bucket(vt, bucket)))))
     f = facts.withColumn("_tb", _bucket(at_col, bucket))
     cond = [f[a] == spread[b] for a, b in pairs] + [f["_tb"] == spread["_tb"]]
