@@ -12,8 +12,8 @@ drawn from the sample. Within a block a running ``last`` carries the version
 forward; what is in force where a range begins is the last version of the key's
 ranges before it (one row a range, from the dimension alone). So facts are
 shuffled once, every version once, and a hot key, or a hot (key, time), is
-spread over as many blocks as it has rows for: bounds hold a hash of the fact
-beside the time. Only keys that hold a share of the sample have bounds, so their
+spread over as many blocks as it has rows for: bounds hold a short hash of the
+fact beside the time. A version's time and end travel once, not again among its columns. Only keys that hold a share of the sample have bounds, so their
 table is broadcast whatever the number of keys.
 
 Versions of a key must not overlap (as SCD 2 keeps them); one that ends before
@@ -32,6 +32,7 @@ from dimsmith.operators.ordered import row_number_within
 from dimsmith.session import ensure_checkpoint_dir
 
 SAMPLE_PER_BLOCK = 32
+SALT_BITS = 20
 _PLACE = ["t", "kind", "salt"]
 
 
@@ -80,17 +81,18 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
     blocks = max(2, blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = [f for f, d in pairs if f == d]
     dim_columns = [c for c in dim.columns if c not in shared]
+    carried_columns = [c for c in dim_columns if c not in (valid_from, valid_to)] or dim_columns
     time = dim.schema[valid_from].dataType
 
     def keys(names):
         return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)])
     versions = dim.where(F.col(valid_from) <= F.col(valid_to)).select(
         keys([d for _, d in pairs]).alias("k"), F.col(valid_from).alias("t"), F.lit(0).alias("kind"),
-        F.lit(0).cast("long").alias("salt"), F.col(valid_to).alias("end"), F.struct(*dim_columns).alias("v"))
+        F.lit(0).cast("long").alias("salt"), F.col(valid_to).alias("end"), F.struct(*carried_columns).alias("v"))
 
     def places(rows):
         return rows.select(keys([f for f, _ in pairs]).alias("k"), F.col(at).cast(time).alias("t"), F.lit(-1 if strictly else 1).alias("kind"),
-                           F.xxhash64(*rows.columns).alias("salt"), *([F.struct(*rows.columns).alias("f")] if rows is facts else []))
+                           F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << SALT_BITS) - 1)).alias("salt"), *([F.struct(*rows.columns).alias("f")] if rows is facts else []))
     f = places(facts)
     drawn = (places(sample) if sample is not None else f).select("k", *_PLACE).unionByName(versions.select("k", *_PLACE))
     hot = hot_ranges(drawn, blocks)
@@ -98,12 +100,12 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
     stream = with_block(versions.unionByName(f, allowMissingColumns=True), hot, blocks)
     running = Window.partitionBy("part", "piece").orderBy("k", *_PLACE, "end").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    held = F.last(F.when(F.col("kind") == 0, F.struct("k", "end", "v")), ignorenulls=True).over(running)
+    held = F.last(F.when(F.col("kind") == 0, F.struct("k", "t", "end", "v")), ignorenulls=True).over(running)
 
     # what is in force where a range of a hot key begins: the last version of its ranges before
     ranges = hot.select("hk", F.explode(F.sequence(F.lit(0), F.size("bounds"))).alias("piece"))
     mine = with_block(versions, hot, blocks).join(F.broadcast(hot.select("hk")), F.col("k") == F.col("hk")).groupBy("hk", "piece").agg(
-        F.max_by(F.struct("k", "end", "v"), F.struct("t", "end")).alias("last"))
+        F.max_by(F.struct("k", "t", "end", "v"), F.struct("t", "end")).alias("last"))
     before = Window.partitionBy("hk").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = ranges.join(mine, ["hk", "piece"], "left").select(
         "hk", "piece", F.last("last", ignorenulls=True).over(before).alias("carried")).where("piece > 0")
@@ -123,7 +125,7 @@ def sweep_join(facts: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] |
     fallback = dict(unknown_member or {})
     return x.select(
         *[F.col(f"f.`{c}`").alias(c) for c in facts.columns],
-        *[F.when(found, F.col(f"held.v.`{c}`")).otherwise(F.lit(fallback.get(c))).alias(c) for c in dim_columns])
+        *[F.when(found, F.col({valid_from: "held.t", valid_to: "held.end"}.get(c, f"held.v.`{c}`"))).otherwise(F.lit(fallback.get(c))).alias(c) for c in dim_columns])
 
 
 def latest_before(rows: DataFrame, others: DataFrame, on: Sequence[tuple[str, str]], at: str, when: str,
