@@ -49,10 +49,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.llm.registry import materialise, query, table
-from dimsmith.llm.textbytes import RangeHash, buffers, in_turn, mix, slices
+from dimsmith.llm.textbytes import RangeHash, buffers, give_back, in_turn, mix, slices
 
 LENGTH, GRAM = 100, 32
 BUCKET_BYTES = 32 << 20         # of text for each suffix bucket
+SORT_AT_ONCE = 1 << 19          # entries of a bucket that are sorted together, and windows of a batch that are hashed together
 MANY_CONTEXTS = 8               # of one gram in one batch: its samples are open without being sorted
 _POS = np.uint64((1 << 31) - 1)
 _COLUMNS = ["bucket", "tie", "value", "doc", "top", "dkey", "at", "count"]
@@ -243,25 +244,47 @@ def _sort_bucket(buckets: int, resolve: bool):
         tie, value, doc, top, dk, at, count = _read_blobs(t)
         if kind:
             return _by_document(doc, top, dk, at, count, np.full(len(doc), kind == 2))
-        marked = np.unique(tie[count == 0])
-        some = count > 0
-        tie, value, doc, top, dk, at, count = (x[some] for x in (tie, value, doc, top, dk, at, count))
-        order = np.lexsort((at, dk, top, doc, value, tie))
-        new, later = _earlier(order, [tie, value], doc, top, dk, at)
-        repeat = order[~new & later]
-        still = order[:0]
-        if resolve:
-            heads = order[new]
-            same = tie[heads][1:] == tie[heads][:-1]
-            several = np.isin(tie[heads], marked)
-            several[1:] |= same
-            several[:-1] |= same
-            still = heads[several]
-        x = np.concatenate([repeat, still])
-        return _by_document(doc[x], top[x], dk[x], at[x], count[x], np.arange(len(x)) >= len(repeat))
+        repeats, stills = [], []
+        for part in _parts(tie, SORT_AT_ONCE):
+            repeat, still = _judge(part, tie, value, doc, top, dk, at, count, resolve)
+            repeats.append(repeat)
+            stills.append(still)
+        del tie, value
+        n = sum(map(len, repeats))
+        x = np.concatenate([*repeats, *stills])
+        out = _by_document(doc[x], top[x], dk[x], at[x], count[x], np.arange(len(x)) >= n)
+        del doc, top, dk, at, count, x, repeats, stills
+        give_back()
+        return out
     return run
 
 
+def _parts(tie: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """The entries in parts of about ``most``, those of one tie together: what sorts a part is small beside the bucket."""
+    n = max(1, -(-len(tie) // most))
+    part = (tie % np.uint32(n)).astype(np.uint16 if n < 1 << 16 else np.uint32)
+    for i in range(n):
+        yield np.flatnonzero(part == i)
+
+
+def _judge(part, tie, value, doc, top, dk, at, count, resolve: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(repeats, open entries) of a part of a bucket that holds all entries of its ties."""
+    marked = np.unique(tie[part[count[part] == 0]])
+    part = part[count[part] > 0]
+    tie, value, doc, top, dk, at = (x[part] for x in (tie, value, doc, top, dk, at))
+    order = np.lexsort((at, dk, top, doc, value, tie))
+    new, later = _earlier(order, [tie, value], doc, top, dk, at)
+    repeat, still = order[~new & later], order[:0]
+    if resolve:
+        heads = order[new]
+        same = tie[heads][1:] == tie[heads][:-1]
+        several = np.isin(tie[heads], marked)
+        several[1:] |= same
+        several[:-1] |= same
+        still = heads[several]
+    return part[repeat], part[still]
+
+
 def _lists(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     col = b.column(name)
     size = col.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -290,6 +313,13 @@ def _cut(raw: bytes, codes: np.ndarray) -> tuple[int, int, int, str]:
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _columns(parts: list[tuple]) -> list[np.ndarray]:
+    """The parts' columns as one array each; the list is emptied."""
+    cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+    parts.clear()
+    return cols
+
+
 def _window_blobs(buckets: int):
     """Hash the windows of open runs one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +328,7 @@ def _window_blobs(buckets: int):
             opened, o_at = _lists(b, "open")
             doc, top, dk = _ids(b)
             out: list[tuple] = []
+            held, nth = 0, 0
             for i in np.flatnonzero(np.diff(o_at)):
                 hashed = RangeHash(data[off[i]:off[i + 1]])
                 code = opened[o_at[i]:o_at[i + 1]]
@@ -305,10 +336,13 @@ def _window_blobs(buckets: int):
                 at = np.repeat((code >> 20) - (np.cumsum(count) - count), count) + np.arange(count.sum())
                 value = hashed(at, at + LENGTH)
                 tie = hashed(at + 30, at + 70)      # the bytes' middle, hashed apart from the whole
-                out.append((tie, value, *(np.full(len(at), x[i]) for x in (doc, top, dk)), at, np.ones(len(at), np.int64)))
+                out.append((tie, value, *(np.full(len(at), x[i]) for x in (doc, top, dk)), at, np.ones(len(at), np.uint8)))
+                held += len(at)
+                if held >= SORT_AT_ONCE:
+                    yield from _blobs(*_columns(out), buckets, salt + nth, False)
+                    held, nth = 0, nth + 1
             if out:
-                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield from _blobs(*cols, buckets, salt, False)
+                yield from _blobs(*_columns(out), buckets, salt + nth, False)
     return run
 
 
