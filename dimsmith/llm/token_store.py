@@ -10,7 +10,9 @@ there.  Any id or range is read without decoding what precedes it
 (`DacShard`).
 
 Tokenising: a batch's texts are cut where no token crosses, every distinct piece
-is encoded once by the tokenizers library and the ids are gathered by numpy.
+is encoded once by the tokenizers library and the ids are gathered by numpy.  Work
+goes on in slices of some MB, which bound a worker's memory; the ids of pieces are
+kept from slice to slice, up to a bound.
 
 A shard is closed at ``shard_tokens``; a document is never split, so the
 memory of a task is bounded by a shard and one document.  Nothing is collected
@@ -28,8 +30,9 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ from pyspark.sql import functions as F
 from dimsmith.llm.registry import query, shared_path, small_batches, table
 
 MAGIC, BLOCK = b"DAC1", 512
+KEPT_PIECES = 1 << 17           # pieces whose ids a worker keeps between slices and tasks: some 30 MB
 _SHARD = "part int, seq int, start long, doc_ids array<long>, doc_tokens array<long>, dac binary"
 
 
@@ -140,6 +144,7 @@ class Encoder:
         added = self.tok.get_added_tokens_decoder().values()
         self.heads = sorted({t.content[:2] for t in added})
         self.symbols = _byte_symbols()
+        self.kept: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> list[int]:
         if _WORD.fullmatch(piece):
@@ -148,6 +153,18 @@ class Encoder:
             return [t.id for t in self.tok.model.tokenize(piece)]
         return self.tok.encode(piece, add_special_tokens=False).ids
 
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """The pieces' ids as bytes of unsigned 32-bit integers."""
+        out = []
+        for p in pieces:
+            ids = self.kept.get(p)
+            if ids is None:
+                ids = array("I", self._piece(p)).tobytes()
+                if len(p) <= 64 and len(self.kept) < KEPT_PIECES:      # frequent pieces come first
+                    self.kept[p] = ids
+            out.append(ids)
+        return out
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
         n = len(texts)
@@ -163,9 +180,9 @@ class Encoder:
         per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        known = [self._piece(p) for p in coded.dictionary.to_pylist()]
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        flat = np.fromiter(chain.from_iterable(known), np.uint32, int(size.sum()))
+        known = self._encoded(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.uint32)
         first = np.cumsum(size) - size
         sizes = size[index]
         ends = np.cumsum(sizes)
@@ -180,18 +197,24 @@ class Encoder:
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder, kept for its next tasks."""
+    return Encoder(path)
+
+
 def _with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.insert(ids, np.cumsum(counts), end_id) if len(counts) else ids
     return out.astype(np.uint32), counts + 1
 
 
-def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 12 << 20):
+def _write_shards(tokenizer: str, end_id: int, shard_tokens: int, batch_bytes: int = 4 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         from dimsmith.llm.textbytes import buffers, in_turn, slices
 
-        enc, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         seq = start = held = 0
         docs: list[np.ndarray] = []
         counts: list[np.ndarray] = []
@@ -239,7 +262,7 @@ def write_token_store(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     shards = (docs.select("doc_id", "text", F.substring("text", 1, 64).alias("head"))
               .repartitionByRange("doc_id", "head").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
               .mapInArrow(_write_shards(tokenizer, end_id, shard_tokens), _SHARD))
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, "8m"):
         shards.write.parquet(path)
     return path
 

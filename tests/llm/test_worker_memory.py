@@ -35,6 +35,7 @@ def test_pieces_are_kept_from_slice_to_slice_up_to_a_bound(monkeypatch, odd_rows
     calls = []
     piece = enc._piece
     monkeypatch.setattr(enc, "_piece", lambda p: calls.append(p) or piece(p))
+    assert T.encoder(public_tokenizers.path("word_bpe_49k.json")) is T.encoder(public_tokenizers.path("word_bpe_49k.json"))
     for bound in (1 << 16, 8):
         monkeypatch.setattr(T, "KEPT_PIECES", bound)
         enc.kept.clear()
