@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith.catalog import star
-from dimsmith.catalog.registry import query
+from dimsmith.catalog.registry import query, table
 from dimsmith.catalog.report_queries import SQL
 from dimsmith.functions.scalars import money
 from dimsmith.operators.reports import rollup_with_totals
@@ -41,8 +41,14 @@ class StoredStar:
     calendar: str
 
 
-def store_star(spark: SparkSession, sf_dir: str, buckets: int = 8) -> StoredStar:
-    """Build the star and store it; size ``buckets`` so that a bucket of one year is some hundred MB."""
+LEAST_BUCKETS, LINES_A_BUCKET = 8, 4_000_000
+
+
+def store_star(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> StoredStar:
+    """Build the star and store it; ``buckets``: by default their number follows the lines, so that
+    the report's joins have as many tasks as the data needs and a bucket fits one."""
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, -(-table(spark, sf_dir, "lineitem").count() // LINES_A_BUCKET))
     tag, root = uuid.uuid4().hex[:12], work_dir(spark, "star")
     names = StoredStar(*[f"star_{n}_{tag}" for n in ("fact", "product", "customer", "calendar")])
     save_table(star.customer_dim(spark, sf_dir), names.customer, f"{root}/customer", bucket_by=["customer_sk"],
