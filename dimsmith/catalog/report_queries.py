@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from dimsmith.catalog import star
@@ -69,17 +71,21 @@ def sales_report(spark, sf_dir, mode: str):
     fact = star.sales_fact(spark, sf_dir, cust, prod, order_days=year)
     s = fact.join(F.broadcast(year.select("calendar_sk")),
                   fact.order_date_sk == year.calendar_sk).drop("calendar_sk")
-    ph = prod.select("product_sk", "product_id", F.col("price").alias("ph_price"),
-                     F.col("category").alias("ph_category"))
+    # the year's facts refer to versions that were alive in it: only these are joined by surrogate key
+    def alive(dim):
+        return dim.where((F.col("valid_from") <= F.lit(dt.date(REPORT_YEAR, 12, 31)))
+                         & (F.col("valid_to") >= F.lit(dt.date(REPORT_YEAR, 1, 1))))
+    ph = alive(prod).select("product_sk", "product_id", F.col("price").alias("ph_price"),
+                            F.col("category").alias("ph_category"))
     s = s.join(ph, "product_sk")
 
     if mode == "as_posted":
-        ch = cust.select("customer_sk", F.col("category").alias("cc_category"))
+        ch = alive(cust).select("customer_sk", F.col("category").alias("cc_category"))
         s = s.join(ch, "customer_sk").withColumn("pc_category", F.col("ph_category"))
     elif mode in ("as_is_bk", "as_of_bk"):
         pick = (lambda d: d.where("is_current")) if mode == "as_is_bk" else (
             lambda d: as_of(d, AS_OF_DATE))
-        ch = cust.select("customer_sk", "customer_id")
+        ch = alive(cust).select("customer_sk", "customer_id")
         cc = pick(cust).select("customer_id", F.col("category").alias("cc_category"))
         pc = pick(prod).select("product_id", F.col("category").alias("pc_category"))
         s = s.join(ch, "customer_sk").join(cc, "customer_id").join(pc, "product_id")
