@@ -85,9 +85,19 @@ def write_partitioned_csv(df: DataFrame, path: str, partition_col: str,
                           header: bool = True) -> None:
     """Hive-partitioned CSV. Rows are rebalanced by the partition column: rows of
     a value meet in few tasks (few files), and adaptive execution splits a value
-    that is too large for one."""
-    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
-     .partitionBy(partition_col).option("header", str(header).lower()).csv(path))
+    that is too large for one. A folder a value costs more than its bytes, so small
+    shuffle partitions are not merged by size: the folders are dealt over at least
+    ``spark.sql.shuffle.partitions`` tasks and two for each core."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        (df.hint("rebalance", tasks, F.col(partition_col)).write.mode("overwrite")
+         .partitionBy(partition_col).option("header", str(header).lower()).csv(path))
+    finally:
+        spark.conf.set(key, before)
 
 
 def move_single_file(spark: SparkSession, folder: str, target: str) -> str:
