@@ -4,7 +4,8 @@ Each query lands copies of the given tables as files in a fresh folder under
 the session's checkpoint directory, runs the streaming job(s) to completion
 (triggered, ``availableNow``) and returns the resulting table. A feed is landed
 in parts (by a hash of a key), each followed by a run, so that the work is done
-in several micro-batches; a part has as many files as its data needs.
+in several micro-batches; a part has as many files as its data needs. A join of
+two streams stays up while its parts land, so that its state is not read back.
 """
 
 from __future__ import annotations
@@ -19,23 +20,42 @@ from dimsmith.plans.eventlog import quality_by_rule, rows_by_table
 from dimsmith.plans.graph import TableGraph
 from dimsmith.plans.spec import build_graph, load_spec
 from dimsmith.session import work_dir
-from dimsmith.sinks.files import move_single_file, write_quoted_csv
+from dimsmith.sinks.files import move_folder, move_single_file, write_quoted_csv
 from dimsmith.sources.files import read_file_stream
 from dimsmith.streaming.apply_changes import apply_changes_stream, read_target
-from dimsmith.streaming.ingest import ingest_files, run_to_end, stream_join
+from dimsmith.streaming.ingest import (feed_to_end, ingest_files, run_to_end, stream_join,
+                                       without_empty_batches)
 
 BATCHES = 3
 MANY_BATCHES = 110
+POLL = "1 second"       # how often a query that stays up looks for landed files
+
+
+def hash_part(df, by, part, of=BATCHES):
+    return df.where(F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(of)) == part)
 
 
 def land(df, path, by=None, part=None, of=BATCHES, fmt="parquet", **options):
     """Append ``df``, or the ``part``-th of ``of`` hash parts of it, as files."""
     if part is not None:
-        key = F.xxhash64(*[F.col(c) for c in (by or df.columns[:1])])
-        df = df.where(F.pmod(key, F.lit(of)) == part)
+        df = hash_part(df, by or df.columns[:1], part, of)
     df.write.mode("append").options(**options).format(fmt).save(path)
 
 
+def _land_at_once(spark, wd, part, **feeds):
+    """A landing: the part of every feed, seen together as ``landed/<part>/<feed>``."""
+    def landing():
+        for name, df in feeds.items():
+            land(df, f"{wd}/staged/{part}/{name}")
+        move_folder(spark, f"{wd}/staged/{part}", f"{wd}/landed/{part}")
+    return landing
+
+
+def _landed(spark, wd, feed, df):
+    """The stream of one feed's landed parts."""
+    return spark.readStream.schema(df.schema).parquet(f"{wd}/landed/*/{feed}")
+
+
 def _typed(df, like, *more):
     """Cast columns back to the source table's types (CSV inference is coarser)."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields], *more)
@@ -237,13 +257,11 @@ def stream_join_inner(spark, sf_dir):
     wd = work_dir(spark, "sjoin")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    for part in range(BATCHES):
-        land(orders, f"{wd}/orders", by=["o_orderkey"], part=part)
-        land(cust, f"{wd}/customer", by=["c_custkey"], part=part)
-        o = spark.readStream.schema(orders.schema).parquet(f"{wd}/orders")
-        c = spark.readStream.schema(cust.schema).parquet(f"{wd}/customer")
-        j = stream_join(o, c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "c_name")
-        run_to_end(ingest_files(j, f"{wd}/out", f"{wd}/_checkpoint"))
+    o, c = _landed(spark, wd, "orders", orders), _landed(spark, wd, "customer", cust)
+    j = stream_join(o, c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "c_name")
+    feed_to_end(ingest_files(j, f"{wd}/out", f"{wd}/_checkpoint", available_now=False, processing_time=POLL),
+                [_land_at_once(spark, wd, part, orders=hash_part(orders, ["o_orderkey"], part),
+                               customer=hash_part(cust, ["c_custkey"], part)) for part in range(BATCHES)])
     return spark.read.parquet(f"{wd}/out")
 
 
@@ -263,10 +281,26 @@ def stream_static_left(spark, sf_dir):
     return spark.read.parquet(f"{wd}/out")
 
 
-# Event-time slices (years, half-open) landed one after the other, and the
-# event time of the marker rows that close the streams.
-SLICES = ((0, 1997), (1997, 1999), (1999, 10000))
-CLOSING = ("2100-01-01 00:00:00", "2101-01-01 00:00:00")
+# Number of event-time slices landed one after the other, and the event times of the
+# marker rows that close the streams: the first moves the watermark past all rows,
+# the second lets out what that closed.
+SLICES = 5
+CLOSING = ("2101-01-01 00:00:00", "2102-01-01 00:00:00")
+
+
+def _time_slices(times, n=SLICES):
+    """Bounds of at most ``n`` half-open ranges of the time column that hold about as many rows each."""
+    micros = F.unix_micros(times.columns[0])
+    cuts = times.agg(F.percentile_approx(micros, [k / n for k in range(1, n)], 1000)).first()[0]
+    cuts = sorted(set(cuts or []))
+    return list(zip([None, *cuts], [*cuts, None]))
+
+
+def _between(df, time, lo, hi):
+    """Rows of the years 0 to 9999 in one slice."""
+    df = df.where(F.year(time).between(0, 9999))
+    df = df if lo is None else df.where(F.unix_micros(time) >= lo)
+    return df if hi is None else df.where(F.unix_micros(time) < hi)
 
 
 @query("stream_join_left_watermark", """
@@ -277,32 +311,30 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 def stream_join_left_watermark(spark, sf_dir):
     """Left outer stream–stream join with watermarks and a time range.
 
-    Both feeds are landed in event-time order, a run per slice; marker rows with
-    a far later time close them, so every unmatched order comes out."""
+    Both feeds are landed in event-time order, slice by slice, into one query that
+    stays up and keeps two slices and the range in its state; marker rows with a
+    far later time close them, so every unmatched order comes out."""
     wd = work_dir(spark, "sleft")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_time"))
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("l_time"))
     near = F.expr("INTERVAL 60 DAYS")
+    o = _landed(spark, wd, "orders", orders).withWatermark("o_time", "30 days")
+    li = _landed(spark, wd, "lines", lines).withWatermark("l_time", "30 days")
+    cond = ((o.o_orderkey == li.l_orderkey) & (li.l_time >= o.o_time - near) & (li.l_time <= o.o_time + near))
+    j = o.join(li, cond, "left_outer").select("o_orderkey", "o_time", "l_linenumber", "l_time")
 
-    def run():
-        o = spark.readStream.schema(orders.schema).parquet(f"{wd}/orders").withWatermark("o_time", "30 days")
-        li = spark.readStream.schema(lines.schema).parquet(f"{wd}/lines").withWatermark("l_time", "30 days")
-        cond = ((o.o_orderkey == li.l_orderkey) & (li.l_time >= o.o_time - near) & (li.l_time <= o.o_time + near))
-        j = o.join(li, cond, "left_outer").select("o_orderkey", "o_time", "l_linenumber", "l_time")
-        run_to_end(ingest_files(j, f"{wd}/out", f"{wd}/_checkpoint"))
-
-    for lo, hi in SLICES:
-        land(orders.where((F.year("o_time") >= lo) & (F.year("o_time") < hi)), f"{wd}/orders")
-        land(lines.where((F.year("l_time") >= lo) & (F.year("l_time") < hi)), f"{wd}/lines")
-        run()
+    parts = [(_between(orders, "o_time", lo, hi), _between(lines, "l_time", lo, hi))
+             for lo, hi in _time_slices(orders.select("o_time"))]
     for at in CLOSING:
         time = F.lit(at).cast("timestamp")
-        land(spark.range(1).select(F.lit(-1).cast("bigint").alias("o_orderkey"), time.alias("o_time")), f"{wd}/orders")
-        land(spark.range(1).select(F.lit(-2).cast("bigint").alias("l_orderkey"), F.lit(0).alias("l_linenumber"),
-                                   time.alias("l_time")), f"{wd}/lines")
-        run()
+        parts.append((spark.range(1).select(F.lit(-1).cast("bigint").alias("o_orderkey"), time.alias("o_time")),
+                      spark.range(1).select(F.lit(-2).cast("bigint").alias("l_orderkey"), F.lit(0).alias("l_linenumber"),
+                                            time.alias("l_time"))))
+    with without_empty_batches(spark):
+        query = ingest_files(j, f"{wd}/out", f"{wd}/_checkpoint", available_now=False, processing_time=POLL)
+    feed_to_end(query, [_land_at_once(spark, wd, k, orders=a, lines=b) for k, (a, b) in enumerate(parts)])
     out = spark.read.parquet(f"{wd}/out").where("o_orderkey >= 0")
     return out.select("o_orderkey", F.col("o_time").cast("timestamp_ntz").alias("o_time"), "l_linenumber",
                       F.col("l_time").cast("timestamp_ntz").alias("l_time"))

@@ -113,6 +113,19 @@ def move_single_file(spark: SparkSession, folder: str, target: str) -> str:
     return target
 
 
+def move_folder(spark: SparkSession, folder: str, target: str) -> str:
+    """Give a written folder its place in one rename (as checkpoints need it of
+    their file system), so that a running stream sees all its files or none."""
+    fs, p, jvm = _fs(spark, folder)
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(path):
+        raise FileExistsError(target)
+    fs.mkdirs(path.getParent())
+    if not fs.rename(p, path):
+        raise RuntimeError(f"{folder} could not be renamed to {target}")
+    return target
+
+
 def write_quoted_csv(df: DataFrame, path: str, n_files: int | None = None,
                      header: bool = True) -> None:
     """Truncate-and-load delimited text with every value quoted. ``n_files``

@@ -16,9 +16,10 @@ Stream joins:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import contextlib
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -43,6 +44,39 @@ def run_to_end(query: StreamingQuery) -> None:
         raise RuntimeError(str(exc))
 
 
+def feed_to_end(query: StreamingQuery, landings: Iterable[Callable[[], None]]) -> None:
+    """Land one part of the feeds after the other into a query that stays up
+    (``ingest_files(..., available_now=False)``): each part is processed whole
+    before the next one lands; then the query is stopped. Raises the query's
+    error, if any.
+
+    A stateful query that is started anew for each part reads its state back as
+    all changes ever made to it; one that stays up keeps it. It also polls while
+    a part lands, so a part must appear at once (``sinks.files.move_folder``):
+    the watermark of half a part could make the other half late."""
+    try:
+        for landing in landings:
+            landing()
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+@contextlib.contextmanager
+def without_empty_batches(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside run no batch without rows: what a part's
+    watermark closes comes out with the next part that has rows, not in a batch
+    of its own. The feeds must end with two closing parts: the first one moves
+    the watermark past all rows, the second one lets them out."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stream_join(left: DataFrame, right: DataFrame, on: Column | Sequence[str] | str,
                 how: str = "inner", watermarks: Mapping[str, tuple[str, str]] | None = None
                 ) -> DataFrame:
